@@ -83,6 +83,16 @@ def _clean(spark: SparkSession, sf: str) -> pipeline.Cleaned:
     )
 
 
+def _archived_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact as archived by the audit: written once, read by every check."""
+    return pipeline.stage_in()(fact(spark, sf))
+
+
+def _written(cleaned: pipeline.Cleaned) -> pipeline.Cleaned:
+    """The clean fact as it is controlled: after it was written."""
+    return pipeline.Cleaned(pipeline.stage_in()(cleaned.fact), cleaned.statistics)
+
+
 def flagship_weighted_price(spark: SparkSession, sf: str) -> DataFrame:
     """Weighted mean price by grade and season of the cleaned weighings."""
     rows = cleaning.attach_references(
@@ -277,17 +287,17 @@ def sentinel_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def rules_report(spark: SparkSession, sf: str) -> DataFrame:
     """All rules on the raw table, where most of them fail."""
-    return validate(fact(spark, sf), w.RULES, growers(spark, sf), cooperatives(spark, sf))
+    return validate(_archived_fact(spark, sf), w.RULES, growers(spark, sf), cooperatives(spark, sf))
 
 
 def rules_clean(spark: SparkSession, sf: str) -> DataFrame:
     """All rules on the cleaned table."""
-    cleaned = _clean(spark, sf).fact
+    cleaned = _written(_clean(spark, sf)).fact
     return validate(cleaned, w.RULES, growers(spark, sf), cooperatives(spark, sf))
 
 
 def rules_verdict(spark: SparkSession, sf: str) -> DataFrame:
-    rows = fact(spark, sf)
+    rows = _archived_fact(spark, sf)
     checks = validate(rows, w.RULES, growers(spark, sf), cooperatives(spark, sf))
     return verdict(checks, rows.agg(F.count("*")).scalar())
 
@@ -425,7 +435,7 @@ def audit_json(spark: SparkSession, sf: str) -> DataFrame:
     """The audit report as JSON text."""
     report = audit.audit_report(
         {
-            "pesees": weighings(spark, sf),
+            "pesees": pipeline.stage_in()(weighings(spark, sf)),
             "planteurs": growers(spark, sf),
             "cooperatives": cooperatives(spark, sf),
         },
@@ -440,7 +450,7 @@ def quality_json(spark: SparkSession, sf: str) -> DataFrame:
     """The quality report as JSON text."""
     report = pipeline.quality_report(
         weighings(spark, sf),
-        _clean(spark, sf),
+        _written(_clean(spark, sf)),
         growers(spark, sf),
         cooperatives(spark, sf),
         generated=False,

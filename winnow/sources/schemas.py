@@ -2,21 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructType
 
-WEIGHINGS = StructType.fromDDL(
-    "id_pesee string, date string, region string, cooperative string, id_planteur string,"
-    " tonnage_kg double, qualite string, prix_fcfa_kg long, humidite_pct double"
+WEIGHINGS = (
+    StructType()
+    .add("id_pesee", StringType())
+    .add("date", StringType())
+    .add("region", StringType())
+    .add("cooperative", StringType())
+    .add("id_planteur", StringType())
+    .add("tonnage_kg", DoubleType())
+    .add("qualite", StringType())
+    .add("prix_fcfa_kg", LongType())
+    .add("humidite_pct", DoubleType())
 )
 
-GROWERS = StructType.fromDDL(
-    "id_planteur string, code_cooperative string, region string, superficie_ha double,"
-    " annee_adhesion long, certifie_bio boolean"
+GROWERS = (
+    StructType()
+    .add("id_planteur", StringType())
+    .add("code_cooperative", StringType())
+    .add("region", StringType())
+    .add("superficie_ha", DoubleType())
+    .add("annee_adhesion", LongType())
+    .add("certifie_bio", BooleanType())
 )
 
-COOPERATIVES = StructType.fromDDL(
-    "code_cooperative string, nom_cooperative string, region string, zone_production string,"
-    " port_export string, annee_creation long, certifiee_bio boolean"
+COOPERATIVES = (
+    StructType()
+    .add("code_cooperative", StringType())
+    .add("nom_cooperative", StringType())
+    .add("region", StringType())
+    .add("zone_production", StringType())
+    .add("port_export", StringType())
+    .add("annee_creation", LongType())
+    .add("certifiee_bio", BooleanType())
 )
 
 INPUT_SCHEMAS = {"pesees": WEIGHINGS, "planteurs": GROWERS, "cooperatives": COOPERATIVES}
