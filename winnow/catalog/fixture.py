@@ -4,6 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+)
 
 from winnow.functions.rounding import rounded_long
 from winnow.plans.weighings import FACT_COLUMNS
@@ -11,8 +20,34 @@ from winnow.plans.weighings import FACT_COLUMNS
 ORDER = ("date", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
+COLUMNS: dict[str, dict[str, type[DataType]]] = {
+    "region": {"r_regionkey": IntegerType, "r_name": StringType},
+    "nation": {"n_nationkey": IntegerType, "n_name": StringType, "n_regionkey": IntegerType},
+    "customer": {"c_custkey": LongType, "c_nationkey": IntegerType},
+    "supplier": {"s_suppkey": LongType, "s_name": StringType, "s_nationkey": IntegerType},
+    "orders": {"o_orderkey": LongType, "o_custkey": LongType},
+    "lineitem": {
+        "l_orderkey": LongType,
+        "l_partkey": LongType,
+        "l_suppkey": LongType,
+        "l_linenumber": IntegerType,
+        "l_quantity": DoubleType,
+        "l_extendedprice": DoubleType,
+        "l_discount": DoubleType,
+        "l_returnflag": StringType,
+        "l_linestatus": StringType,
+        "l_shipdate": TimestampNTZType,
+    },
+    "documents": {"doc_id": LongType, "text": StringType},
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table under a declared schema, so that no job runs to infer one."""
+    schema = StructType()
+    for column, kind in COLUMNS[name].items():
+        schema = schema.add(column, kind())
+    return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -35,14 +70,7 @@ def _copied(df: DataFrame) -> DataFrame:
 
 def weighings(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:
     """One weighing per line item with the nine fact columns and the order columns."""
-    items = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-            "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
-        ),
-        "l_orderkey",
-        "l_linenumber",
-    )
+    items = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     if copies:
         items = _copied(items)
     joined = (

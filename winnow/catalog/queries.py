@@ -54,12 +54,6 @@ def _text(df: DataFrame, *dates: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in dates})
 
 
-def _unique(spark: SparkSession, sf: str) -> DataFrame:
-    """Canonical labels, one row per ticket."""
-    canonical = cleaning.canonicalise_labels(weighings(spark, sf), cooperatives(spark, sf))
-    return cleaning.deduplicate(canonical, ORDER)
-
-
 def _seasoned(spark: SparkSession, sf: str) -> DataFrame:
     """One row per ticket with season columns; labels as typed."""
     unique = cleaning.deduplicate(weighings(spark, sf), ORDER)
@@ -67,7 +61,7 @@ def _seasoned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _imputed(spark: SparkSession, sf: str) -> tuple[DataFrame, cleaning.CleaningStatistics]:
-    rows = _seasoned(spark, sf)
+    rows = pipeline.stage_in()(_seasoned(spark, sf))
     stats = cleaning.cleaning_statistics(rows)
     return cleaning.impute(rows, stats), stats
 
@@ -95,12 +89,7 @@ def _written(cleaned: pipeline.Cleaned) -> pipeline.Cleaned:
 
 def flagship_weighted_price(spark: SparkSession, sf: str) -> DataFrame:
     """Weighted mean price by grade and season of the cleaned weighings."""
-    rows = cleaning.attach_references(
-        _seasoned(spark, sf), growers(spark, sf), cooperatives(spark, sf)
-    )
-    stats = cleaning.cleaning_statistics(_seasoned(spark, sf))
-    measured = cleaning.derive_measures(cleaning.impute(rows, stats), stats.grade_price)
-    return analyses.weighted_price(measured)
+    return analyses.weighted_price(_clean(spark, sf).fact)
 
 
 def canonical_labels(spark: SparkSession, sf: str) -> DataFrame:

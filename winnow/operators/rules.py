@@ -189,14 +189,16 @@ def _domain_checks(df: DataFrame, domains: Mapping[str, DataFrame], rules: RuleS
         F.count_if(unknown).alias("unknown"),
         F.sum(F.when(absent, F.col("n")).otherwise(0)).alias("rows"),
     )
-    # The group limit keeps five labels per column and task before the exchange.
-    place = F.row_number().over(Window.partitionBy("colonne").orderBy("label"))
+    # The group limit keeps a few labels per column and task before its exchange. Both
+    # branches use the same columns of ``labels``, so its own exchange is shared.
+    place = F.row_number().over(Window.partitionBy("colonne").orderBy(F.asc_nulls_last("label")))
+    sample = F.array_sort(F.collect_list(F.when(unknown, F.struct("label", "n"))))
     shown = (
-        labels.filter(unknown)
-        .select("colonne", "label", place.alias("place"))
+        labels.filter(absent)
+        .withColumn("place", place)
         .filter(F.col("place") <= LABELS_SHOWN)
         .groupBy("colonne")
-        .agg(F.array_sort(F.collect_list("label")).alias("shown"))
+        .agg(sample["label"].alias("shown"))
     )
     # An empty table still has one row per checked column.
     checked = df.sparkSession.createDataFrame([(c,) for c in columns], "colonne string")
