@@ -4,50 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DataType,
-    DoubleType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructType,
-    TimestampNTZType,
-)
 
-from winnow.functions.rounding import rounded_long
 from winnow.plans.weighings import FACT_COLUMNS
 
 ORDER = ("date", "l_partkey", "l_suppkey", "l_extendedprice")
 
-
-COLUMNS: dict[str, dict[str, type[DataType]]] = {
-    "region": {"r_regionkey": IntegerType, "r_name": StringType},
-    "nation": {"n_nationkey": IntegerType, "n_name": StringType, "n_regionkey": IntegerType},
-    "customer": {"c_custkey": LongType, "c_nationkey": IntegerType},
-    "supplier": {"s_suppkey": LongType, "s_name": StringType, "s_nationkey": IntegerType},
-    "orders": {"o_orderkey": LongType, "o_custkey": LongType},
-    "lineitem": {
-        "l_orderkey": LongType,
-        "l_partkey": LongType,
-        "l_suppkey": LongType,
-        "l_linenumber": IntegerType,
-        "l_quantity": DoubleType,
-        "l_extendedprice": DoubleType,
-        "l_discount": DoubleType,
-        "l_returnflag": StringType,
-        "l_linestatus": StringType,
-        "l_shipdate": TimestampNTZType,
-    },
-    "documents": {"doc_id": LongType, "text": StringType},
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_returnflag string,"
+    " l_linestatus string, l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string",
 }
 
+WEIGHING_COLUMNS = (
+    "concat(l_orderkey, '-', l_linenumber) AS id_pesee",
+    "CAST(CAST(l_shipdate AS DATE) AS STRING) AS date",
+    """CASE WHEN l_orderkey % 991 = 0 THEN 'NATION_0'
+            WHEN l_partkey % 33 = 0 THEN lower(n_name)
+            WHEN l_partkey % 33 = 1 THEN concat(' ', n_name)
+            WHEN l_partkey % 33 = 2 THEN replace(n_name, '_', '-')
+            WHEN l_partkey % 33 = 3 THEN concat(n_name, ' ')
+            ELSE n_name END AS region""",
+    """CASE WHEN l_partkey % 501 = 0 THEN 'Supplier#999999999'
+            WHEN l_suppkey % 29 = 0 THEN upper(s_name)
+            WHEN l_suppkey % 31 = 0 THEN replace(s_name, '#', '  ')
+            ELSE s_name END AS cooperative""",
+    "concat('PLT', IF(l_orderkey % 997 = 0, o_custkey + 1000000, o_custkey)) AS id_planteur",
+    "l_quantity * IF(l_orderkey % 211 = 0, 250D, 25D) AS tonnage_kg",
+    """CASE WHEN l_returnflag = 'A' THEN 'Grade A'
+            WHEN l_returnflag = 'N' THEN 'Grade B'
+            WHEN l_linestatus = 'F' THEN 'Grade C'
+            ELSE 'Hors grade' END AS qualite""",
+    """IF(l_partkey % 50 = 7, -1L,
+          CAST(rint(400 + l_extendedprice / 150) AS BIGINT)) AS prix_fcfa_kg""",
+    "IF(l_partkey % 16 <> 9, 5 + l_discount * 50, NULL) AS humidite_pct",
+    "l_partkey",
+    "l_suppkey",
+    "l_extendedprice",
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table under a declared schema, so that no job runs to infer one."""
-    schema = StructType()
-    for column, kind in COLUMNS[name].items():
-        schema = schema.add(column, kind())
-    return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -60,60 +64,23 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
-def _copied(df: DataFrame) -> DataFrame:
-    """Every row once, and once more for the orders that were scanned twice."""
-    twice = F.col("l_orderkey") % 67 == 0
-    return df.withColumn(
-        "copy", F.explode(F.when(twice, F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
-    ).drop("copy")
-
-
 def weighings(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:
-    """One weighing per line item with the nine fact columns and the order columns."""
+    """One weighing per line item with the nine fact columns and the order columns.
+
+    With ``copies``, the rows of every 67th order were scanned twice.
+    """
     items = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     if copies:
-        items = _copied(items)
+        items = items.selectExpr(
+            "*", "explode(IF(l_orderkey % 67 = 0, array(1, 2), array(1))) AS copy"
+        )
     joined = (
-        items.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    )
-    order, part, supplier = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    slip = part % 33
-    return joined.select(
-        F.concat(order, F.lit("-"), F.col("l_linenumber")).alias("id_pesee"),
-        F.col("l_shipdate").cast("date").cast("string").alias("date"),
-        F.when(order % 991 == 0, "NATION_0")
-        .when(slip == 0, F.lower("n_name"))
-        .when(slip == 1, F.concat(F.lit(" "), "n_name"))
-        .when(slip == 2, F.replace(F.col("n_name"), F.lit("_"), F.lit("-")))
-        .when(slip == 3, F.concat("n_name", F.lit(" ")))
-        .otherwise(F.col("n_name"))
-        .alias("region"),
-        F.when(part % 501 == 0, "Supplier#999999999")
-        .when(supplier % 29 == 0, F.upper("s_name"))
-        .when(supplier % 31 == 0, F.replace(F.col("s_name"), F.lit("#"), F.lit("  ")))
-        .otherwise(F.col("s_name"))
-        .alias("cooperative"),
-        F.concat(
-            F.lit("PLT"),
-            F.when(order % 997 == 0, F.col("o_custkey") + 1000000).otherwise(F.col("o_custkey")),
-        ).alias("id_planteur"),
-        (F.col("l_quantity") * F.when(order % 211 == 0, 250.0).otherwise(25.0)).alias("tonnage_kg"),
-        F.when(F.col("l_returnflag") == "A", "Grade A")
-        .when(F.col("l_returnflag") == "N", "Grade B")
-        .when(F.col("l_linestatus") == "F", "Grade C")
-        .otherwise("Hors grade")
-        .alias("qualite"),
-        F.when(part % 50 == 7, F.lit(-1).cast("long"))
-        .otherwise(rounded_long(F.lit(400) + F.col("l_extendedprice") / 150))
-        .alias("prix_fcfa_kg"),
-        F.when(part % 16 != 9, F.lit(5) + F.col("l_discount") * 50).alias("humidite_pct"),
-        "l_partkey",
-        "l_suppkey",
-        "l_extendedprice",
+        items.join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
     )
+    return joined.selectExpr(*WEIGHING_COLUMNS)
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,32 +90,26 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def growers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grower reference from the customers."""
-    key = F.col("c_custkey")
-    return (
-        table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.concat(F.lit("PLT"), key).alias("id_planteur"),
-            F.col("n_name").alias("region"),
-            (F.lit(0.5) + (key % 59) * 0.5).alias("superficie_ha"),
-            (F.lit(2005) + key % 19).cast("long").alias("annee_adhesion"),
-            (key % 5 == 0).alias("certifie_bio"),
-        )
+    nations = table(spark, sf_dir, "nation")
+    joined = table(spark, sf_dir, "customer").join(nations, F.expr("c_nationkey = n_nationkey"))
+    return joined.selectExpr(
+        "concat('PLT', c_custkey) AS id_planteur",
+        "n_name AS region",
+        "0.5D + (c_custkey % 59) * 0.5D AS superficie_ha",
+        "CAST(2005 + c_custkey % 19 AS BIGINT) AS annee_adhesion",
+        "c_custkey % 5 = 0 AS certifie_bio",
     )
 
 
 def cooperatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cooperative reference from the suppliers."""
-    return (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("s_name").alias("code_cooperative"),
-            F.col("n_name").alias("region"),
-            F.col("r_name").alias("zone_production"),
-            F.when(F.col("r_name").isin("AFRICA", "ASIA"), "San Pedro")
-            .otherwise("Abidjan")
-            .alias("port_export"),
-        )
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
+    )
+    joined = table(spark, sf_dir, "supplier").join(nations, F.expr("s_nationkey = n_nationkey"))
+    return joined.selectExpr(
+        "s_name AS code_cooperative",
+        "n_name AS region",
+        "r_name AS zone_production",
+        "IF(r_name IN ('AFRICA', 'ASIA'), 'San Pedro', 'Abidjan') AS port_export",
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,19 +13,28 @@ LOCAL_ROWS = 200_000
 LOCAL_BYTES = 16 * 1024 * 1024
 
 
+def rows_if_small(
+    df: DataFrame, max_rows: int = LOCAL_ROWS, max_bytes: int = LOCAL_BYTES
+) -> pa.Table | None:
+    """The rows, or None when there are more than the bounds allow.
+
+    At most ``max_rows + 1`` rows reach the driver.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    return None if rows.num_rows > max_rows or rows.nbytes > max_bytes else rows
+
+
 def local_if_small(
     df: DataFrame, max_rows: int = LOCAL_ROWS, max_bytes: int = LOCAL_BYTES
 ) -> DataFrame | None:
     """The result as a local relation, or None when it is larger than the bounds.
 
-    At most ``max_rows + 1`` rows reach the driver. Catalyst's own estimate for the
-    result of a join or aggregate is often far too high, and a table of 25 labels
-    would then shuffle the whole fact; the actual size settles it.
+    Catalyst's own estimate for the result of a join or aggregate is often far too
+    high, and a table of 25 labels would then shuffle the whole fact; the actual
+    size settles it.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
-        return None
-    return df.sparkSession.createDataFrame(rows, schema=df.schema)
+    rows = rows_if_small(df, max_rows, max_bytes)
+    return None if rows is None else df.sparkSession.createDataFrame(rows, schema=df.schema)
 
 
 def small_or_same(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:

@@ -9,18 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnow.functions.nulls import differs
-from winnow.operators.bounded import small_or_same
+from winnow.operators.bounded import rows_if_small, small_or_same
 
 
 def duplicate_keys(reference: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once in a reference, with their number of rows."""
-    return (
-        reference.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    )
+    return reference.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
 def unique_reference(reference: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -32,7 +31,7 @@ def unique_reference(reference: DataFrame, key: str, columns: Sequence[str]) ->
     grouped = reference.groupBy(key).agg(
         F.first(F.struct(*columns)).alias("row"), F.count("*").alias("n")
     )
-    message = F.concat(F.lit(f"repeated reference key {key}="), F.col(key).cast("string"))
+    message = F.concat(F.lit("repeated reference key "), F.col(key).cast("string"))
     checked = F.when(F.col("n") == 1, F.col("row")).otherwise(F.raise_error(message))
     return grouped.select(key, checked.alias("row")).select(key, "row.*")
 
@@ -44,11 +43,21 @@ def attach_reference(
     columns: Sequence[str],
     reference_key: str | None = None,
 ) -> DataFrame:
-    """Many-to-one left join that adds reference columns and keeps every fact row."""
+    """Many-to-one left join that adds reference columns and keeps every fact row.
+
+    A repeated key is an error. In a small reference it is found before the join, in
+    a large one by :func:`unique_reference` while the join runs.
+    """
     right_key = reference_key or key
-    right = small_or_same(
-        unique_reference(reference, right_key, columns).withColumnRenamed(right_key, "__key")
-    )
+    right = reference.select(F.col(right_key).alias("__key"), *columns)
+    rows = rows_if_small(right)
+    if rows is None:
+        right = unique_reference(right, "__key", columns)
+    else:
+        for entry in pc.value_counts(rows["__key"].drop_null()):
+            if entry["counts"].as_py() > 1:
+                raise ValueError(f"repeated reference key {right_key}={entry['values']}")
+        right = F.broadcast(df.sparkSession.createDataFrame(rows, schema=right.schema))
     return df.join(right, df[key] == right["__key"], "left").drop("__key")
 
 

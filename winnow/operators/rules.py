@@ -13,8 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnow.functions.nulls import flag
-from winnow.functions.rounding import round_half_even
 from winnow.operators.canonical import label_counts
 from winnow.operators.joins import hierarchy_counts
 
@@ -84,36 +82,39 @@ class RuleSet:
     imputed_limit_pct: float = 5.0
 
 
-def _number(value: Column) -> Column:
-    return F.format_number(value, 0)
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _number(value: str) -> str:
+    return f"format_number({value}, 0)"
 
 
 def _check(
-    order: int, rule: str, name: str, text: str, bad: Column, *values: Column, level: str = ERROR
-) -> Column:
-    """Struct of one check, failed when ``bad`` is positive; ``values`` fill its text."""
-    failed, passed = (F.format_string(t, *values) for t in TEXTS[text])
-    return F.struct(
-        F.lit(order).alias("ordre"),
-        F.lit(rule).alias("regle"),
-        F.lit(name).alias("controle"),
-        F.when(bad > 0, level).otherwise(OK).alias("niveau"),
-        bad.cast("long").alias("nb"),
-        F.when(bad > 0, failed).otherwise(passed).alias("message"),
-    )
+    order: int, rule: str, name: str, text: str, bad: str, *values: str, level: str = ERROR
+) -> str:
+    """SQL struct of one check, failed when ``bad`` is positive; ``values`` fill its text."""
+    failed, passed = (f"format_string({', '.join((_quoted(t), *values))})" for t in TEXTS[text])
+    return f"""named_struct('ordre', {order}, 'regle', '{rule}', 'controle', {_quoted(name)},
+        'niveau', IF({bad} > 0, '{level}', '{OK}'), 'nb', CAST({bad} AS BIGINT),
+        'message', IF({bad} > 0, {failed}, {passed}))"""
 
 
-def _sum(counts: Sequence[Column]) -> Column:
-    return sum(counts, F.lit(0).cast("long"))
+def _as_rows(totals: DataFrame, checks: Sequence[str]) -> DataFrame:
+    return totals.selectExpr(f"inline(array({', '.join(checks)}))")
 
 
-def _listing(counts: Mapping[str, Column], suffix: Mapping[str, str] | None = None) -> Column:
+def _listing(counts: Mapping[str, str], suffix: Mapping[str, str] | None = None) -> str:
     """``'a (3), b (1)'`` for the columns with a positive count."""
     texts = [
-        F.when(n > 0, F.concat(F.lit(f"{c} ("), _number(n), F.lit((suffix or {}).get(c, "") + ")")))
+        f"IF({n} > 0, concat('{c} (', {_number(n)}, '{(suffix or {}).get(c, '')})'), NULL)"
         for c, n in counts.items()
     ]
-    return F.concat_ws(", ", *texts)
+    return f"concat_ws({', '.join((_quoted(', '), *texts))})"
+
+
+def _total(counts: Mapping[str, str]) -> str:
+    return f"({' + '.join(('0L', *counts.values()))})"
 
 
 def _row_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
@@ -121,54 +122,53 @@ def _row_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
     critical = [c for c in rules.critical if c in df.columns]
     bounds = {c: b for c, b in rules.bounds.items() if c in df.columns}
     flags = [c for c in rules.imputed if c in df.columns]
+    missing = {c: f"missing_{c}" for c in critical}
+    outside = {c: f"outside_{c}" for c in bounds}
+    ranges = {c: f" hors [{low:g} ; {high:g}]" for c, (low, high) in bounds.items()}
     totals = df.agg(
         F.count("*").alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in critical],
+        *[F.expr(f"count_if({c} IS NULL) AS {name}") for c, name in missing.items()],
         *[
-            F.count_if((F.col(c) < low) | (F.col(c) > high)).alias(f"outside_{c}")
+            F.expr(f"count_if({c} < {low}D OR {c} > {high}D) AS outside_{c}")
             for c, (low, high) in bounds.items()
         ],
-        *[F.count_if(F.col(c)).alias(f"imputed_{c}") for c in flags],
+        *[F.expr(f"count_if({c}) AS imputed_{c}") for c in flags],
     )
-    rows, minimum = F.col("rows"), F.lit(rules.minimum_rows).cast("long")
-    missing = {c: F.col(f"missing_{c}") for c in critical}
-    outside = {c: F.col(f"outside_{c}") for c in bounds}
-    ranges = {c: f" hors [{low:g} ; {high:g}]" for c, (low, high) in bounds.items()}
-    lacking = F.greatest(minimum - rows, F.lit(0))
+    minimum = f"{rules.minimum_rows}L"
     checks = [
-        _check(1, "R1", "volume", "volume", lacking, _number(rows), _number(minimum)),
         _check(
-            4, "R3", "completude", "completude", _sum(list(missing.values())),
-            _listing(missing), F.lit(str(len(critical))),
+            1, "R1", "volume", "volume", f"greatest({minimum} - rows, 0L)",
+            _number("rows"), _number(minimum),
         ),
-        _check(7, "R5", "bornes", "bornes", _sum(list(outside.values())), _listing(outside, ranges)),
+        _check(
+            4, "R3", "completude", "completude", _total(missing),
+            _listing(missing), f"'{len(critical)}'",
+        ),
+        _check(7, "R5", "bornes", "bornes", _total(outside), _listing(outside, ranges)),
     ]
     checks += [
-        _check(3, "R3", c, "absente", F.lit(1), F.lit("R3 completude"), F.lit(c))
+        _check(3, "R3", c, "absente", "1", "'R3 completude'", _quoted(c))
         for c in rules.critical
         if c not in critical
     ]
     for column in flags:
-        filled = F.col(f"imputed_{column}")
-        share = F.try_divide(filled.cast("double"), rows.cast("double")) * 100
-        many = F.when(flag(share > rules.imputed_limit_pct), filled).otherwise(0)
-        text = F.format_string("%.1f", round_half_even(share, 1))
+        share = f"try_divide(imputed_{column}, rows) * 100"
+        many = f"IF({share} > {rules.imputed_limit_pct}D, imputed_{column}, 0L)"
+        text = f"format_string('%.1f', rint({share} * 10) / 10)"
         checks.append(
             _check(
-                11, "V1", column, "impute", many, text, F.lit(rules.imputed[column]), level=WARNING
+                11, "V1", column, "impute", many, text, _quoted(rules.imputed[column]), level=WARNING
             )
         )
-    report = totals.select(F.inline(F.array(*checks)))
-    return report.filter((F.col("regle") != "V1") | (F.col("niveau") == WARNING))
+    return _as_rows(totals, checks).filter(f"regle <> 'V1' OR niveau = '{WARNING}'")
 
 
 def _key_check(df: DataFrame, rules: RuleSet) -> DataFrame:
     """R2 from the number of rows per key."""
     per_key = df.groupBy(rules.key).agg(F.count("*").alias("n"))
-    bad = F.col("bad")
-    check = _check(2, "R2", "unicite", "unicite", bad, _number(bad), F.lit(rules.key))
-    return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("bad")).select(
-        F.inline(F.array(check))
+    totals = per_key.agg(F.expr("coalesce(sum(n - 1), 0L) AS bad"))
+    return _as_rows(
+        totals, [_check(2, "R2", "unicite", "unicite", "bad", _number("bad"), _quoted(rules.key))]
     )
 
 
@@ -180,51 +180,53 @@ def _domain_checks(df: DataFrame, domains: Mapping[str, DataFrame], rules: RuleS
         part = labels.toDF("d_label").distinct().withColumn("d_colonne", F.lit(column))
         known = part if known is None else known.unionByName(part)
     labels = label_counts(df, columns).join(
-        known, (F.col("colonne") == F.col("d_colonne")) & (F.col("label") == F.col("d_label")), "left"
+        known, F.expr("colonne = d_colonne AND label = d_label"), "left"
     )
-    absent = F.col("d_label").isNull()
-    unknown = absent & F.col("label").isNotNull()
+    unknown = "d_label IS NULL AND label IS NOT NULL"
     totals = labels.groupBy("colonne").agg(
         F.count("label").alias("labels"),
-        F.count_if(unknown).alias("unknown"),
-        F.sum(F.when(absent, F.col("n")).otherwise(0)).alias("rows"),
+        F.expr(f"count_if({unknown}) AS unknown"),
+        F.expr("sum(IF(d_label IS NULL, n, 0L)) AS rows"),
     )
     # The group limit keeps a few labels per column and task before its exchange. Both
     # branches use the same columns of ``labels``, so its own exchange is shared.
     place = F.row_number().over(Window.partitionBy("colonne").orderBy(F.asc_nulls_last("label")))
-    sample = F.array_sort(F.collect_list(F.when(unknown, F.struct("label", "n"))))
     shown = (
-        labels.filter(absent)
+        labels.filter("d_label IS NULL")
         .withColumn("place", place)
         .filter(F.col("place") <= LABELS_SHOWN)
         .groupBy("colonne")
-        .agg(sample["label"].alias("shown"))
+        .agg(F.expr(f"array_sort(collect_list(IF({unknown}, struct(label, n), NULL))) AS found"))
     )
     # An empty table still has one row per checked column.
     checked = df.sparkSession.createDataFrame([(c,) for c in columns], "colonne string")
     totals = checked.join(totals, "colonne", "left").join(shown, "colonne", "left")
     totals = totals.fillna(0, ["labels", "unknown", "rows"])
-    shown = F.concat(F.lit("['"), F.array_join("shown", "', '"), F.lit("']"))
-    expected = F.lit("[" + ", ".join(f"'{g}'" for g in sorted(rules.grades)) + "]")
-    found, bad, rows = F.col("labels").cast("string"), F.col("unknown"), F.col("rows")
+    listed = """concat("['", array_join(found.label, "', '"), "']")"""
+    grades = _quoted("[" + ", ".join(f"'{g}'" for g in sorted(rules.grades)) + "]")
     checks = {
-        rules.grade: _check(5, "R4", rules.grade, "grades", bad, shown, expected),
-        rules.region: _check(6, "R4", rules.region, "regions", bad, shown, found),
-        rules.cooperative: _check(9, "R6", rules.cooperative, "cooperatives", rows, _number(rows)),
+        rules.grade: _check(5, "R4", rules.grade, "grades", "unknown", listed, grades),
+        rules.region: _check(
+            6, "R4", rules.region, "regions", "unknown", listed, "CAST(labels AS STRING)"
+        ),
+        rules.cooperative: _check(
+            9, "R6", rules.cooperative, "cooperatives", "rows", _number("rows")
+        ),
     }
-    chosen = [F.when(F.col("colonne") == c, checks[c]) for c in columns]
-    return totals.select(F.inline(F.array(F.coalesce(*chosen))))
+    chosen = " ".join(f"WHEN {_quoted(c)} THEN {checks[c]}" for c in columns)
+    return _as_rows(totals, [f"CASE colonne {chosen} END"])
 
 
 def _grower_checks(df: DataFrame, growers: DataFrame, rules: RuleSet) -> DataFrame:
     """The grower part of R6 and R7 from the distinct (grower, region) pairs."""
-    lost, wrong = F.col("orphelins"), F.col("incoherents")
-    checks = [
-        _check(8, "R6", rules.grower, "planteurs", lost, _number(lost)),
-        _check(10, "R7", "coherence", "coherence", wrong, _number(wrong)),
-    ]
     counts = hierarchy_counts(df, rules.grower, rules.region, growers)
-    return counts.select(F.inline(F.array(*checks)))
+    return _as_rows(
+        counts,
+        [
+            _check(8, "R6", rules.grower, "planteurs", "orphelins", _number("orphelins")),
+            _check(10, "R7", "coherence", "coherence", "incoherents", _number("incoherents")),
+        ],
+    )
 
 
 def _absent_columns(df: DataFrame, absent: Sequence[tuple[int, str, str]]) -> DataFrame:
@@ -284,6 +286,6 @@ def verdict(checks: DataFrame, rows: Column) -> DataFrame:
     summary = F.format_string(
         "%s : %d regle(s) passee(s), %d erreur(s), %d avertissement(s) sur %s lignes",
         F.when(F.col("valide"), "QUALITE OK").otherwise("QUALITE KO"),
-        "nb_ok", "nb_erreurs", "nb_avertissements", _number(F.col("nb_lignes")),
+        "nb_ok", "nb_erreurs", "nb_avertissements", F.format_number("nb_lignes", 0),
     )
     return totals.withColumn("resume", summary)
