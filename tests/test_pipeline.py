@@ -227,13 +227,15 @@ def test_run_writes_fact_and_reports(spark, tmp_path):
 
 def test_audit_report(spark, tmp_path):
     fact, growers, cooperatives = small_tables(spark)
-    report = audit.audit_report(
+    archived = audit.run(
         {"pesees": fact, "planteurs": growers, "cooperatives": cooperatives},
         {"pesees": "pesees.csv", "planteurs": "planteurs.csv", "cooperatives": "cooperatives.csv"},
         ["o"],
+        str(tmp_path),
     )
-    tables.write_report(report, str(tmp_path / "audit"))
-    found = json.loads(next((tmp_path / "audit").glob("part-*.json")).read_text(encoding="utf-8"))
+    assert archived["pesees"].exceptAll(fact).isEmpty() and archived["pesees"].count() == 5
+    path = next((tmp_path / "rapport_audit.json").glob("part-*.json"))
+    found = json.loads(path.read_text(encoding="utf-8"))
     assert found["sources"]["pesees"] == {"fichier": "pesees.csv", "nb_lignes": 5}
     assert found["constats"] == {
         "valeurs_manquantes": {"humidite_pct": 2},

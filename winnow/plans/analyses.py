@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from winnow.functions.calendar import parse_date, season_kind
 from winnow.functions.conditional import first_match, scaled_price
 from winnow.operators.aggregates import (
-    distinct_pairs,
     grouped_summary,
     keys_with_several,
     weighted_mean,
@@ -58,12 +57,15 @@ def usable_rows(fact: DataFrame, cooperatives: DataFrame) -> DataFrame:
 
 def hierarchy_check(fact: DataFrame, growers: DataFrame, cooperatives: DataFrame) -> DataFrame:
     """One row: usable rows, distinct region-cooperative pairs, growers in several regions."""
-    usable = usable_rows(fact, cooperatives)
+    pairs = fact.groupBy("region", "cooperative").agg(F.count("*").alias("n"))
     several = keys_with_several(growers, "id_planteur", "region")
-    return usable.agg(F.count("*").alias("lignes_exploitables")).select(
-        "lignes_exploitables",
-        distinct_pairs(usable, "region", "cooperative").scalar().alias("couples"),
-        several.agg(F.count("*")).scalar().alias("planteurs_multi_region"),
+    return (
+        usable_rows(pairs, cooperatives)
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("lignes_exploitables"),
+            F.count("*").alias("couples"),
+        )
+        .withColumn("planteurs_multi_region", several.agg(F.count("*")).scalar())
     )
 
 

@@ -20,6 +20,7 @@ from winnow.operators.profile import (
     profile_columns,
 )
 from winnow.plans import weighings as w
+from winnow.sources.tables import read_stage, write_report, write_stage
 
 
 def audit_fact(fact: DataFrame, order: Sequence[str]) -> dict[str, DataFrame]:
@@ -54,14 +55,15 @@ def audit_integrity(
     }
 
 
-def _value(table: DataFrame, column: Column | str) -> Column:
-    return table.select(column).scalar()
+def one_row(table: DataFrame) -> Column:
+    """A one-row table as a struct; equal subqueries of a report run once."""
+    return table.select(F.struct("*")).scalar()
 
 
-def as_map(table: DataFrame, key: str, value: Column | str) -> DataFrame:
-    """A short table as one map."""
+def as_map(table: DataFrame, key: str, value: Column | str) -> Column:
+    """A table with a row per column of the fact as one map, in key order."""
     entry = F.struct(F.col(key), F.col(value) if isinstance(value, str) else value)
-    return table.agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("m"))
+    return table.agg(F.map_from_entries(F.array_sort(F.collect_list(entry)))).scalar()
 
 
 def audit_report(
@@ -78,35 +80,49 @@ def audit_report(
         *[
             F.struct(
                 F.lit(files[name]).alias("fichier"),
-                _value(table.agg(F.count("*")), "count(1)").alias("nb_lignes"),
+                table.agg(F.count("*")).scalar().alias("nb_lignes"),
             ).alias(name)
             for name, table in tables.items()
         ]
     )
+    doubles = one_row(parts["doublons"])
     findings = F.struct(
-        _value(as_map(parts["valeurs_manquantes"], "colonne", "nb_manquants"), "m").alias(
-            "valeurs_manquantes"
-        ),
-        _value(parts["doublons"], "doublons_cle").alias("doublons_id_pesee"),
-        _value(parts["doublons"], "doublons_complets").alias("doublons_lignes_completes"),
-        _value(as_map(parts["libelles"], "colonne", "variantes_de_saisie"), "m").alias(
-            "variantes_saisie"
-        ),
-        _value(parts["prix_aberrants"], "nb").alias("prix_aberrants"),
-        F.struct(
-            _value(parts["periode"], F.col("debut").cast("string")).alias("debut"),
-            _value(parts["periode"], F.col("fin").cast("string")).alias("fin"),
+        as_map(parts["valeurs_manquantes"], "colonne", "nb_manquants").alias("valeurs_manquantes"),
+        doubles["doublons_cle"].alias("doublons_id_pesee"),
+        doubles["doublons_complets"].alias("doublons_lignes_completes"),
+        as_map(parts["libelles"], "colonne", "variantes_de_saisie").alias("variantes_saisie"),
+        parts["prix_aberrants"].scalar().alias("prix_aberrants"),
+        one_row(
+            parts["periode"].select(
+                F.col("debut").cast("string").alias("debut"), F.col("fin").cast("string").alias("fin")
+            )
         ).alias("periode"),
         F.struct(
-            _value(keys["id_planteur"], "orphelins").alias("orphelins_planteur"),
-            _value(keys["cooperative"], "orphelins").alias("orphelins_cooperative"),
-            _value(keys["region"], "orphelins").alias("orphelins_region"),
+            keys["id_planteur"].scalar().alias("orphelins_planteur"),
+            keys["cooperative"].scalar().alias("orphelins_cooperative"),
+            keys["region"].scalar().alias("orphelins_region"),
         ).alias("integrite"),
     )
     report = fact.sparkSession.range(1).select(sources.alias("sources"), findings.alias("constats"))
     return stamped(report) if generated else report
 
 
+def run(
+    tables: Mapping[str, DataFrame], files: Mapping[str, str], order: Sequence[str], output: str
+) -> dict[str, DataFrame]:
+    """Archive the raw tables, audit the archived rows, write the report, return the tables.
+
+    The sources are read once; every measurement then prunes the columns it needs
+    from the archive.
+    """
+    archived = {
+        name: read_stage(table.sparkSession, write_stage(table, f"{output}/brut_{name}.parquet"))
+        for name, table in tables.items()
+    }
+    write_report(audit_report(archived, files, order), f"{output}/rapport_audit.json")
+    return archived
+
+
 def stamped(report: DataFrame) -> DataFrame:
     """The report with its time of generation in front."""
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")

@@ -17,7 +17,7 @@ from winnow.operators.impute import imputation_summary
 from winnow.operators.profile import missing_rates
 from winnow.operators.rules import ERROR, OK, WARNING, RuleSet, validate
 from winnow.plans import weighings as w
-from winnow.plans.audit import stamped
+from winnow.plans.audit import as_map, one_row, stamped
 from winnow.plans.cleaning import (
     CleaningStatistics,
     canonicalise_labels,
@@ -117,11 +117,11 @@ def quality_report(
     labels = canonicalisation_stats(raw, label_lookups(cooperatives))
     doubles = dedup_summary(raw, [w.KEY])
     filled = imputation_summary(fact, list(w.IMPUTED_FLAGS))
-    kept = doubles.select("lignes_apres").scalar()
-
-    def label_struct(column: str):
-        figures = F.struct("modalites_avant", "modalites_apres", "non_resolus")
-        return labels.filter(F.col("colonne") == column).select(figures).scalar().alias(column)
+    doubles = one_row(doubles)
+    kept = doubles["lignes_apres"]
+    by_label = as_map(
+        labels, "colonne", F.struct("modalites_avant", "modalites_apres", "non_resolus")
+    )
 
     def rows(table: DataFrame, order: str):
         row = F.struct(F.col(order).alias("__order"), *[c for c in table.columns if c != order])
@@ -145,15 +145,15 @@ def quality_report(
     anomalies = parts["anomalies"]
     report = fact.sparkSession.range(1).select(
         F.struct(
-            doubles.select("lignes_avant").scalar().alias("lignes_extraites"),
+            doubles["lignes_avant"].alias("lignes_extraites"),
             kept.alias("lignes_conservees"),
             F.lit(len(fact.columns)).alias("colonnes_finales"),
         ).alias("volumes"),
-        F.struct(label_struct("region"), label_struct("cooperative")).alias(
-            "normalisation_libelles"
-        ),
-        doubles.select(F.struct("*")).scalar().alias("dedoublonnage"),
-        filled.select(F.struct("*")).scalar().alias("imputation"),
+        F.struct(
+            by_label["region"].alias("region"), by_label["cooperative"].alias("cooperative")
+        ).alias("normalisation_libelles"),
+        doubles.alias("dedoublonnage"),
+        one_row(filled).alias("imputation"),
         checks.scalar().alias("validation"),
         anomalies.agg(F.collect_list(F.struct(*anomalies.columns))).scalar().alias("anomalies"),
         rows(parts["valeurs_manquantes_restantes"], "colonne").alias(
