@@ -205,17 +205,19 @@ def test_canonicalise_on_both_paths(spark, limit):
         [(1, "SAN  pedro"), (2, "San-Pedro "), (3, "soubre"), (4, "Nowhere"), (5, None), (6, "Soubré")],
         "i int, region string",
     )
-    lookups = {"region": official_labels(reference, "region")}
-    got = rows(canonicalise(fact, lookups, limit), "i")
+    officials = official_labels(reference, {"region": "region"})
+    got = rows(canonicalise(fact, ["region"], officials, limit), "i")
     assert [r[1] for r in got] == ["San Pedro", "San Pedro", "Soubré", "Nowhere", None, "Soubré"]
-    assert rows(canonicalisation_stats(fact, lookups)) == [("region", 5, 3, 2)]
+    assert rows(canonicalisation_stats(fact, ["region"], officials)) == [("region", 5, 3, 2)]
 
 
 def test_lookup_collision_keeps_the_last_and_is_reported(spark):
     reference = spark.createDataFrame(
         [("San-Pedro", 1), ("San Pedro", 2), ("San-Pedro", 3)], "region string, o int"
     )
-    assert rows(official_labels(reference, "region", "o")) == [("san pedro", "San Pedro")]
+    columns = {"region": "region"}
+    assert rows(official_labels(reference, columns, "o")) == [("region", "san pedro", "San Pedro")]
+    assert rows(official_labels(reference, columns)) == [("region", "san pedro", "San-Pedro")]
     assert rows(official_collisions(reference, "region")) == [
         ("san pedro", 2, "San Pedro", "San-Pedro")
     ]

@@ -99,7 +99,9 @@ def canonical_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def canonical_stats(spark: SparkSession, sf: str) -> DataFrame:
     return canonicalisation_stats(
-        weighings(spark, sf), cleaning.label_lookups(cooperatives(spark, sf))
+        weighings(spark, sf),
+        list(cleaning.TYPED_LABELS),
+        cleaning.official_names(cooperatives(spark, sf)),
     )
 
 

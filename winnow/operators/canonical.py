@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.functions.labels import canonical_key, strip_blanks, title_case
@@ -12,23 +12,25 @@ from winnow.operators.bounded import LOCAL_ROWS, local_if_small, small_or_same
 
 
 def official_labels(
-    reference: DataFrame, column: str, order: Column | str | None = None
+    reference: DataFrame, columns: Mapping[str, str], order: str | None = None
 ) -> DataFrame:
-    """Lookup ``(label_key, official)`` with one official label per key.
+    """Lookup ``(colonne, label_key, official)`` with one official label per key.
 
-    When two official labels share a key the one that first appears last in
-    ``order`` (by default, in label order) wins; see :func:`official_collisions`.
+    ``columns`` maps each fact column to the reference column that names its official
+    labels; all are read in one scan. When two official labels share a key, the one
+    that first appears last in ``order`` wins, or without an order the last label.
     """
-    label = F.col(column)
-    position = label if order is None else (F.col(order) if isinstance(order, str) else order)
-    labels = (
-        reference.filter(label.isNotNull())
-        .groupBy(label.alias("official"))
-        .agg(F.min(position).alias("position"))
-    )
-    return labels.groupBy(canonical_key("official").alias("label_key")).agg(
-        F.max_by("official", "position").alias("official")
-    )
+    entries = [
+        F.struct(F.lit(c).alias("colonne"), F.col(r).alias("official")) for c, r in columns.items()
+    ]
+    labels = reference.select(
+        F.inline(F.array(*entries)), *([] if order is None else [F.col(order).alias("position")])
+    ).filter("official IS NOT NULL")
+    key = canonical_key("official").alias("label_key")
+    if order is None:
+        return labels.distinct().groupBy("colonne", key).agg(F.max("official").alias("official"))
+    first = labels.groupBy("colonne", "official").agg(F.min("position").alias("position"))
+    return first.groupBy("colonne", key).agg(F.max_by("official", "position").alias("official"))
 
 
 def official_collisions(reference: DataFrame, column: str) -> DataFrame:
@@ -53,23 +55,18 @@ def label_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(pairs).groupBy("colonne", "label").agg(F.count("*").alias("n"))
 
 
-def resolve_labels(df: DataFrame, lookups: Mapping[str, DataFrame]) -> DataFrame:
+def resolve_labels(df: DataFrame, columns: Sequence[str], officials: DataFrame) -> DataFrame:
     """Distinct labels with their official form, ``(colonne, label, n, official)``.
 
     The key is computed once per distinct label, never per row; ``official`` is
     NULL where a label does not resolve.
     """
-    known = None
-    for column, lookup in lookups.items():
-        part = lookup.select(F.lit(column).alias("k_colonne"), "label_key", "official")
-        known = part if known is None else known.unionByName(part)
-    counts = label_counts(df, list(lookups)).withColumn("key", canonical_key("label"))
-    same = (F.col("colonne") == F.col("k_colonne")) & (F.col("key") == F.col("label_key"))
-    return counts.join(known, same, "left").select("colonne", "label", "n", "official")
+    counts = label_counts(df, columns).withColumn("label_key", canonical_key("label"))
+    return counts.join(officials, ["colonne", "label_key"], "left").drop("label_key")
 
 
 def canonicalise(
-    df: DataFrame, lookups: Mapping[str, DataFrame], local_rows: int = LOCAL_ROWS
+    df: DataFrame, columns: Sequence[str], officials: DataFrame, local_rows: int = LOCAL_ROWS
 ) -> DataFrame:
     """Replace each label by its official form; an unresolved label stays as typed.
 
@@ -77,30 +74,34 @@ def canonicalise(
     broadcast: no row is shuffled and no key computed per row. Otherwise each row
     gets its key and is joined with the reference, which AQE splits on a hot label.
     """
-    columns = df.columns
-    changed = resolve_labels(df, lookups).filter(F.col("official") != F.col("label"))
+    kept = df.columns
+    changed = resolve_labels(df, columns, officials).filter("official <> label")
     changed = local_if_small(changed.select("colonne", "label", "official"), local_rows)
-    for column, lookup in lookups.items():
+    for column in columns:
         if changed is not None:
-            right = F.broadcast(changed.filter(F.col("colonne") == column))
-            right = right.select(F.col("label").alias("__label"), F.col("official").alias("__official"))
-            df = df.withColumn("__key", F.col(column))
+            own, label, key = F.broadcast(changed), "label", F.col(column)
         else:
-            right = small_or_same(lookup, local_rows).select(
-                F.col("label_key").alias("__label"), F.col("official").alias("__official")
-            )
-            df = df.withColumn("__key", F.when(F.col(column).isNotNull(), canonical_key(column)))
+            own, label, key = officials, "label_key", canonical_key(column)
+            key = F.when(F.col(column).isNotNull(), key)
+        own = own.filter(F.col("colonne") == column).select(
+            F.col(label).alias("__label"), F.col("official").alias("__official")
+        )
+        if changed is None:
+            own = small_or_same(own, local_rows)
         df = (
-            df.join(right, F.col("__key") == F.col("__label"), "left")
+            df.withColumn("__key", key)
+            .join(own, F.expr("__key = __label"), "left")
             .withColumn(column, F.coalesce("__official", column))
             .drop("__key", "__label", "__official")
         )
-    return df.select(*columns)
+    return df.select(*kept)
 
 
-def canonicalisation_stats(df: DataFrame, lookups: Mapping[str, DataFrame]) -> DataFrame:
+def canonicalisation_stats(
+    df: DataFrame, columns: Sequence[str], officials: DataFrame
+) -> DataFrame:
     """Per column: distinct labels before and after, and rows left unresolved."""
-    return resolve_labels(df, lookups).groupBy("colonne").agg(
+    return resolve_labels(df, columns, officials).groupBy("colonne").agg(
         F.count("label").alias("modalites_avant"),
         F.count_distinct(F.coalesce("official", "label")).alias("modalites_apres"),
         F.coalesce(F.sum(F.when(F.col("official").isNull(), F.col("n"))), F.lit(0)).alias(

@@ -23,11 +23,13 @@ from winnow.operators.quantiles import (
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
+def _floating(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (DoubleType, FloatType))
+
+
 def _missing(df: DataFrame, column: str) -> Column:
     absent = F.col(column).isNull()
-    if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):
-        return absent | F.isnan(column)
-    return absent
+    return absent | F.isnan(column) if _floating(df, column) else absent
 
 
 def profile_columns(
@@ -42,7 +44,6 @@ def profile_columns(
     ``approximate`` swaps the exact distinct counts, which shuffle every value of
     every column once, for sketches that need no shuffle of values.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
     position = F.struct(*order)
     firsts = df.agg(
         *[F.min_by(F.col(c), F.when(~_missing(df, c), position)).alias(c) for c in columns]
@@ -63,18 +64,24 @@ def profile_columns(
             )
         )
     )
-    present = [F.when(~_missing(df, c), F.col(c)) for c in columns]
-    sizes = df.agg(*[distinct(v).alias(c) for v, c in zip(present, columns)]).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("colonne"), F.col(c).alias("valeurs_distinctes"))
-                    for c in columns
-                ]
-            )
+    # Equal values have equal texts once the sign of a zero is dropped.
+    texts = [
+        F.struct(
+            F.lit(c).alias("colonne"),
+            F.when(
+                ~_missing(df, c),
+                (F.col(c) + 0.0 if _floating(df, c) else F.col(c)).cast("string"),
+            ).alias("text"),
         )
-    )
-    return examples.join(sizes, "colonne")
+        for c in columns
+    ]
+    present = df.select(F.inline(F.array(*texts))).filter("text IS NOT NULL")
+    if approximate:
+        sizes = present.groupBy("colonne").agg(F.approx_count_distinct("text").alias("distincts"))
+    else:
+        sizes = present.distinct().groupBy("colonne").agg(F.count("*").alias("distincts"))
+    found = F.coalesce("distincts", F.lit(0)).alias("valeurs_distinctes")
+    return examples.join(sizes, "colonne", "left").select("colonne", "type", "exemple", found)
 
 
 def missing_rates(df: DataFrame, columns: Sequence[str] | None = None, all_columns: bool = False) -> DataFrame:

@@ -29,17 +29,17 @@ from winnow.operators.quantiles import (
 from winnow.plans import weighings as w
 
 
-def label_lookups(cooperatives: DataFrame) -> dict[str, DataFrame]:
+TYPED_LABELS = {"region": "region", "cooperative": "code_cooperative"}
+
+
+def official_names(cooperatives: DataFrame) -> DataFrame:
     """Official regions and cooperative codes by canonical key."""
-    return {
-        "region": official_labels(cooperatives, "region"),
-        "cooperative": official_labels(cooperatives, "code_cooperative"),
-    }
+    return official_labels(cooperatives, TYPED_LABELS)
 
 
 def canonicalise_labels(fact: DataFrame, cooperatives: DataFrame) -> DataFrame:
     """Official region and cooperative labels wherever the typed one resolves."""
-    return canonicalise(fact, label_lookups(cooperatives))
+    return canonicalise(fact, list(TYPED_LABELS), official_names(cooperatives))
 
 
 def deduplicate(fact: DataFrame, order: Sequence[str]) -> DataFrame:

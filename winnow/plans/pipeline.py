@@ -19,6 +19,7 @@ from winnow.operators.rules import ERROR, OK, WARNING, RuleSet, validate
 from winnow.plans import weighings as w
 from winnow.plans.audit import as_map, one_row, stamped
 from winnow.plans.cleaning import (
+    TYPED_LABELS,
     CleaningStatistics,
     canonicalise_labels,
     cleaning_statistics,
@@ -27,7 +28,7 @@ from winnow.plans.cleaning import (
     derive_measures,
     enrich,
     impute,
-    label_lookups,
+    official_names,
     season_columns,
 )
 from winnow.sources.tables import read_stage, write_report, write_stage
@@ -85,7 +86,7 @@ def stage_in(folder: str | None = None) -> Callable[[DataFrame], DataFrame]:
     def stage(df: DataFrame) -> DataFrame:
         spark = df.sparkSession
         path = f"{folder or shared_folder(spark)}/stage-{uuid4().hex}"
-        return read_stage(spark, write_stage(df, path))
+        return spark.read.schema(df.schema).parquet(write_stage(df, path))
 
     return stage
 
@@ -114,7 +115,7 @@ def quality_report(
     """The quality report as one nested row, ready to be written as JSON."""
     fact = cleaned.fact
     parts = control(cleaned, growers, cooperatives, rules)
-    labels = canonicalisation_stats(raw, label_lookups(cooperatives))
+    labels = canonicalisation_stats(raw, list(TYPED_LABELS), official_names(cooperatives))
     doubles = dedup_summary(raw, [w.KEY])
     filled = imputation_summary(fact, list(w.IMPUTED_FLAGS))
     doubles = one_row(doubles)
