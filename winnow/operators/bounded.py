@@ -7,9 +7,10 @@ import tempfile
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Largest statistic that may become a local table.
-LOCAL_ROWS = 200_000
+LOCAL_ROWS = 100_000
 LOCAL_BYTES = 16 * 1024 * 1024
 
 
@@ -18,10 +19,16 @@ def rows_if_small(
 ) -> pa.Table | None:
     """The rows, or None when there are more than the bounds allow.
 
-    At most ``max_rows + 1`` rows reach the driver.
+    ``take`` reads a few partitions at a time and stops at the bound, so a table of
+    any size is refused after ``max_rows + 1`` rows, without an exchange to one task.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    return None if rows.num_rows > max_rows or rows.nbytes > max_bytes else rows
+    rows = df.take(max_rows + 1)
+    if len(rows) > max_rows:
+        return None
+    table = pa.Table.from_pylist(
+        [row.asDict(recursive=True) for row in rows], schema=to_arrow_schema(df.schema)
+    )
+    return None if table.nbytes > max_bytes else table
 
 
 def local_if_small(
