@@ -17,7 +17,7 @@ LOCAL_BYTES = 16 * 1024 * 1024
 def rows_if_small(
     df: DataFrame, max_rows: int = LOCAL_ROWS, max_bytes: int = LOCAL_BYTES
 ) -> pa.Table | None:
-    """The rows, or None when there are more than the bounds allow.
+    """The rows of a table with plain columns, or None when it exceeds the bounds.
 
     ``take`` reads a few partitions at a time and stops at the bound, so a table of
     any size is refused after ``max_rows + 1`` rows, without an exchange to one task.
@@ -25,9 +25,9 @@ def rows_if_small(
     rows = df.take(max_rows + 1)
     if len(rows) > max_rows:
         return None
-    table = pa.Table.from_pylist(
-        [row.asDict(recursive=True) for row in rows], schema=to_arrow_schema(df.schema)
-    )
+    schema = to_arrow_schema(df.schema)
+    columns = list(zip(*rows)) or [()] * len(schema)
+    table = pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
     return None if table.nbytes > max_bytes else table
 
 

@@ -106,12 +106,15 @@ def ranked_quantiles(
         .withColumn("at", F.explode(F.array(F.floor("rank"), F.ceil("rank"))))
         .withColumn("offset", F.col("at") - F.col("start"))
         .filter((F.col("offset") >= 0) & (F.col("offset") < F.col("held")))
-        .groupBy(*keys, "part")
-        .agg(F.collect_set(F.struct("name", "rank", "at", "offset")).alias("ranks"))
+        .select(*keys, "part", "name", "rank", "at", "offset")
     )
+    few = local_if_small(ranks)
+    places = F.collect_set(F.struct("name", "rank", "at", "offset")).alias("ranks")
+    by_part = (ranks if few is None else few.coalesce(1)).groupBy(*keys, "part").agg(places)
+    by_part = by_part if few is None else F.broadcast(by_part)
     upto = F.sum(COUNT).over(Window.partitionBy(*keys, "part").orderBy(VALUE))
     found = (
-        parts.join(small_or_same(ranks), [*keys, "part"])
+        parts.join(by_part, [*keys, "part"])
         .withColumn("upto", upto)
         .select(*keys, VALUE, COUNT, "upto", F.inline("ranks"))
         .filter((F.col("offset") < F.col("upto")) & (F.col("offset") >= F.col("upto") - F.col(COUNT)))
