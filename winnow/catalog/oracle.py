@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # Named parts of a WITH clause, in order of dependence.
 PARTS = {
     "w0": """
@@ -127,8 +129,6 @@ def _key(column: str) -> str:
 
 def _expand(sql: str) -> str:
     """Fill the expression placeholders ``{name:arguments}``."""
-    import re
-
     def fill(match: re.Match) -> str:
         name, _, rest = match.group(1).partition(":")
         args = rest.split(",")
