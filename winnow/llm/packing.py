@@ -18,10 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.encoder import encoder, in_slices
+from winnow.llm.encoder import encoder
 from winnow.llm.shared import kept, whole_text
+from winnow.llm.words import slices
 
 CAPACITY = 2048
+# Text that a task encodes at once.
+SLICE_BYTES = 2_000_000
 # Pieces of a group on average, twice as many after each exchange; a group of the last round
 # takes about 20 MB of one task.
 GROUP_PIECES = 8192
@@ -41,21 +44,27 @@ def pieces_of(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = encoder(tokenizer_path), np.array([end_id], "<i4").tobytes()
+        coder = encoder(tokenizer_path)
         for batch in batches:
-            keys, at = batch.column("doc_id"), 0
-            for texts in in_slices(batch.column("text").to_pylist()):
-                rows = []
-                for key, coded in zip(keys.slice(at).to_pylist(), coder.encode(texts)):
-                    ids = coded + end
-                    for piece, low in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[low : low + 4 * capacity]
-                        rows.append((key, piece, low // 4, len(own) // 4, zlib.crc32(own)))
-                at += len(texts)
-                types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                arrays = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+            for rows in slices(batch, "text", SLICE_BYTES):
+                ids, lengths = coder.encode(rows.column("text"), end_id)
+                raw = memoryview(ids.astype("<i4").tobytes())
+                parts = -(-lengths // capacity)
+                doc = np.repeat(np.arange(rows.num_rows), parts)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+                length = np.minimum(capacity, lengths[doc] - piece * capacity)
+                first = 4 * ((np.cumsum(lengths) - lengths)[doc] + piece * capacity)
+                crc = [zlib.crc32(raw[a : a + 4 * n]) for a, n in zip(first.tolist(), length.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column("doc_id").take(pa.array(doc)),
+                        pa.array(piece.astype(np.int32)),
+                        pa.array(piece * capacity),
+                        pa.array(length),
+                        pa.array(crc, pa.int64()),
+                    ],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                )
 
     return whole_text(docs).mapInArrow(cut, PIECE_SCHEMA)
 

@@ -17,12 +17,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from winnow.llm.encoder import encoder, in_slices
+from winnow.llm.encoder import encoder
 from winnow.llm.shared import ready, splits, whole_text
+from winnow.llm.words import slices
 
 ROW_GROUP_BYTES = 16 * 1024 * 1024
 PAGE_ROWS = 500
 END_ID = 0
+# Text that a task encodes at once.
+SLICE_BYTES = 2_000_000
 
 TOKEN_SCHEMA = "doc_id long, part int, before long, n_tokens long, ids array<int>"
 
@@ -50,28 +53,22 @@ def encode_in_order(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        coder, end = encoder(tokenizer_path), np.array([end_id], "<i4").tobytes()
+        coder = encoder(tokenizer_path)
         for batch in batches:
-            doc_ids, at = batch.column("doc_id"), 0
-            for texts in in_slices(batch.column("text").to_pylist()):
-                coded = coder.encode(texts)
-                lengths = np.array([len(c) // 4 + 1 for c in coded], np.int64)
-                ids = pa.Array.from_buffers(
-                    pa.int32(), int(lengths.sum()), [None, pa.py_buffer(end.join(coded) + end)]
-                )
+            for rows in slices(batch, "text", SLICE_BYTES):
+                ids, lengths = coder.encode(rows.column("text"), end_id)
                 offsets = np.concatenate([[0], np.cumsum(lengths)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        doc_ids.slice(at, len(texts)),
-                        pa.array(np.full(len(texts), part, np.int32)),
+                        rows.column("doc_id"),
+                        pa.array(np.full(rows.num_rows, part, np.int32)),
                         pa.array(before + offsets[:-1]),
                         pa.array(lengths),
-                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), ids),
+                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)),
                     ],
                     names=["doc_id", "part", "before", "n_tokens", "ids"],
                 )
-                before += int(offsets[-1])
-                at += len(texts)
+                before += len(ids)
 
     rows = whole_text(docs)
     order = ["doc_id", F.xxhash64("text")]
