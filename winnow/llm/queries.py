@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from winnow.llm import packing, tokens
-from winnow.llm.shared import kept, table, work_path
+from winnow.llm import dart, hmm, langid, packing, tokens, topk, winnowing
+from winnow.llm.shared import crc_mod, kept, table, whole_text, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,9 +33,67 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(kept(pieces, "pieces"))
 
 
+def op2_compression_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; a quarter of the keys is kept out of the dictionaries."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 4) == 2
+    dictionaries = langid.learn_dictionaries(documents.where(~held_out))
+    found = langid.identify(documents, dictionaries)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document."""
+    return dart.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_hidden_markov_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents; a seventh of the keys is held out."""
+    documents = whole_text(table(spark, sf_dir, "documents"))
+    documents = documents.withColumn("held_out", crc_mod("doc_id", 7) == 2)
+    training = documents.where("NOT held_out")
+    counts = kept(hmm.token_counts(training), "counts")
+    vocabulary = hmm.vocabulary(counts)
+    model = hmm.train(training, vocabulary)
+    return hmm.score(documents, counts, vocabulary, model)
+
+
+def op5_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best inner products of every fiftieth vector with all others."""
+    return topk.top_of(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return winnowing.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
+    "op2_compression_language_id": op2_compression_language_id,
+    "op3_dart_minhash": op3_dart_minhash,
+    "op4_hidden_markov_model": op4_hidden_markov_model,
+    "op5_segment_top_k": op5_segment_top_k,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_winnowing": op10_winnowing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_segment_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+                   AS rank, vec_id, score
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
