@@ -31,6 +31,11 @@ BAND_ROWS = 5
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _step(number: int) -> np.uint64:
+    """A multiple of the golden constant modulo 2 ** 64."""
+    return np.uint64(int(_GOLDEN) * number % 2**64)
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     """Hashes as numbers over 0 and up to 1."""
     return ((x >> np.uint64(11)).astype(np.float64) + 1) * 2.0**-53
@@ -51,7 +56,7 @@ def shingles_of(texts: pa.Array, size: int = SHINGLE):
     for back in range(size):
         at = np.minimum(np.arange(n) + back, n - 1)
         inside = left > back
-        rolled = np.where(inside, mix(rolled ^ words.hash[at]) + _GOLDEN * np.uint64(back), rolled)
+        rolled = np.where(inside, mix(rolled ^ words.hash[at]) + _step(back), rolled)
     full = (left >= size) | (place == 0)
     doc, shingle = words.doc[full], rolled[full]
     order = np.lexsort((shingle, doc))
@@ -111,7 +116,7 @@ def _throw(doc, element, weight, reach, sets, size) -> np.ndarray:
     caught: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     number = 1
     while len(region):
-        dart = mix(seed + _GOLDEN * np.uint64(number))
+        dart = mix(seed + _step(number))
         arrival = arrival - np.log(_unit(dart))
         still = arrival < 1
         region, step, seed, arrival, dart = (

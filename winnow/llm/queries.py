@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from winnow.llm import dart, hmm, langid, packing, tokens, topk, winnowing
+from winnow.llm import crf, dart, hmm, langid, packing, tokens, topk, winnowing
 from winnow.llm.shared import crc_mod, kept, table, whole_text, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,23 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digest(tokens.read_tokens(spark, folder))
 
 
+def op7_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; the labels of a third of the keys are kept out."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 3) == 1
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    scored = crf.score(documents, learn_toxicity(documents, labels))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"), "spans"
+    )
+
+
+def learn_toxicity(documents: DataFrame, labels: DataFrame) -> crf.Field:
+    return crf.fit(
+        *crf.labelled_sample(documents, labels, "toxic", crf.SAMPLE_TOXIC, crf.SAMPLE_CLEAN)
+    )
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     documents = table(spark, sf_dir, "documents")
@@ -74,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op3_dart_minhash": op3_dart_minhash,
     "op4_hidden_markov_model": op4_hidden_markov_model,
     "op5_segment_top_k": op5_segment_top_k,
+    "op7_crf_toxicity": op7_crf_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_winnowing": op10_winnowing,
 }

@@ -16,6 +16,8 @@ import pyarrow as pa
 SLICE_BYTES = 2_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# Also every ASCII character that is no letter or digit.
+_SYMBOL = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 # Odd multiplier of the word hash; any large odd number serves.
@@ -67,15 +69,20 @@ class Words:
     counts: np.ndarray
 
 
-def words_of(texts: pa.Array, lower: bool = True) -> Words:
-    """Words of texts without nulls."""
+def words_of(texts: pa.Array, lower: bool = True, symbols_apart: bool = False) -> Words:
+    """Words of texts without nulls; with ``symbols_apart`` ASCII symbols end a word too."""
     ends = text_offsets(texts)
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, np.uint8)[ends[0] : ends[-1]] if raw else np.zeros(0, np.uint8)
     ends = ends - ends[0]
     if lower:
         data = _LOWER[data]
-    space = _SPACE[data]
+        if symbols_apart:
+            # Capitals from U+00C0 to U+00DE, whose bytes are C3 80 to C3 9E, as well.
+            wide = np.flatnonzero(data[:-1] == 0xC3) + 1
+            wide = wide[(data[wide] >= 0x80) & (data[wide] <= 0x9E) & (data[wide] != 0x97)]
+            data[wide] += 0x20
+    space = (_SYMBOL if symbols_apart else _SPACE)[data]
     n = len(data)
     # breaks[i]: byte i is a space or the first of its row, so no word goes on from i - 1 to i.
     after_space = np.ones(n + 1, bool)
@@ -106,3 +113,13 @@ def tail(words: Words, back: int) -> np.ndarray:
     """The byte so far from each word's end (1: the last), 0 before its beginning."""
     at = words.start + words.size - back
     return np.where(words.size >= back, words.data[np.maximum(at, 0)], 0).astype(np.uint64)
+
+
+def prefix(words: Words, size: int) -> np.ndarray:
+    """Hash of the first ``size`` bytes of each word, of all bytes of a shorter one."""
+    out = np.zeros(len(words.start), np.uint64)
+    last = max(len(words.data) - 1, 0)
+    for i in range(size):
+        byte = words.data[np.minimum(words.start + i, last)].astype(np.uint64) + np.uint64(1)
+        out = np.where(words.size > i, (out + byte) * _BASE, out)
+    return mix(out)
