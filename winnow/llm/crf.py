@@ -182,48 +182,62 @@ def labelled_sample(
     return list(picked), list(picked.values())
 
 
-SCORE_SCHEMA = "score double, predicted int, spans array<struct<start:int,end:int>>"
+SCORE_SCHEMA = "doc_id long, score double, predicted int, spans array<struct<start:int,end:int>>"
 
 
-def score(docs: DataFrame, field: Field, threshold: float = THRESHOLD, extra: tuple[str, ...] = ()):
+def _judged(texts: pa.Array, field: Field) -> tuple[Words, np.ndarray, np.ndarray]:
+    """Words of the texts, their marginals, and the score of each text."""
+    words = words_of(texts, symbols_apart=True)
+    gamma = field.marginals(words)
+    inputs = document_inputs(gamma, words.doc, words.counts)
+    return words, gamma, 1 / (1 + np.exp(-np.clip(inputs @ field.document, -30, 30)))
+
+
+def _spans(words: Words, gamma: np.ndarray) -> pa.ListArray:
+    """Places of toxic words in code points; words next to each other share a span."""
+    hit = np.flatnonzero(gamma >= SPAN_PROBABILITY)
+    doc = words.doc[hit]
+    joined = np.zeros(len(hit), bool)
+    joined[1:] = (np.diff(hit) == 1) & (np.diff(doc) == 0)
+    first = np.flatnonzero(~joined)
+    final = np.append(first[1:], len(hit))[: len(first)] - 1
+    points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
+    base = points[words.first[doc[first]]]
+    start = points[words.start[hit[first]]] - base
+    end = points[(words.start + words.size)[hit[final]]] - base
+    offsets = np.searchsorted(doc[first], np.arange(len(words.counts) + 1))
+    places = [pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))]
+    spans = pa.StructArray.from_arrays(places, ["start", "end"])
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), spans)
+
+
+def score(docs: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``score`` from 0 to 1, ``predicted`` and the toxic ``spans`` of every text.
 
-    A span has the first and the last place, exclusive, in code points of the text; words next
-    to each other share one. Null and empty texts have the score of a text without toxic words.
+    A span has the first and the last place, exclusive, in code points of the text. Null and
+    empty texts have the score of a text without toxic words and no spans. Repeated rows and
+    null keys are scored like others; other columns are left out.
     """
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text"):
-                words = words_of(rows.column("text"), symbols_apart=True)
-                gamma = field.marginals(words)
-                inputs = document_inputs(gamma, words.doc, words.counts)
-                value = 1 / (1 + np.exp(-np.clip(inputs @ field.document, -30, 30)))
-                hit = np.flatnonzero(gamma >= SPAN_PROBABILITY)
-                doc = words.doc[hit]
-                joined = np.zeros(len(hit), bool)
-                joined[1:] = (np.diff(hit) == 1) & (np.diff(doc) == 0)
-                first = np.flatnonzero(~joined)
-                final = np.append(first[1:], len(hit))[: len(first)] - 1
-                points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
-                base = points[words.first[doc[first]]]
-                start = points[words.start[hit[first]]] - base
-                end = points[(words.start + words.size)[hit[final]]] - base
-                offsets = np.searchsorted(doc[first], np.arange(rows.num_rows + 1))
-                spans = pa.StructArray.from_arrays(
-                    [pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["start", "end"]
-                )
+                words, gamma, value = _judged(rows.column("text"), field)
+                predicted = pa.array((value >= threshold).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *[rows.column(c) for c in ("doc_id", *extra)],
-                        pa.array(value),
-                        pa.array((value >= threshold).astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), spans),
-                    ],
-                    names=["doc_id", *extra, "score", "predicted", "spans"],
+                    [rows.column("doc_id"), pa.array(value), predicted, _spans(words, gamma)],
+                    names=["doc_id", "score", "predicted", "spans"],
                 )
 
-    rows = whole_text(docs, *extra)
-    kinds = dict(rows.dtypes)
-    carried = "".join(f"`{c}` {kinds[c]}, " for c in ("doc_id", *extra))
-    return rows.mapInArrow(tag, carried + SCORE_SCHEMA)
+    return whole_text(docs).mapInArrow(tag, SCORE_SCHEMA)
+
+
+def without_toxic(docs: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text is not predicted toxic."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, "text"):
+                yield rows.filter(pa.array(_judged(rows.column("text"), field)[2] < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

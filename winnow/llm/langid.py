@@ -109,13 +109,48 @@ class Coders:
         return np.array([sum(len(c.compress(b)) for b in blocks) for c in self.coders], np.int64)
 
 
+def _judge(sizes: np.ndarray, min_margin: float) -> tuple[int, float, float, bool]:
+    """Place of the smallest size, its share of the evidence, its margin, and rejection."""
+    best = int(sizes.argmin())
+    others = np.delete(sizes, best)
+    saved = int(others.min() - sizes[best]) if len(others) else int(sizes[best])
+    # A saved byte is eight bits of evidence, but the words of a text depend on each other, so
+    # it counts as one.
+    weight = np.exp2(-np.minimum(sizes - sizes[best], 60).astype(float))
+    margin = saved / int(sizes[best])
+    return best, float(1 / weight.sum()), margin, margin < min_margin
+
+
+class Identifier:
+    """Judges texts of letters by the dictionaries of all languages."""
+
+    def __init__(self, dictionaries: dict[str, bytes], block_bytes: int, level: int, min_margin: float):
+        self.languages = sorted(dictionaries)
+        self.block_bytes, self.min_margin = block_bytes, min_margin
+        self.fast, self.close = Coders(dictionaries, level), Coders(dictionaries, CLOSE_LEVEL)
+
+    def judged(self, letters: pa.Array) -> list[tuple[str, float, float, bool]]:
+        ends = text_offsets(letters).tolist()
+        data = memoryview(letters.buffers()[2] or b"")
+        out: list[tuple[str, float, float, bool]] = []
+        for low, high in zip(ends[:-1], ends[1:]):
+            if low == high or not self.languages:
+                out.append((UNDETERMINED, 0.0, 0.0, True))
+                continue
+            text = data[low:high]
+            found = _judge(self.fast.sizes(text, self.block_bytes), self.min_margin)
+            if found[1] < CLOSE_SCORE:
+                found = _judge(self.close.sizes(text, self.block_bytes), self.min_margin)
+            out.append((self.languages[found[0]], *found[1:]))
+        return out
+
+
 def identify(
     docs: DataFrame,
     dictionaries: dict[str, bytes],
     block_bytes: int = BLOCK_BYTES,
     level: int = LEVEL,
     min_margin: float = MIN_MARGIN,
-    extra: tuple[str, ...] = (),
 ) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score``, ``margin`` and ``rejected`` of every document.
 
@@ -123,50 +158,42 @@ def identify(
     ``margin`` the bytes saved against the second language as a share of the smallest size.
     A text that is null or has no letter is ``und`` with score 0, and rejected. Equal sizes go
     to the language that comes first by name, and are rejected. Without dictionaries every
-    text is ``und``.
+    text is ``und``. Repeated rows and null keys are judged like others.
     """
-    languages = sorted(dictionaries)
-
-    def judged(sizes: np.ndarray) -> tuple[str, float, float, bool]:
-        best = int(sizes.argmin())
-        others = np.delete(sizes, best)
-        saved = int(others.min() - sizes[best]) if len(others) else int(sizes[best])
-        # A saved byte is eight bits of evidence, but the words of a text depend on each other,
-        # so it counts as one.
-        weight = np.exp2(-np.minimum(sizes - sizes[best], 60).astype(float))
-        margin = saved / int(sizes[best])
-        return languages[best], float(1 / weight.sum()), margin, margin < min_margin
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fast, close = Coders(dictionaries, level), Coders(dictionaries, CLOSE_LEVEL)
+        own = Identifier(dictionaries, block_bytes, level, min_margin)
         for batch in batches:
-            ends = text_offsets(batch.column("letters")).tolist()
-            data = memoryview(batch.column("letters").buffers()[2] or b"")
-            out: list[tuple] = []
-            for low, high in zip(ends[:-1], ends[1:]):
-                if low == high or not languages:
-                    out.append((UNDETERMINED, 0.0, 0.0, True))
-                    continue
-                found = judged(fast.sizes(data[low:high], block_bytes))
-                if found[1] < CLOSE_SCORE:
-                    found = judged(close.sizes(data[low:high], block_bytes))
-                out.append(found)
-            pred, score, margin, rejected = zip(*out) if out else ((), (), (), ())
+            found = list(zip(*own.judged(batch.column("letters")))) or [()] * 4
+            kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c) for c in ("doc_id", *extra)],
-                    pa.array(pred, pa.string()),
-                    pa.array(score, pa.float64()),
-                    pa.array(margin, pa.float64()),
-                    pa.array(rejected, pa.bool_()),
-                ],
-                names=["doc_id", *extra, "lang_pred", "score", "margin", "rejected"],
+                [batch.column("doc_id"), *map(pa.array, found, kinds)],
+                names=["doc_id", "lang_pred", "score", "margin", "rejected"],
             )
 
-    rows = whole_text(docs, *extra)
-    kinds = dict(rows.dtypes)
-    carried = "".join(f"`{c}` {kinds[c]}, " for c in ("doc_id", *extra))
-    letters = rows.select("doc_id", *extra, _letters().alias("letters"))
+    letters = whole_text(docs).select("doc_id", _letters().alias("letters"))
     return letters.mapInArrow(
-        classify, carried + "lang_pred string, score double, margin double, rejected boolean"
+        classify, "doc_id long, lang_pred string, score double, margin double, rejected boolean"
     )
+
+
+def with_language(
+    docs: DataFrame,
+    dictionaries: dict[str, bytes],
+    block_bytes: int = BLOCK_BYTES,
+    level: int = LEVEL,
+    min_margin: float = MIN_MARGIN,
+) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language is not rejected."""
+    letters = "letters"
+    while letters in docs.columns:
+        letters += "_"
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Identifier(dictionaries, block_bytes, level, min_margin)
+        for batch in batches:
+            kept = [not rejected for *_, rejected in own.judged(batch.column(letters))]
+            yield batch.drop_columns([letters]).filter(pa.array(kept, pa.bool_()))
+
+    filled = docs.withColumn(letters, F.coalesce(_letters(), F.lit("")))
+    return filled.mapInArrow(keep, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import crf, dart, hmm, langid, packing, tokens, topk, winnowing
+from winnow.llm import crf, dart, hmm, langid, nbest, packing, quality, tokens, topk, winnowing
 from winnow.llm.shared import crc_mod, kept, table, whole_text, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digest(tokens.read_tokens(spark, folder))
 
 
+def op6_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four best piece segmentations of every document, encoded and decoded."""
+    return nbest.digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op7_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; the labels of a third of the keys are kept out."""
     documents = table(spark, sf_dir, "documents")
@@ -81,6 +86,17 @@ def op5_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_of(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
+def op9_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; the labels of a quarter of the keys are kept out."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 4) == 2
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    vectors = quality.random_indexing(documents)
+    net = quality.learn(documents, labels, "quality", vectors)
+    scored = quality.score(documents, vectors, net)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return winnowing.edited_fingerprints(table(spark, sf_dir, "documents"))
@@ -92,8 +108,10 @@ QUERIES: dict[str, Query] = {
     "op3_dart_minhash": op3_dart_minhash,
     "op4_hidden_markov_model": op4_hidden_markov_model,
     "op5_segment_top_k": op5_segment_top_k,
+    "op6_nbest_pieces": op6_nbest_pieces,
     "op7_crf_toxicity": op7_crf_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_random_indexing_quality": op9_random_indexing_quality,
     "op10_winnowing": op10_winnowing,
 }
 
