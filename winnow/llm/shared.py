@@ -50,6 +50,7 @@ def crc_mod(column: str, divisor: int) -> Column:
 
 def whole_text(docs: DataFrame, *extra: str) -> DataFrame:
     """``doc_id``, ``text`` with null as empty text, and the named columns only."""
+    ready(docs.sparkSession)
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *extra)
 
 
