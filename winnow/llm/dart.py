@@ -7,20 +7,20 @@ probability of the weighted Jaccard similarity. Bands of coordinates propose pai
 comparison decides them, and linked documents form groups.
 
 Equal word sequences are one text from the start. Within a bucket texts are compared with a
-centre, not all with all; buckets whose texts are not all in one group get further centres.
+centre, not all with all. Where that leaves a bucket with several groups, the texts outside its
+largest group are compared with all members of the other groups, in blocks within tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.shared import kept, whole_text
+from winnow.llm.shared import kept, kept_counted, whole_text
 from winnow.llm.words import mix, slices, words_of
 
 SHINGLE = 5
@@ -28,6 +28,9 @@ SIMILARITY = 0.8
 # A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 5) ** 25 = 5e-5.
 BANDS = 25
 BAND_ROWS = 5
+# Rounds of one centre per bucket before what is left is compared in blocks of so many texts.
+CENTRES = 2
+BLOCK = 512
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -215,10 +218,10 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """``id`` and ``root``, the smallest id that links lead to, for each of ``nodes``.
 
-    Each round hooks every root to the smallest root that a link leads to and then shortens the
-    paths; a path of roots at least halves in each round.
+    Each round hooks every root to the smallest root that a link leads to and follows four such
+    hooks at once, so even a chain of documents shortens to a quarter in each round.
     """
-    state = kept(nodes.select("id", F.col("id").alias("root")), "roots")
+    state = nodes.select("id", F.col("id").alias("root"))
     while True:
         a = state.select(F.col("id").alias("a"), F.col("root").alias("ra"))
         b = state.select(F.col("id").alias("b"), F.col("root").alias("rb"))
@@ -226,46 +229,98 @@ def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         hooks = across.groupBy(F.greatest("ra", "rb").alias("root")).agg(
             F.min(F.least("ra", "rb")).alias("to")
         )
-        hooks = kept(hooks, "hooks")
-        if hooks.isEmpty():
+        hooks, number = kept_counted(hooks, "hooks")
+        if not number:
             return state
-        # Hooks point to smaller roots, so following them twice, four times, ... ends.
-        while True:
+        for _ in range(2):  # hooks lead to smaller roots, so following them ends
             onward = hooks.select(F.col("root").alias("to"), F.col("to").alias("further"))
-            jumped = kept(
-                hooks.join(onward, "to", "left").select(
-                    "root", F.coalesce("further", "to").alias("to"), F.col("further").isNotNull().alias("moved")
-                ),
-                "jumps",
+            hooks = hooks.join(onward, "to", "left").select(
+                "root", F.coalesce("further", "to").alias("to")
             )
-            hooks = jumped.select("root", "to")
-            if jumped.where("moved").isEmpty():
-                break
-        state = kept(
-            state.join(hooks, "root", "left").select("id", F.coalesce("to", "root").alias("root")),
-            "roots",
-        )
+        moved = state.join(hooks, "root", "left")
+        state = kept(moved.select("id", F.coalesce("to", "root").alias("root")), "roots")
+
+
+def _centre_pairs(placed: DataFrame, number: int) -> DataFrame:
+    """Each text of a bucket with the bucket's centre, if that is in another group.
+
+    The centre is the text with the smallest draw, the same draw in all buckets, so texts that
+    share many buckets mostly share the centre and are compared once.
+    """
+    one = F.min_by(F.struct("id", "root"), F.xxhash64("id", F.lit(number))).alias("one")
+    centre = placed.groupBy("band").agg(one)
+    pairs = placed.join(centre, "band").where("root <> one.root")
+    return pairs.select(
+        F.greatest("id", "one.id").alias("a"), F.least("id", "one.id").alias("b")
+    ).distinct()
+
+
+def _several(placed: DataFrame) -> DataFrame:
+    """Buckets whose texts are not all in one group, with their largest group."""
+    groups = placed.groupBy("band").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.mode("root").alias("main")
+    )
+    return groups.where("least <> most").select("band", "main")
 
 
-def _centres(placed: DataFrame, number: int) -> DataFrame:
-    """``band``, ``c`` and ``c_root``: texts of each bucket that the others are compared with.
+def _left_over(placed: DataFrame, state: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All links between groups that still meet in a bucket, exactly.
 
-    Round 0 has one centre per bucket. In later rounds a bucket with several groups has about
-    4 ** number centres outside its largest group, and all of them once it is that small.
+    A text outside the largest group of a bucket is compared with every member of that group,
+    and with every member of the other groups of the bucket that have a smaller root. A group
+    and the texts that wait for it are cut into blocks, and a task meets one block of either;
+    it returns the links and no other pair.
     """
-    draw = F.xxhash64("id", "band")
-    if number == 0:
-        one = F.min_by(F.struct("id", "root"), draw).alias("one")
-        picked = placed.groupBy("band").agg(one)
-        return picked.select("band", F.col("one.id").alias("c"), F.col("one.root").alias("c_root"))
-    several = (
-        placed.groupBy("band")
-        .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.mode("root").alias("main"))
-        .where("least <> most")
+    outside = placed.where("root <> main").select("band", "id", "root", "main").distinct()
+    others = outside.select("band", F.col("root").alias("group")).distinct()
+    waiting = (
+        outside.select("id", F.col("main").alias("group"))
+        .unionByName(outside.join(others, "band").where("group < root").select("id", "group"))
+        .distinct()
+    )
+    waiting = kept(waiting, "waiting")
+    queue = waiting.groupBy("group").agg(F.count("*").alias("texts"))
+    size = state.groupBy(F.col("root").alias("group")).agg(F.count("*").alias("members"))
+    plan = queue.join(size, "group").select(
+        "group",
+        F.ceil(F.col("texts") / BLOCK).cast("int").alias("columns"),
+        F.ceil(F.col("members") / BLOCK).cast("int").alias("rows"),
     )
-    chosen = F.pmod(draw, F.col("n")) < 4**number
-    outside = placed.join(several.select("band", "main"), "band").where(chosen & F.expr("root <> main"))
-    return outside.select("band", F.col("id").alias("c"), F.col("root").alias("c_root"))
+
+    def dealt(rows: DataFrame, own: str, across: str, names: tuple[str, str]) -> DataFrame:
+        cut = rows.join(plan, "group").withColumn(
+            names[0], F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
+        )
+        blocks = F.explode(F.sequence(F.lit(0), F.col(across) - 1)).alias(names[1])
+        return cut.select("group", "id", names[0], blocks).join(sets, "id")
+
+    members = dealt(state.select("id", F.col("root").alias("group")), "rows", "columns", ("i", "j"))
+    texts = dealt(waiting, "columns", "rows", ("j", "i"))
+
+    def meet(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if left.num_rows and right.num_rows:
+            ids = right.column("m_id").to_numpy()
+            lists = pa.concat_arrays(right.column("m_elements").chunks)
+            ends = lists.offsets.to_numpy()
+            values = lists.values.to_numpy()[ends[0] : ends[-1]]
+            sizes = np.diff(ends)
+            owner = np.repeat(np.arange(len(ids)), sizes)
+            for key, own in zip(left.column("id").to_pylist(), left.column("elements")):
+                elements = np.sort(own.values.to_numpy())
+                if not len(elements):
+                    continue
+                at = np.minimum(np.searchsorted(elements, values), len(elements) - 1)
+                common = np.bincount(owner, elements[at] == values, len(ids))
+                close = common >= similarity * (len(elements) + sizes - common) - 1e-9
+                found += [(key, other) for other in ids[close].tolist() if other != key]
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    # Names of their own, as both sides read ``sets``.
+    members = members.select([F.col(c).alias(f"m_{c}") for c in members.columns])
+    met = texts.groupBy("group", "i", "j").cogroup(members.groupBy("m_group", "m_i", "m_j"))
+    return met.applyInArrow(meet, "a long, b long")
 
 
 def near_duplicates(
@@ -280,8 +335,6 @@ def near_duplicates(
     ``similarity`` lead to. A document like no other is a group of its own; all texts without
     words are equal and form one group. A null ``doc_id`` has no row; rows that repeat a
     ``doc_id`` have a row each. Other columns are left out.
-
-    The rounds end when every bucket is one group or all its pairs across groups are compared.
     """
     signed = kept(signatures(docs.where(F.col("doc_id").isNotNull()), bands, band_rows), "signed")
     texts = signed.groupBy("digest", "digest2").agg(
@@ -289,32 +342,33 @@ def near_duplicates(
     )
     texts = kept(texts, "texts")
     buckets = texts.select("id", F.explode("bands").alias("band"))
-    shared = buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     buckets = kept(buckets.join(shared, "band"), "buckets")
     nodes = kept(buckets.select("id").distinct(), "candidates")
-    largest = buckets.agg(F.max("n")).head()[0] or 0
     wanted = whole_text(docs).join(nodes.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-    # A doc_id that several texts share stands for the text with the smallest hash.
+    # A doc_id that several texts share stands for one of them.
     wanted = wanted.withColumnRenamed("doc_id", "id").dropDuplicates(["id"])
     sets = kept(_shingle_sets(wanted), "sets")
     state = nodes.select("id", F.col("id").alias("root"))
-    tried: list[DataFrame] = []
-    links: list[DataFrame] = []
-    number, covered = 0, 1
-    while covered < largest:
-        placed = buckets.where(F.col("n") > covered).join(state, "id")
-        pairs = placed.join(_centres(placed, number), "band").where("root <> c_root")
-        pairs = pairs.select(
-            F.greatest("id", "c").alias("a"), F.least("id", "c").alias("b")
-        ).distinct()
-        if tried:
-            pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
-        tried.append(kept(pairs, "pairs"))
-        found = kept(_similar(tried[-1], sets, similarity), "links")
-        if not found.isEmpty():
-            links.append(found)
-            state = _components(nodes, reduce(DataFrame.unionByName, links))
-        number, covered = number + 1, max(2, 4**number)
+    open_buckets, links = buckets, None
+    for number in range(CENTRES):
+        placed = open_buckets.join(state, "id")
+        found, new = kept_counted(_similar(_centre_pairs(placed, number), sets, similarity), "links")
+        if new:
+            links = found if links is None else links.unionByName(found)
+            state = _components(nodes, links)
+        several = _several(open_buckets.join(state, "id"))
+        open_buckets, left = kept_counted(
+            open_buckets.select("id", "band").join(several, "band"), "open"
+        )
+        if not left:
+            break
+    else:
+        placed = open_buckets.join(state, "id")
+        found, new = kept_counted(_left_over(placed, state, sets, similarity), "links")
+        if new:
+            links = found if links is None else links.unionByName(found)
+            state = _components(nodes, links)
     grouped = texts.join(state, "id", "left").select(
         "digest", "digest2", F.coalesce("root", "id").alias("group_id")
     )

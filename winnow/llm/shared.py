@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from winnow.operators.bounded import shared_folder
@@ -43,6 +43,13 @@ def kept(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The kept rows and their number, which the writing job counts on its way."""
+    seen = Observation()
+    rows = kept(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return rows, seen.get["n"]
+
+
 def crc_mod(column: str, divisor: int) -> Column:
     """crc32 of a key as text, modulo a divisor; a null key counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
