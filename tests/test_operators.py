@@ -15,7 +15,13 @@ from winnow.operators.aggregates import (
     weighted_mean,
     with_share,
 )
-from winnow.operators.bounded import LOCAL_ROWS, local_if_small, small_or_same
+from winnow.operators.bounded import (
+    CELL_CHARS,
+    LOCAL_ROWS,
+    local_if_small,
+    rows_if_small,
+    small_or_same,
+)
 from winnow.operators.canonical import (
     canonicalisation_stats,
     canonicalise,
@@ -32,7 +38,6 @@ from winnow.operators.joins import (
     hierarchy_counts,
     keep_known,
     orphan_count,
-    unique_reference,
 )
 from winnow.operators.profile import count_where, distribution, missing_rates, profile_columns
 from winnow.operators.quantiles import (
@@ -155,8 +160,18 @@ def test_attach_reference_keeps_rows_and_rejects_repeated_keys(spark):
     assert rows(duplicate_keys(repeated, "code")) == [("a", 2)]
     with pytest.raises(ValueError, match="repeated reference key code=a"):
         attach_reference(fact, repeated, "k", ["name"], "code")
-    with pytest.raises(Exception, match="repeated reference key a"):
-        fact.join(unique_reference(repeated, "code", ["name"]), fact.k == F.col("code")).collect()
+    # A large reference gives the same error, even if none of its columns is used.
+    large = spark.range(LOCAL_ROWS + 10).selectExpr("CAST(id AS STRING) AS code", "'x' AS name")
+    assert attach_reference(fact, large, "k", ["name"], "code").count() == 3
+    twice = large.union(large.filter("code = '7'"))
+    with pytest.raises(ValueError, match="repeated reference key code=7"):
+        attach_reference(fact, twice, "k", ["name"], "code").select("v")
+
+
+def test_long_texts_are_refused_before_they_are_collected(spark):
+    short = spark.createDataFrame([("a" * CELL_CHARS, 1)], "t string, `a b` int")
+    assert rows_if_small(short).num_rows == 1
+    assert rows_if_small(spark.createDataFrame([("a" * (CELL_CHARS + 1), 1)], "t string, n int")) is None
 
 
 def test_orphans_and_hierarchy_count_missing_values(spark):

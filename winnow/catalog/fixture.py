@@ -54,22 +54,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores if the files give fewer splits than that.
-
-    Such a table is smaller than one split per core; a larger one is left alone,
-    so no exchange is added where it would cost anything.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def weighings(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:
     """One weighing per line item with the nine fact columns and the order columns.
 
     With ``copies``, the rows of every 67th order were scanned twice.
     """
-    items = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    items = table(spark, sf_dir, "lineitem")
     if copies:
         items = items.selectExpr(
             "*", "explode(IF(l_orderkey % 67 = 0, array(1, 2), array(1))) AS copy"

@@ -220,21 +220,25 @@ def _check(order: int, rule: str, name: str, bad: str, failed: str, passed: str,
         CASE WHEN {bad} > 0 THEN {failed} ELSE {passed} END AS message FROM {source}"""
 
 
-def _rules(t: str) -> str:
-    """All checks on table ``t``, with imputation warnings if it has the flags."""
+def _rules(t: str, absent: tuple[str, ...] = ()) -> str:
+    """All checks on table ``t``, with imputation warnings if it has the flags.
+
+    Columns ``absent`` from it give error rows instead.
+    """
 
     def comma(x: str) -> str:
         return f"format('{{:,}}', {x})"
 
-    def unknown(column: str, known: str, name: str) -> str:
+    def unknown(column: str, known: str, name: str, most: int) -> str:
         return f"""(SELECT count(*) AS bad,
-            concat('[''', array_to_string(list_slice(list(v ORDER BY v), 1, 5), ''', '''), ''']')
+            concat('[''', array_to_string(list_slice(list(v ORDER BY v), 1, {most}), ''', '''), ''']')
                 AS shown, (SELECT count(DISTINCT {column}) FROM {t}) AS total
             FROM (SELECT DISTINCT {column} AS v FROM {t}
                   WHERE {column} IS NOT NULL AND {column} NOT IN {known})) {name}"""
 
-    critical = [c for c in _COLUMNS if c != "humidite_pct"]
+    critical = [c for c in _COLUMNS if c != "humidite_pct" and c not in absent]
     bounds = {"tonnage_kg": (1, 5000), "prix_fcfa_kg": (200, 2000), "humidite_pct": (0, 25)}
+    bounds = {c: b for c, b in bounds.items() if c not in absent}
     nulls = ", ".join(f"count(*) - count({c}) AS m_{c}" for c in critical)
     outside = ", ".join(
         f"count(*) FILTER ({c} < {lo} OR {c} > {hi}) AS o_{c}" for c, (lo, hi) in bounds.items()
@@ -265,7 +269,7 @@ def _rules(t: str) -> str:
         _check(
             4, "R3", "completude", "(" + " + ".join(f"m_{c}" for c in critical) + ")",
             f"concat('R3 completude : valeurs manquantes sur ', concat_ws(', ', {missing}))",
-            "'R3 completude : 8 colonnes critiques sans valeur manquante'",
+            f"'R3 completude : {len(critical)} colonnes critiques sans valeur manquante'",
             f"(SELECT {nulls} FROM {t}) r3",
         ),
         _check(
@@ -273,13 +277,13 @@ def _rules(t: str) -> str:
             "concat('R4 domaine : grade(s) inconnu(s) ', shown, '. Attendus : [''Grade A'',"
             " ''Grade B'', ''Grade C'', ''Hors grade'']')",
             "'R4 domaine : tous les grades appartiennent au referentiel'",
-            unknown("qualite", grades, "r4a"),
+            unknown("qualite", grades, "r4a", 1_000_000),
         ),
         _check(
             6, "R4", "region", "bad",
             "concat('R4 domaine : region(s) non normalisee(s) ', shown)",
             "concat('R4 domaine : ', total, ' regions, toutes normalisees')",
-            unknown("region", "(SELECT region FROM c)", "r4b"),
+            unknown("region", "(SELECT region FROM c)", "r4b", 5),
         ),
         _check(
             7, "R5", "bornes", "(" + " + ".join(f"o_{c}" for c in bounds) + ")",
@@ -312,6 +316,14 @@ def _rules(t: str) -> str:
                 WHERE coalesce(x.region <> g.region, true)) r7""",
         ),
     ]
+    if "region" in absent:
+        checks = [c for c in checks if "AS ordre" not in c or not c.startswith(("SELECT 6 ", "SELECT 10 "))]
+    lacking = [(3, "R3", c, "R3 completude") for c in absent]
+    lacking += [(o, r, "region", r) for o, r in ((6, "R4"), (10, "R7")) if "region" in absent]
+    checks += [
+        f"SELECT {order}, '{rule}', '{c}', 'ERREUR', 1, '{text} : colonne absente ''{c}'''"
+        for order, rule, c, text in lacking
+    ]
     if t == "clean":
         for flag, label in (("prix_impute", "prix"), ("humidite_imputee", "humidite")):
             checks.append(
@@ -346,6 +358,136 @@ def _anomaly(name: str, criterion: str, flag: str) -> str:
         'signale, conserve' AS action FROM flags"""
 
 
+_CANONICAL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS colonne, count(DISTINCT {c}) AS modalites_avant,
+    count(DISTINCT coalesce(official, {c})) AS modalites_apres,
+    count(*) - count(official) AS non_resolus
+    FROM w LEFT JOIN {t} ON {t}.k = {{key:w.{c}}}"""
+    for c, t in (("region", "lr"), ("cooperative", "lc"))
+)
+
+_FAMILIES = " UNION ALL ".join(
+    (
+        _anomaly(
+            "tonnage extreme",
+            "concat('> ', format('{:,}', CAST((SELECT round_even(x, 0) FROM fence)"
+            " AS BIGINT)), ' kg (Q3 + 3 x IQR)')",
+            "anomalie_tonnage",
+        ),
+        _anomaly("humidite hors norme export", "'> 8.0 %'", "anomalie_humidite"),
+        _anomaly(
+            "prix atypique pour le grade",
+            "'ecart > 30 % a la mediane du grade'",
+            "anomalie_prix",
+        ),
+    )
+)
+
+_INTEGRITY = """SELECT 'id_planteur' AS cle, count(*) AS orphelins FROM w
+    WHERE id_planteur NOT IN (SELECT id_planteur FROM g)
+    UNION ALL SELECT 'cooperative', count(*) FROM w WHERE {key:w.cooperative} NOT IN
+    (SELECT {key:code_cooperative} FROM c)
+    UNION ALL SELECT 'region', count(*) FROM w WHERE {key:w.region} NOT IN
+    (SELECT {key:region} FROM c)"""
+
+_CLEAN_COLUMNS = (
+    *_COLUMNS, "annee", "mois", "jour_semaine", "superficie_ha", "annee_adhesion", "certifie_bio",
+    "zone_production", "port_export", "campagne", "saison", "conforme_export",
+    "categorie_tonnage", "prix_impute", "humidite_imputee", "montant_fcfa",
+    "ecart_prix_grade_pct",
+)
+
+
+def _entries(path: str, columns: str, source: str) -> str:
+    """One row of path and text for each named value of a one-row source."""
+    return " UNION ALL ".join(
+        f"SELECT '{path}.{c}' AS chemin, CAST({c} AS VARCHAR) AS valeur FROM {source}"
+        for c in columns.split()
+    )
+
+
+_AUDIT_ROWS = " UNION ALL ".join(
+    [
+        *[
+            f"SELECT 'sources.{n}.fichier' AS chemin, '{f}' AS valeur"
+            f" UNION ALL SELECT 'sources.{n}.nb_lignes', CAST(count(*) AS VARCHAR) FROM {t}"
+            for n, f, t in (
+                ("pesees", "lineitem", "w"), ("planteurs", "customer", "g"),
+                ("cooperatives", "supplier", "c"),
+            )
+        ],
+        """SELECT 'constats.doublons_id_pesee', CAST(count(*) - count(DISTINCT id_pesee) AS VARCHAR)
+        FROM f""",
+        """SELECT 'constats.doublons_lignes_completes',
+        CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM f)) AS VARCHAR) FROM f""",
+        """SELECT 'constats.prix_aberrants',
+        CAST(count(*) FILTER (prix_fcfa_kg <= 0) AS VARCHAR) FROM w""",
+        f"""SELECT concat('constats.valeurs_manquantes.', colonne), CAST(nb_manquants AS VARCHAR)
+        FROM ({_MISSING})""",
+        f"""SELECT concat('constats.variantes_saisie.', colonne),
+        CAST(variantes_de_saisie AS VARCHAR) FROM ({_VARIANTS})""",
+        "SELECT 'constats.periode.debut', min(date) FROM w",
+        "SELECT 'constats.periode.fin', max(date) FROM w",
+        f"""SELECT CASE cle WHEN 'id_planteur' THEN 'constats.integrite.orphelins_planteur'
+        ELSE concat('constats.integrite.orphelins_', cle) END, CAST(orphelins AS VARCHAR)
+        FROM ({_INTEGRITY})""",
+    ]
+)
+
+_QUALITY_ROWS = (
+    re.sub(r"FROM f\b", "FROM clean", _ANOMALIES).rstrip()
+    + f""", checks AS ({_rules("clean")}), dedup AS (
+        SELECT count(*) AS lignes_avant, count(*) - count(DISTINCT id_pesee) AS doublons_supprimes,
+               count(DISTINCT id_pesee) AS lignes_apres FROM w),
+    labels AS ({_CANONICAL}), families AS ({_FAMILIES}),
+    holes AS ("""
+    + " UNION ALL ".join(
+        f"""SELECT {i} AS place, '{c}' AS colonne, count(*) - count({c}) AS n, count(*) AS total
+        FROM clean"""
+        for i, c in enumerate(_CLEAN_COLUMNS)
+    )
+    + ") "
+    + " UNION ALL ".join(
+        [
+            "SELECT 'volumes.lignes_extraites' AS chemin, CAST(lignes_avant AS VARCHAR) AS valeur"
+            " FROM dedup",
+            "SELECT 'volumes.lignes_conservees', CAST(lignes_apres AS VARCHAR) FROM dedup",
+            f"SELECT 'volumes.colonnes_finales', '{len(_CLEAN_COLUMNS)}'",
+            *[
+                _entries(
+                    f"normalisation_libelles.{c}", "modalites_avant modalites_apres non_resolus",
+                    f"(SELECT * FROM labels WHERE colonne = '{c}')",
+                )
+                for c in ("region", "cooperative")
+            ],
+            _entries("dedoublonnage", "lignes_avant doublons_supprimes lignes_apres", "dedup"),
+            _entries(
+                "imputation", "prix_impute humidite_imputee",
+                "(SELECT count(*) FILTER (prix_impute) AS prix_impute,"
+                " count(*) FILTER (humidite_imputee) AS humidite_imputee FROM clean)",
+            ),
+            "SELECT 'validation.valide', CAST(count(*) FILTER (niveau = 'ERREUR') = 0 AS VARCHAR)"
+            " FROM checks",
+            "SELECT 'validation.nb_lignes', CAST(lignes_apres AS VARCHAR) FROM dedup",
+            *[
+                f"""SELECT concat('validation.{name}.', row_number() OVER
+                (ORDER BY ordre, controle) - 1), message FROM checks WHERE niveau = '{level}'"""
+                for name, level in (
+                    ("controles_passes", "OK"), ("erreurs", "ERREUR"),
+                    ("avertissements", "AVERTISSEMENT"),
+                )
+            ],
+            """SELECT concat('anomalies.', CASE anomalie WHEN 'tonnage extreme' THEN 0
+                WHEN 'humidite hors norme export' THEN 1 ELSE 2 END),
+            concat_ws('|', anomalie, critere, nb_lignes, CAST(part_pct AS DECIMAL(20, 2)),
+                      CAST(tonnage_concerne_kg AS DECIMAL(20, 2)), action) FROM families""",
+            """SELECT concat('valeurs_manquantes_restantes.', row_number() OVER (ORDER BY place) - 1),
+            concat_ws('|', colonne, n, CAST(round_even(n / total * 100, 2) AS DECIMAL(20, 2)))
+            FROM holes WHERE n > 0""",
+        ]
+    )
+)
+
 ORACLES: dict[str, str] = {
     "flagship_weighted_price": _sql(
         ("meas",), _WEIGHTED.replace("{keys}", "qualite, saison").replace("{source}", "meas")
@@ -631,6 +773,28 @@ ORACLES: dict[str, str] = {
     "clean_fact": _sql(
         ("clean",), "SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM clean"
     ),
+    "audit_rows": _sql(("w", "f", "g", "c"), _AUDIT_ROWS),
+    "quality_rows": _sql(("w", "lr", "lc", "clean", "g", "c"), _QUALITY_ROWS),
+    "rules_unknown_grades": _sql(
+        ("f", "g", "c"),
+        """, lots AS (SELECT * REPLACE (CASE WHEN prix_fcfa_kg % 5 = 0
+            THEN concat('Lot ', prix_fcfa_kg % 60) ELSE qualite END AS qualite) FROM f) """
+        + _rules("lots"),
+    ),
+    "rules_nan": _sql(
+        ("f", "g", "c"),
+        """, holes AS (SELECT * REPLACE (
+            CASE WHEN prix_fcfa_kg % 7 <> 3 THEN tonnage_kg END AS tonnage_kg,
+            CASE WHEN prix_fcfa_kg % 7 <> 3 THEN humidite_pct END AS humidite_pct) FROM f) """
+        + _rules("holes"),
+    ),
+    "rules_absent_columns": _sql(
+        ("f", "g", "c"),
+        ", lacking AS (SELECT * EXCLUDE (region, tonnage_kg) FROM f) "
+        + _rules("lacking", ("region", "tonnage_kg")),
+    ),
+    "csv_text_round_trip": """SELECT doc_id,
+        concat('"a""b" \\ ', text, ', \\n"', chr(10), '"') AS text FROM documents""",
     "csv_round_trip": _sql(("f",), "SELECT * FROM f"),
     "stage_round_trip": _sql(("f",), "SELECT * FROM f"),
 }

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from winnow.catalog.fixture import ORDER, cooperatives, fact, growers, table, weighings
 from winnow.functions.calendar import parse_date
@@ -48,6 +49,10 @@ from winnow.sources import schemas, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Predicates over the weighings for rules that the plain fixture does not break.
+_LOTS = "IF(prix_fcfa_kg % 5 = 0, concat('Lot ', prix_fcfa_kg % 60), qualite)"
+_HOLES = "prix_fcfa_kg % 7 = 3"
+
 
 def _text(df: DataFrame, *dates: str) -> DataFrame:
     """Dates as ISO text, which every client prints alike."""
@@ -281,6 +286,26 @@ def rules_report(spark: SparkSession, sf: str) -> DataFrame:
     return validate(_archived_fact(spark, sf), w.RULES, growers(spark, sf), cooperatives(spark, sf))
 
 
+def rules_unknown_grades(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules where more grades are unknown than the message on regions would show."""
+    lots = fact(spark, sf).withColumn("qualite", F.expr(_LOTS))
+    return validate(lots, w.RULES, growers(spark, sf), cooperatives(spark, sf))
+
+
+def rules_nan(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules where some weights and moistures are NaN: missing, not out of bounds."""
+    holes = fact(spark, sf).withColumns(
+        {c: F.when(F.expr(_HOLES), F.lit(float("nan"))).otherwise(F.col(c)) for c in ("tonnage_kg", "humidite_pct")}
+    )
+    return validate(holes, w.RULES, growers(spark, sf), cooperatives(spark, sf))
+
+
+def rules_absent_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules on a table without regions and weights; the growers are still checked."""
+    lacking = fact(spark, sf).drop("region", "tonnage_kg")
+    return validate(lacking, w.RULES, growers(spark, sf), cooperatives(spark, sf))
+
+
 def rules_clean(spark: SparkSession, sf: str) -> DataFrame:
     """All rules on the cleaned table."""
     cleaned = _written(_clean(spark, sf)).fact
@@ -422,9 +447,17 @@ def stage_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_stage(spark, written).select(*w.FACT_COLUMNS)
 
 
-def audit_json(spark: SparkSession, sf: str) -> DataFrame:
-    """The audit report as JSON text."""
-    report = audit.audit_report(
+def csv_text_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Document texts with line breaks, quotes and backslashes, written as CSV and read back."""
+    path = f"{shared_folder(spark)}/csv-{uuid4().hex}"
+    awkward = F.concat(F.lit('"a""b" \\ '), "text", F.lit(', \\n"\n"'))
+    written = tables.write_csv(table(spark, sf, "documents").select("doc_id", awkward.alias("text")), path)
+    schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType())])
+    return tables.read_csv(spark, written, schema, multiline=True)
+
+
+def _audit_report(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.audit_report(
         {
             "pesees": pipeline.stage_in()(weighings(spark, sf)),
             "planteurs": growers(spark, sf),
@@ -434,19 +467,102 @@ def audit_json(spark: SparkSession, sf: str) -> DataFrame:
         ORDER,
         generated=False,
     )
-    return report.select(F.to_json(F.struct("*")).alias("rapport"))
 
 
-def quality_json(spark: SparkSession, sf: str) -> DataFrame:
-    """The quality report as JSON text."""
-    report = pipeline.quality_report(
+def audit_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit report as JSON text."""
+    return _audit_report(spark, sf).select(F.to_json(F.struct("*")).alias("rapport"))
+
+
+def _entries(*parts: tuple[str, Column]) -> Column:
+    """Named values of a report as an array of path and text."""
+    return F.array(*[F.struct(F.lit(p).alias("chemin"), v.cast("string").alias("valeur")) for p, v in parts])
+
+
+def _fields(report: DataFrame, path: str) -> Column:
+    """The fields of a nested struct of a report by their paths."""
+    names = report.select(f"{path}.*").columns
+    return _entries(*[(f"{path}.{n}", F.col(f"{path}.{n}")) for n in names])
+
+
+def _keyed(path: str) -> Column:
+    """The entries of a map of a report by their paths."""
+    return F.transform(
+        F.map_entries(path),
+        lambda e: F.struct(
+            F.concat(F.lit(f"{path}."), e["key"]).alias("chemin"), e["value"].cast("string").alias("valeur")
+        ),
+    )
+
+
+def _listed(path: str, text: Callable[[Column], Column] = lambda row: row) -> Column:
+    """The elements of a list of a report by their places from 0."""
+    return F.transform(
+        path,
+        lambda row, i: F.struct(
+            F.concat(F.lit(f"{path}."), i.cast("string")).alias("chemin"), text(row).alias("valeur")
+        ),
+    )
+
+
+def _amount(value: Column) -> Column:
+    return value.cast("decimal(20,2)").cast("string")
+
+
+def audit_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit report as one row per entry, ``chemin`` and ``valeur``."""
+    report = _audit_report(spark, sf)
+    single = ("doublons_id_pesee", "doublons_lignes_completes", "prix_aberrants")
+    parts = [_fields(report, f"sources.{name}") for name in ("pesees", "planteurs", "cooperatives")]
+    parts.append(_entries(*[(f"constats.{n}", F.col(f"constats.{n}")) for n in single]))
+    parts += [_keyed(f"constats.{n}") for n in ("valeurs_manquantes", "variantes_saisie")]
+    parts += [_fields(report, f"constats.{n}") for n in ("periode", "integrite")]
+    return report.select(F.inline(F.concat(*parts)))
+
+
+def _quality_report(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline.quality_report(
         weighings(spark, sf),
         _written(_clean(spark, sf)),
         growers(spark, sf),
         cooperatives(spark, sf),
         generated=False,
     )
-    return report.select(F.to_json(F.struct("*")).alias("rapport"))
+
+
+def quality_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The quality report as JSON text."""
+    return _quality_report(spark, sf).select(F.to_json(F.struct("*")).alias("rapport"))
+
+
+def quality_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The quality report as one row per entry, ``chemin`` and ``valeur``."""
+    report = _quality_report(spark, sf)
+    structs = ("volumes", "normalisation_libelles.region", "normalisation_libelles.cooperative",
+               "dedoublonnage", "imputation")
+    lists = ("controles_passes", "erreurs", "avertissements")
+    return report.select(
+        F.inline(
+            F.concat(
+                *[_fields(report, path) for path in structs],
+                _entries(*[(f"validation.{n}", F.col(f"validation.{n}")) for n in ("valide", "nb_lignes")]),
+                *[_listed(f"validation.{n}") for n in lists],
+                _listed(
+                    "anomalies",
+                    lambda r: F.concat_ws(
+                        "|", r["anomalie"], r["critere"], r["nb_lignes"].cast("string"),
+                        _amount(r["part_pct"]), _amount(r["tonnage_concerne_kg"]), r["action"],
+                    ),
+                ),
+                _listed(
+                    "valeurs_manquantes_restantes",
+                    lambda r: F.concat_ws(
+                        "|", r["colonne"], r["nb_manquants"].cast("string"), _amount(r["part_pct"])
+                    ),
+                ),
+            )
+        )
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -463,5 +579,7 @@ QUERIES: dict[str, Query] = {
         unknown_regions, tiered_price, clip_values, date_spine_weights, union_duplicates, preview,
         compliance_by_month, class_distribution, measured_weighted_price, star_dimension,
         star_fact, clean_fact, csv_round_trip, stage_round_trip, audit_json, quality_json,
+        audit_rows, quality_rows, rules_unknown_grades, rules_nan, rules_absent_columns,
+        csv_text_round_trip,
     )
 }

@@ -33,11 +33,12 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     floating = {f.name for f in df.schema if isinstance(f.dataType, (DoubleType, FloatType))}
     if not floating:
         return df
+    named = {c: F.col("`" + c.replace("`", "``") + "`") for c in df.columns}
     return df.select(
         *[
-            F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)).alias(c)
+            F.nanvl(named[c], F.lit(None).cast(df.schema[c].dataType)).alias(c)
             if c in floating
-            else F.col(c)
+            else named[c]
             for c in df.columns
         ]
     )

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.functions.rounding import round_half_even
 
 
+def exact_sum(df: DataFrame, column: str) -> Column:
+    """Sum of a column; doubles are added as decimals, so that no order of rows changes it."""
+    if dict(df.dtypes)[column] not in ("double", "float"):
+        return F.sum(column)
+    return F.sum(F.col(column).cast("decimal(28,6)")).cast("double")
+
+
 def grouped_summary(
     df: DataFrame,
     keys: Sequence[str],
@@ -29,14 +36,17 @@ def grouped_summary(
         .agg(
             *[F.count(c).alias(name) for name, c in (counted or {}).items()],
             *[rounded(F.avg(c)).alias(name) for name, c in (means or {}).items()],
-            *[F.sum(c).alias(name) for name, c in (sums or {}).items()],
+            *[exact_sum(df, c).alias(name) for name, c in (sums or {}).items()],
         )
     )
 
 
 def with_share(df: DataFrame, value: str, name: str, digits: int | None = 1, percent: bool = True) -> DataFrame:
-    """Add each row's share of the column total, read once as a scalar subquery."""
-    total = df.agg(F.sum(value).cast("double")).scalar()
+    """Add each row's share of the column total; for a table of groups, which one task can hold.
+
+    The total is a window over the rows themselves, so their plan runs once.
+    """
+    total = F.sum(value).over(Window.partitionBy(F.lit(0))).cast("double")
     share = F.try_divide(F.col(value).cast("double"), total)
     share = share * 100 if percent else share
     return df.withColumn(name, share if digits is None else round_half_even(share, digits))
@@ -47,7 +57,9 @@ def weighted_mean(
 ) -> DataFrame:
     """``sum(amount) / sum(weight)`` per group, next to the two sums and the row count."""
     totals = df.groupBy(*keys).agg(
-        F.count("*").alias("nb"), F.sum(amount).alias(amount), F.sum(weight).alias(weight)
+        F.count("*").alias("nb"),
+        exact_sum(df, amount).alias(amount),
+        exact_sum(df, weight).alias(weight),
     )
     mean = F.try_divide(F.col(amount).cast("double"), F.col(weight).cast("double"))
     return totals.withColumn(name, mean if digits is None else round_half_even(mean, digits))

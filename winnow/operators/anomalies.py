@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.functions.nulls import flag, share_pct
+from winnow.functions.nulls import flag, nan_to_null, share_pct
 from winnow.functions.rounding import round_half_even
 from winnow.operators.bounded import LOCAL_ROWS, local_if_small
 from winnow.operators.quantiles import (
@@ -19,6 +19,8 @@ from winnow.operators.quantiles import (
     quantiles_of_counts,
 )
 
+# The names of the three families in reports.
+FAMILIES = ("tonnage extreme", "humidite hors norme export", "prix atypique pour le grade")
 FLAGS = ("anomalie_tonnage", "anomalie_humidite", "anomalie_prix")
 QUARTILES = {"q1": 0.25, "q3": 0.75}
 
@@ -74,8 +76,8 @@ def flag_anomalies(
     columns: AnomalyColumns = AnomalyColumns(),
     stats: AnomalyStatistics | None = None,
 ) -> DataFrame:
-    """Add one boolean per family to every row; a missing measure is no anomaly."""
-    c = columns
+    """Add one boolean per family to every row; a missing measure, NaN too, is no anomaly."""
+    c, df = columns, nan_to_null(df)
     stats = stats or anomaly_statistics(df, c)
     relative = F.try_divide(F.abs(F.col(c.price) - F.col("median")), F.col("median"))
     flagged = attach_statistic(df, stats.medians, [c.group]).withColumns(
@@ -94,14 +96,14 @@ def anomaly_summary(
     stats: AnomalyStatistics | None = None,
 ) -> DataFrame:
     """One row per family: criterion, rows, share in percent, weight concerned, action."""
-    c = columns
+    c, df = columns, nan_to_null(df)
     stats = stats or anomaly_statistics(df, c)
     fence = F.format_number(F.rint(_fence(stats, c.spread)), 0)
     # The report texts of the three families.
-    families = (
-        ("tonnage extreme", F.concat(F.lit("> "), fence, F.lit(f" kg (Q3 + {c.spread:g} x IQR)"))),
-        ("humidite hors norme export", F.lit(f"> {c.moisture_limit} %")),
-        ("prix atypique pour le grade", F.lit(f"ecart > {c.deviation:.0%} a la mediane du grade".replace("%", " %"))),
+    criteria = (
+        F.concat(F.lit("> "), fence, F.lit(f" kg (Q3 + {c.spread:g} x IQR)")),
+        F.lit(f"> {c.moisture_limit} %"),
+        F.lit(f"ecart > {c.deviation:.0%} a la mediane du grade".replace("%", " %")),
     )
     flagged = flag_anomalies(df, c, stats)
     totals = flagged.agg(
@@ -118,6 +120,6 @@ def anomaly_summary(
             round_half_even(F.coalesce(f"w_{f}", F.lit(0.0)), 1).alias("tonnage_concerne_kg"),
             F.lit("signale, conserve").alias("action"),
         )
-        for f, (name, criterion) in zip(FLAGS, families)
+        for f, name, criterion in zip(FLAGS, FAMILIES, criteria)
     ]
     return totals.select(F.inline(F.array(*rows)))

@@ -8,10 +8,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType
 
 # Largest statistic that may become a local table.
 LOCAL_ROWS = 100_000
 LOCAL_BYTES = 16 * 1024 * 1024
+# Longest text of such a table; with the bound on rows it bounds the bytes that are collected.
+CELL_CHARS = 1000
 
 
 def rows_if_small(
@@ -21,16 +24,32 @@ def rows_if_small(
 
     ``take`` reads a few partitions at a time and stops at the bound, so a table of
     any size is refused after ``max_rows + 1`` rows, without an exchange to one task.
+    Texts are cut one character beyond ``CELL_CHARS`` before they leave the cluster,
+    and a table with a longer one is refused: never more than the bound is collected.
     """
-    rows = df.take(max_rows + 1)
+    texts = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
+    cut = [
+        F.substring(F.col(_quoted(c)), 1, CELL_CHARS + 1).alias(c) if c in texts else _quoted(c)
+        for c in df.columns
+    ]
+    rows = df.select(*cut).take(max_rows + 1)
     if len(rows) > max_rows:
         return None
     schema = to_arrow_schema(df.schema)
     columns = list(zip(*rows)) or [()] * len(schema)
+    if any(
+        f.name in texts and any(v is not None and len(v) > CELL_CHARS for v in c)
+        for c, f in zip(columns, schema)
+    ):
+        return None
     table = pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
     return None if table.nbytes > max_bytes else table
 
 
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def local_if_small(
     df: DataFrame, max_rows: int = LOCAL_ROWS, max_bytes: int = LOCAL_BYTES
 ) -> DataFrame | None:

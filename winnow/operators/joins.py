@@ -22,20 +22,6 @@ def duplicate_keys(reference: DataFrame, key: str) -> DataFrame:
     return reference.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
-def unique_reference(reference: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """The reference columns, with a guard that fails the job on a repeated key.
-
-    The guard runs in the exchange by key that a large join needs anyway, so it
-    costs no extra job and a fan-out can never be written.
-    """
-    grouped = reference.groupBy(key).agg(
-        F.first(F.struct(*columns)).alias("row"), F.count("*").alias("n")
-    )
-    message = F.concat(F.lit("repeated reference key "), F.col(key).cast("string"))
-    checked = F.when(F.col("n") == 1, F.col("row")).otherwise(F.raise_error(message))
-    return grouped.select(key, checked.alias("row")).select(key, "row.*")
-
-
 def attach_reference(
     df: DataFrame,
     reference: DataFrame,
@@ -45,19 +31,22 @@ def attach_reference(
 ) -> DataFrame:
     """Many-to-one left join that adds reference columns and keeps every fact row.
 
-    A repeated key is an error. In a small reference it is found before the join, in
-    a large one by :func:`unique_reference` while the join runs.
+    A repeated key is a ``ValueError`` before the join, whatever the size of the
+    reference and whichever of its columns are used: a small reference is checked where
+    it is counted, a large one by one grouping of its keys.
     """
     right_key = reference_key or key
     right = reference.select(F.col(right_key).alias("__key"), *columns)
     rows = rows_if_small(right)
     if rows is None:
-        right = unique_reference(right, "__key", columns)
+        keys = right.filter(F.col("__key").isNotNull())
+        repeated = [r["__key"] for r in duplicate_keys(keys, "__key").take(1)]
     else:
-        for entry in pc.value_counts(rows["__key"].drop_null()):
-            if entry["counts"].as_py() > 1:
-                raise ValueError(f"repeated reference key {right_key}={entry['values']}")
+        counted = pc.value_counts(rows["__key"].drop_null())
+        repeated = [e["values"].as_py() for e in counted if e["counts"].as_py() > 1]
         right = F.broadcast(df.sparkSession.createDataFrame(rows, schema=right.schema))
+    if repeated:
+        raise ValueError(f"repeated reference key {right_key}={repeated[0]}")
     return df.join(right, df[key] == right["__key"], "left").drop("__key")
 
 

@@ -13,8 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from winnow.functions.nulls import nan_to_null
 from winnow.operators.canonical import label_counts
-from winnow.operators.joins import hierarchy_counts
+from winnow.operators.joins import hierarchy_counts, orphan_count
 
 # Levels and report texts (failed, passed) of the checks.
 OK, WARNING, ERROR = "OK", "AVERTISSEMENT", "ERREUR"
@@ -61,12 +62,15 @@ TEXTS = {
         "",
     ),
 }
-LABELS_SHOWN = 5
 
 
 @dataclass(frozen=True)
 class RuleSet:
-    """Columns, domains and thresholds of the rules."""
+    """Columns, domains and thresholds of the rules.
+
+    The message on grades lists every unknown grade; the one on regions the first
+    ``regions_shown`` unknown regions in order of the label, while ``nb`` counts all.
+    """
 
     key: str
     critical: Sequence[str]
@@ -80,12 +84,18 @@ class RuleSet:
     imputed: Mapping[str, str]
     minimum_rows: int = 70_000
     imputed_limit_pct: float = 5.0
+    regions_shown: int = 5
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _name(column: str) -> str:
+    """A column name as SQL, whatever it contains."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def _number(value: str) -> str:
     return f"format_number({value}, 0)"
 
@@ -107,7 +117,8 @@ def _as_rows(totals: DataFrame, checks: Sequence[str]) -> DataFrame:
 def _listing(counts: Mapping[str, str], suffix: Mapping[str, str] | None = None) -> str:
     """``'a (3), b (1)'`` for the columns with a positive count."""
     texts = [
-        f"IF({n} > 0, concat('{c} (', {_number(n)}, '{(suffix or {}).get(c, '')})'), NULL)"
+        f"IF({n} > 0, concat({_quoted(c + ' (')}, {_number(n)},"
+        f" {_quoted((suffix or {}).get(c, '') + ')')}), NULL)"
         for c, n in counts.items()
     ]
     return f"concat_ws({', '.join((_quoted(', '), *texts))})"
@@ -122,17 +133,18 @@ def _row_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
     critical = [c for c in rules.critical if c in df.columns]
     bounds = {c: b for c, b in rules.bounds.items() if c in df.columns}
     flags = [c for c in rules.imputed if c in df.columns]
-    missing = {c: f"missing_{c}" for c in critical}
-    outside = {c: f"outside_{c}" for c in bounds}
+    missing = {c: f"missing_{i}" for i, c in enumerate(critical)}
+    outside = {c: f"outside_{i}" for i, c in enumerate(bounds)}
+    imputed = {c: f"imputed_{i}" for i, c in enumerate(flags)}
     ranges = {c: f" hors [{low:g} ; {high:g}]" for c, (low, high) in bounds.items()}
     totals = df.agg(
         F.count("*").alias("rows"),
-        *[F.expr(f"count_if({c} IS NULL) AS {name}") for c, name in missing.items()],
+        *[F.expr(f"count_if({_name(c)} IS NULL) AS {n}") for c, n in missing.items()],
         *[
-            F.expr(f"count_if({c} < {low}D OR {c} > {high}D) AS outside_{c}")
+            F.expr(f"count_if({_name(c)} < {low}D OR {_name(c)} > {high}D) AS {outside[c]}")
             for c, (low, high) in bounds.items()
         ],
-        *[F.expr(f"count_if({c}) AS imputed_{c}") for c in flags],
+        *[F.expr(f"count_if({_name(c)}) AS {n}") for c, n in imputed.items()],
     )
     minimum = f"{rules.minimum_rows}L"
     checks = [
@@ -152,8 +164,8 @@ def _row_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
         if c not in critical
     ]
     for column in flags:
-        share = f"try_divide(imputed_{column}, rows) * 100"
-        many = f"IF({share} > {rules.imputed_limit_pct}D, imputed_{column}, 0L)"
+        share = f"try_divide({imputed[column]}, rows) * 100"
+        many = f"IF({share} > {rules.imputed_limit_pct}D, {imputed[column]}, 0L)"
         text = f"format_string('%.1f', rint({share} * 10) / 10)"
         checks.append(
             _check(
@@ -188,13 +200,15 @@ def _domain_checks(df: DataFrame, domains: Mapping[str, DataFrame], rules: RuleS
         F.expr(f"count_if({unknown}) AS unknown"),
         F.expr("sum(IF(d_label IS NULL, n, 0L)) AS rows"),
     )
-    # The group limit keeps a few labels per column and task before its exchange. Both
-    # branches use the same columns of ``labels``, so its own exchange is shared.
+    # The group limit keeps a few regions per task before its exchange; of the grades every
+    # one is listed. All branches use the same columns of ``labels``, so its exchange is shared.
+    lost = labels.filter("d_label IS NULL")
+    of = F.col("colonne")
     place = F.row_number().over(Window.partitionBy("colonne").orderBy(F.asc_nulls_last("label")))
+    first = lost.filter(of == rules.region).withColumn("place", place)
+    first = first.filter(F.col("place") <= rules.regions_shown).drop("place")
     shown = (
-        labels.filter("d_label IS NULL")
-        .withColumn("place", place)
-        .filter(F.col("place") <= LABELS_SHOWN)
+        first.unionByName(lost.filter(of == rules.grade))
         .groupBy("colonne")
         .agg(F.expr(f"array_sort(collect_list(IF({unknown}, struct(label, n), NULL))) AS found"))
     )
@@ -218,15 +232,15 @@ def _domain_checks(df: DataFrame, domains: Mapping[str, DataFrame], rules: RuleS
 
 
 def _grower_checks(df: DataFrame, growers: DataFrame, rules: RuleSet) -> DataFrame:
-    """The grower part of R6 and R7 from the distinct (grower, region) pairs."""
-    counts = hierarchy_counts(df, rules.grower, rules.region, growers)
-    return _as_rows(
-        counts,
-        [
-            _check(8, "R6", rules.grower, "planteurs", "orphelins", _number("orphelins")),
-            _check(10, "R7", "coherence", "coherence", "incoherents", _number("incoherents")),
-        ],
+    """The grower part of R6, and R7 if the table has a region, from the distinct pairs."""
+    known = _check(8, "R6", rules.grower, "planteurs", "orphelins", _number("orphelins"))
+    if rules.region not in df.columns:
+        return _as_rows(orphan_count(df, rules.grower, growers, rules.grower), [known])
+    coherent = _check(
+        10, "R7", "coherence", "coherence", "incoherents", _number("incoherents")
     )
+    counts = hierarchy_counts(df, rules.grower, rules.region, growers)
+    return _as_rows(counts, [known, coherent])
 
 
 def _absent_columns(df: DataFrame, absent: Sequence[tuple[int, str, str]]) -> DataFrame:
@@ -246,7 +260,11 @@ def validate(
     growers: DataFrame | None = None,
     cooperatives: DataFrame | None = None,
 ) -> DataFrame:
-    """All checks as rows ``(ordre, regle, controle, niveau, nb, message)``."""
+    """All checks as rows ``(ordre, regle, controle, niveau, nb, message)``.
+
+    NaN counts as missing. A rule gives an error row for each column that the table lacks.
+    """
+    df = nan_to_null(df)
     grades = df.sparkSession.createDataFrame([(g,) for g in rules.grades], "label string")
     domains = {rules.grade: (5, "R4", grades)}
     if cooperatives is not None:
@@ -255,7 +273,7 @@ def validate(
     needed = {(2, "R2"): [rules.key], **{(o, r): [c] for c, (o, r, _) in domains.items()}}
     if growers is not None:
         needed[8, "R6"] = [rules.grower]
-        needed[10, "R7"] = [rules.region]
+        needed[10, "R7"] = [rules.grower, rules.region]
     absent = [(*k, c) for k, columns in needed.items() for c in columns if c not in df.columns]
 
     parts = [_row_checks(df, rules)]
@@ -264,7 +282,7 @@ def validate(
     present = {c: labels for c, (_, _, labels) in domains.items() if c in df.columns}
     if present:
         parts.append(_domain_checks(df, present, rules))
-    if growers is not None and {rules.grower, rules.region} <= set(df.columns):
+    if growers is not None and rules.grower in df.columns:
         parts.append(_grower_checks(df, growers, rules))
     if absent:
         parts.append(_absent_columns(df, absent))

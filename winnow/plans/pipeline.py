@@ -9,7 +9,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.operators.anomalies import anomaly_summary
+from winnow.functions.nulls import nan_to_null
+from winnow.operators.anomalies import FAMILIES, anomaly_summary
 from winnow.operators.bounded import shared_folder
 from winnow.operators.canonical import canonicalisation_stats
 from winnow.operators.dedup import dedup_summary
@@ -70,6 +71,7 @@ def clean(
         unique = deduplicate(rows, order).select(*w.FACT_COLUMNS)
         return correct_types(unique, strict_dates)
 
+    fact = nan_to_null(fact)
     typed = typed_rows(canonicalise_labels(fact, cooperatives))
     if stage is not None:
         typed = measured = stage(typed)
@@ -124,10 +126,11 @@ def quality_report(
         labels, "colonne", F.struct("modalites_avant", "modalites_apres", "non_resolus")
     )
 
-    def rows(table: DataFrame, order: str):
-        row = F.struct(F.col(order).alias("__order"), *[c for c in table.columns if c != order])
-        ordered = F.array_sort(F.collect_list(row))
-        return table.agg(F.transform(ordered, lambda r: r.dropFields("__order"))).scalar()
+    def rows(table: DataFrame, name: str, order: Sequence[str]):
+        """The rows of a small table in the given order of the column ``name``."""
+        place = F.array_position(F.array(*map(F.lit, order)), F.col(name))
+        ordered = F.array_sort(F.collect_list(F.struct(place.alias("place"), F.struct("*").alias("row"))))
+        return table.agg(F.transform(ordered, lambda r: r["row"])).scalar()
 
     def messages(level: str):
         entry = F.when(F.col("niveau") == level, F.struct("ordre", "controle", "message"))
@@ -143,7 +146,6 @@ def quality_report(
             messages(WARNING).alias("avertissements"),
         ).alias("v")
     )
-    anomalies = parts["anomalies"]
     report = fact.sparkSession.range(1).select(
         F.struct(
             doubles["lignes_avant"].alias("lignes_extraites"),
@@ -156,8 +158,8 @@ def quality_report(
         doubles.alias("dedoublonnage"),
         one_row(filled).alias("imputation"),
         checks.scalar().alias("validation"),
-        anomalies.agg(F.collect_list(F.struct(*anomalies.columns))).scalar().alias("anomalies"),
-        rows(parts["valeurs_manquantes_restantes"], "colonne").alias(
+        rows(parts["anomalies"], "anomalie", FAMILIES).alias("anomalies"),
+        rows(parts["valeurs_manquantes_restantes"], "colonne", fact.columns).alias(
             "valeurs_manquantes_restantes"
         ),
     )

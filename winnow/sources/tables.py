@@ -26,15 +26,21 @@ def read_csv(
     schema: StructType,
     missing: Sequence[str] = MISSING_TEXTS,
     keep_order: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """Read a CSV file with a header under a declared schema.
 
+    Quotes inside a quoted cell are doubled. A row with more or fewer cells than the
+    schema fails the job. ``multiline`` allows line breaks inside quotes; it is off by
+    default, as it forbids to split a file.
+
     Cells are read as text with their blanks, the ``missing`` texts become NULL and
     the rest is cast; under ANSI mode a cell of the wrong type fails the job. An
     absent path fails at once. ``keep_order`` adds the position of each row.
     """
     text = StructType([StructField(f.name, StringType()) for f in schema])
-    raw = spark.read.schema(text).options(header=True, encoding="UTF-8", enforceSchema=False).csv(path)
+    form = {"header": True, "encoding": "UTF-8", "enforceSchema": False, "mode": "FAILFAST"}
+    raw = spark.read.schema(text).options(**form, escape='"', multiLine=multiline).csv(path)
     typed = [
         F.when(~F.col(f.name).isin(*missing), F.col(f.name)).cast(f.dataType).alias(f.name)
         for f in schema
@@ -64,9 +70,9 @@ def read_sources(
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """Write CSV with a header, keeping the blanks around labels."""
+    """Write CSV with a header, keeping the blanks around labels and doubling quotes."""
     df.write.mode("overwrite").options(
-        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
     return path
 
