@@ -258,7 +258,7 @@ def test_best_segmentations_agree_with_all_of_them(best):
     own = nbest.Segmenter(PIECES, best)
     for text in ("hello the", "a  b\nc", "é😀 x", "  x", "\n\n", "unter, ab", "▁a"):
         expected = every_way(own, "▁" + text.replace(" ", "▁"))
-        found = own.text(text, {})
+        found = next(own.texts([text]))
         assert [s for s, _ in found] == pytest.approx([s for s, _ in expected[:best]])
         by_ids = {ids: s for s, ids in expected}
         coded = [tuple(np.frombuffer(ids, "<i4").tolist()) for _, ids in found]

@@ -31,6 +31,9 @@ UNKNOWN_PENALTY = 10.0
 WORDS_KEPT = 400_000
 LISTS_KEPT = 20_000
 SLICE_BYTES = 2_000_000
+# Longer words, and words with characters that are no pieces, are searched one by one.
+LONGEST = 24
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 SPACE = "▁"
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
@@ -67,6 +70,21 @@ class Segmenter:
             piece[:end]: None for piece in self.scores for end in range(1, len(piece))
         }
         self.begun.update(self.scores)
+        # The same as sorted hashes for whole arrays of words, with the piece or -1.
+        self.longest = max(map(len, self.begun), default=1)
+        self.letters = {piece for piece in self.scores if len(piece) == 1}
+        mask, base = 2**64 - 1, int(_BASE)
+        hashed: dict[int, int] = {}
+        for part, piece in self.begun.items():
+            h = 0
+            for c in part:
+                h = (h + ord(c)) * base & mask
+            hashed[h] = -1 if piece is None else piece[0]
+        self.hashes = np.array(sorted(hashed), np.uint64)
+        self.hashed_piece = np.array([hashed[h] for h in sorted(hashed)], np.int64)
+        self.piece_score = np.zeros(len(self.spelled))
+        for i, score in self.scores.values():
+            self.piece_score[i] = score
         self.known: dict[str, tuple[float, bytes, float]] = {}
         self.lists: dict[str, list[tuple[float, bytes]]] = {}
 
@@ -125,6 +143,76 @@ class Segmenter:
             flat.extend(own) if type(own) is tuple else flat.append(own)
         return top[n], array("i", flat).tobytes(), max(lost, 0.0)
 
+    def first_of_many(self, words: list[str]) -> list[tuple[float, bytes, float]]:
+        """What ``first`` gives for each word; short words of known characters all at once.
+
+        Words are rows of characters. Pieces are looked up by rolling hashes of growing length
+        from every place, then the Viterbi scores advance place by place over all words.
+        """
+        fits = [0 < len(w) <= LONGEST and self.letters.issuperset(w) for w in words]
+        rows = [w for w, fit in zip(words, fits) if fit]
+        found = iter(self._first_of_rows(rows) if rows else ())
+        return [next(found) if fit else self.first(w) for w, fit in zip(words, fits)]
+
+    def _pieces_in(self, text: np.ndarray, length: np.ndarray):
+        """Row, start, end and piece of everything in the rows that is a piece."""
+        row, start = np.nonzero(text)
+        hashed = np.zeros(len(row), np.uint64)
+        found = []
+        for size in range(1, self.longest + 1):
+            inside = start + size <= length[row]
+            row, start, hashed = row[inside], start[inside], hashed[inside]
+            hashed = (hashed + text[row, start + size - 1]) * _BASE
+            at = np.minimum(np.searchsorted(self.hashes, hashed), len(self.hashes) - 1)
+            begun = self.hashes[at] == hashed
+            row, start, hashed, at = row[begun], start[begun], hashed[begun], at[begun]
+            piece = self.hashed_piece[at]
+            whole = piece >= 0
+            found.append((row[whole], start[whole], start[whole] + size, piece[whole]))
+            if not len(row):
+                break
+        return tuple(np.concatenate(c) for c in zip(*found))
+
+    def _first_of_rows(self, words: list[str]) -> list[tuple[float, bytes, float]]:
+        text = np.array(words, f"U{LONGEST}").view(np.uint32).reshape(len(words), LONGEST)
+        text = text.astype(np.uint64)
+        length = np.array([len(w) for w in words])
+        row, start, end, piece = self._pieces_in(text, length)
+        score = self.piece_score[piece]
+        every = np.arange(len(words))
+        top = np.full((len(words), LONGEST + 1), -np.inf)
+        after = top.copy()
+        top[:, 0], after[every, length] = 0.0, 0.0
+        by_end, by_start = np.argsort(end, kind="stable"), np.argsort(start, kind="stable")
+        for edges in np.split(by_end, np.cumsum(np.bincount(end))[:-1])[1:]:
+            np.maximum.at(top, (row[edges], end[edges]), top[row[edges], start[edges]] + score[edges])
+        for edges in reversed(np.split(by_start, np.cumsum(np.bincount(start))[:-1])):
+            ahead = after[row[edges], end[edges]] + score[edges]
+            np.maximum.at(after, (row[edges], start[edges]), ahead)
+        best = top[every, length]
+        came = np.full(top.shape, -1)
+        reaches = top[row, start] + score == top[row, end]
+        came[row[reaches], end[reaches]] = np.flatnonzero(reaches)
+        used = np.zeros(len(row), bool)
+        place, live, steps = length.copy(), every, []
+        while len(live):
+            edge = came[live, place[live]]
+            used[edge] = True
+            steps.append((live, piece[edge]))
+            place[live] = start[edge]
+            live = live[start[edge] > 0]
+        loss = np.full(len(words), np.inf)
+        through = best[row] - top[row, start] - score - after[row, end]
+        np.minimum.at(loss, row[~used], through[~used])
+        count = np.bincount(row[used], minlength=len(words))
+        last = np.cumsum(count)
+        flat = np.zeros(int(last[-1]), "<i4")
+        for back, (of, ids) in enumerate(steps, 1):
+            flat[last[of] - back] = ids
+        raw, ends = flat.tobytes(), (4 * last).tolist()
+        spelled = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        return list(zip(best.tolist(), spelled, np.maximum(loss, 0).tolist()))
+
     def word(self, text: str) -> list[tuple[float, bytes]]:
         """The best segmentations of a word: score and ids as little-endian 32-bit integers."""
         ahead, top = self._lattice(text)
@@ -145,19 +233,25 @@ class Segmenter:
                 heappush(queue, (-whole, number, start, score + behind, more + ids))
         return found
 
-    def text(self, text: str, fresh: dict):
-        """The best segmentations of a text as pairs of score and ids in bytes.
+    def texts(self, texts: list[str]) -> Iterator[list[tuple[float, bytes]]]:
+        """The best segmentations of each text as pairs of score and ids in bytes.
 
-        The text gets a space in front. An empty text has one empty segmentation.
+        A text gets a space in front. An empty text has one empty segmentation.
         """
-        if not text:
-            return [(0.0, b"")]
-        units = _UNIT.findall(SPACE + text.replace(" ", SPACE))
+        cut = [_UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        known = self.known
+        new = list({u for units in cut for u in units if u not in known})
+        ways = self.first_of_many(new)
+        room = max(0, WORDS_KEPT - len(known))
+        known.update(zip(new[:room], ways[:room]))
+        fresh = dict(zip(new[room:], ways[room:]))
+        for units in cut:
+            yield self._text(units, fresh) if units else [(0.0, b"")]
+
+    def _text(self, units: list[str], fresh: dict) -> list[tuple[float, bytes]]:
         ways = list(map(self.known.get, units))
         if None in ways:
-            for i, way in enumerate(ways):
-                if way is None:
-                    ways[i] = fresh.get(units[i]) or self._learn(units[i], fresh)
+            ways = [fresh[u] if way is None else way for u, way in zip(units, ways)]
         total = sum([way[0] for way in ways])
         ids = [way[1] for way in ways]
         if self.best == 1:
@@ -182,11 +276,6 @@ class Segmenter:
                         heappush(queue, (loss + more, further))
         return out
 
-    def _learn(self, unit: str, fresh: dict) -> tuple[float, bytes, float]:
-        way = self.first(unit)
-        (self.known if len(self.known) < WORDS_KEPT else fresh)[unit] = way
-        return way
-
     def _list(self, unit: str, first: bytes) -> list[tuple[float, bytes]]:
         """N-best list of a word, the way that stands in the best segmentation first."""
         found = self.lists.get(unit)
@@ -224,10 +313,10 @@ def segmentations(docs: DataFrame, model_path: str, best: int = BEST) -> DataFra
         own = segmenter(model_path, best)
         for batch in batches:
             for rows in slices(batch, "text", SLICE_BYTES // best):
-                fresh: dict = {}
                 keys, ranks, scores, ids = [], [], [], []
-                for key, text in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()):
-                    for rank, (score, coded) in enumerate(own.text(text, fresh), 1):
+                found = own.texts(rows.column("text").to_pylist())
+                for key, ways in zip(rows.column("doc_id").to_pylist(), found):
+                    for rank, (score, coded) in enumerate(ways, 1):
                         keys.append(key)
                         ranks.append(rank)
                         scores.append(score)
@@ -281,10 +370,9 @@ def digests(docs: DataFrame, model_path: str, best: int = BEST) -> DataFrame:
         own = segmenter(model_path, best)
         for batch in batches:
             for rows in slices(batch, "text", SLICE_BYTES):
-                fresh: dict = {}
                 sizes, scores, sums, same = [], [], [], []
-                for text in rows.column("text").to_pylist():
-                    ways = own.text(text, fresh)
+                texts = rows.column("text").to_pylist()
+                for text, ways in zip(texts, own.texts(texts)):
                     sizes.append([len(ids) // 4 for _, ids in ways])
                     scores.append([score for score, _ in ways])
                     sums.append([zlib.crc32(ids) for _, ids in ways])
