@@ -620,6 +620,8 @@ ORACLES: dict[str, str] = {
     "ranked_quantiles": """SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1,
         median(l_extendedprice) AS mediane, quantile_cont(l_extendedprice, 0.75) AS q3
         FROM lineitem GROUP BY 1""",
+    "sketched_quantiles": """SELECT DISTINCT l_returnflag, true AS q1_juste, true AS mediane_juste,
+        true AS q3_juste FROM lineitem""",
     "grower_medians": _sql(
         ("w",),
         """SELECT id_planteur, median(tonnage_kg) AS tonnage_median,

@@ -16,7 +16,7 @@ from winnow.functions.labels import canonical_key, strip_blanks, title_case
 from winnow.functions.rounding import round_half_even
 from winnow.operators.aggregates import distinct_pairs, keys_with_several, union_rows
 from winnow.operators.anomalies import anomaly_summary, flag_anomalies
-from winnow.operators.bounded import shared_folder
+from winnow.operators.bounded import shared_folder, small_or_same
 from winnow.operators.canonical import (
     canonicalisation_stats,
     label_variants,
@@ -268,8 +268,24 @@ def grower_medians(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sketched_quantiles(spark: SparkSession, sf: str) -> DataFrame:
-    return approx_quantiles(
-        table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice", {"mediane": 0.5}
+    """Whether each sketched quartile has a rank within the stated accuracy of the wanted one."""
+    rows, accuracy = table(spark, sf, "lineitem"), 1000
+    wanted = {"q1": 0.25, "mediane": 0.5, "q3": 0.75}
+    sketch = approx_quantiles(rows, ["l_returnflag"], "l_extendedprice", wanted, accuracy)
+    value, size = F.col("l_extendedprice"), F.count("*")
+    error = 1 / accuracy + 1 / size  # a wanted rank between two rows may fall on either
+    return (
+        rows.join(small_or_same(sketch), "l_returnflag")
+        .groupBy("l_returnflag")
+        .agg(
+            *[
+                (
+                    (F.count_if(value < F.col(q)) / size <= p + error)
+                    & (F.count_if(value <= F.col(q)) / size >= p - error)
+                ).alias(f"{q}_juste")
+                for q, p in wanted.items()
+            ]
+        )
     )
 
 

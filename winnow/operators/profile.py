@@ -115,20 +115,19 @@ def distribution(
     One scan yields the counted values of all measures together; every figure is
     then a weighted aggregate of those.
     """
-    counts = measure_counts(df, [Measure(m, m) for m in measures]).dropna(subset=[VALUE])
+    counts = durable(measure_counts(df, [Measure(m, m) for m in measures]).dropna(subset=[VALUE]))
     small = local_if_small(counts, local_rows)
     if small is not None:
         counts = small
         quartiles = quantiles_of_counts(counts, ["mesure"], QUARTILES)
     else:
-        counts = durable(counts)
         quartiles = ranked_quantiles(counts, ["mesure"], QUARTILES)
     rows, weighted = F.sum(COUNT), F.sum(F.col(VALUE) * F.col(COUNT))
     mean = F.try_divide(weighted, rows)
+    # One row per measure, so the counted values are not shuffled by so few keys.
+    means = F.broadcast(counts.groupBy("mesure").agg(rows.alias("nombre"), mean.alias("moyenne")))
     moments = (
-        counts.join(
-            counts.groupBy("mesure").agg(rows.alias("nombre"), mean.alias("moyenne")), "mesure"
-        )
+        counts.join(means, "mesure")
         .groupBy("mesure", "nombre", "moyenne")
         .agg(
             F.sum(F.pow(F.col(VALUE) - F.col("moyenne"), 2) * F.col(COUNT)).alias("squares"),

@@ -19,6 +19,7 @@ from winnow.operators.bounded import LOCAL_ROWS, durable, local_if_small, small_
 
 VALUE, COUNT = "value", "n"
 MEDIAN = {"median": 0.5}
+PART_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -80,12 +81,14 @@ def quantiles_of_counts(
 def ranked_quantiles(
     counts: DataFrame, keys: Sequence[str], quantiles: Mapping[str, float] = MEDIAN
 ) -> DataFrame:
-    """The same result for a ``(keys..., value, n)`` table of any size."""
+    """The same result for a durable ``(keys..., value, n)`` table of any size."""
     keys, names = list(keys), list(quantiles)
     # Range boundaries come from a sample, so the split is made durable before it
-    # is read more than once.
+    # is read more than once. A task sorts about PART_ROWS counted values.
+    usual = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(usual, -(-counts.count() // PART_ROWS))
     parts = durable(
-        counts.repartitionByRange(*keys, VALUE).withColumn("part", F.spark_partition_id())
+        counts.repartitionByRange(ranges, *keys, VALUE).withColumn("part", F.spark_partition_id())
     )
     whole = Window.partitionBy(*keys)
     totals = (
@@ -138,7 +141,7 @@ def group_quantiles(
     local_rows: int = LOCAL_ROWS,
 ) -> DataFrame:
     """Exact quantiles of ``value`` per group, equal to linear interpolation in pandas."""
-    counts = value_counts(df, keys, value)
+    counts = durable(value_counts(df, keys, value))  # counted once, on either path
     small = local_if_small(counts, local_rows)
     if small is not None:
         return quantiles_of_counts(small, keys, quantiles)
