@@ -40,7 +40,7 @@ def awkward() -> list[tuple[int | None, str | None, str | None]]:
         (1001, None, "en"),
         (1002, "", None),
         (1003, "   \n\t ", "de"),
-        (1004, "!!! ... 123", "fr"),
+        (1004, "!!! ... 123 \u0301", "fr"),
         (1005, long, "en"),
         (1006, long, "en"),
         (1007, "a", "en"),

@@ -31,8 +31,12 @@ MIN_MARGIN = 0.002
 
 
 def _letters():
-    """Lower-case letters with single blanks for all else, so case and symbols say nothing."""
-    return F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{M}]+", " "))
+    """Lower-case letters with single blanks for all else, so case and symbols say nothing.
+
+    Empty without a letter, whatever marks there are.
+    """
+    kept = F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{M}]+", " "))
+    return F.when(F.regexp("text", F.lit(r"\p{L}")), kept).otherwise("")
 
 
 def learn_dictionaries(

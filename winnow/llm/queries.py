@@ -116,6 +116,36 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_dart_minhash": """
+        WITH RECURSIVE split AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\v\\f\\r]+'),
+                lambda x: x <> '') AS words
+            FROM documents WHERE doc_id IS NOT NULL
+        ), grams AS (
+            SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i
+            FROM split WHERE len(words) > 0
+        ), bags AS (
+            SELECT doc_id, array_to_string(words[i : i + 4], ' ') AS gram, count(*) AS n
+            FROM grams GROUP BY ALL
+        ), sizes AS (SELECT doc_id, sum(n) AS total FROM bags GROUP BY 1
+        ), pairs AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, sum(least(x.n, y.n)) AS common
+            FROM bags x JOIN bags y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM pairs JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+            WHERE common >= 0.8 * (s.total + t.total - common) - 1e-9
+            UNION ALL
+            SELECT (SELECT min(doc_id) FROM split WHERE len(words) = 0), doc_id
+            FROM split WHERE len(words) = 0
+        ), reach AS (
+            SELECT doc_id AS id, doc_id AS root FROM split
+            UNION
+            SELECT e.b, r.root FROM reach r
+            JOIN (SELECT a, b FROM links UNION SELECT b, a FROM links) e ON e.a = r.id
+        )
+        SELECT id AS doc_id, min(root) AS group_id FROM reach GROUP BY 1
+    """,
     "op5_segment_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
