@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from winnow.operators.bounded import shared_folder
 
+# Documents of a part when a table is dealt by ranges; about 100 MB of text.
+ROWS_EACH = 40_000
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -61,7 +63,7 @@ def whole_text(docs: DataFrame, *extra: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *extra)
 
 
-def splits(df: DataFrame) -> int:
-    """Number of partitions for a table that is as large as this one's input."""
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(wanted, df.rdd.getNumPartitions())
+def splits(df: DataFrame, rows_each: int = ROWS_EACH) -> int:
+    """Number of parts for a table of this size, at least the session's shuffle partitions."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, -(-df.count() // rows_each))

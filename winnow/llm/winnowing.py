@@ -75,9 +75,7 @@ def with_fingerprint(
     df = df.withColumn(work, F.array_distinct(F.slice(work, F.lit(1), windows)))
 
     def shown(chosen):
-        place = last - F.bitwise_and(chosen, last) if hasattr(F, "bitwise_and") else (
-            last - chosen.bitwiseAND(last)
-        )
+        place = last - chosen.bitwiseAND(last)
         return F.concat_ws(":", place.cast("string"), F.lower(F.hex(F.shiftright(chosen, 31))))
 
     df = df.withColumn(f"{prefix}fingerprint", F.array_join(F.transform(work, shown), " "))
