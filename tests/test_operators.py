@@ -303,9 +303,10 @@ def test_date_spine_and_weights(spark):
     assert date_spine(df.limit(0), F.to_date("d")).isEmpty()
 
 
-def test_star_keys_are_dense_and_facts_complete(spark):
+@pytest.mark.parametrize("local_rows", [LOCAL_ROWS, 100])
+def test_star_keys_are_dense_and_facts_complete(spark, local_rows):
     reference = spark.range(1000).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("a"))
-    dim = dimension(reference, "k", "sk", ["a"])
+    dim = dimension(reference, "k", "sk", ["a"], local_rows)
     got = rows(dim.select("sk", "k"), "sk")
     assert got == list(enumerate(sorted(f"k{i}" for i in range(1000)), start=1))
     fact = spark.createDataFrame([("k5", 1), ("nope", 2)], "k string, m int")

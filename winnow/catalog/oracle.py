@@ -733,9 +733,9 @@ ORACLES: dict[str, str] = {
     ),
     "union_duplicates": _sql(("f",), "SELECT * FROM f ORDER BY date, id_pesee"),
     "preview": _sql(
-        ("f",),
-        """SELECT DISTINCT id_pesee, date, qualite, tonnage_kg, prix_fcfa_kg FROM f
-        ORDER BY date, id_pesee, tonnage_kg, prix_fcfa_kg LIMIT 5""",
+        ("clean",),
+        """SELECT id_pesee, strftime(date, '%Y-%m-%d') AS date, qualite, tonnage_kg, prix_fcfa_kg
+        FROM clean ORDER BY date, id_pesee LIMIT 5""",
     ),
     "compliance_by_month": _sql(
         ("imp",),

@@ -29,8 +29,8 @@ from winnow.operators.impute import imputation_summary, measured_only
 from winnow.operators.joins import (
     duplicate_keys,
     hierarchy_counts,
-    orphan_count,
     orphan_keys,
+    orphan_label_count,
 )
 from winnow.operators.profile import (
     count_where,
@@ -183,11 +183,8 @@ def orphans_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def orphans_canonical(spark: SparkSession, sf: str) -> DataFrame:
-    return orphan_count(
-        weighings(spark, sf),
-        canonical_key("cooperative"),
-        cooperatives(spark, sf),
-        canonical_key("code_cooperative"),
+    return orphan_label_count(
+        weighings(spark, sf), "cooperative", cooperatives(spark, sf), "code_cooperative", canonical_key
     )
 
 
@@ -407,14 +404,9 @@ def union_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, sf: str) -> DataFrame:
-    """First five rows in date order."""
-    return (
-        fact(spark, sf)
-        .select("id_pesee", "date", "qualite", "tonnage_kg", "prix_fcfa_kg")
-        .distinct()
-        .orderBy("date", "id_pesee", "tonnage_kg", "prix_fcfa_kg")
-        .limit(5)
-    )
+    """First five rows of the clean fact in date order."""
+    rows = _clean(spark, sf).fact.select("id_pesee", "date", "qualite", "tonnage_kg", "prix_fcfa_kg")
+    return _text(rows.orderBy("date", "id_pesee").limit(5), "date")
 
 
 def compliance_by_month(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,7 @@ the fact by key first, so a hot key reaches the join as one row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -77,6 +77,24 @@ def orphan_count(
     return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphelins"))
 
 
+def orphan_label_count(
+    df: DataFrame,
+    label: str,
+    reference: DataFrame,
+    reference_label: str,
+    key: Callable[[str], Column],
+) -> DataFrame:
+    """One row ``orphelins``: fact rows whose label has no equal in the reference under ``key``.
+
+    The key is taken once per distinct label, not per row.
+    """
+    labels = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
+    keys = labels.select(key("label").alias("key"), "n")
+    known = reference.select(key(reference_label).alias("known")).distinct()
+    lost = keys.join(known, F.col("key") == F.col("known"), "left_anti")
+    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphelins"))
+
+
 def hierarchy_counts(
     df: DataFrame,
     key: str,

@@ -4,24 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from winnow.operators.bounded import durable
+from winnow.operators.bounded import LOCAL_ROWS, durable, rows_if_small
 from winnow.operators.joins import attach_reference
 
 
 def dimension(
-    reference: DataFrame, natural_key: str, surrogate: str, attributes: Sequence[str] = ()
+    reference: DataFrame,
+    natural_key: str,
+    surrogate: str,
+    attributes: Sequence[str] = (),
+    local_rows: int = LOCAL_ROWS,
 ) -> DataFrame:
     """One row per natural key with a dense surrogate 1..n in key order.
 
-    Rows are numbered inside many range partitions and shifted by the sizes of the
-    partitions before; only those sizes, one row per partition, meet in one task.
+    A dimension that is proven small is numbered in one sort. Otherwise rows are numbered
+    inside many range partitions and shifted by the sizes of the partitions before; only
+    those sizes, one row per partition, meet in one task. The numbers are the same.
     """
     rows = reference.select(natural_key, *attributes).filter(F.col(natural_key).isNotNull())
     if not attributes:
         rows = rows.distinct()
+    small = rows_if_small(rows, local_rows)
+    if small is not None:
+        ordered = small.sort_by(natural_key)
+        numbers = pa.array(range(1, ordered.num_rows + 1), pa.int64())
+        table = ordered.add_column(0, surrogate, numbers)
+        schema = StructType([StructField(surrogate, LongType()), *rows.schema])
+        return reference.sparkSession.createDataFrame(table, schema=schema)
     # Range boundaries come from a sample: read them twice from a durable copy.
     parts = durable(
         rows.repartitionByRange(natural_key).withColumn("part", F.spark_partition_id())

@@ -11,7 +11,7 @@ from winnow.functions.calendar import parse_date
 from winnow.functions.labels import canonical_key
 from winnow.operators.canonical import label_variants, variant_sample
 from winnow.operators.dedup import duplicate_counts
-from winnow.operators.joins import orphan_count
+from winnow.operators.joins import orphan_count, orphan_label_count
 from winnow.operators.profile import (
     count_where,
     distribution,
@@ -57,9 +57,7 @@ def audit_integrity(
     """Orphan rows per key; labels are compared by canonical key, so variants are none."""
 
     def labels(column: str, reference_column: str) -> DataFrame:
-        return orphan_count(
-            fact, canonical_key(column), cooperatives, canonical_key(reference_column)
-        )
+        return orphan_label_count(fact, column, cooperatives, reference_column, canonical_key)
 
     return {
         "id_planteur": orphan_count(fact, "id_planteur", growers, "id_planteur"),
