@@ -53,7 +53,10 @@ def near_copies():
     return rows
 
 
-def test_groups_agree_with_all_pairs(spark):
+@pytest.mark.parametrize("few, block", [(16, 512), (2, 5)])
+def test_groups_agree_with_all_pairs(spark, monkeypatch, few, block):
+    monkeypatch.setattr(dart, "FEW", few)
+    monkeypatch.setattr(dart, "BLOCK", block)
     rows = near_copies() + [r for r in awkward() if r[0] is not None]
     found = dart.near_duplicates(frame(spark, rows)).collect()
     assert len(found) == len(rows)

@@ -31,6 +31,8 @@ BAND_ROWS = 5
 # Rounds of one centre per bucket before what is left is compared in blocks of so many texts.
 CENTRES = 2
 BLOCK = 512
+# Groups of at most so many texts are compared as listed pairs.
+FEW = 16
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -263,40 +265,37 @@ def _several(placed: DataFrame) -> DataFrame:
     return groups.where("least <> most").select("band", "main")
 
 
-def _left_over(placed: DataFrame, state: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All links between groups that still meet in a bucket, exactly.
+def _links_across(left: DataFrame, right: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All links between the texts ``id`` of ``left`` and of ``right`` with the same ``group``.
 
-    A text outside the largest group of a bucket is compared with every member of that group,
-    and with every member of the other groups of the bucket that have a smaller root. A group
-    and the texts that wait for it are cut into blocks, and a task meets one block of either;
-    it returns the links and no other pair.
+    Where the right side of a group has at most ``FEW`` texts, the pairs are listed and compared,
+    at most so many for a text. The others are cut into blocks on both sides and a task meets one
+    block of either; it returns the links and no other pair.
     """
-    outside = placed.where("root <> main").select("band", "id", "root", "main").distinct()
-    others = outside.select("band", F.col("root").alias("group")).distinct()
-    waiting = (
-        outside.select("id", F.col("main").alias("group"))
-        .unionByName(outside.join(others, "band").where("group < root").select("id", "group"))
-        .distinct()
-    )
-    waiting = kept(waiting, "waiting")
-    queue = waiting.groupBy("group").agg(F.count("*").alias("texts"))
-    size = state.groupBy(F.col("root").alias("group")).agg(F.count("*").alias("members"))
+    queue = left.groupBy("group").agg(F.count("*").alias("texts"))
+    size = right.groupBy("group").agg(F.count("*").alias("members"))
     plan = queue.join(size, "group").select(
         "group",
+        (F.col("members") <= FEW).alias("few"),
         F.ceil(F.col("texts") / BLOCK).cast("int").alias("columns"),
         F.ceil(F.col("members") / BLOCK).cast("int").alias("rows"),
     )
+    plan = kept(plan, "plan")
+    listed = left.join(plan.where("few").select("group"), "group").join(
+        right.select("group", F.col("id").alias("other")), "group"
+    )
+    pairs = listed.where("id <> other").select(
+        F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")
+    )
+    large = plan.where("NOT few").drop("few")
 
     def dealt(rows: DataFrame, own: str, across: str, names: tuple[str, str]) -> DataFrame:
-        cut = rows.join(plan, "group").withColumn(
+        cut = rows.join(large, "group").withColumn(
             names[0], F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
         )
         blocks = F.explode(F.sequence(F.lit(0), F.col(across) - 1)).alias(names[1])
         return cut.select("group", "id", names[0], blocks).join(sets, "id")
 
-    members = dealt(state.select("id", F.col("root").alias("group")), "rows", "columns", ("i", "j"))
-    texts = dealt(waiting, "columns", "rows", ("j", "i"))
-
     def meet(_, left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple[int, int]] = []
         if left.num_rows and right.num_rows:
@@ -317,10 +316,29 @@ def _left_over(placed: DataFrame, state: DataFrame, sets: DataFrame, similarity:
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+    texts = dealt(left, "columns", "rows", ("j", "i"))
+    members = dealt(right, "rows", "columns", ("i", "j"))
     # Names of their own, as both sides read ``sets``.
     members = members.select([F.col(c).alias(f"m_{c}") for c in members.columns])
     met = texts.groupBy("group", "i", "j").cogroup(members.groupBy("m_group", "m_i", "m_j"))
-    return met.applyInArrow(meet, "a long, b long")
+    return _similar(pairs.distinct(), sets, similarity).unionByName(
+        met.applyInArrow(meet, "a long, b long")
+    )
+
+
+def _left_over(placed: DataFrame, state: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All links between groups that still meet in a bucket, exactly.
+
+    A text outside the largest group of its bucket is compared with every member of that group,
+    and the texts outside of it with each other.
+    """
+    outside = kept(placed.where("root <> main").select("band", "id", "main"), "outside")
+    waiting = outside.select("id", F.col("main").alias("group")).distinct()
+    members = state.select("id", F.col("root").alias("group"))
+    others = outside.select("id", F.col("band").alias("group"))
+    return _links_across(waiting, members, sets, similarity).unionByName(
+        _links_across(others, others, sets, similarity)
+    )
 
 
 def near_duplicates(
