@@ -266,6 +266,19 @@ def test_best_segmentations_agree_with_all_of_them(best):
         assert all(by_ids[ids] == pytest.approx(s) for ids, (s, _) in zip(coded, found))
 
 
+def test_units_of_any_length_are_searched():
+    rng = random.Random(12)
+    own = nbest.Segmenter(PIECES, 4)
+    unspaced = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/", k=100_000))
+    for text in (unspaced, "中文字" * 30_000, "-" * 398, "-" * 1_000):
+        ways = next(own.texts([text]))
+        assert [s for s, _ in ways] == sorted((s for s, _ in ways), reverse=True)
+        assert len({ids for _, ids in ways}) == len(ways)
+        assert all(own.decode(ids) == text for _, ids in ways)
+    # A long unit's ways are not kept.
+    assert all(len(unit) <= nbest.LONGEST_KEPT for unit in [*own.known, *own.lists])
+
+
 def test_segmentations_decode_to_their_texts(spark):
     docs = frame(spark, ROWS)
     ways = kept(nbest.segmentations(docs, PIECES, 3), "ways")

@@ -1,12 +1,11 @@
 """N-best segmentation of whole texts into the pieces of a SentencePiece model, and decoding.
 
-Forward Viterbi scores of a lattice of pieces are the exact scores of the best way from the
-beginning to each place, so a backward A-star search with them as heuristic finds the
-segmentations in order of their scores without a wasted step.
+A forward Viterbi pass over a lattice of pieces that keeps the N best ways to each place gives
+the N best segmentations exactly, in time and memory that grow with the length of the text only.
 
 No piece of such a model goes on over a space or holds a line feed, so the lattice of a text is
 a chain of lattices of words: each distinct word is searched once, and the best combinations of
-the words' lists are found by the same search over the chain.
+the words' lists are found by a best-first search over the chain.
 """
 
 from __future__ import annotations
@@ -30,6 +29,10 @@ UNKNOWN_PENALTY = 10.0
 # Words whose best way, and whose lists, one Python worker keeps, about 130 MB.
 WORDS_KEPT = 400_000
 LISTS_KEPT = 20_000
+# Ways of longer units are not kept, so that the bounds above are bounds of memory.
+LONGEST_KEPT = 64
+# Instead of a piece, for a character that only byte pieces can spell.
+SPELLED_BY_BYTES = -1
 SLICE_BYTES = 2_000_000
 # Longer words, and words with characters that are no pieces, are searched one by one.
 LONGEST = 24
@@ -88,60 +91,62 @@ class Segmenter:
         self.known: dict[str, tuple[float, bytes, float]] = {}
         self.lists: dict[str, list[tuple[float, bytes]]] = {}
 
-    def _lattice(self, text: str):
-        """Pieces that end at each place as (start, score, id or ids), and Viterbi scores."""
-        n, begun = len(text), self.begun
-        ahead: list[list[tuple]] = [[] for _ in range(n + 1)]
-        top = [0.0] + [-np.inf] * n
-        for start in range(n):
-            here = top[start]
-            alone = begun.get(text[start])
-            if alone is None:
-                ids = tuple(self.bytes_of.get(b, 0) for b in text[start].encode())
-                alone = (ids, self.unknown)
-            ahead[start + 1].append((start, alone[1], alone[0]))
-            if here + alone[1] > top[start + 1]:
-                top[start + 1] = here + alone[1]
-            for end in range(start + 2, n + 1):
-                part = text[start:end]
-                if part not in begun:
-                    break
-                piece = begun[part]
-                if piece is not None:
-                    score = piece[1]
-                    ahead[end].append((start, score, piece[0]))
-                    if here + score > top[end]:
-                        top[end] = here + score
-        return ahead, top
+    def nbest(self, text: str, most: int) -> list[tuple[float, bytes]]:
+        """The best ``most`` segmentations: score and ids as little-endian 32-bit integers.
 
-    def first(self, text: str) -> tuple[float, bytes, float]:
-        """The best segmentation of a word, its score and what the second best loses.
-
-        Every other way has a piece that the best has not; the loss of the best way through a
-        piece is known from the Viterbi scores before it and after it.
+        At each place only the best ``most`` ways from the beginning are kept, as no other can
+        be part of a result. A way is its last piece and the rank of the way before it, so a
+        unit of any length takes 8 bytes for each character and way. Equal scores are ordered
+        by the last pieces, which depends on the text alone.
         """
-        ahead, top = self._lattice(text)
-        n = len(text)
-        after = [-np.inf] * n + [0.0]
-        lost, place, ids = np.inf, n, []
-        for end in range(n, 0, -1):
-            behind, chosen = after[end], None
-            for edge in ahead[end]:
-                start, score, own = edge
-                through = score + behind
-                if through > after[start]:
-                    after[start] = through
-                if end == place and chosen is None and top[start] + score == top[end]:
-                    chosen = edge
-                elif top[n] - top[start] - through < lost:
-                    lost = top[n] - top[start] - through
-            if chosen is not None:
-                place = chosen[0]
-                ids.append(chosen[2])
-        flat: list[int] = []
-        for own in reversed(ids):
-            flat.extend(own) if type(own) is tuple else flat.append(own)
-        return top[n], array("i", flat).tobytes(), max(lost, 0.0)
+        n, begun, ring = len(text), self.begun, self.longest + 1
+        cells = (n + 1) * most
+        spans, ranks = array("H", bytes(2 * cells)), array("H", bytes(2 * cells))
+        pieces = array("i", bytes(4 * cells))
+        # Ways to the places that pieces from here can reach.
+        ahead: list[list[tuple[float, int, int, int]]] = [[] for _ in range(ring)]
+        here = [(0.0, 0, 0, 0)]
+        for place in range(n + 1):
+            if place:
+                here, ahead[place % ring] = ahead[place % ring], []
+                here.sort()
+                del here[most:]
+                for at, (_, span, rank, piece) in enumerate(here, place * most):
+                    spans[at], ranks[at], pieces[at] = span, rank, piece
+            if place == n:
+                break
+            alone = begun.get(text[place]) or (SPELLED_BY_BYTES, self.unknown)
+            piece, score = alone
+            for span in range(1, n - place + 1):
+                if span > 1:
+                    part = text[place : place + span]
+                    if part not in begun:
+                        break
+                    if begun[part] is None:
+                        continue
+                    piece, score = begun[part]
+                ahead[(place + span) % ring].extend(
+                    [(way[0] - score, span, rank, piece) for rank, way in enumerate(here)]
+                )
+        return [(-way[0], self._ids(text, rank, most, spans, ranks, pieces)) for rank, way in enumerate(here)]
+
+    def _ids(self, text: str, rank: int, most: int, spans: array, ranks: array, pieces: array) -> bytes:
+        """The ids of the way of this rank to the end of a text."""
+        place, ids = len(text), array("i")
+        while place:
+            at = place * most + rank
+            place, rank = place - spans[at], ranks[at]
+            if pieces[at] == SPELLED_BY_BYTES:
+                ids.extend([self.bytes_of.get(b, 0) for b in reversed(text[place].encode())])
+            else:
+                ids.append(pieces[at])
+        ids.reverse()
+        return ids.tobytes()
+
+    def first(self, text: str) -> tuple[float, bytes, float]:
+        """The best segmentation of a word, its score and what the second best loses."""
+        ways = self.nbest(text, 2)
+        return *ways[0], ways[0][0] - ways[1][0] if len(ways) > 1 else np.inf
 
     def first_of_many(self, words: list[str]) -> list[tuple[float, bytes, float]]:
         """What ``first`` gives for each word; short words of known characters all at once.
@@ -213,26 +218,6 @@ class Segmenter:
         spelled = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
         return list(zip(best.tolist(), spelled, np.maximum(loss, 0).tolist()))
 
-    def word(self, text: str) -> list[tuple[float, bytes]]:
-        """The best segmentations of a word: score and ids as little-endian 32-bit integers."""
-        ahead, top = self._lattice(text)
-        n = len(text)
-        found: list[tuple[float, bytes]] = []
-        # An entry is a way from ``place`` to the end; its key is the best whole score with it.
-        queue = [(-top[n], 0, n, 0.0, ())]
-        number = 0
-        while queue and len(found) < self.best:
-            _, _, place, behind, ids = heappop(queue)
-            if place == 0:
-                found.append((behind, array("i", ids).tobytes()))
-                continue
-            for start, score, own in ahead[place]:
-                number += 1
-                more = own if type(own) is tuple else (own,)
-                whole = top[start] + score + behind
-                heappush(queue, (-whole, number, start, score + behind, more + ids))
-        return found
-
     def texts(self, texts: list[str]) -> Iterator[list[tuple[float, bytes]]]:
         """The best segmentations of each text as pairs of score and ids in bytes.
 
@@ -241,8 +226,10 @@ class Segmenter:
         cut = [_UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         known = self.known
         new = list({u for units in cut for u in units if u not in known})
+        new.sort(key=lambda u: len(u) > LONGEST_KEPT)
         ways = self.first_of_many(new)
-        room = max(0, WORDS_KEPT - len(known))
+        short = sum(len(u) <= LONGEST_KEPT for u in new)
+        room = min(short, max(0, WORDS_KEPT - len(known)))
         known.update(zip(new[:room], ways[:room]))
         fresh = dict(zip(new[room:], ways[room:]))
         for units in cut:
@@ -280,8 +267,8 @@ class Segmenter:
         """N-best list of a word, the way that stands in the best segmentation first."""
         found = self.lists.get(unit)
         if found is None:
-            found = sorted(self.word(unit), key=lambda way: (-way[0], way[1] != first))
-            if len(self.lists) < LISTS_KEPT:
+            found = sorted(self.nbest(unit, self.best), key=lambda way: (-way[0], way[1] != first))
+            if len(self.lists) < LISTS_KEPT and len(unit) <= LONGEST_KEPT:
                 self.lists[unit] = found
         return found
 
