@@ -189,6 +189,30 @@ def test_toxic_words_and_documents_are_found(spark):
     assert crf.score(docs.limit(0), field).count() == 0
 
 
+def toxic_texts(rng, number, marks):
+    """Clean texts, and toxic ones with three words each that are dealt in turn from ``marks``."""
+    clean = [prose(rng, "en", 40) for _ in range(5 * number)]
+    toxic = []
+    for i in range(number):
+        own = prose(rng, "en", 40).split()
+        for k in range(3):
+            own.insert(rng.randrange(len(own)), marks[(3 * i + k) % len(marks)])
+        toxic.append(" ".join(own))
+    return clean, toxic
+
+
+@pytest.mark.parametrize("number, each", [(6, 6), (240, 6)])
+def test_toxic_words_in_few_texts_are_learnt(number, each):
+    rng = random.Random(21)
+    marks = ["".join(rng.choices("bdfgjkmpqvxz", k=8)) for _ in range(3 * number // each)]
+    clean, toxic = toxic_texts(rng, number, marks)
+    field = crf.fit(clean + toxic, [False] * len(clean) + [True] * len(toxic))
+    fresh_clean, fresh_toxic = toxic_texts(rng, number, marks)
+    scores = [crf._judged(pa.array(t), field)[2] for t in (fresh_clean, fresh_toxic)]
+    assert (scores[1] >= crf.THRESHOLD).mean() >= 0.9
+    assert (scores[0] >= crf.THRESHOLD).mean() <= 0.05
+
+
 def test_toxicity_without_labels_of_both_kinds(spark):
     docs = frame(spark, ROWS)
     for texts_, flags in (([], []), (["a b"], [True]), (["", ""], [True, False])):

@@ -2,8 +2,9 @@
 
 Words are tagged clean or toxic. The tags of the training documents come from their labels: in a
 document labelled toxic, the words whose form or beginning is far more frequent in toxic than in
-clean documents. The field is fitted to these tags; forward-backward marginals of every whole
-text give the offending offsets and, summed up, a calibrated document score.
+clean documents, by a false discovery rate that holds for any number of texts. The field is
+fitted to these tags; forward-backward marginals of every whole text give the offending offsets
+and, summed up, a calibrated document score.
 """
 
 from __future__ import annotations
@@ -25,10 +26,12 @@ BUCKETS = 1 << 18
 SAMPLE_TOXIC = 1000
 SAMPLE_CLEAN = 1000
 PASSES = 40
-# A word is tagged if it, or its beginning, occurs in so many toxic texts and is so many times
-# as frequent in them as in clean ones.
-TAG_TEXTS = 8
+# A word is tagged if it, or its beginning, is so many times as frequent in toxic texts as in
+# clean ones, and so large a share of the words that are as unlikely by chance are no chance.
 TAG_RATIO = 20.0
+TAG_TRUE = 0.8
+# Smallest hashes by which edited copies are recognised.
+COPY_HASHES = 8
 THRESHOLD = 0.7
 SPAN_PROBABILITY = 0.5
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -95,12 +98,7 @@ def _adam(gradient, x: np.ndarray, passes: int, rate: float) -> np.ndarray:
 
 def _tags(words: Words, found: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Words of toxic texts whose form or beginning marks toxic texts."""
-    # Copies share the smallest word hash, so a group of them counts about once.
-    key = np.zeros(len(toxic), np.uint64)
-    some = np.flatnonzero(words.counts)
-    begins = (np.cumsum(words.counts) - words.counts)[some]
-    key[some] = np.minimum.reduceat(words.hash, begins)
-    _, key = np.unique(key, return_inverse=True)
+    key = _copies(words)
     bad = toxic[words.doc]
     tag = np.zeros(len(words.doc), bool)
     texts = [max(1, len(np.unique(key[toxic == t]))) for t in (False, True)]
@@ -110,11 +108,72 @@ def _tags(words: Words, found: np.ndarray, toxic: np.ndarray) -> np.ndarray:
             use = bad == kind
             pairs = np.unique(feature[use].astype(np.int64) * len(toxic) + key[words.doc[use]])
             counted.append(np.bincount(pairs // len(toxic), minlength=BUCKETS))
-        ratio = ((counted[1] + 0.5) / texts[1]) / ((counted[0] + 0.5) / texts[0])
-        tag |= ((counted[1] >= TAG_TEXTS) & (ratio >= TAG_RATIO))[feature] & bad
+        far = counted[1] * texts[0] >= TAG_RATIO * counted[0] * texts[1]
+        true = _discoveries(counted[1], counted[0], texts[1] / (texts[0] + texts[1]))
+        tag |= (far & (true >= TAG_TRUE))[feature] & bad
     return tag
 
 
+def _copies(words: Words) -> np.ndarray:
+    """The same number for texts that share a smallest hash of three words, so copies, also
+    edited ones, count about once."""
+    n = len(words.counts)
+    key = np.arange(n)
+    some = np.flatnonzero(words.counts)
+    begins = (np.cumsum(words.counts) - words.counts)[some]
+    grams = words.hash.copy()
+    for step in (1, 2):
+        same = words.doc[step:] == words.doc[:-step]
+        grams[:-step] += np.where(same, mix(words.hash[step:] + np.uint64(step)), np.uint64(0))
+    least = []
+    for i in range(COPY_HASHES):
+        salted = mix(grams + np.uint64(int(_GOLDEN) * i % 2**64))
+        least.append(np.unique(np.minimum.reduceat(salted, begins), return_inverse=True)[1])
+    while True:
+        before = key.copy()
+        for groups in least:
+            lowest = np.full(groups.max(initial=0) + 1, n)
+            np.minimum.at(lowest, groups, key[some])
+            key[some] = lowest[groups]
+        if (key == before).all():
+            return key
+
+
+def _discoveries(toxic: np.ndarray, clean: np.ndarray, share: float) -> np.ndarray:
+    """Share of true marks among the features at least as unlikely by chance as each.
+
+    By chance a feature's texts are toxic independently, each with probability ``share``. The
+    numbers of texts allow few tail probabilities, so the marks to expect by chance are summed
+    over the features with each number of texts.
+    """
+    draws = toxic + clean
+    numbers = np.unique(draws[draws > 0])
+    features_of = np.bincount(draws)
+    ways = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, draws.max(initial=0) + 1)))])
+    tails = {}
+    for n in numbers.tolist():
+        k = np.arange(n + 1)
+        hits = ways[n] - ways[k] - ways[n - k] + k * np.log(share) + (n - k) * np.log1p(-share)
+        tails[n] = np.minimum(np.cumsum(np.exp(hits)[::-1])[::-1], 1.0)
+    chance = np.ones(len(draws))
+    for n in numbers.tolist():
+        own = np.flatnonzero(draws == n)
+        chance[own] = tails[n][toxic[own]]
+    levels, back, found = np.unique(chance, return_inverse=True, return_counts=True)
+    expected = np.zeros(len(levels))
+    for n in numbers.tolist():
+        # The largest tail probability of n texts that is not over the level.
+        reached = np.append(0.0, tails[n][::-1])
+        at = np.searchsorted(tails[n][::-1], levels, "right")
+        expected += features_of[n] * reached[at]
+    # Empty buckets are no features; they have the last level.
+    found[-1] -= np.count_nonzero(draws == 0)
+    false = np.minimum(expected / np.maximum(np.cumsum(found), 1), 1.0)
+    # A less likely feature is never the falser one.
+    false = np.minimum.accumulate(false[::-1])[::-1]
+    return (1 - false)[back]
+
+
 def fit(texts: list[str], toxic: list[bool], passes: int = PASSES) -> Field:
     """The field and document scores of labelled texts; the texts are a bounded sample.
 
