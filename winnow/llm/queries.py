@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import crf, dart, hmm, langid, nbest, packing, quality, tokens, topk, winnowing
+from winnow.llm import (
+    crf,
+    dart,
+    heap_clusters,
+    hmm,
+    langid,
+    means_tree,
+    nbest,
+    packing,
+    quality,
+    reversed_search,
+    tokens,
+    topk,
+    winnowing,
+)
 from winnow.llm.shared import crc_mod, kept, table, whole_text, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +116,23 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_means_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty nearest found neighbours of every twentieth vector."""
+    return means_tree.search(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
+def op12_heap_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen clusters of all vectors after three rounds."""
+    return heap_clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty best documents for every benchmark item."""
+    return reversed_search.search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_compression_language_id": op2_compression_language_id,
@@ -113,8 +144,32 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_random_indexing_quality": op9_random_indexing_quality,
     "op10_winnowing": op10_winnowing,
+    "op11_means_tree_neighbours": op11_means_tree_neighbours,
+    "op12_heap_clusters": op12_heap_clusters,
+    "op13_reversed_search": op13_reversed_search,
 }
 
+
+def _cluster_rounds(rounds: int) -> str:
+    """The rounds of ``op12_heap_clusters`` as common table expressions."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS (
+            SELECT v.row, v.vec_id, v.x, arg_min(c.cluster, (d, c.cluster)) AS cluster, min(d) AS distance
+            FROM v, c{r} c, LATERAL (SELECT list_sum(list_transform(list_zip(v.x, c.x),
+                lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d)
+            GROUP BY ALL)""")
+        if r < rounds:
+            steps.append(f"""sums{r} AS (
+            SELECT cluster, i, sum(x[i])::BIGINT AS s, count(*) AS n
+            FROM near{r}, range(1, 65) AS t(i) GROUP BY ALL
+        ), c{r + 1} AS (
+            SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+                SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM sums{r} GROUP BY cluster
+            ) m USING (cluster))""")
+    return ", ".join(steps)
+
+
 ORACLES: dict[str, str] = {
     "op3_dart_minhash": """
         WITH RECURSIVE split AS (
@@ -163,4 +218,53 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op12_heap_clusters": f"""
+        WITH v AS (
+            SELECT row_number() OVER () AS row, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), c0 AS (
+            SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS INTEGER) AS cluster, x
+            FROM v ORDER BY sha256('1:' || vec_id), x LIMIT 16
+        ), {_cluster_rounds(heap_clusters.ROUNDS)}
+        SELECT n.vec_id, n.cluster, n.distance,
+               CAST(sum(n.distance) OVER (PARTITION BY n.cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(n.distance) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c.x, ',')) AS centroid_sha256
+        FROM near{heap_clusters.ROUNDS} n JOIN c{heap_clusters.ROUNDS} c USING (cluster)
+    """,
+    "op13_reversed_search": r"""
+        WITH words AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text,
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents WHERE text IS NOT NULL
+        ), sized AS (SELECT row, doc_id, terms, len(terms) AS n FROM words WHERE len(terms) > 0
+        ), whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sized
+        ), asked AS (
+            SELECT item_id, term, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(translate(text,
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark) GROUP BY ALL
+        ), held AS (
+            SELECT row, doc_id, n, term, count(*) AS tf
+            FROM (SELECT row, doc_id, n, unnest(terms) AS term FROM sized)
+            WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+        ), weighed AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM held GROUP BY term), whole
+        ), scored AS (
+            SELECT item_id, row, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf
+                + 12 * (75 + (25 * n * docs) // all_terms)))) AS BIGINT) AS score
+            FROM held JOIN weighed USING (term) JOIN asked USING (term), whole
+            GROUP BY item_id, row, doc_id
+        ), ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)
+                AS INTEGER) AS rank, doc_id, score
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """,
 }
