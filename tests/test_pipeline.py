@@ -230,7 +230,6 @@ def test_audit_report(spark, tmp_path):
     archived = audit.run(
         {"pesees": fact, "planteurs": growers, "cooperatives": cooperatives},
         {"pesees": "pesees.csv", "planteurs": "planteurs.csv", "cooperatives": "cooperatives.csv"},
-        ["o"],
         str(tmp_path),
     )
     assert archived["pesees"].exceptAll(fact).isEmpty() and archived["pesees"].count() == 5

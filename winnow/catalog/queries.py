@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,7 +90,7 @@ def _archived_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 def _written(cleaned: pipeline.Cleaned) -> pipeline.Cleaned:
     """The clean fact as it is controlled: after it was written."""
-    return pipeline.Cleaned(pipeline.stage_in()(cleaned.fact), cleaned.statistics)
+    return replace(cleaned, fact=pipeline.stage_in()(cleaned.fact))
 
 
 def flagship_weighted_price(spark: SparkSession, sf: str) -> DataFrame:
@@ -465,14 +466,15 @@ def csv_text_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _audit_report(spark: SparkSession, sf: str) -> DataFrame:
+    stage = pipeline.stage_in()
     return audit.audit_report(
         {
-            "pesees": pipeline.stage_in()(weighings(spark, sf)),
+            "pesees": stage(weighings(spark, sf)),
             "planteurs": growers(spark, sf),
             "cooperatives": cooperatives(spark, sf),
         },
         {"pesees": "lineitem", "planteurs": "customer", "cooperatives": "supplier"},
-        ORDER,
+        {"pesees": stage.rows},
         generated=False,
     )
 
@@ -530,7 +532,6 @@ def audit_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _quality_report(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.quality_report(
-        weighings(spark, sf),
         _written(_clean(spark, sf)),
         growers(spark, sf),
         cooperatives(spark, sf),

@@ -98,6 +98,22 @@ def anomaly_summary(
     """One row per family: criterion, rows, share in percent, weight concerned, action."""
     c, df = columns, nan_to_null(df)
     stats = stats or anomaly_statistics(df, c)
+    flagged = flag_anomalies(df, c, stats)
+    totals = flagged.agg(
+        F.count("*").alias("rows"),
+        *[F.count_if(f).alias(f) for f in FLAGS],
+        *[F.sum(F.when(F.col(f), F.col(c.weight))).alias(f"amount_{f}") for f in FLAGS],
+    )
+    return totals.select(F.inline(summary_rows(c, stats)))
+
+
+def summary_rows(columns: AnomalyColumns, stats: AnomalyStatistics) -> Column:
+    """The summary as an array of structs, from a row of totals.
+
+    The totals are ``rows``, the count of each flag under its name, and the weight of the
+    flagged rows as ``amount_<flag>``.
+    """
+    c = columns
     fence = F.format_number(F.rint(_fence(stats, c.spread)), 0)
     # The report texts of the three families.
     criteria = (
@@ -105,21 +121,15 @@ def anomaly_summary(
         F.lit(f"> {c.moisture_limit} %"),
         F.lit(f"ecart > {c.deviation:.0%} a la mediane du grade".replace("%", " %")),
     )
-    flagged = flag_anomalies(df, c, stats)
-    totals = flagged.agg(
-        F.count("*").alias("lignes"),
-        *[F.count_if(f).alias(f"n_{f}") for f in FLAGS],
-        *[F.sum(F.when(F.col(f), F.col(c.weight))).alias(f"w_{f}") for f in FLAGS],
-    )
     rows = [
         F.struct(
             F.lit(name).alias("anomalie"),
             criterion.alias("critere"),
-            F.col(f"n_{f}").alias("nb_lignes"),
-            share_pct(F.col(f"n_{f}"), F.col("lignes")).alias("part_pct"),
-            round_half_even(F.coalesce(f"w_{f}", F.lit(0.0)), 1).alias("tonnage_concerne_kg"),
+            F.col(f).alias("nb_lignes"),
+            share_pct(F.col(f), F.col("rows")).alias("part_pct"),
+            round_half_even(F.coalesce(f"amount_{f}", F.lit(0.0)), 1).alias("tonnage_concerne_kg"),
             F.lit("signale, conserve").alias("action"),
         )
         for f, name, criterion in zip(FLAGS, FAMILIES, criteria)
     ]
-    return totals.select(F.inline(F.array(*rows)))
+    return F.array(*rows)

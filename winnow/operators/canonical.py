@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.functions.labels import canonical_key, strip_blanks, title_case
-from winnow.operators.bounded import LOCAL_ROWS, local_if_small, small_or_same
+from winnow.operators.bounded import LOCAL_ROWS, durable, local_if_small, small_or_same
 
 
 def official_labels(
@@ -65,8 +65,21 @@ def resolve_labels(df: DataFrame, columns: Sequence[str], officials: DataFrame)
     return counts.join(officials, ["colonne", "label_key"], "left").drop("label_key")
 
 
-def canonicalise(
+def resolved_once(
     df: DataFrame, columns: Sequence[str], officials: DataFrame, local_rows: int = LOCAL_ROWS
+) -> DataFrame:
+    """The resolved labels, computed by one scan and kept for every later reader."""
+    resolved = resolve_labels(df, columns, officials)
+    small = local_if_small(resolved, local_rows)
+    return durable(resolved) if small is None else small
+
+
+def canonicalise(
+    df: DataFrame,
+    columns: Sequence[str],
+    officials: DataFrame,
+    local_rows: int = LOCAL_ROWS,
+    resolved: DataFrame | None = None,
 ) -> DataFrame:
     """Replace each label by its official form; an unresolved label stays as typed.
 
@@ -75,7 +88,9 @@ def canonicalise(
     gets its key and is joined with the reference, which AQE splits on a hot label.
     """
     kept = df.columns
-    changed = resolve_labels(df, columns, officials).filter("official <> label")
+    if resolved is None:
+        resolved = resolve_labels(df, columns, officials)
+    changed = resolved.filter("official <> label")
     changed = local_if_small(changed.select("colonne", "label", "official"), local_rows)
     for column in columns:
         if changed is not None:
@@ -101,7 +116,12 @@ def canonicalisation_stats(
     df: DataFrame, columns: Sequence[str], officials: DataFrame
 ) -> DataFrame:
     """Per column: distinct labels before and after, and rows left unresolved."""
-    return resolve_labels(df, columns, officials).groupBy("colonne").agg(
+    return stats_of_labels(resolve_labels(df, columns, officials))
+
+
+def stats_of_labels(resolved: DataFrame) -> DataFrame:
+    """The same from the resolved labels."""
+    return resolved.groupBy("colonne").agg(
         F.count("label").alias("modalites_avant"),
         F.count_distinct(F.coalesce("official", "label")).alias("modalites_apres"),
         F.coalesce(F.sum(F.when(F.col("official").isNull(), F.col("n"))), F.lit(0)).alias(

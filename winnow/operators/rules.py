@@ -1,8 +1,8 @@
 """Validation rules: every problem is reported as a row, none raises.
 
-All row-local checks share one aggregate. The domain checks read each distinct
-label once, the hierarchy checks each distinct (key, attribute) pair once, so hot
-keys and labels are folded before any exchange.
+A fact row becomes a few rows of (code, key, attribute): its faults, its ticket, its labels,
+its grower with the region. One scan counts them, so hot keys and labels are folded before the
+only exchange; one join with the stacked reference keys and one aggregate decide every rule.
 """
 
 from __future__ import annotations
@@ -10,12 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnow.functions.nulls import nan_to_null
-from winnow.operators.canonical import label_counts
-from winnow.operators.joins import hierarchy_counts, orphan_count
+from winnow.operators.bounded import LOCAL_ROWS, local_if_small
 
 # Levels and report texts (failed, passed) of the checks.
 OK, WARNING, ERROR = "OK", "AVERTISSEMENT", "ERREUR"
@@ -128,24 +127,149 @@ def _total(counts: Mapping[str, str]) -> str:
     return f"({' + '.join(('0L', *counts.values()))})"
 
 
-def _row_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
-    """R1, R3, R5 and the imputation warnings from one aggregate over the table."""
-    critical = [c for c in rules.critical if c in df.columns]
-    bounds = {c: b for c, b in rules.bounds.items() if c in df.columns}
-    flags = [c for c in rules.imputed if c in df.columns]
-    missing = {c: f"missing_{i}" for i, c in enumerate(critical)}
-    outside = {c: f"outside_{i}" for i, c in enumerate(bounds)}
-    imputed = {c: f"imputed_{i}" for i, c in enumerate(flags)}
-    ranges = {c: f" hors [{low:g} ; {high:g}]" for c, (low, high) in bounds.items()}
-    totals = df.agg(
-        F.count("*").alias("rows"),
-        *[F.expr(f"count_if({_name(c)} IS NULL) AS {n}") for c, n in missing.items()],
-        *[
-            F.expr(f"count_if({_name(c)} < {low}D OR {_name(c)} > {high}D) AS {outside[c]}")
-            for c, (low, high) in bounds.items()
-        ],
-        *[F.expr(f"count_if({_name(c)}) AS {n}") for c, n in imputed.items()],
+# Codes of the stacked rows. A fact row gives one row of each code that applies.
+_FAULTS, _KEY, _GRADE, _REGION, _COOPERATIVE, _GROWER = range(6)
+
+
+def _faults(df: DataFrame, rules: RuleSet) -> dict[str, dict[str, str]]:
+    """Conditions of the row-local checks by family and column, for the columns at hand."""
+    of = {
+        "missing": {c: f"{_name(c)} IS NULL" for c in rules.critical},
+        "outside": {
+            c: f"{_name(c)} < {low}D OR {_name(c)} > {high}D"
+            for c, (low, high) in rules.bounds.items()
+        },
+        "imputed": {c: _name(c) for c in rules.imputed},
+    }
+    return {f: {c: x for c, x in cs.items() if c in df.columns} for f, cs in of.items()}
+
+
+def _entry(code: int, key: str, attribute: str = "NULL", amount: str = "") -> str:
+    return (
+        f"named_struct('code', {code}, 'k', CAST({key} AS STRING),"
+        f" 'a', CAST({attribute} AS STRING){amount})"
+    )
+
+
+def _stacked_counts(
+    df: DataFrame, faults: Sequence[str], rules: RuleSet, checked: Mapping[int, str], amount: str | None
+) -> DataFrame:
+    """``(kind, k, a, n, extra)``: rows per code, key and attribute, from one scan and exchange.
+
+    The faults of a row are one text of 0 and 1, of which a table has few; the sum ``w`` of an
+    amount goes with them. Everything is counted before the exchange, so a hot key or label
+    sends one row per task; only the distinct keys of the table travel. ``extra`` are the
+    repeated rows of a key.
+    """
+    marks = ", ".join(["''", *[f"IF({x}, '1', '0')" for x in faults]])
+    own, none = (f", 'w', CAST({x} AS DOUBLE)" if amount else "" for x in (amount, "NULL"))
+    entries = [_entry(_FAULTS, f"concat({marks})", amount=own)]
+    for code, column in checked.items():
+        region = _name(rules.region) if code == _GROWER and rules.region in df.columns else "NULL"
+        entries.append(_entry(code, _name(column), region, none))
+    stacked = df.selectExpr(f"inline(array({', '.join(entries)}))")
+    # ``kind`` repeats the code as a result, so that no filter on it reaches below the exchange
+    # and all readers of the counts share it.
+    return (
+        stacked.groupBy("code", "k", "a")
+        .agg(
+            F.count("*").alias("n"),
+            F.max("code").alias("kind"),
+            *([F.sum("w").alias("w")] if amount else []),
+        )
+        .withColumn("extra", F.col("n") - 1)
+        .drop("code")
+    )
+
+
+def _reference_rows(
+    spark: SparkSession,
+    rules: RuleSet,
+    growers: DataFrame | None,
+    cooperatives: DataFrame | None,
+) -> DataFrame:
+    """``(r_kind, r_k, low, high)``: the known keys of all domains with their attribute's extremes."""
+    rows = spark.createDataFrame([(_GRADE, g, None) for g in rules.grades], "code int, k string, a string")
+    if cooperatives is not None:
+        of = (_entry(_REGION, _name(rules.region)), _entry(_COOPERATIVE, _name(rules.reference_cooperative)))
+        rows = rows.unionByName(cooperatives.selectExpr(f"inline(array({', '.join(of)}))"))
+    if growers is not None:
+        region = _name(rules.region) if rules.region in growers.columns else "NULL"
+        entry = _entry(_GROWER, _name(rules.grower), region)
+        rows = rows.unionByName(growers.selectExpr(f"inline(array({entry}))"))
+    return (
+        rows.filter("k IS NOT NULL")
+        .groupBy(F.col("code").alias("r_kind"), F.col("k").alias("r_k"))
+        .agg(F.min("a").alias("low"), F.max("a").alias("high"))
+    )
+
+
+def _against_references(counts: DataFrame, references: DataFrame, local_rows: int) -> DataFrame:
+    """The counted keys with their reference, from one join of all domains.
+
+    References that are proven small are broadcast. Otherwise the ticket keys, which no
+    reference knows, are first added up within each partition, so that only labels and
+    growers move again.
+    """
+    small = local_if_small(references, local_rows)
+    if small is None:
+        own = F.col("kind").isin(_FAULTS, _KEY)
+        key = F.when(~(F.col("kind") == _KEY), F.col("k")).alias("k")
+        sums = [c for c in ("n", "extra", "w") if c in counts.columns]
+        counts = counts.groupBy("kind", key, "a").agg(*[F.sum(c).alias(c) for c in sums])
+        known, rest = references, counts.withColumn("j", F.when(~own, F.col("k")))
+        joined = rest.join(known, F.expr("kind = r_kind AND j = r_k"), "left").drop("j")
+    else:
+        joined = counts.join(F.broadcast(small), F.expr("kind = r_kind AND k = r_k"), "left")
+    return joined
+
+
+def _listed(found: str) -> str:
+    return f"""concat("['", array_join({found}.k, "', '"), "']")"""
+
+
+def _measured(joined: DataFrame, faults: Sequence[str], rules: RuleSet) -> DataFrame:
+    """One row with every figure of the checks; the count of each fault has its name."""
+    sums = []
+    for place, fault in enumerate(faults, 1):
+        marked = f"kind = {_FAULTS} AND substring(k, {place}, 1) = '1'"
+        sums.append(_sum(marked, "n", fault))
+        if "w" in joined.columns:
+            sums.append(F.expr(f"coalesce(sum(IF({marked}, w, 0D)), 0D) AS amount_{fault}"))
+    unknown = "k IS NOT NULL AND r_k IS NULL"
+    expected = "IF(low = high, low, NULL)"
+    listing = f"collect_list(IF(kind = {_GRADE} AND {unknown}, struct(k, n), NULL))"
+    totals = joined.agg(
+        *sums,
+        _sum(f"kind = {_FAULTS}", "n", "rows"),
+        _sum(f"kind = {_KEY}", "extra", "repeated"),
+        _sum(f"kind = {_GRADE} AND {unknown}", "1L", "grades"),
+        _sum(f"kind = {_REGION} AND {unknown}", "1L", "regions"),
+        _sum(f"kind = {_REGION} AND k IS NOT NULL", "1L", "labels"),
+        _sum(f"kind = {_COOPERATIVE} AND r_k IS NULL", "n", "cooperatives"),
+        _sum(f"kind = {_GROWER} AND r_k IS NULL", "n", "orphans"),
+        _sum(f"kind = {_GROWER} AND NOT coalesce(a = {expected}, false)", "n", "incoherent"),
+        F.expr(f"array_sort({listing}) AS grades_found"),
+    )
+    # Tied to ``kind`` the condition on the key stays above the exchange as well; ``w`` is NULL
+    # here, but as it is read no result of the counts is pruned and their exchange is shared.
+    first = (
+        joined.filter(f"IF(kind = {_REGION} AND r_k IS NULL, k, NULL) IS NOT NULL")
+        .orderBy("k", *([F.col("w")] if "w" in joined.columns else []))
+        .limit(rules.regions_shown)
+        .agg(F.expr("array_sort(collect_list(struct(k, n)))"))
     )
+    return totals.withColumn("regions_found", first.scalar())
+
+
+def _sum(condition: str, value: str, name: str) -> Column:
+    return F.expr(f"coalesce(sum(IF({condition}, {value}, 0L)), 0L) AS {name}")
+
+
+def _local_checks(rules: RuleSet, names: Mapping[str, Mapping[str, str]]) -> list[str]:
+    """R1, R3, R5 and the imputation warnings."""
+    missing, outside, imputed = (names[f] for f in ("missing", "outside", "imputed"))
+    ranges = {c: f" hors [{rules.bounds[c][0]:g} ; {rules.bounds[c][1]:g}]" for c in outside}
     minimum = f"{rules.minimum_rows}L"
     checks = [
         _check(
@@ -154,93 +278,49 @@ def _row_checks(df: DataFrame, rules: RuleSet) -> DataFrame:
         ),
         _check(
             4, "R3", "completude", "completude", _total(missing),
-            _listing(missing), f"'{len(critical)}'",
+            _listing(missing), f"'{len(missing)}'",
         ),
         _check(7, "R5", "bornes", "bornes", _total(outside), _listing(outside, ranges)),
     ]
     checks += [
         _check(3, "R3", c, "absente", "1", "'R3 completude'", _quoted(c))
         for c in rules.critical
-        if c not in critical
+        if c not in missing
     ]
-    for column in flags:
-        share = f"try_divide({imputed[column]}, rows) * 100"
-        many = f"IF({share} > {rules.imputed_limit_pct}D, {imputed[column]}, 0L)"
+    for column, count in imputed.items():
+        share = f"try_divide({count}, rows) * 100"
+        many = f"IF({share} > {rules.imputed_limit_pct}D, {count}, 0L)"
         text = f"format_string('%.1f', rint({share} * 10) / 10)"
         checks.append(
             _check(
                 11, "V1", column, "impute", many, text, _quoted(rules.imputed[column]), level=WARNING
             )
         )
-    return _as_rows(totals, checks).filter(f"regle <> 'V1' OR niveau = '{WARNING}'")
+    return checks
 
 
-def _key_check(df: DataFrame, rules: RuleSet) -> DataFrame:
-    """R2 from the number of rows per key."""
-    per_key = df.groupBy(rules.key).agg(F.count("*").alias("n"))
-    totals = per_key.agg(F.expr("coalesce(sum(n - 1), 0L) AS bad"))
-    return _as_rows(
-        totals, [_check(2, "R2", "unicite", "unicite", "bad", _number("bad"), _quoted(rules.key))]
-    )
-
-
-def _domain_checks(df: DataFrame, domains: Mapping[str, DataFrame], rules: RuleSet) -> DataFrame:
-    """R4 and the cooperative part of R6 from one scan of the label columns."""
-    columns = list(domains)
-    known = None
-    for column, labels in domains.items():
-        part = labels.toDF("d_label").distinct().withColumn("d_colonne", F.lit(column))
-        known = part if known is None else known.unionByName(part)
-    labels = label_counts(df, columns).join(
-        known, F.expr("colonne = d_colonne AND label = d_label"), "left"
-    )
-    unknown = "d_label IS NULL AND label IS NOT NULL"
-    totals = labels.groupBy("colonne").agg(
-        F.count("label").alias("labels"),
-        F.expr(f"count_if({unknown}) AS unknown"),
-        F.expr("sum(IF(d_label IS NULL, n, 0L)) AS rows"),
-    )
-    # The group limit keeps a few regions per task before its exchange; of the grades every
-    # one is listed. All branches use the same columns of ``labels``, so its exchange is shared.
-    lost = labels.filter("d_label IS NULL")
-    of = F.col("colonne")
-    place = F.row_number().over(Window.partitionBy("colonne").orderBy(F.asc_nulls_last("label")))
-    first = lost.filter(of == rules.region).withColumn("place", place)
-    first = first.filter(F.col("place") <= rules.regions_shown).drop("place")
-    shown = (
-        first.unionByName(lost.filter(of == rules.grade))
-        .groupBy("colonne")
-        .agg(F.expr(f"array_sort(collect_list(IF({unknown}, struct(label, n), NULL))) AS found"))
-    )
-    # An empty table still has one row per checked column.
-    checked = df.sparkSession.createDataFrame([(c,) for c in columns], "colonne string")
-    totals = checked.join(totals, "colonne", "left").join(shown, "colonne", "left")
-    totals = totals.fillna(0, ["labels", "unknown", "rows"])
-    listed = """concat("['", array_join(found.label, "', '"), "']")"""
+def _key_checks(rules: RuleSet, checked: Mapping[int, str], region: bool) -> list[str]:
+    """R2, R4, R6 and R7 of the columns at hand."""
     grades = _quoted("[" + ", ".join(f"'{g}'" for g in sorted(rules.grades)) + "]")
-    checks = {
-        rules.grade: _check(5, "R4", rules.grade, "grades", "unknown", listed, grades),
-        rules.region: _check(
-            6, "R4", rules.region, "regions", "unknown", listed, "CAST(labels AS STRING)"
-        ),
-        rules.cooperative: _check(
-            9, "R6", rules.cooperative, "cooperatives", "rows", _number("rows")
-        ),
+    of = {
+        _KEY: [_check(2, "R2", "unicite", "unicite", "repeated", _number("repeated"), _quoted(rules.key))],
+        _GRADE: [_check(5, "R4", rules.grade, "grades", "grades", _listed("grades_found"), grades)],
+        _REGION: [
+            _check(
+                6, "R4", rules.region, "regions", "regions", _listed("regions_found"),
+                "CAST(labels AS STRING)",
+            )
+        ],
+        _COOPERATIVE: [
+            _check(9, "R6", rules.cooperative, "cooperatives", "cooperatives", _number("cooperatives"))
+        ],
+        _GROWER: [_check(8, "R6", rules.grower, "planteurs", "orphans", _number("orphans"))],
     }
-    chosen = " ".join(f"WHEN {_quoted(c)} THEN {checks[c]}" for c in columns)
-    return _as_rows(totals, [f"CASE colonne {chosen} END"])
-
-
-def _grower_checks(df: DataFrame, growers: DataFrame, rules: RuleSet) -> DataFrame:
-    """The grower part of R6, and R7 if the table has a region, from the distinct pairs."""
-    known = _check(8, "R6", rules.grower, "planteurs", "orphelins", _number("orphelins"))
-    if rules.region not in df.columns:
-        return _as_rows(orphan_count(df, rules.grower, growers, rules.grower), [known])
-    coherent = _check(
-        10, "R7", "coherence", "coherence", "incoherents", _number("incoherents")
-    )
-    counts = hierarchy_counts(df, rules.grower, rules.region, growers)
-    return _as_rows(counts, [known, coherent])
+    if region:
+        of[_GROWER].append(
+            _check(10, "R7", "coherence", "coherence", "incoherent", _number("incoherent"))
+        )
+    return [check for code in checked for check in of[code]]
 
 
 def _absent_columns(df: DataFrame, absent: Sequence[tuple[int, str, str]]) -> DataFrame:
@@ -254,42 +334,98 @@ def _absent_columns(df: DataFrame, absent: Sequence[tuple[int, str, str]]) -> Da
     )
 
 
+@dataclass(frozen=True)
+class Measured:
+    """What one scan tells of a table: a row of figures, and the checks over them.
+
+    ``totals`` has ``rows``, the count of every further mark under its name, and, with an
+    amount, its sum over the marked rows as ``amount_<name>``. ``absent`` are error rows.
+    """
+
+    totals: DataFrame
+    checks: Sequence[str]
+    absent: DataFrame | None
+
+    def report(self) -> DataFrame:
+        """All checks as rows ``(ordre, regle, controle, niveau, nb, message)``."""
+        rows = _as_rows(self.totals, self.checks).filter(f"regle <> 'V1' OR niveau = '{WARNING}'")
+        return rows if self.absent is None else rows.unionByName(self.absent)
+
+    def with_checks(self, name: str) -> DataFrame:
+        """The figures with all checks as one array of structs."""
+        fixed = [] if self.absent is None else [r.asDict() for r in self.absent.collect()]
+        checks = f"array({', '.join(self.checks)})"
+        column = F.expr(f"filter({checks}, c -> c.regle <> 'V1' OR c.niveau = '{WARNING}')")
+        for row in fixed:
+            entry = F.struct(
+                F.lit(row["ordre"]).alias("ordre"),
+                *[F.lit(row[c]).alias(c) for c in ("regle", "controle", "niveau")],
+                F.lit(row["nb"]).cast("long").alias("nb"),
+                F.lit(row["message"]).alias("message"),
+            )
+            column = F.array_append(column, entry)
+        return self.totals.withColumn(name, column)
+
+
+def measure(
+    df: DataFrame,
+    rules: RuleSet,
+    growers: DataFrame | None = None,
+    cooperatives: DataFrame | None = None,
+    marks: Mapping[str, str] | None = None,
+    amount: str | None = None,
+    local_rows: int = LOCAL_ROWS,
+) -> Measured:
+    """The rules and further ``marks`` (name: SQL condition) from one scan and one exchange.
+
+    NaN counts as missing. References that are proven small are broadcast, larger ones joined
+    in one exchange of the counted keys.
+    """
+    df = nan_to_null(df)
+    wanted = {_KEY: [((2, "R2"), rules.key)], _GRADE: [((5, "R4"), rules.grade)]}
+    if cooperatives is not None:
+        wanted[_REGION] = [((6, "R4"), rules.region)]
+        wanted[_COOPERATIVE] = [((9, "R6"), rules.cooperative)]
+    if growers is not None:
+        wanted[_GROWER] = [((8, "R6"), rules.grower)]
+    # R7 compares the two columns of the grower's row.
+    second = [((10, "R7"), c) for c in (rules.grower, rules.region)] if growers is not None else []
+    needed = [n for checks in wanted.values() for n in checks] + second
+    absent = [(*k, c) for k, c in needed if c not in df.columns]
+    checked = {code: n[0][1] for code, n in wanted.items() if n[0][1] in df.columns}
+
+    names, faults = {}, {}
+    for family, conditions in _faults(df, rules).items():
+        names[family] = {c: f"{family}_{i}" for i, c in enumerate(conditions)}
+        faults |= {names[family][c]: x for c, x in conditions.items()}
+    faults |= marks or {}
+    counts = _stacked_counts(df, list(faults.values()), rules, checked, amount)
+    references = _reference_rows(
+        df.sparkSession,
+        rules,
+        growers if _GROWER in checked else None,
+        cooperatives if {_REGION, _COOPERATIVE} & checked.keys() else None,
+    )
+    joined = _against_references(counts, references, local_rows)
+    return Measured(
+        _measured(joined, list(faults), rules),
+        _local_checks(rules, names) + _key_checks(rules, checked, rules.region in df.columns),
+        _absent_columns(df, absent) if absent else None,
+    )
+
+
 def validate(
     df: DataFrame,
     rules: RuleSet,
     growers: DataFrame | None = None,
     cooperatives: DataFrame | None = None,
+    local_rows: int = LOCAL_ROWS,
 ) -> DataFrame:
     """All checks as rows ``(ordre, regle, controle, niveau, nb, message)``.
 
     NaN counts as missing. A rule gives an error row for each column that the table lacks.
     """
-    df = nan_to_null(df)
-    grades = df.sparkSession.createDataFrame([(g,) for g in rules.grades], "label string")
-    domains = {rules.grade: (5, "R4", grades)}
-    if cooperatives is not None:
-        domains[rules.region] = (6, "R4", cooperatives.select(rules.region))
-        domains[rules.cooperative] = (9, "R6", cooperatives.select(rules.reference_cooperative))
-    needed = {(2, "R2"): [rules.key], **{(o, r): [c] for c, (o, r, _) in domains.items()}}
-    if growers is not None:
-        needed[8, "R6"] = [rules.grower]
-        needed[10, "R7"] = [rules.grower, rules.region]
-    absent = [(*k, c) for k, columns in needed.items() for c in columns if c not in df.columns]
-
-    parts = [_row_checks(df, rules)]
-    if rules.key in df.columns:
-        parts.append(_key_check(df, rules))
-    present = {c: labels for c, (_, _, labels) in domains.items() if c in df.columns}
-    if present:
-        parts.append(_domain_checks(df, present, rules))
-    if growers is not None and rules.grower in df.columns:
-        parts.append(_grower_checks(df, growers, rules))
-    if absent:
-        parts.append(_absent_columns(df, absent))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    return measure(df, rules, growers, cooperatives, local_rows=local_rows).report()
 
 
 def verdict(checks: DataFrame, rows: Column) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from winnow.functions.calendar import parse_date
@@ -12,6 +12,7 @@ from winnow.functions.labels import canonical_key
 from winnow.operators.canonical import label_variants, variant_sample
 from winnow.operators.dedup import duplicate_counts
 from winnow.operators.joins import orphan_count, orphan_label_count
+from winnow.operators.measured import Wanted, measure_table
 from winnow.operators.profile import (
     count_where,
     distribution,
@@ -20,6 +21,7 @@ from winnow.operators.profile import (
     profile_columns,
 )
 from winnow.plans import weighings as w
+from winnow.sources.stages import Run
 from winnow.sources.tables import read_stage, write_report, write_stage
 
 
@@ -47,10 +49,6 @@ def audit_fact(
     return {name: every[name]() for name in names or every}
 
 
-# The measurements of the audit report.
-REPORTED = ("valeurs_manquantes", "doublons", "libelles", "prix_aberrants", "periode")
-
-
 def audit_integrity(
     fact: DataFrame, growers: DataFrame, cooperatives: DataFrame
 ) -> dict[str, DataFrame]:
@@ -66,6 +64,28 @@ def audit_integrity(
     }
 
 
+def measurements(
+    fact: DataFrame, growers: DataFrame, cooperatives: DataFrame
+) -> DataFrame:
+    """All figures of the audit report as one row, from one scan of the fact."""
+    return measure_table(
+        fact,
+        Wanted(
+            w.KEY,
+            [c for c in w.FACT_COLUMNS if c in fact.columns],
+            labels=w.LABELS,
+            references={
+                "id_planteur": (growers, "id_planteur"),
+                "cooperative": (cooperatives, "code_cooperative"),
+                "region": (cooperatives, "region"),
+            },
+            conditions={"prix_aberrants": "prix_fcfa_kg <= 0"},
+            date="date",
+            parse=parse_date,
+        ),
+    )
+
+
 def one_row(table: DataFrame) -> Column:
     """A one-row table as a struct; equal subqueries of a report run once."""
     return table.select(F.struct("*")).scalar()
@@ -80,58 +100,64 @@ def as_map(table: DataFrame, key: str, value: Column | str) -> Column:
 def audit_report(
     tables: Mapping[str, DataFrame],
     files: Mapping[str, str],
-    order: Sequence[str],
+    rows: Mapping[str, int] | None = None,
     generated: bool = True,
 ) -> DataFrame:
-    """The audit as one nested row, ready to be written as JSON."""
+    """The audit as one nested row, ready to be written as JSON.
+
+    ``rows`` are known sizes of the tables; only a reference without one is counted.
+    """
+    rows = rows or {}
     fact, growers, cooperatives = (tables[t] for t in ("pesees", "planteurs", "cooperatives"))
-    parts = audit_fact(fact, order, REPORTED)
-    keys = audit_integrity(fact, growers, cooperatives)
-    sources = F.struct(
-        *[
-            F.struct(
-                F.lit(files[name]).alias("fichier"),
-                table.agg(F.count("*")).scalar().alias("nb_lignes"),
-            ).alias(name)
-            for name, table in tables.items()
-        ]
-    )
-    doubles = one_row(parts["doublons"])
+
+    def size(name: str) -> Column:
+        if name in rows:
+            return F.lit(rows[name]).cast("long")
+        return F.col("lignes") if name == "pesees" else tables[name].agg(F.count("*")).scalar()
+
+    sources = [
+        F.struct(F.lit(files[n]).alias("fichier"), size(n).alias("nb_lignes")).alias(n) for n in tables
+    ]
+    variants = [(c, F.col(f"brutes_{c}") - F.col(f"normalisees_{c}")) for c in sorted(w.LABELS)]
     findings = F.struct(
-        as_map(parts["valeurs_manquantes"], "colonne", "nb_manquants").alias("valeurs_manquantes"),
-        doubles["doublons_cle"].alias("doublons_id_pesee"),
-        doubles["doublons_complets"].alias("doublons_lignes_completes"),
-        as_map(parts["libelles"], "colonne", "variantes_de_saisie").alias("variantes_saisie"),
-        parts["prix_aberrants"].scalar().alias("prix_aberrants"),
-        one_row(
-            parts["periode"].select(
-                F.col("debut").cast("string").alias("debut"), F.col("fin").cast("string").alias("fin")
-            )
-        ).alias("periode"),
+        F.col("manquants").alias("valeurs_manquantes"),
+        F.col("doublons_cle").alias("doublons_id_pesee"),
+        F.col("doublons_complets").alias("doublons_lignes_completes"),
+        F.create_map(*[x for c, n in variants for x in (F.lit(c), n)]).alias("variantes_saisie"),
+        F.col("prix_aberrants"),
+        F.struct(*[F.col(c).cast("string").alias(c) for c in ("debut", "fin")]).alias("periode"),
         F.struct(
-            keys["id_planteur"].scalar().alias("orphelins_planteur"),
-            keys["cooperative"].scalar().alias("orphelins_cooperative"),
-            keys["region"].scalar().alias("orphelins_region"),
+            F.col("orphelins_id_planteur").alias("orphelins_planteur"),
+            F.col("orphelins_cooperative"),
+            F.col("orphelins_region"),
         ).alias("integrite"),
     )
-    report = fact.sparkSession.range(1).select(sources.alias("sources"), findings.alias("constats"))
+    report = measurements(fact, growers, cooperatives).select(
+        F.struct(*sources).alias("sources"), findings.alias("constats")
+    )
     return stamped(report) if generated else report
 
 
 def run(
-    tables: Mapping[str, DataFrame], files: Mapping[str, str], order: Sequence[str], output: str
+    tables: Mapping[str, DataFrame], files: Mapping[str, str], output: str
 ) -> dict[str, DataFrame]:
     """Archive the raw tables, audit the archived rows, write the report, return the tables.
 
-    The sources are read once; every measurement then prunes the columns it needs
-    from the archive.
+    The sources are read once, and counted as they are written; one scan of the archive gives
+    every measurement. The archives and the report appear together, when all are complete.
     """
-    archived = {
-        name: read_stage(table.sparkSession, write_stage(table, f"{output}/brut_{name}.parquet"))
-        for name, table in tables.items()
-    }
-    write_report(audit_report(archived, files, order), f"{output}/rapport_audit.json")
-    return archived
+    spark = next(iter(tables.values())).sparkSession
+    paths = {name: f"{output}/brut_{name}.parquet" for name in tables}
+    rows = {}
+    with Run(spark) as run:
+        for name, table in tables.items():
+            seen = Observation()
+            write_stage(table.observe(seen, F.count(F.lit(1)).alias("n")), run.result(paths[name]))
+            rows[name] = seen.get["n"]
+        written = {name: read_stage(spark, run.pending[path]) for name, path in paths.items()}
+        report = f"{output}/rapport_audit.json"
+        write_report(audit_report(written, files, rows), run.result(report))
+    return {name: read_stage(spark, path) for name, path in paths.items()}
 
 
 def stamped(report: DataFrame) -> DataFrame:

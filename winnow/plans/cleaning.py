@@ -13,7 +13,7 @@ from winnow.functions.conditional import at_most, right_closed_bins
 from winnow.functions.rounding import round_half_even, rounded_long
 from winnow.operators.anomalies import QUARTILES, AnomalyStatistics
 from winnow.operators.bounded import LOCAL_ROWS, local_if_small
-from winnow.operators.canonical import canonicalise, official_labels
+from winnow.operators.canonical import canonicalise, official_labels, resolved_once
 from winnow.operators.dedup import keep_first
 from winnow.operators.impute import fill_with_median, filled_counts, medians_of_counts
 from winnow.operators.joins import attach_reference
@@ -37,9 +37,17 @@ def official_names(cooperatives: DataFrame) -> DataFrame:
     return official_labels(cooperatives, TYPED_LABELS)
 
 
-def canonicalise_labels(fact: DataFrame, cooperatives: DataFrame) -> DataFrame:
+def typed_labels(fact: DataFrame, cooperatives: DataFrame) -> DataFrame:
+    """Distinct typed labels with their official form and rows, computed once."""
+    return resolved_once(fact, list(TYPED_LABELS), official_names(cooperatives))
+
+
+def canonicalise_labels(
+    fact: DataFrame, cooperatives: DataFrame, labels: DataFrame | None = None
+) -> DataFrame:
     """Official region and cooperative labels wherever the typed one resolves."""
-    return canonicalise(fact, list(TYPED_LABELS), official_names(cooperatives))
+    officials = official_names(cooperatives)
+    return canonicalise(fact, list(TYPED_LABELS), officials, resolved=labels)
 
 
 def deduplicate(fact: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -2,25 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-from uuid import uuid4
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.functions.nulls import nan_to_null
-from winnow.operators.anomalies import FAMILIES, anomaly_summary
-from winnow.operators.bounded import shared_folder
-from winnow.operators.canonical import canonicalisation_stats
-from winnow.operators.dedup import dedup_summary
-from winnow.operators.impute import imputation_summary
-from winnow.operators.profile import missing_rates
-from winnow.operators.rules import ERROR, OK, WARNING, RuleSet, validate
+from winnow.functions.nulls import nan_to_null, share_pct
+from winnow.operators.anomalies import FLAGS, flag_anomalies, summary_rows
+from winnow.operators.canonical import stats_of_labels
+from winnow.operators.rules import ERROR, OK, WARNING, RuleSet, measure
 from winnow.plans import weighings as w
-from winnow.plans.audit import as_map, one_row, stamped
+from winnow.plans.audit import as_map, stamped
 from winnow.plans.cleaning import (
-    TYPED_LABELS,
     CleaningStatistics,
     canonicalise_labels,
     cleaning_statistics,
@@ -29,9 +23,10 @@ from winnow.plans.cleaning import (
     derive_measures,
     enrich,
     impute,
-    official_names,
     season_columns,
+    typed_labels,
 )
+from winnow.sources.stages import Run, Stage
 from winnow.sources.tables import read_stage, write_report, write_stage
 
 CLEAN_COLUMNS = (
@@ -45,10 +40,16 @@ CLEAN_COLUMNS = (
 
 @dataclass(frozen=True)
 class Cleaned:
-    """The clean fact and the statistics it was built with."""
+    """The clean fact, the statistics it was built with, and what cleaning saw on its way.
+
+    ``labels`` are the distinct raw labels with their official form and rows; ``kept`` is the
+    number of deduplicated rows where a stage has counted them.
+    """
 
     fact: DataFrame
     statistics: CleaningStatistics
+    labels: DataFrame
+    kept: int | None = None
 
 
 def clean(
@@ -56,15 +57,15 @@ def clean(
     growers: DataFrame,
     cooperatives: DataFrame,
     order: Sequence[str],
-    stage: Callable[[DataFrame], DataFrame] | None = None,
+    stage: Stage | None = None,
     strict_dates: bool = True,
 ) -> Cleaned:
     """The 25-column clean fact.
 
     The order is semantic: labels first or joins miss, duplicates out before any
     median, dates before seasons, imputation last. The deduplicated rows are read
-    twice: ``stage`` (see :func:`stage_in`) writes them once, otherwise the second
-    reading repeats the exchange with the four columns that the statistics need.
+    twice: ``stage`` writes and counts them once, otherwise the second reading
+    repeats the exchange with the four columns that the statistics need.
     """
 
     def typed_rows(rows: DataFrame) -> DataFrame:
@@ -72,96 +73,106 @@ def clean(
         return correct_types(unique, strict_dates)
 
     fact = nan_to_null(fact)
-    typed = typed_rows(canonicalise_labels(fact, cooperatives))
+    labels = typed_labels(fact, cooperatives)
+    typed = typed_rows(canonicalise_labels(fact, cooperatives, labels))
     if stage is not None:
         typed = measured = stage(typed)
     else:
         measured = typed_rows(fact)
     stats = cleaning_statistics(season_columns(measured))
     filled = impute(enrich(typed, growers, cooperatives), stats)
-    return Cleaned(derive_measures(filled, stats.grade_price).select(*CLEAN_COLUMNS), stats)
+    clean_fact = derive_measures(filled, stats.grade_price).select(*CLEAN_COLUMNS)
+    return Cleaned(clean_fact, stats, labels, stage.rows if stage else None)
 
 
-def stage_in(folder: str | None = None) -> Callable[[DataFrame], DataFrame]:
+def stage_in(folder: str | None = None) -> Stage:
     """A stage that writes Parquet under a fresh name in the shared folder and reads it back."""
-
-    def stage(df: DataFrame) -> DataFrame:
-        spark = df.sparkSession
-        path = f"{folder or shared_folder(spark)}/stage-{uuid4().hex}"
-        return spark.read.schema(df.schema).parquet(write_stage(df, path))
-
-    return stage
+    return Stage(folder)
 
 
 def control(
     cleaned: Cleaned, growers: DataFrame, cooperatives: DataFrame, rules: RuleSet = w.RULES
-) -> dict[str, DataFrame]:
-    """Rule checks, anomaly summary and remaining missing values of the clean fact."""
-    return {
-        "validation": validate(cleaned.fact, rules, growers, cooperatives),
-        "anomalies": anomaly_summary(
-            cleaned.fact, w.ANOMALIES, cleaned.statistics.anomalies(cleaned.fact)
-        ),
-        "valeurs_manquantes_restantes": missing_rates(cleaned.fact),
-    }
+) -> DataFrame:
+    """One row with all that is controlled on the clean fact, from one scan of it.
+
+    ``checks`` and ``anomalies`` are the rows of the rules and of the anomaly summary,
+    ``missing`` the columns with missing values, ``filled`` the imputed values by flag.
+    """
+    fact = nan_to_null(cleaned.fact)
+    stats = cleaned.statistics.anomalies(fact)
+    flagged = flag_anomalies(fact, w.ANOMALIES, stats)
+    marks = {f: f for f in FLAGS} | {f"filled_{i}": f for i, f in enumerate(w.IMPUTED_FLAGS)}
+    marks |= {f"absent_{i}": f"`{c}` IS NULL" for i, c in enumerate(fact.columns)}
+    figures = measure(flagged, rules, growers, cooperatives, marks, w.ANOMALIES.weight)
+    absent = [
+        F.struct(
+            F.lit(c).alias("colonne"),
+            F.col(f"absent_{i}").alias("nb_manquants"),
+            share_pct(F.col(f"absent_{i}"), F.col("rows")).alias("part_pct"),
+        )
+        for i, c in enumerate(fact.columns)
+    ]
+    filled = [F.col(f"filled_{i}").alias(f) for i, f in enumerate(w.IMPUTED_FLAGS)]
+    return figures.with_checks("checks").select(
+        "rows",
+        "checks",
+        summary_rows(w.ANOMALIES, stats).alias("anomalies"),
+        F.filter(F.array(*absent), lambda m: m["nb_manquants"] > 0).alias("missing"),
+        F.struct(*filled).alias("filled"),
+    )
 
 
 def quality_report(
-    raw: DataFrame,
     cleaned: Cleaned,
     growers: DataFrame,
     cooperatives: DataFrame,
     rules: RuleSet = w.RULES,
     generated: bool = True,
 ) -> DataFrame:
-    """The quality report as one nested row, ready to be written as JSON."""
-    fact = cleaned.fact
-    parts = control(cleaned, growers, cooperatives, rules)
-    labels = canonicalisation_stats(raw, list(TYPED_LABELS), official_names(cooperatives))
-    doubles = dedup_summary(raw, [w.KEY])
-    filled = imputation_summary(fact, list(w.IMPUTED_FLAGS))
-    doubles = one_row(doubles)
-    kept = doubles["lignes_apres"]
+    """The quality report as one nested row, ready to be written as JSON.
+
+    It reads the clean fact once and the raw one not at all: the distinct labels tell the raw
+    rows, and the rows that are left were counted by the stage, or else by the rules.
+    """
     by_label = as_map(
-        labels, "colonne", F.struct("modalites_avant", "modalites_apres", "non_resolus")
+        stats_of_labels(cleaned.labels),
+        "colonne",
+        F.struct("modalites_avant", "modalites_apres", "non_resolus"),
     )
-
-    def rows(table: DataFrame, name: str, order: Sequence[str]):
-        """The rows of a small table in the given order of the column ``name``."""
-        place = F.array_position(F.array(*map(F.lit, order)), F.col(name))
-        ordered = F.array_sort(F.collect_list(F.struct(place.alias("place"), F.struct("*").alias("row"))))
-        return table.agg(F.transform(ordered, lambda r: r["row"])).scalar()
-
-    def messages(level: str):
-        entry = F.when(F.col("niveau") == level, F.struct("ordre", "controle", "message"))
-        ordered = F.array_sort(F.collect_list(entry))
-        return F.transform(ordered, lambda r: r["message"])
-
-    checks = parts["validation"].agg(
-        F.struct(
-            (F.count_if(F.col("niveau") == ERROR) == 0).alias("valide"),
-            kept.alias("nb_lignes"),
-            messages(OK).alias("controles_passes"),
-            messages(ERROR).alias("erreurs"),
-            messages(WARNING).alias("avertissements"),
-        ).alias("v")
+    raw = cleaned.labels.filter(F.col("colonne") == "region").agg(F.coalesce(F.sum("n"), F.lit(0)))
+    before = raw.scalar()
+    kept = F.col("rows") if cleaned.kept is None else F.lit(cleaned.kept).cast("long")
+
+    def messages(level: str) -> Column:
+        found = F.filter("checks", lambda c: c["niveau"] == level)
+        ordered = F.array_sort(F.transform(found, lambda c: F.struct(c["ordre"], c["controle"], c["message"])))
+        return F.transform(ordered, lambda c: c["message"])
+
+    checks = F.struct(
+        (~F.exists("checks", lambda c: c["niveau"] == ERROR)).alias("valide"),
+        kept.alias("nb_lignes"),
+        messages(OK).alias("controles_passes"),
+        messages(ERROR).alias("erreurs"),
+        messages(WARNING).alias("avertissements"),
     )
-    report = fact.sparkSession.range(1).select(
+    report = control(cleaned, growers, cooperatives, rules).select(
         F.struct(
-            doubles["lignes_avant"].alias("lignes_extraites"),
+            before.alias("lignes_extraites"),
             kept.alias("lignes_conservees"),
-            F.lit(len(fact.columns)).alias("colonnes_finales"),
+            F.lit(len(cleaned.fact.columns)).alias("colonnes_finales"),
         ).alias("volumes"),
         F.struct(
             by_label["region"].alias("region"), by_label["cooperative"].alias("cooperative")
         ).alias("normalisation_libelles"),
-        doubles.alias("dedoublonnage"),
-        one_row(filled).alias("imputation"),
-        checks.scalar().alias("validation"),
-        rows(parts["anomalies"], "anomalie", FAMILIES).alias("anomalies"),
-        rows(parts["valeurs_manquantes_restantes"], "colonne", fact.columns).alias(
-            "valeurs_manquantes_restantes"
-        ),
+        F.struct(
+            before.alias("lignes_avant"),
+            (before - kept).alias("doublons_supprimes"),
+            kept.alias("lignes_apres"),
+        ).alias("dedoublonnage"),
+        F.col("filled").alias("imputation"),
+        checks.alias("validation"),
+        F.col("anomalies"),
+        F.col("missing").alias("valeurs_manquantes_restantes"),
     )
     return stamped(report) if generated else report
 
@@ -174,12 +185,16 @@ def run(
     output: str,
     rules: RuleSet = w.RULES,
 ) -> DataFrame:
-    """Clean, write the fact and its quality report under ``output``, return the written fact."""
+    """Clean, write the fact and its quality report under ``output``, return the written fact.
+
+    Intermediate tables go with the run. Fact and report appear when both are complete; after
+    an error whatever stood there before is still there.
+    """
     spark = fact.sparkSession
-    cleaned = clean(fact, growers, cooperatives, order, stage_in())
-    written = read_stage(spark, write_stage(cleaned.fact, f"{output}/pesees_propres.parquet"))
-    report = quality_report(
-        fact, Cleaned(written, cleaned.statistics), growers, cooperatives, rules
-    )
-    write_report(report, f"{output}/rapport_qualite.json")
-    return written
+    path = f"{output}/pesees_propres.parquet"
+    with Run(spark) as scope:
+        cleaned = clean(fact, growers, cooperatives, order, scope.stage())
+        written = read_stage(spark, write_stage(cleaned.fact, scope.result(path)))
+        report = quality_report(replace(cleaned, fact=written), growers, cooperatives, rules)
+        write_report(report, scope.result(f"{output}/rapport_qualite.json"))
+    return read_stage(spark, path)
