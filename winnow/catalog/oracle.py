@@ -620,6 +620,9 @@ ORACLES: dict[str, str] = {
     "ranked_quantiles": """SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1,
         median(l_extendedprice) AS mediane, quantile_cont(l_extendedprice, 0.75) AS q3
         FROM lineitem GROUP BY 1""",
+    "bracketed_quantiles": """SELECT quantile_cont(x, 0.25) AS q1, median(x) AS mediane,
+        quantile_cont(x, 0.75) AS q3, quantile_cont(x, 0.99) AS q99
+        FROM (SELECT l_extendedprice * 1000 + l_orderkey % 997 + l_linenumber / 8 AS x FROM lineitem) t""",
     "sketched_quantiles": """SELECT DISTINCT l_returnflag, true AS q1_juste, true AS mediane_juste,
         true AS q3_juste FROM lineitem""",
     "grower_medians": _sql(

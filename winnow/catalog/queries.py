@@ -40,7 +40,7 @@ from winnow.operators.profile import (
     period_span,
     profile_columns,
 )
-from winnow.operators.quantiles import approx_quantiles, group_quantiles
+from winnow.operators.quantiles import approx_quantiles, group_quantiles, medians_by_key
 from winnow.operators.rules import validate, verdict
 from winnow.operators.spine import date_spine, weighted_spine
 from winnow.operators.star import dimension
@@ -258,11 +258,18 @@ def ranked_quantiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def grower_medians(spark: SparkSession, sf: str) -> DataFrame:
-    """Median weight and price of every grower: many groups."""
-    rows = weighings(spark, sf)
-    weight = group_quantiles(rows, ["id_planteur"], "tonnage_kg", {"tonnage_median": 0.5})
-    price = group_quantiles(rows, ["id_planteur"], "prix_fcfa_kg", {"prix_median": 0.5})
-    return weight.join(price, "id_planteur")
+    """Median weight and price of every grower: many groups, one scan."""
+    names = {"tonnage_median": "tonnage_kg", "prix_median": "prix_fcfa_kg"}
+    return medians_by_key(weighings(spark, sf), "id_planteur", names)
+
+
+def bracketed_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Quartiles of a measure with as many values as rows: every item priced by its own cent."""
+    items = table(spark, sf, "lineitem")
+    apart = F.col("l_extendedprice") * 1000 + F.col("l_orderkey") % 997 + F.col("l_linenumber") / 8
+    return group_quantiles(
+        items, [], apart, {"q1": 0.25, "mediane": 0.5, "q3": 0.75, "q99": 0.99}, local_rows=1000
+    )
 
 
 def sketched_quantiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -582,7 +589,7 @@ QUERIES: dict[str, Query] = {
         dedup_counts, dedup_stats, calendar_columns, enrich_left, reference_key_check,
         orphans_exact, orphans_canonical, integrity_audit, hierarchy_mismatch, tonnage_class,
         export_flag, impute_price, impute_humidity, impute_stats, measures, profile, missing,
-        distributions, ranked_quantiles, grower_medians, sketched_quantiles, period,
+        distributions, ranked_quantiles, bracketed_quantiles, grower_medians, sketched_quantiles, period,
         sentinel_count, rules_report, rules_clean, rules_verdict, anomalies, anomaly_rows,
         grade_summary, season_share, usable_pairs, multi_parent_keys, hierarchy_check,
         unknown_regions, tiered_price, clip_values, date_spine_weights, union_duplicates, preview,

@@ -10,15 +10,9 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from winnow.functions.nulls import share_pct
 from winnow.functions.rounding import round_half_even
-from winnow.operators.bounded import LOCAL_ROWS, durable, local_if_small
-from winnow.operators.quantiles import (
-    COUNT,
-    VALUE,
-    Measure,
-    measure_counts,
-    quantiles_of_counts,
-    ranked_quantiles,
-)
+from winnow.operators.bounded import LOCAL_ROWS, durable
+from winnow.operators.quantiles import quantiles_of_summary
+from winnow.operators.selection import SIZE, VALUE, summary
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -112,42 +106,25 @@ def distribution(
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of each measure.
 
-    One scan yields the counted values of all measures together; every figure is
-    then a weighted aggregate of those.
+    The measures are stacked as rows. One scan gives all moments and a sketch of each, a
+    second the values around the quartiles.
     """
-    counts = durable(measure_counts(df, [Measure(m, m) for m in measures]).dropna(subset=[VALUE]))
-    small = local_if_small(counts, local_rows)
-    if small is not None:
-        counts = small
-        quartiles = quantiles_of_counts(counts, ["mesure"], QUARTILES)
-    else:
-        quartiles = ranked_quantiles(counts, ["mesure"], QUARTILES)
-    rows, weighted = F.sum(COUNT), F.sum(F.col(VALUE) * F.col(COUNT))
-    mean = F.try_divide(weighted, rows)
-    # One row per measure, so the counted values are not shuffled by so few keys.
-    means = F.broadcast(counts.groupBy("mesure").agg(rows.alias("nombre"), mean.alias("moyenne")))
-    moments = (
-        counts.join(means, "mesure")
-        .groupBy("mesure", "nombre", "moyenne")
-        .agg(
-            F.sum(F.pow(F.col(VALUE) - F.col("moyenne"), 2) * F.col(COUNT)).alias("squares"),
-            F.min(VALUE).alias("minimum"),
-            F.max(VALUE).alias("maximum"),
-        )
-    )
-    deviation = F.sqrt(
-        F.try_divide("squares", F.when(F.col("nombre") > 1, F.col("nombre") - 1))
-    )
+    stacked = [F.struct(F.lit(m).alias("mesure"), F.col(m).cast("double").alias(VALUE)) for m in measures]
+    present = df.select(F.inline(F.array(*stacked))).dropna()
+    moments = [
+        F.avg(VALUE).alias("moyenne"),
+        F.when(F.count("*") > 1, F.stddev_samp(VALUE)).alias("ecart_type"),
+        F.min(VALUE).alias("minimum"),
+        F.max(VALUE).alias("maximum"),
+    ]
+    found = durable(summary(present, ["mesure"], QUARTILES, extra=moments))
+    quartiles = quantiles_of_summary(present, ["mesure"], QUARTILES, found, local_rows)
     figures = {
-        "moyenne": F.col("moyenne"),
-        "ecart_type": deviation,
-        "minimum": F.col("minimum"),
-        **{q: F.col(q) for q in QUARTILES},
-        "maximum": F.col("maximum"),
+        c: F.col(c) for c in ("moyenne", "ecart_type", "minimum", *QUARTILES, "maximum")
     }
-    return moments.join(quartiles, "mesure").select(
+    return found.join(quartiles, "mesure").select(
         "mesure",
-        "nombre",
+        F.col(SIZE).alias("nombre"),
         *[round_half_even(value, digits).alias(name) for name, value in figures.items()],
     )
 

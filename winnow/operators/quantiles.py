@@ -1,10 +1,11 @@
 """Exact quantiles of whole tables or groups, and their use as row attributes.
 
-Rows are first reduced to (group, value, count) with a map-side combine, so a hot
-group or value costs one row per task. If that table is small the quantiles come
-from it directly. If it is large it is sorted over many range partitions and each
-wanted rank is looked up in the one partition that holds it; no task ever sees a
-whole group.
+Rows are reduced to (group, value, count) with a map-side combine, so a hot group or
+value costs one row per task. If the values are few the quantiles come from them
+directly. If they are many, only those near the wanted ranks are counted
+(:mod:`winnow.operators.selection`). Should even these be many, they are sorted over
+range partitions and each wanted rank is looked up in the one partition that holds
+it; no task ever sees a whole group.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.operators.bounded import LOCAL_ROWS, durable, local_if_small, small_or_same
+from winnow.operators.selection import COUNT, VALUE, certified_counts, summary
 
-VALUE, COUNT = "value", "n"
 MEDIAN = {"median": 0.5}
 PART_ROWS = 1_000_000
 
@@ -140,13 +141,50 @@ def group_quantiles(
     quantiles: Mapping[str, float] = MEDIAN,
     local_rows: int = LOCAL_ROWS,
 ) -> DataFrame:
-    """Exact quantiles of ``value`` per group, equal to linear interpolation in pandas."""
-    counts = durable(value_counts(df, keys, value))  # counted once, on either path
+    """Exact quantiles of ``value`` per group, equal to linear interpolation in pandas.
+
+    A first scan sketches every group. Where the values are few they are counted whole,
+    otherwise only those around the wanted ranks.
+    """
+    column = F.col(value) if isinstance(value, str) else value
+    present = df.select(*keys, column.cast("double").alias(VALUE)).dropna()
+    brackets = durable(summary(present, keys, quantiles))
+    return quantiles_of_summary(present, keys, quantiles, brackets, local_rows)
+
+
+def quantiles_of_summary(
+    present: DataFrame,
+    keys: Sequence[str],
+    quantiles: Mapping[str, float],
+    brackets: DataFrame,
+    local_rows: int = LOCAL_ROWS,
+) -> DataFrame:
+    """The quantiles after the first scan, whose :func:`summary` is durable."""
+    distinct = brackets.agg(F.sum("__distinct").alias("d")).head()["d"] or 0
+    if distinct <= local_rows // 2:
+        small = local_if_small(value_counts(present, keys, VALUE), local_rows)
+        if small is not None:
+            return quantiles_of_counts(small, keys, quantiles)
+    counts = certified_counts(present, keys, brackets, quantiles, local_rows=local_rows)
+    # Rows of a gap follow the bracket below them, so they may stand for its last value.
+    counts = counts.drop("gap")
     small = local_if_small(counts, local_rows)
     if small is not None:
         return quantiles_of_counts(small, keys, quantiles)
-    result = ranked_quantiles(counts, keys, quantiles)
-    return small_or_same(result, local_rows)
+    return small_or_same(ranked_quantiles(durable(counts), keys, quantiles), local_rows)
+
+
+def medians_by_key(df: DataFrame, key: str, names: Mapping[str, str]) -> DataFrame:
+    """Exact medians of several columns (output name: column) per key, for very many keys.
+
+    All columns are counted by value in one scan; a hot key is spread over range partitions.
+    """
+    measures = [Measure(name, column, (key,)) for name, column in names.items()]
+    counts = durable(measure_counts(df, measures).dropna(subset=[key, VALUE]))
+    found = ranked_quantiles(counts, ["mesure", key])
+    return found.groupBy(key).agg(
+        *[F.max(F.when(F.col("mesure") == name, F.col("median"))).alias(name) for name in names]
+    )
 
 
 def approx_quantiles(
