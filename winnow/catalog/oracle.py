@@ -488,6 +488,26 @@ _QUALITY_ROWS = (
     )
 )
 
+def _seasons(condition: str) -> str:
+    """Season comparison over the first scan of every ticket whose date meets a condition."""
+    return f""", u AS (SELECT strptime(date, '%Y-%m-%d')::DATE AS d, tonnage_kg FROM (
+            SELECT *, row_number() OVER (PARTITION BY id_pesee
+                ORDER BY date, l_partkey, l_suppkey, l_extendedprice) AS rn FROM w) WHERE rn = 1),
+        m AS (SELECT CAST(year(d) - (month(d) < 10)::INTEGER AS INTEGER) AS debut,
+                CAST(month(d) AS INTEGER) AS mois, count(*) AS nb, sum(tonnage_kg) AS tonnage_kg
+            FROM u WHERE {condition} GROUP BY 1, 2),
+        spine AS (SELECT CAST(y AS INTEGER) AS debut, CAST(x AS INTEGER) AS mois FROM
+            (SELECT unnest(range((SELECT min(debut) FROM m), (SELECT max(debut) + 1 FROM m))) AS y),
+            (SELECT unnest(range(1, 13)) AS x)),
+        filled AS (SELECT debut, mois, coalesce(nb, 0) AS nb, coalesce(tonnage_kg, 0) AS tonnage_kg
+            FROM spine LEFT JOIN m USING (debut, mois))
+        SELECT concat(debut, '-', debut + 1) AS saison, mois, nb, tonnage_kg,
+            lag(nb) OVER before AS nb_precedent, lag(tonnage_kg) OVER before AS tonnage_precedent,
+            round_even((tonnage_kg - lag(tonnage_kg) OVER before)
+                / nullif(lag(tonnage_kg) OVER before, 0) * 100, 1) AS evolution_pct
+        FROM filled WINDOW before AS (PARTITION BY mois ORDER BY debut)"""
+
+
 ORACLES: dict[str, str] = {
     "flagship_weighted_price": _sql(
         ("meas",), _WEIGHTED.replace("{keys}", "qualite, saison").replace("{source}", "meas")
@@ -620,8 +640,9 @@ ORACLES: dict[str, str] = {
     "ranked_quantiles": """SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1,
         median(l_extendedprice) AS mediane, quantile_cont(l_extendedprice, 0.75) AS q3
         FROM lineitem GROUP BY 1""",
-    "bracketed_quantiles": """SELECT quantile_cont(x, 0.25) AS q1, median(x) AS mediane,
-        quantile_cont(x, 0.75) AS q3, quantile_cont(x, 0.99) AS q99
+    "bracketed_quantiles": """SELECT round_even(quantile_cont(x, 0.25), 3) AS q1,
+        round_even(median(x), 3) AS mediane, round_even(quantile_cont(x, 0.75), 3) AS q3,
+        round_even(quantile_cont(x, 0.99), 3) AS q99
         FROM (SELECT l_extendedprice * 1000 + l_orderkey % 997 + l_linenumber / 8 AS x FROM lineitem) t""",
     "sketched_quantiles": """SELECT DISTINCT l_returnflag, true AS q1_juste, true AS mediane_juste,
         true AS q3_juste FROM lineitem""",
@@ -802,4 +823,41 @@ ORACLES: dict[str, str] = {
         concat('"a""b" \\ ', text, ', \\n"', chr(10), '"') AS text FROM documents""",
     "csv_round_trip": _sql(("f",), "SELECT * FROM f"),
     "stage_round_trip": _sql(("f",), "SELECT * FROM f"),
+    "season_comparison": _sql(("w",), _seasons("true")),
+    "season_comparison_gaps": _sql(("w",), _seasons("year(d) % 2 = 0 OR month(d) IN (2, 11)")),
+    "stable_keys": _sql(
+        ("g",),
+        """, a AS (SELECT id_planteur, row_number() OVER (ORDER BY id_planteur) AS k
+            FROM g WHERE NOT certifie_bio),
+        b AS (SELECT id_planteur, row_number() OVER (ORDER BY id_planteur) + (SELECT count(*) FROM a) AS k
+            FROM g WHERE certifie_bio AND superficie_ha >= 2)
+        SELECT k AS cle_planteur, id_planteur, CASE WHEN superficie_ha >= 2 THEN region END AS region,
+            CASE WHEN superficie_ha >= 2 THEN superficie_ha END AS superficie_ha
+        FROM (SELECT * FROM a UNION ALL SELECT * FROM b) k JOIN g USING (id_planteur)""",
+    ),
+    "sketched_distincts": _sql(
+        ("f",),
+        """SELECT partie, colonne, true AS juste
+        FROM (SELECT DISTINCT qualite AS partie FROM f UNION ALL SELECT unnest(['toutes', 'sans A'])) p,
+            (SELECT unnest(['id_pesee', 'id_planteur', 'prix_fcfa_kg', 'tonnage_kg']) AS colonne) c""",
+    ),
+    "csv_rejects": _sql(
+        ("w",),
+        """SELECT id_pesee, NULL::VARCHAR AS colonne, CASE WHEN l_partkey % 101 = 3
+            THEN 'cellules en trop' ELSE 'cellules manquantes' END AS raison, NULL::VARCHAR AS texte
+        FROM w WHERE l_partkey % 101 = 3 OR l_partkey % 103 = 5
+        UNION ALL SELECT id_pesee, 'tonnage_kg', 'valeur illisible', 'lourd'
+        FROM w WHERE l_partkey % 101 <> 3 AND l_partkey % 107 = 7
+        UNION ALL SELECT id_pesee, 'date', 'date illisible', '31/02/2020'
+        FROM w WHERE l_partkey % 101 <> 3 AND l_partkey % 109 = 11""",
+    ),
+    "csv_rejects_kept": _sql(
+        ("w",),
+        """SELECT id_pesee, CASE WHEN l_partkey % 109 <> 11 THEN date END AS date, region, cooperative,
+            id_planteur, CASE WHEN l_partkey % 107 <> 7 THEN tonnage_kg END AS tonnage_kg, qualite,
+            CASE WHEN l_partkey % 103 <> 5 THEN prix_fcfa_kg END AS prix_fcfa_kg,
+            CASE WHEN l_partkey % 103 <> 5 THEN humidite_pct END AS humidite_pct
+        FROM w WHERE l_partkey % 101 <> 3""",
+    ),
 }
+ORACLES["bucketed_first"] = ORACLES["dedup_first"]

@@ -17,7 +17,7 @@ from winnow.functions.labels import canonical_key, strip_blanks, title_case
 from winnow.functions.rounding import round_half_even
 from winnow.operators.aggregates import distinct_pairs, keys_with_several, union_rows
 from winnow.operators.anomalies import anomaly_summary, flag_anomalies
-from winnow.operators.bounded import shared_folder, small_or_same
+from winnow.operators.bounded import durable, shared_folder, small_or_same
 from winnow.operators.canonical import (
     canonicalisation_stats,
     label_variants,
@@ -41,12 +41,15 @@ from winnow.operators.profile import (
     profile_columns,
 )
 from winnow.operators.quantiles import approx_quantiles, group_quantiles, medians_by_key
+from winnow.operators.registry import KeyRegistry
 from winnow.operators.rules import validate, verdict
+from winnow.operators.sketches import distinct_sketches, merged_distincts, relative_error
 from winnow.operators.spine import date_spine, weighted_spine
 from winnow.operators.star import dimension
 from winnow.plans import analyses, audit, cleaning, pipeline
 from winnow.plans import weighings as w
 from winnow.sources import schemas, tables
+from winnow.sources.rejects import read_csv_with_rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -267,9 +270,9 @@ def bracketed_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     """Quartiles of a measure with as many values as rows: every item priced by its own cent."""
     items = table(spark, sf, "lineitem")
     apart = F.col("l_extendedprice") * 1000 + F.col("l_orderkey") % 997 + F.col("l_linenumber") / 8
-    return group_quantiles(
-        items, [], apart, {"q1": 0.25, "mediane": 0.5, "q3": 0.75, "q99": 0.99}, local_rows=1000
-    )
+    wanted = {"q1": 0.25, "mediane": 0.5, "q3": 0.75, "q99": 0.99}
+    found = group_quantiles(items, [], apart, wanted, local_rows=1000)
+    return found.select(*[round_half_even(F.col(q), 3).alias(q) for q in wanted])
 
 
 def sketched_quantiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -448,6 +451,87 @@ def clean_fact(spark: SparkSession, sf: str) -> DataFrame:
     return _text(_clean(spark, sf).fact, "date")
 
 
+def season_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    return analyses.season_comparison(_seasoned(spark, sf))
+
+
+def season_comparison_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """The same where most months of every second year had no delivery."""
+    rows = _seasoned(spark, sf).filter("annee % 2 = 0 OR mois IN (2, 11)")
+    return analyses.season_comparison(rows)
+
+
+def stable_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Grower keys after two loads: the second brings new growers and lacks some old ones."""
+    path = f"{shared_folder(spark)}/registry-{uuid4().hex}"
+    registry = KeyRegistry(spark, path, "id_planteur", "cle_planteur")
+    every = growers(spark, sf)
+    registry.load(every.filter("NOT certifie_bio"))
+    registry.load(every.filter("superficie_ha >= 2"))
+    registry.load(every.filter("superficie_ha >= 2"))
+    return registry.dimension(every.filter("superficie_ha >= 2"), ["region", "superficie_ha"])
+
+
+def sketched_distincts(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether merged sketches of a stage partitioned by grade estimate distinct values rightly."""
+    columns = ["id_pesee", "id_planteur", "prix_fcfa_kg", "tonnage_kg"]
+    rows = pipeline.stage_in()(fact(spark, sf))
+    sketches = durable(distinct_sketches(rows, ["qualite"], columns))
+    every = [F.struct(F.lit(c).alias("colonne"), F.col(c).cast("string").alias("v")) for c in columns]
+    values = rows.select("qualite", F.inline(F.array(*every))).dropna().distinct()
+    several = F.col("qualite") != "Grade A"
+    subsets = {"chaque": F.lit(True), "toutes": F.lit(True), "sans A": several}
+    report = None
+    for name, chosen in subsets.items():
+        keys = ["qualite"] if name == "chaque" else []
+        exact = values.filter(chosen).select(*keys, "colonne", "v").distinct()
+        exact = exact.groupBy(*keys, "colonne").agg(F.count("*").alias("exact"))
+        found = merged_distincts(sketches.filter(chosen), keys).join(exact, [*keys, "colonne"])
+        right = F.abs(F.col("distincts") / F.col("exact") - 1) <= relative_error()
+        part = found.select(
+            (F.col("qualite") if keys else F.lit(name)).alias("partie"), "colonne", right.alias("juste")
+        )
+        report = part if report is None else report.unionByName(part)
+    return report
+
+
+def bucketed_first(spark: SparkSession, sf: str) -> DataFrame:
+    """Keep-first on a stage in buckets of the ticket, without an exchange."""
+    name = f"stage_{uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = tables.write_bucketed(weighings(spark, sf), name, path, w.KEY, ORDER, buckets)
+    return cleaning.deduplicate(rows, ORDER).select(*w.FACT_COLUMNS)
+
+
+_LINE = """concat_ws(',', id_pesee, IF(l_partkey % 109 = 11, '31/02/2020', date), region,
+    concat('"', cooperative, '"'), id_planteur, IF(l_partkey % 107 = 7, 'lourd', CAST(tonnage_kg AS STRING)), qualite)"""
+
+
+def _rejecting(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The weighings as CSV lines with short, surplus and unreadable cells, read tolerantly."""
+    path = f"{shared_folder(spark)}/lines-{uuid4().hex}"
+    rest = "concat(',', prix_fcfa_kg, ',', coalesce(CAST(humidite_pct AS STRING), ''))"
+    end = f"CASE WHEN l_partkey % 101 = 3 THEN concat({rest}, ',x') WHEN l_partkey % 103 = 5 THEN '' ELSE {rest} END"
+    weighings(spark, sf).selectExpr(f"concat({_LINE}, {end}) AS value").write.text(path)
+    return read_csv_with_rejects(
+        spark, path, schemas.WEIGHINGS, w.KEY, missing=("",), dates={"date": "yyyy-MM-dd"}, header=False
+    )
+
+
+def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Everything that was wrong with the CSV lines."""
+    _, rejects = _rejecting(spark, sf)
+    return rejects.select(
+        "id_pesee", "colonne", "raison", F.when(F.col("colonne").isNotNull(), F.col("texte")).alias("texte")
+    )
+
+
+def csv_rejects_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows that tolerant reading keeps, short ones filled."""
+    return _rejecting(spark, sf)[0].select(*w.FACT_COLUMNS)
+
+
 def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """The fact written as CSV and read back under its declared schema."""
     path = f"{shared_folder(spark)}/csv-{uuid4().hex}"
@@ -596,6 +680,7 @@ QUERIES: dict[str, Query] = {
         compliance_by_month, class_distribution, measured_weighted_price, star_dimension,
         star_fact, clean_fact, csv_round_trip, stage_round_trip, audit_json, quality_json,
         audit_rows, quality_rows, rules_unknown_grades, rules_nan, rules_absent_columns,
-        csv_text_round_trip,
+        csv_text_round_trip, season_comparison, season_comparison_gaps, stable_keys,
+        sketched_distincts, bucketed_first, csv_rejects, csv_rejects_kept,
     )
 }

@@ -11,10 +11,20 @@ from winnow.functions.rounding import round_half_even
 
 
 def exact_sum(df: DataFrame, column: str) -> Column:
-    """Sum of a column; doubles are added as decimals, so that no order of rows changes it."""
+    """Sum of a column that no order of its rows changes.
+
+    Doubles are added as decimals of 12 places. A group with a value that these do not hold to
+    nine digits (below 1e-3 with many digits, from 1e16 on, infinite or NaN) is added as
+    doubles: NaN gives NaN, and no value is lost.
+    """
     if dict(df.dtypes)[column] not in ("double", "float"):
         return F.sum(column)
-    return F.sum(F.col(column).cast("decimal(28,6)")).cast("double")
+    value = F.col(column)
+    part = value.try_cast("decimal(28,12)")
+    held = F.abs(part.cast("double") - value) <= F.abs(value) * 1e-9
+    lost = F.count_if(value.isNotNull() & ~F.coalesce(held, F.lit(False)))
+    exact = F.try_sum(part).cast("double")
+    return F.when(lost == 0, F.coalesce(exact, F.sum(value))).otherwise(F.sum(value))
 
 
 def grouped_summary(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.functions.calendar import parse_date, season_kind
 from winnow.functions.conditional import first_match, scaled_price
+from winnow.functions.rounding import round_half_even
 from winnow.operators.aggregates import (
+    exact_sum,
     grouped_summary,
     keys_with_several,
     weighted_mean,
@@ -103,7 +105,7 @@ def compliance_by_month(fact: DataFrame) -> DataFrame:
         .groupBy("saison", "campagne", "mois")
         .agg(
             F.count("*").alias("nb"),
-            F.sum("tonnage_kg").alias("tonnage_kg"),
+            exact_sum(fact, "tonnage_kg").alias("tonnage_kg"),
             compliant.alias("nb_conformes"),
             share.alias("taux_conformite_pct"),
         )
@@ -113,11 +115,46 @@ def compliance_by_month(fact: DataFrame) -> DataFrame:
 def class_distribution(fact: DataFrame) -> DataFrame:
     """Rows, weight and share of the rows per weight class."""
     totals = fact.groupBy("categorie_tonnage").agg(
-        F.count("*").alias("nb"), F.sum("tonnage_kg").alias("tonnage_kg")
+        F.count("*").alias("nb"), exact_sum(fact, "tonnage_kg").alias("tonnage_kg")
     )
     return with_share(totals, "nb", "part_pct")
 
 
+def season_comparison(fact: DataFrame) -> DataFrame:
+    """Deliveries of every month of every season beside the same month of the season before.
+
+    The months form a spine without gaps from the first season to the last: a month without a
+    delivery counts as zero, so that the season before is always the row before. The change in
+    percent is NULL in the first season and after a month of zero. Rows without a date are in
+    no season.
+    """
+    start = F.substring("saison", 1, 4).cast("int")
+    months = (
+        fact.filter(F.col("saison").isNotNull())
+        .groupBy(start.alias("debut"), "mois")
+        .agg(F.count("*").alias("nb"), exact_sum(fact, "tonnage_kg").alias("tonnage_kg"))
+    )
+    spine = (
+        months.agg(F.min("debut").alias("low"), F.max("debut").alias("high"))
+        .filter(F.col("low").isNotNull())
+        .select(F.explode(F.sequence("low", "high")).alias("debut"))
+        .select("debut", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("mois"))
+    )
+    filled = spine.join(months, ["debut", "mois"], "left").fillna({"nb": 0, "tonnage_kg": 0.0})
+    before = Window.partitionBy("mois").orderBy("debut")
+    previous = F.lag("tonnage_kg").over(before)
+    change = F.try_divide(F.col("tonnage_kg") - previous, F.when(previous != 0, previous)) * 100
+    return filled.select(
+        F.concat_ws("-", "debut", F.col("debut") + 1).alias("saison"),
+        "mois",
+        "nb",
+        "tonnage_kg",
+        F.lag("nb").over(before).alias("nb_precedent"),
+        previous.alias("tonnage_precedent"),
+        round_half_even(change, 1).alias("evolution_pct"),
+    )
+
+
 def star_schema(fact: DataFrame, growers: DataFrame, cooperatives: DataFrame) -> dict[str, DataFrame]:
     """Three dimensions with integer keys, and the fact that carries them."""
     regions = dimension(cooperatives, "region", "id_region")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -47,13 +47,17 @@ def read_csv(
     ]
     if not keep_order:
         return raw.select(*typed)
-    # Row ids only grow within one file block, which the path and block start identify.
-    position = F.struct(
+    return raw.select(*typed, row_position().alias(ORDER))
+
+
+def row_position() -> Column:
+    """Position of a row in its files: row ids only grow within one file block, which the path
+    and block start identify."""
+    return F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return raw.select(*typed, position.alias(ORDER))
 
 
 def read_sources(
@@ -86,6 +90,20 @@ def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> s
     return path
 
 
+def write_bucketed(
+    df: DataFrame, table: str, path: str, key: str, order: Sequence[str], buckets: int
+) -> DataFrame:
+    """A stage in buckets of its key, each sorted, as the table of that name; read it by the name.
+
+    One exchange deals the rows, one task writes each bucket. Grouping, keep-first and joins by
+    the key then need none, as often as the table is read in the session.
+    """
+    dealt = df.repartition(buckets, key).sortWithinPartitions(key, *order)
+    writer = dealt.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def read_stage(
     spark: SparkSession, path: str, schema: StructType | None = None, keep_order: bool = False
 ) -> DataFrame:
