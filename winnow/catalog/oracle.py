@@ -860,4 +860,70 @@ ORACLES: dict[str, str] = {
         FROM w WHERE l_partkey % 101 <> 3""",
     ),
 }
-ORACLES["bucketed_first"] = ORACLES["dedup_first"]
+
+
+def _found(path: str, text: bool = False) -> str:
+    value = f"(SELECT valeur FROM r WHERE chemin = '{path}')"
+    return f"'\"', {value}, '\"'" if text else value
+
+
+def _fields_of(path: str, *names: str) -> str:
+    """The text of a JSON object from entries of a report."""
+    return ", ',', ".join(f"'\"{n}\":', {_found(f'{path}.{n}')}" for n in names)
+
+
+def _map_of(path: str) -> str:
+    return f"""'{{', (SELECT coalesce(string_agg(concat('"', substr(chemin, {len(path) + 2}), '":', valeur), ','
+        ORDER BY chemin), '') FROM r WHERE starts_with(chemin, '{path}.')), '}}'"""
+
+
+_SOURCES = ", ',', ".join(
+    f"""'"{n}":{{"fichier":', {_found(f"sources.{n}.fichier", True)},
+        ',"nb_lignes":', {_found(f"sources.{n}.nb_lignes")}, '}}'"""
+    for n in ("pesees", "planteurs", "cooperatives")
+)
+ORACLES |= {
+    "bucketed_first": ORACLES["dedup_first"],
+    "audit_json": _with("w", "f", "g", "c")
+    + f""", r AS ({_expand(_AUDIT_ROWS)}) SELECT concat('{{"sources":{{', {_SOURCES},
+        '}},"constats":{{"valeurs_manquantes":', {_map_of("constats.valeurs_manquantes")}, ',',
+        {_fields_of("constats", "doublons_id_pesee", "doublons_lignes_completes")},
+        ',"variantes_saisie":', {_map_of("constats.variantes_saisie")}, ',',
+        {_fields_of("constats", "prix_aberrants")},
+        ',"periode":{{"debut":', {_found("constats.periode.debut", True)},
+        ',"fin":', {_found("constats.periode.fin", True)}, '}},"integrite":{{',
+        {_fields_of("constats.integrite", "orphelins_planteur", "orphelins_cooperative", "orphelins_region")},
+        '}}}}}}') AS rapport""",
+    "self_check": f"""SELECT 'prix_par_grade' AS controle, qualite AS cle, nb, CAST(prix_moyen AS DOUBLE)
+            AS premiere, CAST(humidite_moyenne AS DOUBLE) AS seconde FROM ({ORACLES["grade_summary"]})
+        UNION ALL SELECT 'repartition_campagne', campagne, nb_pesees, tonnage_kg, part_pct
+            FROM ({ORACLES["season_share"]})
+        UNION ALL SELECT 'hierarchie', 'toutes', lignes_exploitables, couples, planteurs_multi_region
+            FROM ({ORACLES["hierarchy_check"]})""",
+    "reference_guard": _sql(
+        ("g",),
+        """SELECT 'unique' AS reference, count(*) > count(DISTINCT id_planteur) AS refusee FROM g
+        UNION ALL SELECT 'repetee', count(*) > 0 FROM g WHERE superficie_ha > 29
+        UNION ALL SELECT 'cle manquante', count(id_planteur) > count(DISTINCT id_planteur)
+            FROM g WHERE NOT certifie_bio""",
+    ),
+    "tolerant_dates": _sql(
+        ("w",),
+        """SELECT id_pesee, texte, strftime(try_strptime(texte, '%Y-%m-%d'), '%Y-%m-%d') AS jour
+        FROM (SELECT id_pesee, CASE l_partkey % 9 WHEN 0 THEN replace(date, '-', '/')
+            WHEN 1 THEN concat(substr(date, 1, 5), '13-01') WHEN 2 THEN '' ELSE date END AS texte FROM w)""",
+    ),
+    "tonnage_class_text": _sql(
+        ("w",),
+        """SELECT id_pesee, coalesce({classe}, 'nan') AS categorie_tonnage
+        FROM (SELECT * REPLACE (CASE WHEN prix_fcfa_kg % 7 <> 3 THEN tonnage_kg END AS tonnage_kg) FROM w)""",
+    ),
+    "label_order": _sql(
+        ("c",),
+        """, spelled AS (SELECT CASE WHEN code_cooperative LIKE '%1' THEN lower(region) ELSE region END AS region,
+            -CAST(regexp_extract(code_cooperative, '([0-9]+)$', 1) AS BIGINT) AS position FROM c),
+        firsts AS (SELECT region, min(position) AS position FROM spelled GROUP BY 1)
+        SELECT lower(replace(region, '_', ' ')) AS label_key, arg_max(region, position) AS official
+        FROM firsts GROUP BY 1""",
+    ),
+}

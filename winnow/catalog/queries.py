@@ -22,12 +22,14 @@ from winnow.operators.canonical import (
     canonicalisation_stats,
     label_variants,
     official_collisions,
+    official_labels,
     unknown_values,
     variant_sample,
 )
 from winnow.operators.dedup import dedup_summary, duplicate_counts
 from winnow.operators.impute import imputation_summary, measured_only
 from winnow.operators.joins import (
+    attach_reference,
     duplicate_keys,
     hierarchy_counts,
     orphan_keys,
@@ -374,6 +376,71 @@ def hierarchy_check(spark: SparkSession, sf: str) -> DataFrame:
     return analyses.hierarchy_check(fact(spark, sf), growers(spark, sf), cooperatives(spark, sf))
 
 
+def self_check(spark: SparkSession, sf: str) -> DataFrame:
+    """The three self-checks of the raw tables as rows of one result."""
+    parts = analyses.self_check(fact(spark, sf), growers(spark, sf), cooperatives(spark, sf))
+    named = {
+        "prix_par_grade": ("qualite", "nb", "prix_moyen", "humidite_moyenne"),
+        "repartition_campagne": ("campagne", "nb_pesees", "tonnage_kg", "part_pct"),
+        "hierarchie": (None, "lignes_exploitables", "couples", "planteurs_multi_region"),
+    }
+    report = None
+    for name, (key, rows, first, second) in named.items():
+        part = parts[name].select(
+            F.lit(name).alias("controle"),
+            (F.col(key) if key else F.lit("toutes")).alias("cle"),
+            F.col(rows).cast("long").alias("nb"),
+            F.col(first).cast("double").alias("premiere"),
+            F.col(second).cast("double").alias("seconde"),
+        )
+        report = part if report is None else report.unionByName(part)
+    return report
+
+
+def reference_guard(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the join with a reference is refused, by kind of reference."""
+    every = growers(spark, sf)
+    kinds = {
+        "unique": every,
+        "repetee": union_rows(every, F.col("superficie_ha") > 29),
+        "cle manquante": every.withColumn("id_planteur", F.expr("IF(certifie_bio, NULL, id_planteur)")),
+    }
+    refused = {}
+    for kind, reference in kinds.items():
+        try:
+            attach_reference(weighings(spark, sf), reference, "id_planteur", ["superficie_ha"])
+            refused[kind] = False
+        except ValueError:
+            refused[kind] = True
+    return spark.createDataFrame(sorted(refused.items()), "reference string, refusee boolean")
+
+
+def tolerant_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates in the imposed format, NULL for texts in another one."""
+    rows = weighings(spark, sf)
+    text = F.expr(
+        "CASE l_partkey % 9 WHEN 0 THEN replace(date, '-', '/') WHEN 1 THEN concat(substr(date, 1, 5), '13-01')"
+        " WHEN 2 THEN '' ELSE date END"
+    )
+    day = parse_date(text, strict=False)
+    return _text(rows.select("id_pesee", text.alias("texte"), day.alias("jour")), "jour")
+
+
+def tonnage_class_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Weight classes with a text where there is no class."""
+    rows = weighings(spark, sf).withColumn("tonnage_kg", F.expr("IF(prix_fcfa_kg % 7 = 3, NULL, tonnage_kg)"))
+    return rows.select("id_pesee", cleaning.weight_class("nan").alias("categorie_tonnage"))
+
+
+def label_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Official label of each key, the last to appear in descending order of the suppliers."""
+    spelled = F.expr("IF(code_cooperative LIKE '%1', lower(region), region)")
+    place = F.regexp_extract("code_cooperative", "([0-9]+)$", 1).cast("long")
+    reference = cooperatives(spark, sf).select(spelled.alias("region"), (-place).alias("position"))
+    found = official_labels(reference, {"region": "region"}, "position")
+    return found.select("label_key", "official")
+
+
 def unknown_regions(spark: SparkSession, sf: str) -> DataFrame:
     return unknown_values(weighings(spark, sf), "region", cooperatives(spark, sf))
 
@@ -681,6 +748,7 @@ QUERIES: dict[str, Query] = {
         star_fact, clean_fact, csv_round_trip, stage_round_trip, audit_json, quality_json,
         audit_rows, quality_rows, rules_unknown_grades, rules_nan, rules_absent_columns,
         csv_text_round_trip, season_comparison, season_comparison_gaps, stable_keys,
-        sketched_distincts, bucketed_first, csv_rejects, csv_rejects_kept,
+        sketched_distincts, bucketed_first, csv_rejects, csv_rejects_kept, self_check,
+        reference_guard, tolerant_dates, tonnage_class_text, label_order,
     )
 }

@@ -17,11 +17,6 @@ def at_most(value: Column, bound: float) -> Column:
     return flag(value <= bound)
 
 
-def above(value: Column, bound: float | Column) -> Column:
-    """Strict threshold flag; a missing value is not above."""
-    return flag(value > bound)
-
-
 def right_closed_bins(
     value: Column,
     edges: Sequence[float],

@@ -60,8 +60,8 @@ def canonical_key(text: Column | str) -> Column:
     """Key under which typing variants of one label compare equal.
 
     Accents, case, punctuation and repeated or outer blanks do not count:
-    ``'San Pedro'``, ``' SAN  PEDRO '`` and ``'San-Pedro'`` all give
-    ``'san pedro'``. A missing label gives ``''``.
+    ``'Côte Sud'``, ``'  COTE   SUD'`` and ``'cote_sud'`` all give
+    ``'cote sud'``. A missing label gives ``''``.
     """
     column = F.col(text) if isinstance(text, str) else text
     words = F.regexp_replace(F.lower(_fold(column)), "[^a-z0-9]+", " ")

@@ -14,8 +14,8 @@ from pyspark.sql.types import StringType
 # Largest statistic that may become a local table.
 LOCAL_ROWS = 100_000
 LOCAL_BYTES = 16 * 1024 * 1024
-# Longest text of such a table; with the bound on rows it bounds the bytes that are collected.
-CELL_CHARS = 1000
+# Longest and shortest bound on a text of such a table.
+CELL_CHARS, LEAST_CHARS = 1000, 64
 
 
 def rows_if_small(
@@ -25,12 +25,15 @@ def rows_if_small(
 
     ``take`` reads a few partitions at a time and stops at the bound, so a table of
     any size is refused after ``max_rows + 1`` rows, without an exchange to one task.
-    Texts are cut one character beyond ``CELL_CHARS`` before they leave the cluster,
-    and a table with a longer one is refused: never more than the bound is collected.
+    Texts are cut before they leave the cluster, and a table with a longer one is refused:
+    all rows and texts together then hold at most ``max_bytes`` characters, or
+    ``LEAST_CHARS`` for each text, however many the table has.
     """
     texts = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
+    longest = max_bytes // max(max_rows * len(texts), 1)
+    longest = max(LEAST_CHARS, min(CELL_CHARS, longest))
     cut = [
-        F.substring(F.col(_quoted(c)), 1, CELL_CHARS + 1).alias(c) if c in texts else _quoted(c)
+        F.substring(F.col(_quoted(c)), 1, longest + 1).alias(c) if c in texts else _quoted(c)
         for c in df.columns
     ]
     rows = df.select(*cut).take(max_rows + 1)
@@ -39,7 +42,7 @@ def rows_if_small(
     schema = to_arrow_schema(df.schema)
     columns = list(zip(*rows)) or [()] * len(schema)
     if any(
-        f.name in texts and any(v is not None and len(v) > CELL_CHARS for v in c)
+        f.name in texts and any(v is not None and len(v) > longest for v in c)
         for c, f in zip(columns, schema)
     ):
         return None

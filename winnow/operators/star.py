@@ -12,6 +12,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 from winnow.operators.bounded import LOCAL_ROWS, durable, rows_if_small
 from winnow.operators.joins import attach_reference
 
+# Members that one task numbers.
+PART_ROWS = 1_000_000
+
 
 def dimension(
     reference: DataFrame,
@@ -37,8 +40,10 @@ def dimension(
         schema = StructType([StructField(surrogate, LongType()), *rows.schema])
         return reference.sparkSession.createDataFrame(table, schema=schema)
     # Range boundaries come from a sample: read them twice from a durable copy.
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(usual, -(-rows.count() // PART_ROWS))
     parts = durable(
-        rows.repartitionByRange(natural_key).withColumn("part", F.spark_partition_id())
+        rows.repartitionByRange(ranges, natural_key).withColumn("part", F.spark_partition_id())
     )
     sizes = parts.groupBy("part").agg(F.count("*").alias("size"))
     before = F.sum("size").over(Window.orderBy("part")) - F.col("size")

@@ -27,14 +27,20 @@ from winnow.operators.quantiles import (
     quantiles_of_counts,
 )
 from winnow.plans import weighings as w
+from winnow.sources.tables import ORDER
 
 
 TYPED_LABELS = {"region": "region", "cooperative": "code_cooperative"}
 
 
 def official_names(cooperatives: DataFrame) -> DataFrame:
-    """Official regions and cooperative codes by canonical key."""
-    return official_labels(cooperatives, TYPED_LABELS)
+    """Official regions and cooperative codes by canonical key.
+
+    Of two that share a key the last wins: the last to appear where the reference keeps its
+    input order, else the last label.
+    """
+    order = ORDER if ORDER in cooperatives.columns else None
+    return official_labels(cooperatives, TYPED_LABELS, order)
 
 
 def typed_labels(fact: DataFrame, cooperatives: DataFrame) -> DataFrame:

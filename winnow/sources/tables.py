@@ -64,9 +64,9 @@ def read_sources(
     spark: SparkSession,
     paths: Mapping[str, str],
     schemas: Mapping[str, StructType] = INPUT_SCHEMAS,
-    keep_order: Sequence[str] = ("pesees",),
+    keep_order: Sequence[str] = ("pesees", "cooperatives"),
 ) -> dict[str, DataFrame]:
-    """Read the named CSV sources; the fact table keeps its input order."""
+    """Read the named CSV sources; the fact and the official labels keep their input order."""
     return {
         name: read_csv(spark, path, schemas[name], keep_order=name in keep_order)
         for name, path in paths.items()
