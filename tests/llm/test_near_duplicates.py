@@ -66,10 +66,52 @@ def test_groups_agree_with_all_pairs(spark, monkeypatch, few, block):
 def test_groups_of_rows_without_keys_and_of_none(spark):
     rows = [(None, "a b c", "en"), (3, "a b c", "en"), (3, "a b c", "en")]
     found = dart.near_duplicates(frame(spark, rows)).collect()
-    assert [(r.doc_id, r.group_id) for r in found] == [(3, 3), (3, 3)]
+    assert [(r.doc_id, r.group_id) for r in found] == [(None, 3), (3, 3), (3, 3)]
+    lone = dart.near_duplicates(frame(spark, [(None, "a b c", "en")] * 2)).collect()
+    assert [(r.doc_id, r.group_id) for r in lone] == [(None, None)] * 2
     assert dart.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_texts_of_one_key_are_told_apart(spark):
+    a, b, c = (prose(random.Random(i), "en", 30) for i in range(3))
+    rows = [(1, a, "en"), (1, b, "de"), (2, b, "fr"), (None, c, "x"), (None, c, "x"), (None, a, "x"), (4, None, "n")]
+    found = dart.first_of_groups(frame(spark, rows))
+    assert found.columns == frame(spark, rows).columns
+    kept = sorted(((r.doc_id, r.text, r.lang) for r in found.collect()), key=str)
+    assert kept == sorted([(1, a, "en"), (1, b, "de"), (None, c, "x"), (4, None, "n")], key=str)
+    renamed = frame(spark, rows).withColumnRenamed("part", "row")
+    assert dart.first_of_groups(renamed).columns == renamed.columns
+
+
+@pytest.mark.parametrize("few, block", [(16, 512), (1, 7)])
+def test_left_over_rounds_return_few_links_and_lose_none(spark, monkeypatch, few, block):
+    monkeypatch.setattr(dart, "FEW", few)
+    monkeypatch.setattr(dart, "BLOCK", block)
+    monkeypatch.setattr(dart, "CENTRES", 1)
+    counted = []
+    across = dart._links_across
+
+    def watched(left, right, *rest):
+        links = across(left, right, *rest)
+        counted.append((links.count(), left.select("id").distinct().count()))
+        return links
+
+    monkeypatch.setattr(dart, "_links_across", watched)
+    rng = random.Random(17)
+    rows = []
+    for family in range(4):
+        base = prose(rng, "en", 120).split()
+        for i in range(70):
+            own = list(base)
+            for _ in range(rng.randint(0, 5)):
+                own[rng.randrange(len(own))] = rng.choice(ROOTS["de"])
+            rows.append((100 * family + i, " ".join(own), "en"))
+    found = dart.near_duplicates(frame(spark, rows)).collect()
+    assert {r.doc_id: r.group_id for r in found} == groups(rows)
+    if few == 1:
+        assert all(links <= 25 * texts for links, texts in counted)
+
+
 def test_signatures_agree_as_often_as_the_weighted_similarity():
     rng = np.random.default_rng(12)
     size, tries = 64, 60
@@ -108,7 +150,7 @@ def test_pipeline_stages_work_on_what_the_one_before_kept(spark, tmp_path):
     for i in range(0, 120, 4):
         rows[i] = (i, rows[i][1] + " Zargblat zargbling quuxfoo zargblats", rows[i][2])
     labels = [(i, 1, int(i % 4 == 0)) for i in range(120)]
-    rows += near_copies() + [r for r in awkward() if r[0] is not None]
+    rows += [(5000 + i, t, g) for i, t, g in near_copies()] + [r for r in awkward() if r[0] is not None]
     folder = pipeline_sizes(spark, tmp_path, rows, labels)
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     known = langid.learn_dictionaries(docs)

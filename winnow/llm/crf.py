@@ -294,9 +294,12 @@ def score(docs: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFr
 def without_toxic(docs: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text is not predicted toxic."""
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows in slices(batch, "text"):
-                yield rows.filter(pa.array(_judged(rows.column("text"), field)[2] < threshold))
-
-    return docs.mapInArrow(keep, docs.schema)
+    @F.arrow_udf("boolean")
+    def clean(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+            flags = [_judged(rows.column("text"), field)[2] < threshold for rows in slices(batch, "text")]
+            yield pa.array(np.concatenate([np.zeros(0, bool), *flags]))
+
+    # Only the text goes to Python and a flag comes back; the rows stay where they are.
+    return docs.where(clean(F.coalesce("text", F.lit(""))))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.shared import kept, kept_counted, whole_text
+from winnow.llm.shared import kept, kept_counted, ready
 from winnow.llm.words import mix, slices, words_of
 
 SHINGLE = 5
@@ -31,6 +31,8 @@ BAND_ROWS = 5
 # Rounds of one centre per bucket before what is left is compared in blocks of so many texts.
 CENTRES = 2
 BLOCK = 512
+# Texts signed at once: each throws about 850 darts, however short it is.
+SLICE_TEXTS = 500
 # Groups of at most so many texts are compared as listed pairs.
 FEW = 16
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -145,12 +147,12 @@ def _throw(doc, element, weight, reach, sets, size) -> np.ndarray:
     return found.reshape(sets, size)
 
 
-def signatures(docs: DataFrame, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
-    """``doc_id``, digest of the word sequence, and one hash per band; none without words."""
+def signatures(rows: DataFrame, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
+    """``row``, ``doc_id``, digest of the word sequence, and one hash per band; none without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", rows=SLICE_TEXTS):
                 n = rows.num_rows
                 doc, shingle, weight, digest = shingles_of(rows.column("text"))
                 signed = dart_signatures(doc, shingle, weight, n, bands * band_rows)
@@ -162,6 +164,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, band_rows: int = BAND_ROWS)
                 offsets = np.concatenate([[0], np.cumsum(np.where(some, bands, 0))])
                 yield pa.RecordBatch.from_arrays(
                     [
+                        rows.column("row"),
                         rows.column("doc_id"),
                         pa.array(digest[:, 0].view(np.int64)),
                         pa.array(digest[:, 1].view(np.int64)),
@@ -170,11 +173,12 @@ def signatures(docs: DataFrame, bands: int = BANDS, band_rows: int = BAND_ROWS)
                             pa.array(key[some].ravel().view(np.int64)),
                         ),
                     ],
-                    names=["doc_id", "digest", "digest2", "bands"],
+                    names=["row", "doc_id", "digest", "digest2", "bands"],
                 )
 
-    return whole_text(docs).mapInArrow(
-        sign, "doc_id long, digest long, digest2 long, bands array<long>"
+    text = F.coalesce("text", F.lit("")).alias("text")
+    return rows.select("row", "doc_id", text).mapInArrow(
+        sign, "row long, doc_id long, digest long, digest2 long, bands array<long>"
     )
 
 
@@ -186,7 +190,7 @@ def _shingle_sets(texts: DataFrame) -> DataFrame:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", rows=SLICE_TEXTS):
                 doc, shingle, weight, _ = shingles_of(rows.column("text"))
                 times = weight.astype(np.int64)
                 nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
@@ -265,12 +269,14 @@ def _several(placed: DataFrame) -> DataFrame:
     return groups.where("least <> most").select("band", "main")
 
 
-def _links_across(left: DataFrame, right: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All links between the texts ``id`` of ``left`` and of ``right`` with the same ``group``.
+def _links_across(left: DataFrame, right: DataFrame, sets: DataFrame, similarity: float, same: bool) -> DataFrame:
+    """Links that join the roots of the texts ``id`` of both sides with the same ``group``.
 
-    Where the right side of a group has at most ``FEW`` texts, the pairs are listed and compared,
-    at most so many for a text. The others are cut into blocks on both sides and a task meets one
-    block of either; it returns the links and no other pair.
+    Every pair whose roots differ is considered. Where the right side of a group has at most
+    ``FEW`` texts, the pairs are listed and compared, at most so many for a text. The others are
+    cut into blocks on both sides and a task meets one block of either; it returns only links
+    that join two roots which its links have not joined yet, so fewer than it has texts. With
+    ``same``, both sides are the same texts and each pair is met once.
     """
     queue = left.groupBy("group").agg(F.count("*").alias("texts"))
     size = right.groupBy("group").agg(F.count("*").alias("members"))
@@ -282,42 +288,55 @@ def _links_across(left: DataFrame, right: DataFrame, sets: DataFrame, similarity
     )
     plan = kept(plan, "plan")
     listed = left.join(plan.where("few").select("group"), "group").join(
-        right.select("group", F.col("id").alias("other")), "group"
+        right.select("group", F.col("id").alias("other"), F.col("root").alias("other_root")), "group"
     )
-    pairs = listed.where("id <> other").select(
+    pairs = listed.where("root <> other_root" + (" AND id > other" if same else "")).select(
         F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")
     )
     large = plan.where("NOT few").drop("few")
 
-    def dealt(rows: DataFrame, own: str, across: str, names: tuple[str, str]) -> DataFrame:
+    def dealt(rows: DataFrame, own: str, first: str, last: str, names: tuple[str, str]) -> DataFrame:
         cut = rows.join(large, "group").withColumn(
             names[0], F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
         )
-        blocks = F.explode(F.sequence(F.lit(0), F.col(across) - 1)).alias(names[1])
-        return cut.select("group", "id", names[0], blocks).join(sets, "id")
+        blocks = F.explode(F.expr(f"sequence({first}, {last})")).alias(names[1])
+        return cut.select("group", "id", "root", names[0], blocks).join(sets, "id")
 
     def meet(_, left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple[int, int]] = []
         if left.num_rows and right.num_rows:
-            ids = right.column("m_id").to_numpy()
+            ids, roots = right.column("m_id").to_numpy(), right.column("m_root").to_numpy()
             lists = pa.concat_arrays(right.column("m_elements").chunks)
             ends = lists.offsets.to_numpy()
             values = lists.values.to_numpy()[ends[0] : ends[-1]]
             sizes = np.diff(ends)
             owner = np.repeat(np.arange(len(ids)), sizes)
-            for key, own in zip(left.column("id").to_pylist(), left.column("elements")):
+            joined: dict[int, int] = {}
+
+            def top(root: int) -> int:
+                while root in joined:
+                    root = joined[root]
+                return root
+
+            texts = zip(*(left.column(c).to_pylist() for c in ("id", "root")), left.column("elements"))
+            for key, root, own in texts:
                 elements = np.sort(own.values.to_numpy())
                 if not len(elements):
                     continue
                 at = np.minimum(np.searchsorted(elements, values), len(elements) - 1)
                 common = np.bincount(owner, elements[at] == values, len(ids))
                 close = common >= similarity * (len(elements) + sizes - common) - 1e-9
-                found += [(key, other) for other in ids[close].tolist() if other != key]
+                for other, its in zip(ids[close].tolist(), roots[close].tolist()):
+                    here, there = top(root), top(its)
+                    if here != there:
+                        joined[max(here, there)] = min(here, there)
+                        found.append((max(key, other), min(key, other)))
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    texts = dealt(left, "columns", "rows", ("j", "i"))
-    members = dealt(right, "rows", "columns", ("i", "j"))
+    # Of equal sides a block meets itself and the blocks after it.
+    texts = dealt(left, "columns", "j" if same else "0", "rows - 1", ("j", "i"))
+    members = dealt(right, "rows", "0", "i" if same else "columns - 1", ("i", "j"))
     # Names of their own, as both sides read ``sets``.
     members = members.select([F.col(c).alias(f"m_{c}") for c in members.columns])
     met = texts.groupBy("group", "i", "j").cogroup(members.groupBy("m_group", "m_i", "m_j"))
@@ -327,45 +346,48 @@ def _links_across(left: DataFrame, right: DataFrame, sets: DataFrame, similarity
 
 
 def _left_over(placed: DataFrame, state: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All links between groups that still meet in a bucket, exactly.
+    """Links that join all groups which still meet in a bucket and have a link, exactly.
 
     A text outside the largest group of its bucket is compared with every member of that group,
     and the texts outside of it with each other.
     """
-    outside = kept(placed.where("root <> main").select("band", "id", "main"), "outside")
-    waiting = outside.select("id", F.col("main").alias("group")).distinct()
-    members = state.select("id", F.col("root").alias("group"))
-    others = outside.select("id", F.col("band").alias("group"))
-    return _links_across(waiting, members, sets, similarity).unionByName(
-        _links_across(others, others, sets, similarity)
+    outside = kept(placed.where("root <> main").select("band", "id", "root", "main"), "outside")
+    waiting = outside.select("id", "root", F.col("main").alias("group")).distinct()
+    members = state.select("id", "root", F.col("root").alias("group"))
+    others = outside.select("id", "root", F.col("band").alias("group"))
+    return _links_across(waiting, members, sets, similarity, False).unionByName(
+        _links_across(others, others, sets, similarity, True)
     )
 
 
-def near_duplicates(
-    docs: DataFrame,
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows kept with a number ``row`` of their own."""
+    return kept(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+
+
+def grouped(
+    rows: DataFrame,
     similarity: float = SIMILARITY,
     bands: int = BANDS,
     band_rows: int = BAND_ROWS,
 ) -> DataFrame:
-    """``doc_id`` and ``group_id`` of every row that has a ``doc_id``.
+    """``row``, ``doc_id`` and ``first`` of numbered rows: the key and the number of the row
+    that stands for the group, the smallest ``doc_id`` and then the smallest number, a null
+    ``doc_id`` last.
 
-    ``group_id`` is the smallest ``doc_id`` of the documents that links of at least
-    ``similarity`` lead to. A document like no other is a group of its own; all texts without
-    words are equal and form one group. A null ``doc_id`` has no row; rows that repeat a
-    ``doc_id`` have a row each. Other columns are left out.
+    Texts are told apart by their digests alone, so repeated and null keys lose no link.
     """
-    signed = kept(signatures(docs.where(F.col("doc_id").isNotNull()), bands, band_rows), "signed")
+    signed = kept(signatures(rows, bands, band_rows), "signed")
+    stands = F.min(F.struct(F.col("doc_id").isNull().alias("unkeyed"), "doc_id", "row"))
     texts = signed.groupBy("digest", "digest2").agg(
-        F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands")
+        stands.alias("first"), F.min_by("bands", "row").alias("bands"), F.min("row").alias("id")
     )
     texts = kept(texts, "texts")
     buckets = texts.select("id", F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     buckets = kept(buckets.join(shared, "band"), "buckets")
     nodes = kept(buckets.select("id").distinct(), "candidates")
-    wanted = whole_text(docs).join(nodes.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-    # A doc_id that several texts share stands for one of them.
-    wanted = wanted.withColumnRenamed("doc_id", "id").dropDuplicates(["id"])
+    wanted = rows.select(F.col("row").alias("id"), "text").join(nodes, "id", "left_semi")
     sets = kept(_shingle_sets(wanted), "sets")
     state = nodes.select("id", F.col("id").alias("root"))
     open_buckets, links = buckets, None
@@ -387,7 +409,35 @@ def near_duplicates(
         if new:
             links = found if links is None else links.unionByName(found)
             state = _components(nodes, links)
-    grouped = texts.join(state, "id", "left").select(
-        "digest", "digest2", F.coalesce("root", "id").alias("group_id")
+    rooted = texts.join(state, "id", "left").select(
+        "digest", "digest2", "first", F.coalesce("root", "id").alias("root")
+    )
+    heads = rooted.groupBy("root").agg(F.min("first").alias("head"))
+    by_text = rooted.join(heads, "root").select("digest", "digest2", "head")
+    return signed.join(by_text, ["digest", "digest2"]).select(
+        "row", "doc_id", F.col("head.doc_id").alias("group_id"), F.col("head.row").alias("first")
     )
-    return signed.join(grouped, ["digest", "digest2"]).select("doc_id", "group_id")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, **options: int) -> DataFrame:
+    """``doc_id`` and ``group_id`` of every row.
+
+    ``group_id`` is the smallest ``doc_id`` of the documents that links of at least
+    ``similarity`` lead to, null if none of them has one. A document like no other is a group of
+    its own; all texts without words are equal and form one group. Rows that repeat a ``doc_id``
+    have a row each, under the group of their own text. Other columns are left out.
+    """
+    ready(docs.sparkSession)
+    found = grouped(numbered(docs.select("doc_id", "text")), similarity, **options)
+    return found.select("doc_id", "group_id")
+
+
+def first_of_groups(docs: DataFrame, similarity: float = SIMILARITY, **options: int) -> DataFrame:
+    """One row of each near-duplicate group, all columns of ``docs``: that with the smallest
+    ``doc_id``, a null one last, and of its copies any one. No text that stands alone is lost."""
+    ready(docs.sparkSession)
+    taken = [c for c in docs.columns if c.lower() == "row"]
+    rows = numbered(docs.withColumnsRenamed({c: f"kept_{c}" for c in taken}))
+    chosen = grouped(rows, similarity, **options).select(F.col("first").alias("row")).distinct()
+    back = rows.join(chosen, "row", "left_semi")
+    return back.drop("row").withColumnsRenamed({f"kept_{c}": c for c in taken}).select(*docs.columns)

@@ -7,6 +7,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from winnow.llm.words import mix, words_of
 
@@ -38,7 +39,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # A text that spells a special token is encoded as it stands.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words_kept = words_kept
         self._forget()
 
@@ -89,6 +91,8 @@ class Encoder:
             self._forget()
         words = words_of(texts, lower=False)
         plain = _plain(words, len(texts))
+        for token in self.special:
+            plain &= ~pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         use = plain[words.doc]
         doc, start, length = words.doc[use], words.start[use], words.size[use]
         lead = np.where(words.data[start - 1] == 0x0A, 2, 1)

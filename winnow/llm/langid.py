@@ -189,15 +189,12 @@ def with_language(
     min_margin: float = MIN_MARGIN,
 ) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose language is not rejected."""
-    letters = "letters"
-    while letters in docs.columns:
-        letters += "_"
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def known(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Identifier(dictionaries, block_bytes, level, min_margin)
-        for batch in batches:
-            kept = [not rejected for *_, rejected in own.judged(batch.column(letters))]
-            yield batch.drop_columns([letters]).filter(pa.array(kept, pa.bool_()))
+        for letters in parts:
+            yield pa.array([not rejected for *_, rejected in own.judged(letters)], pa.bool_())
 
-    filled = docs.withColumn(letters, F.coalesce(_letters(), F.lit("")))
-    return filled.mapInArrow(keep, docs.schema)
+    # Only the letters go to Python and a flag comes back; the rows stay where they are.
+    return docs.where(known(F.coalesce(_letters(), F.lit(""))))

@@ -35,13 +35,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in parts of about so many bytes of text; a longer text stands alone."""
+def slices(
+    batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES, rows: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about so many bytes of text, and of so many ``rows`` at
+    most; a longer text stands alone."""
     ends = text_offsets(batch.column(column))
     low = 0
     while low < batch.num_rows:
         high = int(np.searchsorted(ends, ends[low] + most, "right")) - 1
-        high = min(max(high, low + 1), batch.num_rows)
+        high = min(max(high, low + 1), low + (rows or batch.num_rows), batch.num_rows)
         yield batch.slice(low, high - low)
         low = high
 
