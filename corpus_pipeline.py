@@ -7,7 +7,6 @@ Each stage works on all that its predecessor kept. The filtering stages return t
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from winnow.llm import crf, dart, langid, packing
 from winnow.llm.queries import learn_toxicity, tokenizer_file
@@ -26,14 +25,8 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest ``doc_id`` of each near-duplicate group.
-
-    A repeated ``doc_id`` stays once; documents without one cannot be told apart and all stay.
-    """
-    ready(spark)
-    groups = dart.near_duplicates(docs).where("doc_id = group_id").select("doc_id")
-    first = docs.join(groups, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """The document with the smallest ``doc_id`` of each near-duplicate group, null ones last."""
+    return dart.first_of_groups(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
