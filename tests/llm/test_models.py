@@ -303,6 +303,31 @@ def test_units_of_any_length_are_searched():
     assert all(len(unit) <= nbest.LONGEST_KEPT for unit in [*own.known, *own.lists])
 
 
+def test_round_trip_sees_every_wrong_way():
+    own = nbest.Segmenter(PIECES, 4)
+    ways = next(own.texts(["under the table and out again"]))
+    assert own.round_trip("under the table and out again", ways)
+    assert not own.round_trip("under the table and out", ways)
+    for k in range(1, 4):
+        ids = np.frombuffer(ways[k][1], "<i4")
+        for at in range(len(ids)):
+            wrong = np.concatenate([ids[:at], ids[at + 1 :]]).astype("<i4").tobytes()
+            bad = [*ways[:k], (0.0, wrong), *ways[k + 1 :]]
+            assert not own.round_trip("under the table and out again", bad)
+            longer = np.concatenate([ids[:at], ids[at : at + 1], ids[at:]]).astype("<i4").tobytes()
+            assert not own.round_trip("under the table and out again", [*ways[:k], (0.0, longer)])
+
+
+def test_search_opens_places_of_results_only():
+    own = nbest.Segmenter(PIECES, 4)
+    text = "▁" + "notwithstanding" * 20
+    top = own.forward(text)
+    assert own.nbest(text, 1)[0][0] == pytest.approx(top[len(text)])
+    every = own.nbest(text, 4)
+    assert [s for s, _ in every] == sorted((s for s, _ in every), reverse=True)
+    assert own.nbest("", 3) == [(0.0, b"")]
+
+
 def test_segmentations_decode_to_their_texts(spark):
     docs = frame(spark, ROWS)
     ways = kept(nbest.segmentations(docs, PIECES, 3), "ways")

@@ -1,7 +1,7 @@
 """N-best segmentation of whole texts into the pieces of a SentencePiece model, and decoding.
 
-A forward Viterbi pass over a lattice of pieces that keeps the N best ways to each place gives
-the N best segmentations exactly, in time and memory that grow with the length of the text only.
+A forward Viterbi pass over the lattice of pieces scores every place. These scores are the exact
+heuristic of an A-star search from the end, which completes the N best segmentations in order.
 
 No piece of such a model goes on over a space or holds a line feed, so the lattice of a text is
 a chain of lattices of words: each distinct word is searched once, and the best combinations of
@@ -14,7 +14,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from heapq import heappop, heappush, nsmallest
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -88,59 +88,77 @@ class Segmenter:
         self.piece_score = np.zeros(len(self.spelled))
         for i, score in self.scores.values():
             self.piece_score[i] = score
-        self.known: dict[str, tuple[float, bytes, float]] = {}
+        self._forget()
         self.lists: dict[str, list[tuple[float, bytes]]] = {}
 
+    def forward(self, text: str) -> array:
+        """Viterbi scores: the best score of any way from the beginning to each place."""
+        n, begun = len(text), self.begun
+        top = array("d", [-np.inf]) * (n + 1)
+        top[0] = 0.0
+        for place in range(n):
+            here = top[place]
+            alone = begun.get(text[place])
+            score = self.unknown if alone is None else alone[1]
+            if here + score > top[place + 1]:
+                top[place + 1] = here + score
+            for end in range(place + 2, n + 1):
+                part = text[place:end]
+                if part not in begun:
+                    break
+                piece = begun[part]
+                if piece is not None and here + piece[1] > top[end]:
+                    top[end] = here + piece[1]
+        return top
+
     def nbest(self, text: str, most: int) -> list[tuple[float, bytes]]:
         """The best ``most`` segmentations: score and ids as little-endian 32-bit integers.
 
-        At each place only the best ``most`` ways from the beginning are kept, as no other can
-        be part of a result. A way is its last piece and the rank of the way before it, so a
-        unit of any length takes 8 bytes for each character and way. Equal scores are ordered
-        by the last pieces, which depends on the text alone.
+        A-star search from the end to the beginning. The forward scores are the exact rest of
+        every open way, so ways are completed best first and only places of results are opened.
+        A way is an entry with its piece and the entry behind it; no place is opened more than
+        ``most`` times, as no other way can be a result. Among equal totals the way nearest to
+        the beginning goes first, so ties are completed one after the other instead of side by
+        side. Memory grows with the length of the text only.
         """
-        n, begun, ring = len(text), self.begun, self.longest + 1
-        cells = (n + 1) * most
-        spans, ranks = array("H", bytes(2 * cells)), array("H", bytes(2 * cells))
-        pieces = array("i", bytes(4 * cells))
-        # Ways to the places that pieces from here can reach.
-        ahead: list[list[tuple[float, int, int, int]]] = [[] for _ in range(ring)]
-        here = [(0.0, 0, 0, 0)]
-        for place in range(n + 1):
-            if place:
-                here, ahead[place % ring] = ahead[place % ring], []
-                here.sort()
-                del here[most:]
-                for at, (_, span, rank, piece) in enumerate(here, place * most):
-                    spans[at], ranks[at], pieces[at] = span, rank, piece
-            if place == n:
-                break
-            alone = begun.get(text[place]) or (SPELLED_BY_BYTES, self.unknown)
-            piece, score = alone
-            for span in range(1, n - place + 1):
-                if span > 1:
-                    part = text[place : place + span]
-                    if part not in begun:
-                        break
-                    if begun[part] is None:
+        n, scores, longest = len(text), self.scores, self.longest
+        top = self.forward(text)
+        places, behind, pieces, after = array("q", [n]), array("q", [-1]), array("i", [0]), array("d", [0.0])
+        opened: dict[int, int] = {}
+        queue, found = [(-top[n], n, 0)], []
+        while queue and len(found) < most:
+            total, place, entry = heappop(queue)
+            if not place:
+                found.append((-total, self._ids(text, entry, places, behind, pieces)))
+                continue
+            times = opened.get(place, 0)
+            if times == most:
+                continue
+            opened[place] = times + 1
+            rest = after[entry]
+            for start in range(place - 1, max(place - longest, 0) - 1, -1):
+                piece = scores.get(text[start:place])
+                if piece is None:
+                    if start + 1 < place:
                         continue
-                    piece, score = begun[part]
-                ahead[(place + span) % ring].extend(
-                    [(way[0] - score, span, rank, piece) for rank, way in enumerate(here)]
-                )
-        return [(-way[0], self._ids(text, rank, most, spans, ranks, pieces)) for rank, way in enumerate(here)]
-
-    def _ids(self, text: str, rank: int, most: int, spans: array, ranks: array, pieces: array) -> bytes:
-        """The ids of the way of this rank to the end of a text."""
-        place, ids = len(text), array("i")
-        while place:
-            at = place * most + rank
-            place, rank = place - spans[at], ranks[at]
-            if pieces[at] == SPELLED_BY_BYTES:
-                ids.extend([self.bytes_of.get(b, 0) for b in reversed(text[place].encode())])
+                    piece = (SPELLED_BY_BYTES, self.unknown)
+                score = rest + piece[1]
+                heappush(queue, (-(top[start] + score), start, len(places)))
+                places.append(start)
+                behind.append(entry)
+                pieces.append(piece[0])
+                after.append(score)
+        return found
+
+    def _ids(self, text: str, entry: int, places: array, behind: array, pieces: array) -> bytes:
+        """The ids of a way from its entry at the beginning to the end of a text."""
+        ids = array("i")
+        while behind[entry] >= 0:
+            if pieces[entry] == SPELLED_BY_BYTES:
+                ids.extend([self.bytes_of.get(b, 0) for b in text[places[entry]].encode()])
             else:
-                ids.append(pieces[at])
-        ids.reverse()
+                ids.append(pieces[entry])
+            entry = behind[entry]
         return ids.tobytes()
 
     def first(self, text: str) -> tuple[float, bytes, float]:
@@ -188,7 +206,8 @@ class Segmenter:
         top = np.full((len(words), LONGEST + 1), -np.inf)
         after = top.copy()
         top[:, 0], after[every, length] = 0.0, 0.0
-        by_end, by_start = np.argsort(end, kind="stable"), np.argsort(start, kind="stable")
+        # Places fit in a byte, for which the sort is linear.
+        by_end, by_start = (np.argsort(a.astype(np.uint8), kind="stable") for a in (end, start))
         for edges in np.split(by_end, np.cumsum(np.bincount(end))[:-1])[1:]:
             np.maximum.at(top, (row[edges], end[edges]), top[row[edges], start[edges]] + score[edges])
         for edges in reversed(np.split(by_start, np.cumsum(np.bincount(start))[:-1])):
@@ -218,42 +237,74 @@ class Segmenter:
         spelled = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
         return list(zip(best.tolist(), spelled, np.maximum(loss, 0).tolist()))
 
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.gained, self.lost = np.zeros(0), np.zeros(0)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, "<i4")
+
+    def _learn(self, units: list[str]) -> dict[str, int]:
+        """Numbers of new units, whose best ways are added to the arrays."""
+        ways = self.first_of_many(units)
+        first = len(self.gained)
+        ids = np.frombuffer(b"".join([way[1] for way in ways]), "<i4")
+        size = np.array([len(way[1]) // 4 for way in ways], np.int64)
+        self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.gained = np.concatenate([self.gained, [way[0] for way in ways]])
+        self.lost = np.concatenate([self.lost, [way[2] for way in ways]])
+        self.pool = np.concatenate([self.pool, ids])
+        return dict(zip(units, range(first, first + len(units))))
+
     def texts(self, texts: list[str]) -> Iterator[list[tuple[float, bytes]]]:
         """The best segmentations of each text as pairs of score and ids in bytes.
 
         A text gets a space in front. An empty text has one empty segmentation.
         """
+        if len(self.known) > WORDS_KEPT:
+            self._forget()
         cut = [_UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        known = self.known
-        new = list({u for units in cut for u in units if u not in known})
-        new.sort(key=lambda u: len(u) > LONGEST_KEPT)
-        ways = self.first_of_many(new)
-        short = sum(len(u) <= LONGEST_KEPT for u in new)
-        room = min(short, max(0, WORDS_KEPT - len(known)))
-        known.update(zip(new[:room], ways[:room]))
-        fresh = dict(zip(new[room:], ways[room:]))
+        new = {u for units in cut for u in units if u not in self.known}
+        self.known |= self._learn([u for u in new if len(u) <= LONGEST_KEPT])
+        # Longer units come last and are dropped with the texts that hold them.
+        held, pooled = len(self.gained), len(self.pool)
+        long = self._learn([u for u in new if len(u) > LONGEST_KEPT])
         for units in cut:
-            yield self._text(units, fresh) if units else [(0.0, b"")]
-
-    def _text(self, units: list[str], fresh: dict) -> list[tuple[float, bytes]]:
-        ways = list(map(self.known.get, units))
-        if None in ways:
-            ways = [fresh[u] if way is None else way for u, way in zip(units, ways)]
-        total = sum([way[0] for way in ways])
-        ids = [way[1] for way in ways]
+            yield self._text(units, long) if units else [(0.0, b"")]
+        self.gained, self.lost = self.gained[:held], self.lost[:held]
+        self.begin, self.size, self.pool = self.begin[:held], self.size[:held], self.pool[:pooled]
+
+    def _text(self, units: list[str], long: dict[str, int]) -> list[tuple[float, bytes]]:
+        known = self.known
+        if long:
+            known = {u: long[u] if u in long else known[u] for u in units}
+        of = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
+        size = self.size[of]
+        ends = np.cumsum(size)
+        ids = self.pool[np.arange(ends[-1]) + np.repeat(self.begin[of] - ends + size, size)]
+        total = float(self.gained[of].sum())
         if self.best == 1:
-            return [(total, b"".join(ids))]
+            return [(total, ids.tobytes())]
         # Only the units with the smallest losses can differ in the first ``best`` results.
-        losses = nsmallest(self.best - 1, [(way[2], i) for i, way in enumerate(ways)])
-        losses = [(loss, i) for loss, i in losses if loss < np.inf]
-        choices = [self._list(units[i], ids[i]) for _, i in losses]
+        lost = self.lost[of]
+        most = min(self.best - 1, len(units))
+        least = np.partition(lost, most - 1)[most - 1]
+        at = np.flatnonzero(lost <= least)
+        at = at[np.argsort(lost[at], kind="stable")][:most]
+        changed = [i for i in at.tolist() if lost[i] < np.inf]
+        ranges = {i: (int(ends[i] - size[i]), int(ends[i])) for i in changed}
+        choices = [self._list(units[i], ids[slice(*ranges[i])].tobytes()) for i in changed]
+        in_order = sorted(range(len(changed)), key=changed.__getitem__)
         start = (0,) * len(choices)
         queue, seen, out = [(0.0, start)], {start}, []
         while queue and len(out) < self.best:
             loss, picks = heappop(queue)
-            for (_, i), ways, pick in zip(losses, choices, picks):
-                ids[i] = ways[pick][1]
-            out.append((total - loss, b"".join(ids)))
+            parts, low = [], 0
+            for k in in_order:
+                first, last = ranges[changed[k]]
+                parts += [ids[low:first].tobytes(), choices[k][picks[k]][1]]
+                low = last
+            out.append((total - loss, b"".join([*parts, ids[low:].tobytes()])))
             for k, pick in enumerate(picks):
                 if pick + 1 < len(choices[k]):
                     further = (*picks[:k], pick + 1, *picks[k + 1 :])
@@ -274,9 +325,29 @@ class Segmenter:
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
+        return self._spelled(np.frombuffer(ids, "<i4")).decode(errors="replace").removeprefix(" ")
+
+    def _spelled(self, ids: np.ndarray) -> bytes:
         spelled = self.spelled
-        raw = b"".join([spelled[i] for i in np.frombuffer(ids, "<i4").tolist()])
-        return raw.decode(errors="replace").removeprefix(" ")
+        return b"".join([spelled[i] for i in ids.tolist()])
+
+    def round_trip(self, text: str, ways: list[tuple[float, bytes]]) -> bool:
+        """Whether all ways decode to the text. Of the ways after the first, what they share
+        with it from the beginning and from the end is decoded once."""
+        if self.decode(ways[0][1]) != text:
+            return False
+        first = np.frombuffer(ways[0][1], "<i4")
+        for _, coded in ways[1:]:
+            other = np.frombuffer(coded, "<i4")
+            size = min(len(first), len(other))
+            apart = np.flatnonzero(first[:size] != other[:size])
+            low = int(apart[0]) if len(apart) else size
+            size -= low
+            apart = np.flatnonzero(first[len(first) - size :] != other[len(other) - size :])
+            back = size - 1 - int(apart[-1]) if len(apart) else size
+            if self._spelled(first[low : len(first) - back]) != self._spelled(other[low : len(other) - back]):
+                return False
+        return True
 
 
 def segmenter(path: str, best: int) -> Segmenter:
@@ -363,7 +434,7 @@ def digests(docs: DataFrame, model_path: str, best: int = BEST) -> DataFrame:
                     sizes.append([len(ids) // 4 for _, ids in ways])
                     scores.append([score for score, _ in ways])
                     sums.append([zlib.crc32(ids) for _, ids in ways])
-                    same.append(all(own.decode(ids) == text for _, ids in ways))
+                    same.append(own.round_trip(text, ways))
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column("doc_id"),
