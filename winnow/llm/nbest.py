@@ -15,6 +15,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ SLICE_BYTES = 2_000_000
 # Longer words, and words with characters that are no pieces, are searched one by one.
 LONGEST = 24
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+FIRST_BITS = 22
+_REST = np.uint64(64 - FIRST_BITS)
 SPACE = "▁"
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
@@ -65,6 +68,10 @@ class Segmenter:
             else:
                 self.scores[piece] = (i, model.get_score(i))
                 self.spelled.append(piece.replace(SPACE, " ").encode())
+        # The bytes of all pieces in a row, so that a text is spelled by one gather.
+        self.spelled_bytes = np.frombuffer(b"".join(self.spelled), np.uint8)
+        self.spelled_size = np.array([len(b) for b in self.spelled], np.int64)
+        self.spelled_begin = np.cumsum(self.spelled_size) - self.spelled_size
         # Runs of spaces carry a score that stands for "never unless alone".
         usual = [s for _, s in self.scores.values() if s > -1e8]
         self.unknown = min(usual, default=0.0) - UNKNOWN_PENALTY
@@ -84,6 +91,8 @@ class Segmenter:
                 h = (h + ord(c)) * base & mask
             hashed[h] = -1 if piece is None else piece[0]
         self.hashes = np.array(sorted(hashed), np.uint64)
+        self.first_bits = np.zeros(1 << FIRST_BITS, bool)
+        self.first_bits[self.hashes >> _REST] = True
         self.hashed_piece = np.array([hashed[h] for h in sorted(hashed)], np.int64)
         self.piece_score = np.zeros(len(self.spelled))
         for i, score in self.scores.values():
@@ -186,6 +195,9 @@ class Segmenter:
             inside = start + size <= length[row]
             row, start, hashed = row[inside], start[inside], hashed[inside]
             hashed = (hashed + text[row, start + size - 1]) * _BASE
+            # Most of what begins no piece is seen by the first bits of its hash.
+            maybe = self.first_bits[hashed >> _REST]
+            row, start, hashed = row[maybe], start[maybe], hashed[maybe]
             at = np.minimum(np.searchsorted(self.hashes, hashed), len(self.hashes) - 1)
             begun = self.hashes[at] == hashed
             row, start, hashed, at = row[begun], start[begun], hashed[begun], at[begun]
@@ -203,30 +215,33 @@ class Segmenter:
         row, start, end, piece = self._pieces_in(text, length)
         score = self.piece_score[piece]
         every = np.arange(len(words))
-        top = np.full((len(words), LONGEST + 1), -np.inf)
+        # Cells of a row of places for each word, all rows in a row.
+        origin = every * (LONGEST + 1)
+        low, high, goal = origin[row] + start, origin[row] + end, origin + length
+        top = np.full(len(words) * (LONGEST + 1), -np.inf)
         after = top.copy()
-        top[:, 0], after[every, length] = 0.0, 0.0
+        top[origin], after[goal] = 0.0, 0.0
         # Places fit in a byte, for which the sort is linear.
         by_end, by_start = (np.argsort(a.astype(np.uint8), kind="stable") for a in (end, start))
         for edges in np.split(by_end, np.cumsum(np.bincount(end))[:-1])[1:]:
-            np.maximum.at(top, (row[edges], end[edges]), top[row[edges], start[edges]] + score[edges])
+            np.maximum.at(top, high[edges], top[low[edges]] + score[edges])
         for edges in reversed(np.split(by_start, np.cumsum(np.bincount(start))[:-1])):
-            ahead = after[row[edges], end[edges]] + score[edges]
-            np.maximum.at(after, (row[edges], start[edges]), ahead)
-        best = top[every, length]
+            np.maximum.at(after, low[edges], after[high[edges]] + score[edges])
+        best = top[goal]
         came = np.full(top.shape, -1)
-        reaches = top[row, start] + score == top[row, end]
-        came[row[reaches], end[reaches]] = np.flatnonzero(reaches)
+        reached = top[low] + score
+        reaches = np.flatnonzero(reached == top[high])
+        came[high[reaches]] = reaches
         used = np.zeros(len(row), bool)
-        place, live, steps = length.copy(), every, []
+        place, live, steps = goal, every, []
         while len(live):
-            edge = came[live, place[live]]
+            edge = came[place]
             used[edge] = True
             steps.append((live, piece[edge]))
-            place[live] = start[edge]
-            live = live[start[edge] > 0]
+            onward = start[edge] > 0
+            place, live = low[edge][onward], live[onward]
         loss = np.full(len(words), np.inf)
-        through = best[row] - top[row, start] - score - after[row, end]
+        through = best[row] - reached - after[high]
         np.minimum.at(loss, row[~used], through[~used])
         count = np.bincount(row[used], minlength=len(words))
         last = np.cumsum(count)
@@ -264,7 +279,7 @@ class Segmenter:
         if len(self.known) > WORDS_KEPT:
             self._forget()
         cut = [_UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        new = {u for units in cut for u in units if u not in self.known}
+        new = set(chain.from_iterable(cut)).difference(self.known)
         self.known |= self._learn([u for u in new if len(u) <= LONGEST_KEPT])
         # Longer units come last and are dropped with the texts that hold them.
         held, pooled = len(self.gained), len(self.pool)
@@ -328,8 +343,11 @@ class Segmenter:
         return self._spelled(np.frombuffer(ids, "<i4")).decode(errors="replace").removeprefix(" ")
 
     def _spelled(self, ids: np.ndarray) -> bytes:
-        spelled = self.spelled
-        return b"".join([spelled[i] for i in ids.tolist()])
+        size = self.spelled_size[ids]
+        ends = np.cumsum(size)
+        if not len(ids):
+            return b""
+        return self.spelled_bytes[np.arange(ends[-1]) + np.repeat(self.spelled_begin[ids] - ends + size, size)].tobytes()
 
     def round_trip(self, text: str, ways: list[tuple[float, bytes]]) -> bool:
         """Whether all ways decode to the text. Of the ways after the first, what they share
