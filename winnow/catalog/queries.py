@@ -248,7 +248,8 @@ def missing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def distributions(spark: SparkSession, sf: str) -> DataFrame:
-    return distribution(weighings(spark, sf), w.MEASURES)
+    rows = pipeline.stage_in()(weighings(spark, sf).select(*w.MEASURES))
+    return distribution(rows, w.MEASURES)
 
 
 def ranked_quantiles(spark: SparkSession, sf: str) -> DataFrame:
