@@ -124,6 +124,18 @@ def test_exchange_closes_the_gaps_of_small_groups(spark):
     assert exchanged.groupBy("sequence_id").agg({"length": "sum"}).where("`sum(length)` > 2048").isEmpty()
 
 
+def test_equal_pieces_are_spread_and_certified(spark):
+    same = [(7, 0, 0, 700, 5)] * 3000 + [(None, 0, 0, 1300, 6)] * 500
+    pieces = kept(spark.createDataFrame(same, packing.PIECE_SCHEMA), "pieces")
+    dealt = packing._pack_round(pieces, 8, 0, packing.CAPACITY).groupBy((packing.F.col("sequence_id") / 2**24).cast("long"))
+    sizes = [r["count"] for r in dealt.count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 600
+    found = packing.pack(pieces, group_pieces=50).collect()
+    assert len(found) == 3500 and sum(r.length for r in found) == 3000 * 700 + 500 * 1300
+    bins = len({r.sequence_id for r in found})
+    assert bins == packing.lower_bound(np.array([700] * 3000 + [1300] * 500))
+
+
 def test_lower_bound_never_exceeds_a_packing():
     rng = np.random.default_rng(2)
     for _ in range(200):

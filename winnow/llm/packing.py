@@ -1,9 +1,10 @@
 """Best-fit packing of token pieces with certified bin counts.
 
-Pieces are dealt to groups by a hash and each group is packed by best-fit decreasing. Lower
-bounds from dual feasible functions certify a group whose bin count they reach. Groups with a
-gap close their full bins and exchange the other documents: the pieces are dealt anew into fewer
-groups and packed again, as long as that saves bins.
+Pieces are dealt to groups by their number and each group is packed by best-fit decreasing. Lower
+bounds from dual feasible functions certify a group whose bin count they reach. Full bins are
+closed; the pieces of all other bins are exchanged: dealt anew into fewer groups and packed again.
+That ends when the lower bound of all exchanged pieces certifies their bins, when one group is
+left, or when a round of the largest groups saves no bin.
 """
 
 from __future__ import annotations
@@ -25,10 +26,10 @@ from winnow.llm.words import slices
 CAPACITY = 2048
 # Text that a task encodes at once.
 SLICE_BYTES = 2_000_000
-# Pieces of a group on average, twice as many after each exchange; a group of the last round
+# Pieces of a group on average, twice as many after each exchange up to the largest group, which
 # takes about 20 MB of one task.
 GROUP_PIECES = 8192
-MAX_EXCHANGES = 4
+LARGEST_GROUP = 16 * GROUP_PIECES
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = PIECE_SCHEMA + ", sequence_id long, offset long, filled long, bins long, bound long"
@@ -76,9 +77,13 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     pieces under e as nothing; the others go through u_k, which rounds (k + 1) x / capacity
     down to k-ths unless it is whole. k = 0 stands for the identity.
     """
-    if not len(lengths):
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1), capacity)
+
+
+def bound_of_counts(counts: np.ndarray, capacity: int = CAPACITY) -> int:
+    """The same from the number of pieces of each length from 0 to ``capacity``."""
+    if not counts.any():
         return 0
-    counts = np.bincount(lengths, minlength=capacity + 1)
     sizes = np.arange(capacity + 1)
     most = 0
     for k in range(0, 13):
@@ -147,7 +152,8 @@ def _pack_round(pieces: DataFrame, groups: int, number: int, capacity: int) -> D
             bound=lower_bound(lengths, capacity),
         )
 
-    hashed = F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.lit(number))
+    # Dealt by the number of the row in its files, so that equal rows go to all groups alike.
+    hashed = F.xxhash64(F.monotonically_increasing_id(), F.lit(number))
     dealt = pieces.withColumn("dealt", F.pmod(hashed, F.lit(groups)))
     return dealt.groupBy("dealt").applyInPandas(pack, PACKED_SCHEMA)
 
@@ -156,30 +162,39 @@ def pack(
     pieces: DataFrame,
     capacity: int = CAPACITY,
     group_pieces: int = GROUP_PIECES,
-    max_exchanges: int = MAX_EXCHANGES,
+    max_exchanges: int | None = None,
 ) -> DataFrame:
     """Sequence and offset of every piece, and the certificate of its group.
 
-    ``pieces`` has the columns of ``PIECE_SCHEMA`` with lengths from 1 to ``capacity``. Equal
-    rows are separate pieces. An exchange is kept only if it saves bins, so more exchanges never
-    make a packing worse. An empty table gives no rows.
+    ``pieces`` are kept rows with the columns of ``PIECE_SCHEMA`` and lengths from 1 to
+    ``capacity``. Equal rows are separate pieces. An exchange is kept only if it saves bins, so
+    exchanges never make a packing worse; ``max_exchanges`` ends them early. An empty table
+    gives no rows.
     """
     columns = [field.split()[0] for field in PIECE_SCHEMA.split(", ")]
     started = F.count_if(F.col("offset") == 0)  # every bin has one such row
     done: list[DataFrame] = []
     pool, gap, gap_bins, number = pieces, None, 0, 0
+    largest = max(LARGEST_GROUP, group_pieces)
+    size, total = group_pieces, pieces.count()
     while True:
-        groups = max(1, -(-pool.count() // (group_pieces << number)))
+        groups = max(1, -(-total // size))
         packed = kept(_pack_round(pool, groups, number, capacity), f"packed-{number}")
-        if gap is not None and packed.agg(started).head()[0] >= gap_bins:
+        saved = gap is None or packed.agg(started).head()[0] < gap_bins
+        if saved:
+            if gap is not None:
+                done.pop()  # the open bins of the round before
+            full = F.col("filled") == capacity
+            done.append(packed.where(full))
+            gap = packed.where(~full)
             done.append(gap)
-            break
-        closed = (F.col("bins") == F.col("bound")) | (F.col("filled") == capacity)
-        gap = packed.where(~closed)
-        gap_bins = gap.agg(started).head()[0]
-        if gap_bins == 0 or groups == 1 or number == max_exchanges:
-            done.append(packed)
-            break
-        done.append(packed.where(closed))
-        pool, number = gap.select(*columns), number + 1
-    return reduce(DataFrame.unionByName, done)
+            pool = gap.select(*columns)
+            lengths = gap.groupBy("length").count().collect()  # at most ``capacity`` rows
+            counts = np.zeros(capacity + 1, np.int64)
+            for length, n in lengths:
+                counts[length] = n
+            total, gap_bins = int(counts.sum()), gap.agg(started).head()[0]
+        certified = gap_bins == bound_of_counts(counts, capacity)
+        if certified or groups == 1 or number == max_exchanges or not saved and size >= largest:
+            return reduce(DataFrame.unionByName, done)
+        size, number = min(2 * size, largest), number + 1
