@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import numpy as np
 from samples import awkward, frame, texts
@@ -123,4 +124,26 @@ def test_repeated_null_and_single_keys(spark):
     assert alone[0].edited_sha256 == hashlib.sha256(b"abc dab").hexdigest()
     unkeyed = winnowing.edited_fingerprints(frame(spark, [(None, "abc", "en")] * 2)).collect()
     assert len(unkeyed) == 2
+    # Without any key the last text is followed by the first, so each takes from the other.
+    pair = winnowing.edited_fingerprints(frame(spark, [(None, "abcdef", "en"), (None, "uvwxyz", "en")]))
+    expected = {hashlib.sha256(t).hexdigest() for t in (b"abcduv", b"uvwxab")}
+    assert {r.edited_sha256 for r in pair.collect()} == expected
     assert winnowing.edited_fingerprints(frame(spark, [])).count() == 0
+
+
+def test_short_and_unspaced_texts_keep_hashes_when_edited(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices(["harbour", "quiet", "of", "lamp", "seventy", "green"], k=10)), "en")
+            for i in range(30)]
+    rows += [(100 + i, "".join(chr(0x4E00 + rng.randrange(4000)) for _ in range(96)), None) for i in range(5)]
+    for row in winnowing.edited_fingerprints(frame(spark, rows)).collect():
+        assert row.near_edited > 0, row.doc_id
+
+
+def test_units_are_pieces_of_words_and_single_characters(spark):
+    text = "abcdefg hi\u4e2d\u6587 \u00e9!\U00020001z"
+    expected = ["abc", "def", "g", "hi", "\u4e2d", "\u6587", "\u00e9!", "\U00020001", "z"]
+    df = winnowing.with_fingerprint(frame(spark, [(1, text, "en")]), "text", "", 1, 1)
+    values = spark.createDataFrame([(u,) for u in expected], "u string")
+    hashes = [r[0] for r in values.selectExpr("lower(hex(pmod(xxhash64(u), 2147483647)))").collect()]
+    assert [h.split(":")[1] for h in df.head().fingerprint.split()] == hashes

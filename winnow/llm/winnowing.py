@@ -1,8 +1,12 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-The words of a text are hashed, k-gram hashes roll over them one word at a time, and the smallest
+A text is cut into small units, k-gram hashes roll over them one unit at a time, and the smallest
 hash of each window of grams is chosen, the rightmost of equal ones, with its position. Two texts
-that share a run of ``k + window - 1`` words share a chosen hash.
+that share a run of ``k + window - 1`` units share a chosen hash.
+
+A unit is up to three characters of a word, counted from its beginning, or one character of a
+script written without blanks. So short texts and texts without blanks have many units too, and
+an edit shifts units no further than to the end of its word.
 """
 
 from __future__ import annotations
@@ -12,13 +16,15 @@ from pyspark.sql import functions as F
 
 from winnow.llm.shared import splits, whole_text
 
-GRAM = 3
-WINDOW = 8
-MAX_PARTS = 8192
+GRAM = 6
+WINDOW = 6
 # Mersenne prime below 2 ** 31 and a multiplier under it: products stay within a long.
 _PRIME = 2**31 - 1
 _BASE = 1_000_003
-_BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
+_BLANKS = r" \t\n\x0B\f\r"
+# Thai and Lao, then Han, Kana, Hangul and the symbols between them, then rarer Han characters.
+_UNSPACED = r"\u0E00-\u0EFF\u2E80-\uD7AF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+_UNIT = f"[{_UNSPACED}]|[^{_BLANKS}{_UNSPACED}]{{1,3}}"
 
 
 def _from(array: Column, place: int) -> Column:
@@ -26,11 +32,14 @@ def _from(array: Column, place: int) -> Column:
     return F.slice(array, F.lit(place + 1), F.greatest(F.size(array) - place, F.lit(0)))
 
 
-def _roll(grams: Column, hashes: Column, place: int) -> Column:
-    def add(gram, word):
-        return F.pmod(gram * _BASE + F.coalesce(word, F.lit(0)), F.lit(_PRIME))
+def _joined(left: Column, right: Column, at: int, size: int) -> Column:
+    """Hashes of grams of ``at + size`` units from those of ``at`` and of ``size`` units."""
+    power = pow(_BASE, size, _PRIME)
+
+    def join(gram, more):
+        return F.pmod(gram * power + F.coalesce(more, F.lit(0)), F.lit(_PRIME))
 
-    return F.zip_with(grams, _from(hashes, place), add)
+    return F.zip_with(left, _from(right, at), join)
 
 
 def _smaller(mins: Column, step: int) -> Column:
@@ -43,18 +52,32 @@ def with_fingerprint(
 ) -> DataFrame:
     """Adds ``<prefix>fingerprint`` and ``<prefix>hashes``, its distinct hashes.
 
-    The fingerprint lists ``position:hash`` in text order, positions counting words from 0. A
-    text of fewer words than a gram has one gram; one of fewer grams than a window has one
-    window. Null and empty texts have the fingerprint of one empty word.
+    The fingerprint lists ``position:hash`` in text order, positions counting units from 0. A
+    text of fewer units than a gram has one gram; one of fewer grams than a window has one
+    window. Null, empty and blank texts have the fingerprint of one empty unit.
     """
-    words, work, count = f"{prefix}words", f"{prefix}work", f"{prefix}count"
+    units, work, count = f"{prefix}units", f"{prefix}work", f"{prefix}count"
     # Each step is a column of its own, so that no array is computed twice.
-    df = df.withColumn(words, F.split(F.coalesce(text, F.lit("")), _BLANKS))
-    df = df.withColumn(words, F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(_PRIME))))
-    df = df.withColumn(work, F.col(words))
-    for place in range(1, gram):
-        df = df.withColumn(work, _roll(F.col(work), F.col(words), place))
-    df = df.withColumn(count, F.greatest(F.size(words) - (gram - 1), F.lit(1)))
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_UNIT), F.lit(0))
+    df = df.withColumn(units, found)
+    hashed = F.transform(units, lambda u: F.pmod(F.xxhash64(u), F.lit(_PRIME)))
+    df = df.withColumn(units, F.when(F.size(units) > 0, hashed).otherwise(F.array(F.lit(0))))
+    # The polynomial hashes of grams of 1, 2, 4, ... units make up those of ``gram`` units.
+    sizes = [1]
+    df = df.withColumn(f"{work}1", F.col(units))
+    while 2 * sizes[-1] <= gram:
+        half = sizes[-1]
+        grams = _joined(F.col(f"{work}{half}"), F.col(f"{work}{half}"), half, half)
+        df = df.withColumn(f"{work}{2 * half}", grams)
+        sizes.append(2 * half)
+    at = sizes[-1]
+    df = df.withColumn(work, F.col(f"{work}{at}"))
+    for size in reversed(sizes):
+        if at + size <= gram:
+            df = df.withColumn(work, _joined(F.col(work), F.col(f"{work}{size}"), at, size))
+            at += size
+    df = df.withColumn(count, F.greatest(F.size(units) - (gram - 1), F.lit(1)))
+    df = df.drop(units, *[f"{work}{size}" for size in sizes])
     # One long per gram: its hash, then its position counted backwards, so that the smallest
     # long is the smallest hash and of equal hashes the rightmost.
     last = F.lit(2**31 - 1)
@@ -80,7 +103,7 @@ def with_fingerprint(
 
     df = df.withColumn(f"{prefix}fingerprint", F.array_join(F.transform(work, shown), " "))
     hashes = F.array_distinct(F.transform(work, lambda c: F.shiftright(c, 31)))
-    return df.withColumn(f"{prefix}hashes", hashes).drop(words, work, count)
+    return df.withColumn(f"{prefix}hashes", hashes).drop(work, count)
 
 
 def likeness(a: str, b: str) -> Column:
@@ -94,31 +117,39 @@ def with_next(docs: DataFrame, parts: int | None = None) -> tuple[DataFrame, Win
     Every part also gets the row that follows its last one, marked ``guest``, so that a lead
     over the window reaches the next row of all: the largest key of the part below, or the
     largest of all for the lowest part. Rows with equal keys follow by a hash of their texts;
-    null keys come last.
+    null keys come last, and without other keys their first row is the largest of all.
     """
     rows = whole_text(docs)
-    parts = min(parts or 4 * splits(docs), MAX_PARTS)
+    key, mark = F.col("doc_id"), F.xxhash64("text")
+    parts = parts or 4 * splits(docs)
     shares = [i / parts for i in range(1, parts)] or [0.5]
     row = rows.agg(
         F.percentile_approx("doc_id", shares, max(10_000, 20 * parts)).alias("bounds"),
         F.max("doc_id").alias("most"),
+        F.min(F.when(key.isNull(), mark)).alias("unkeyed"),
     ).head()
     # At most ``parts`` keys, each the largest of its part.
     bounds = sorted(set(row["bounds"] or []) - {row["most"]})
-    key = F.col("doc_id")
-    held = F.array(*[F.lit(b).cast("long") for b in bounds]).cast("array<long>")
-    own = F.coalesce(F.size(F.filter(held, lambda b: b < key)), F.lit(0))
-    own = F.when(key.isNull(), F.lit(0)).otherwise(own)
+    held = F.split(F.lit(",".join(map(str, bounds))), ",") if bounds else F.array()
+    held = held.cast("array<long>")
+    # Bounds below the key, by binary search; a null key and a place past the end compare as null.
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, len(bounds).bit_length())))])
+
+    def further(below, step):
+        return F.when(F.try_element_at(held, below + step) < key, below + step).otherwise(below)
+
+    own = F.aggregate(steps, F.lit(0), further)
     place = F.struct(own.alias("part"), F.lit(0).alias("guest"))
     above = F.struct((own + 1).alias("part"), F.lit(1).alias("guest"))
     lowest = F.struct(F.lit(0).alias("part"), F.lit(2).alias("guest"))
+    first = key == row["most"] if row["most"] is not None else mark == row["unkeyed"]
     places = (
-        F.when(key == row["most"], F.array(place, lowest))
-        .when(F.array_contains(held, key), F.array(place, above))
+        F.when(first, F.array(place, lowest))
+        .when(F.try_element_at(held, own + 1) == key, F.array(place, above))
         .otherwise(F.array(place))
     )
     dealt = rows.withColumn("place", F.explode(places)).select("doc_id", "text", "place.*")
-    order = [(F.col("guest") == 2).asc(), F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
+    order = [(F.col("guest") == 2).asc(), key.desc_nulls_last(), mark]
     return dealt, Window.partitionBy("part").orderBy(*order)
 
 
