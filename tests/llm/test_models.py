@@ -243,18 +243,57 @@ def test_quality_is_learnt_and_calibrated(spark):
     assert {r.score for r in quality.score(docs, vectors, flat).collect()} == {0.5}
 
 
-def test_context_vectors_follow_the_definition(spark):
-    docs = frame(spark, [(1, "alpha Beta", None), (2, "gamma", None)])
-    vectors = quality.random_indexing(docs)
-    own = words_of(pa.array(["alpha Beta"]), lower=False)
-    place, sign = quality._index_vectors()
-    spelling, shape = quality.kinds_of(own)
-    expected = np.zeros(quality.DIMENSIONS)
-    for bucket in (spelling[1], shape[1]):
-        for k in (0, 1):
-            expected[place[bucket, k]] += sign[bucket, k]
-    norm = np.linalg.norm(expected)
-    assert vectors[spelling[0]] == pytest.approx(expected / norm if norm else expected, abs=1e-6)
+def plain_vectors(rows, kinds):
+    """Sums of the index vectors of the words near every word, text by text, of length 1."""
+    place, sign = kinds.index_vectors()
+    table = np.zeros((kinds.rows, quality.DIMENSIONS))
+    for _, text, _ in rows:
+        both = list(zip(*(k.tolist() for k in kinds.of(words_of(pa.array([text or ""]), lower=False)))))
+        for i, target in enumerate(both):
+            for j in range(max(0, i - quality.NEAR), min(len(both), i + quality.NEAR + 1)):
+                for row, context in itertools.product(target, both[j] if j != i else ()):
+                    for k in (0, 1):
+                        table[row, place[context, k]] += sign[context, k]
+    norm = np.linalg.norm(table, axis=1, keepdims=True)
+    return table / np.where(norm > 0, norm, 1)
+
+
+@pytest.mark.parametrize("share", [1e-9, 0.01, 1.0])
+def test_context_vectors_follow_the_definition(spark, share):
+    rows = ROWS[:30] + awkward()
+    vectors = quality.random_indexing(frame(spark, rows), share)
+    used = Counter(w for _, t, _ in rows for w in (t or "").encode().split())
+    own = words_of(pa.array([w.decode() for w in used]), lower=False).hash
+    wanted = [h for h, n in zip(own, used.values()) if n >= share * used.total()]
+    assert vectors.kinds.own.tolist() == sorted(int(h) for h in wanted)
+    assert np.abs(vectors.table - plain_vectors(rows, vectors.kinds)).max() < 1e-3
+
+
+def test_quality_scores_agree_with_a_plain_version(spark):
+    rows = ROWS[:20] + awkward()
+    vectors = quality.random_indexing(frame(spark, rows), 0.01)
+    rng = np.random.default_rng(4)
+    width, d = 3 * quality.DIMENSIONS + quality.SCALARS, quality.DIMENSIONS
+    net = quality.Network(
+        np.zeros(width), np.ones(width), rng.normal(0, 1, (width + 1, 4)), rng.normal(0, 1, 5), 1.7
+    )
+    found = sorted(r.score for r in quality.score(frame(spark, rows), vectors, net).collect())
+    expected, table = [], vectors.table.astype(float)
+    for _, text, _ in rows:
+        words = (text or "").encode().split()
+        spelling, shape = vectors.kinds.of(words_of(pa.array([text or ""]), lower=False))
+        x, n = np.zeros(width), max(1, len(words))
+        if words:
+            x[:d], x[d : 2 * d] = table[spelling].mean(0), table[shape].mean(0)
+            x[2 * d : 3 * d] = table[shape].std(0)
+            x[-5], x[-4] = math.log1p(len(words)), math.log1p(sum(map(len, words)) / n)
+            x[-3] = len(set(words)) / n
+            x[-2] = sum(a == b for a, b in itertools.pairwise(spelling)) / n
+            x[-1] = sum(a == b for a, b in itertools.pairwise(shape)) / n
+        x = np.clip(x, -8, 8)
+        out = np.tanh(x @ net.first[:-1] + net.first[-1]) @ net.second[:-1] + net.second[-1]
+        expected.append(1 / (1 + math.exp(-out / 1.7)))
+    assert found == pytest.approx(sorted(expected), abs=1e-3)
 
 
 def every_way(own: nbest.Segmenter, text: str):

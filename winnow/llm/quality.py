@@ -1,9 +1,11 @@
 """Quality classifier on random-indexing word vectors.
 
-Every word has two kinds: its spelling and its shape, both hashed to buckets. A kind's vector is
-the sum of sparse random index vectors of the words near all of its occurrences in the corpus,
-gathered partition by partition. A document pools the vectors of its words; a two-layer network
-in numpy judges the pooled vector, and its probabilities are calibrated by a temperature.
+Every word has a spelling and a shape. A word that makes up at least a given share of all tokens
+has a spelling vector of its own; there are at most as many of these words as the share goes into
+one, at any size of the corpus. The spellings of rarer words are tied by hash in buckets, and so
+are shapes. A vector is the sum of sparse random index vectors of the words near all occurrences
+in the corpus. A document pools the vectors of its words; a two-layer network in numpy judges the
+pooled vector, and its probabilities are calibrated by a temperature.
 """
 
 from __future__ import annotations
@@ -13,14 +15,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.shared import whole_text
+from winnow.llm.shared import kept, whole_text
 from winnow.llm.words import Words, mix, slices, words_of
 
 DIMENSIONS = 48
-SPELLINGS = 4096
+# Words of at least this share of all tokens have their own vector: 500,000 words at most.
+OWN_SHARE = 1 / 500_000
+SPELLINGS = 16_384
 SHAPES = 2048
 NEAR = 2  # words on either side
 HIDDEN = 32
@@ -29,8 +34,10 @@ SAMPLE_EACH = 3000
 PASSES = 250
 THRESHOLD = 0.7
 SCALARS = 5
+# Text whose contexts are summed at once, and rows of the table that travel together.
+GATHERED_BYTES = 8_000_000
+BLOCK_ROWS = 256
 _GOLDEN = 0x9E3779B97F4A7C15
-_ROWS = SPELLINGS + SHAPES
 
 # Class of a byte for the shape: lower case, capital, digit, beyond ASCII, or the symbol itself.
 _CLASS = np.arange(256, dtype=np.uint64)
@@ -40,16 +47,8 @@ _CLASS[ord("0") : ord("9") + 1] = ord("0")
 _CLASS[128:] = 128
 
 
-def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """Two places and signs of the index vector of each bucket, by hash."""
-    salted = np.arange(2 * _ROWS, dtype=np.uint64).reshape(_ROWS, 2) * np.uint64(_GOLDEN)
-    draw = mix(salted)
-    return (draw % np.uint64(DIMENSIONS)).astype(np.int64), 1.0 - 2.0 * (draw >> np.uint64(63))
-
-
-def kinds_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of the spelling and of the shape of each word, as rows of one table."""
-    spelling = (words.hash % np.uint64(SPELLINGS)).astype(np.int64)
+def _shapes_of(words: Words) -> np.ndarray:
+    """Bucket of the shape of each word: size, first byte and last four bytes by class."""
     end = words.start + words.size
     shape = np.minimum(words.size, 12).astype(np.uint64)
     for back in range(1, 5):
@@ -57,55 +56,154 @@ def kinds_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
         shape = shape * np.uint64(131) + np.where(words.size >= back, byte, np.uint64(0))
     first = _CLASS[words.data[words.start]] if len(words.start) else shape
     shape = mix(shape * np.uint64(131) + first)
-    return spelling, SPELLINGS + (shape % np.uint64(SHAPES)).astype(np.int64)
+    return (shape % np.uint64(SHAPES)).astype(np.int64)
+
+
+@dataclass
+class Kinds:
+    """Rows of the vector table: buckets of spellings, of shapes, then ``own`` words by hash."""
+
+    own: np.ndarray
+
+    @property
+    def rows(self) -> int:
+        return SPELLINGS + SHAPES + len(self.own)
+
+    def of(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Row of the spelling and of the shape of each word."""
+        spelling = (words.hash % np.uint64(SPELLINGS)).astype(np.int64)
+        if len(self.own):
+            at = np.minimum(np.searchsorted(self.own, words.hash), len(self.own) - 1)
+            found = self.own[at] == words.hash
+            spelling = np.where(found, SPELLINGS + SHAPES + at, spelling)
+        return spelling, SPELLINGS + _shapes_of(words)
+
+    def index_vectors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two places and signs of the index vector of each row, by its bucket or word."""
+        seed = np.concatenate([np.arange(SPELLINGS + SHAPES, dtype=np.uint64), mix(self.own)])
+        draw = mix((seed[:, None] * np.uint64(2) + np.arange(2, dtype=np.uint64)) * np.uint64(_GOLDEN))
+        return (draw % np.uint64(DIMENSIONS)).astype(np.int64), 1.0 - 2.0 * (draw >> np.uint64(63))
+
+
+@dataclass
+class Vectors:
+    """Context vectors of length 1 or 0 by row, in half precision."""
 
+    kinds: Kinds
+    table: np.ndarray
 
-def random_indexing(docs: DataFrame) -> np.ndarray:
-    """Context vectors of all buckets from all documents, each of length 1 or 0.
+    def wide(self) -> "Vectors":
+        return Vectors(self.kinds, self.table.astype(np.float32))
 
-    The table has a fixed size; every partition sends its non-zero cells, which Spark sums.
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``word`` (hash) and ``count`` over all texts, summed in the tasks before the exchange."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def summed(parts):
+            word, n = (np.concatenate(c) for c in zip(*parts))
+            unique, back = np.unique(word, return_inverse=True)
+            return unique, np.bincount(back, n, len(unique)).astype(np.int64)
+
+        def emit(parts):
+            word, n = summed(parts)
+            arrays = [pa.array(word.view(np.int64)), pa.array(n)]
+            return pa.RecordBatch.from_arrays(arrays, names=["word", "count"])
+
+        parts, size = [], 0
+        for batch in batches:
+            for rows in slices(batch, "text"):
+                words = words_of(rows.column("text"), lower=False)
+                parts.append(np.unique(words.hash, return_counts=True))
+                size += len(parts[-1][0])
+                if size > 2_000_000:
+                    parts = [summed(parts)]
+                    size = len(parts[0][0])
+                    if size > 1_000_000:
+                        yield emit(parts)
+                        parts, size = [], 0
+        if parts:
+            yield emit(parts)
+
+    parted = whole_text(docs).select("text").mapInArrow(count, "word long, count long")
+    return parted.groupBy("word").agg(F.sum("count").alias("count"))
+
+
+def own_words(docs: DataFrame, share: float = OWN_SHARE) -> Kinds:
+    """The words of at least this share of all tokens; at most ``1 / share`` reach the driver."""
+    counts = kept(word_counts(docs), "word-counts")
+    tokens = counts.agg(F.sum("count")).head()[0] or 0
+    own = counts.where(F.col("count") >= F.lit(share * tokens)).select("word").toArrow()
+    return Kinds(np.sort(own.column("word").to_numpy().view(np.uint64)))
+
+
+def random_indexing(docs: DataFrame, share: float = OWN_SHARE) -> Vectors:
+    """Context vectors of all own words and buckets, gathered from all documents.
+
+    The tasks send their sums as compressed blocks of rows; each block is added up in one place,
+    a sent block at a time. A null or empty text adds nothing, repeated rows add again.
     """
+    kinds = own_words(docs, share)
+    cells = kinds.rows * DIMENSIONS
+    sent = BLOCK_ROWS * DIMENSIONS
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, sign = _index_vectors()
-        sums = np.zeros(_ROWS * DIMENSIONS)
+        place, sign = kinds.index_vectors()
+        sums = np.zeros(-(-cells // sent) * sent)
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", GATHERED_BYTES):
                 words = words_of(rows.column("text"), lower=False)
-                kinds = kinds_of(words)
+                both = kinds.of(words)
                 for step in range(1, NEAR + 1):
                     same = np.flatnonzero(words.doc[step:] == words.doc[:-step])
                     for own, near in ((same, same + step), (same + step, same)):
-                        for target in kinds:
+                        for target in both:
                             row = target[own] * DIMENSIONS
-                            for context in kinds:
+                            for context in both:
                                 bucket = context[near]
                                 for k in (0, 1):
                                     sums += np.bincount(
                                         row + place[bucket, k], sign[bucket, k], len(sums)
                                     )
-        cell = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cell.astype(np.int32)), pa.array(sums[cell])], names=["cell", "value"]
-        )
-
-    parted = whole_text(docs).select("text").mapInArrow(gather, "cell int, value double")
-    cells = parted.groupBy("cell").agg(F.sum("value").alias("value")).toPandas()
-    table = np.zeros(_ROWS * DIMENSIONS)
-    table[cells["cell"]] = cells["value"]
-    table = table.reshape(_ROWS, DIMENSIONS)
-    norm = np.sqrt((table * table).sum(1, keepdims=True))
-    return np.divide(table, norm, out=np.zeros_like(table), where=norm > 0).astype(np.float32)
-
-
-def pooled(words: Words, vectors: np.ndarray) -> np.ndarray:
+        pack = zstandard.ZstdCompressor(level=1)
+        for number, block in enumerate(sums.astype("<i8").reshape(-1, sent)):
+            if block.any():
+                # Bytes of equal worth together, most of which are equal.
+                planes = np.ascontiguousarray(block.view(np.uint8).reshape(-1, 8).T)
+                arrays = [pa.array([number], pa.int32()), pa.array([pack.compress(planes.tobytes())])]
+                yield pa.RecordBatch.from_arrays(arrays, names=["block", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, held = zstandard.ZstdDecompressor(), {}
+        for batch in batches:
+            for number, packed in zip(batch.column("block").to_pylist(), batch.column("sums")):
+                planes = np.frombuffer(unpack.decompress(packed.as_py()), np.uint8).reshape(8, -1)
+                block = np.ascontiguousarray(planes.T).view("<i8").ravel()
+                held[number] = held.get(number, 0) + block
+        for number, block in held.items():
+            rows = block.reshape(-1, DIMENSIONS).astype(float)
+            norm = np.sqrt((rows * rows).sum(1, keepdims=True))
+            rows = np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
+            arrays = [pa.array([number], pa.int32()), pa.array([rows.astype("<f2").tobytes()])]
+            yield pa.RecordBatch.from_arrays(arrays, names=["block", "rows"])
+
+    parted = whole_text(docs).select("text").mapInArrow(gather, "block int, sums binary")
+    added = parted.repartition("block").mapInArrow(add, "block int, rows binary").toArrow()
+    table = np.zeros((-(-cells // sent) * BLOCK_ROWS, DIMENSIONS), np.float16)
+    for number, rows in zip(added.column("block").to_pylist(), added.column("rows")):
+        block = np.frombuffer(rows.as_py(), "<f2").reshape(-1, DIMENSIONS)
+        table[number * BLOCK_ROWS : (number + 1) * BLOCK_ROWS] = block
+    return Vectors(kinds, table[: kinds.rows])
+
+
+def pooled(words: Words, vectors: Vectors) -> np.ndarray:
     """Per text: mean vectors of spellings and shapes, spread of the shapes, and scalars.
 
     The scalars are logarithms of the words and of their mean length, the share of distinct
     words, and the shares of words next to an equal one and next to one of equal shape.
     """
     n, counts = len(words.counts), words.counts
-    spelling, shape = kinds_of(words)
+    spelling, shape = vectors.kinds.of(words)
     every = np.maximum(counts, 1)[:, None]
     out = np.zeros((n, 3 * DIMENSIONS + SCALARS))
     if not len(words.doc):
@@ -113,9 +211,9 @@ def pooled(words: Words, vectors: np.ndarray) -> np.ndarray:
     some = np.flatnonzero(counts)
     begins = (np.cumsum(counts) - counts)[some]
     for at, kind in ((0, spelling), (DIMENSIONS, shape)):
-        own = vectors[kind]
+        own = vectors.table[kind]
         out[some, at : at + DIMENSIONS] = np.add.reduceat(own, begins, axis=0)
-    own = vectors[shape]
+    own = vectors.table[shape]
     out[some, 2 * DIMENSIONS : 3 * DIMENSIONS] = np.add.reduceat(own * own, begins, axis=0)
     out /= every
     mean = out[:, DIMENSIONS : 2 * DIMENSIONS]
@@ -203,7 +301,7 @@ def fit(x: np.ndarray, good: np.ndarray, weight: np.ndarray, passes: int = PASSE
     return net
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str, vectors: np.ndarray) -> Network:
+def learn(docs: DataFrame, labels: DataFrame, label: str, vectors: Vectors) -> Network:
     """The network of at most ``SAMPLE_EACH`` labelled documents of either label.
 
     The documents with the smallest hashes of their keys are taken. Keys labelled both ways
@@ -221,9 +319,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, vectors: np.ndarray) -
     width = 3 * DIMENSIONS + SCALARS
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wide = vectors.wide()
         for batch in batches:
             for rows in slices(batch, "text"):
-                x = pooled(words_of(rows.column("text"), lower=False), vectors)
+                x = pooled(words_of(rows.column("text"), lower=False), wide)
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column("draw"),
@@ -246,16 +345,18 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, vectors: np.ndarray) -
     return fit(x, good, np.where(good, share[True], share[False]))
 
 
-def score(docs: DataFrame, vectors: np.ndarray, net: Network, threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, vectors: Vectors, net: Network, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``score`` from 0 to 1 and ``predicted`` of every document.
 
-    Null and empty texts pool to zeros and are scored like others.
+    Null and empty texts pool to zeros and are scored like others, and so are rows with null or
+    repeated keys; a very long text is pooled alone. Other columns are left out.
     """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wide = vectors.wide()
         for batch in batches:
             for rows in slices(batch, "text"):
-                value = net.scores(pooled(words_of(rows.column("text"), lower=False), vectors))
+                value = net.scores(pooled(words_of(rows.column("text"), lower=False), wide))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), pa.array(value), pa.array((value >= threshold).astype(np.int32))],
                     names=["doc_id", "score", "predicted"],
