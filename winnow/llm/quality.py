@@ -34,8 +34,8 @@ SAMPLE_EACH = 3000
 PASSES = 250
 THRESHOLD = 0.7
 SCALARS = 5
-# Text whose contexts are summed at once, and rows of the table that travel together.
-GATHERED_BYTES = 8_000_000
+# Words whose contexts are summed at once, and rows of the table that travel together.
+WORDS_AT_ONCE = 500_000
 BLOCK_ROWS = 256
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -78,11 +78,14 @@ class Kinds:
             spelling = np.where(found, SPELLINGS + SHAPES + at, spelling)
         return spelling, SPELLINGS + _shapes_of(words)
 
-    def index_vectors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two places and signs of the index vector of each row, by its bucket or word."""
+    def index_vectors(self) -> np.ndarray:
+        """The index vector of each row: two signs at places drawn by its bucket or word."""
         seed = np.concatenate([np.arange(SPELLINGS + SHAPES, dtype=np.uint64), mix(self.own)])
         draw = mix((seed[:, None] * np.uint64(2) + np.arange(2, dtype=np.uint64)) * np.uint64(_GOLDEN))
-        return (draw % np.uint64(DIMENSIONS)).astype(np.int64), 1.0 - 2.0 * (draw >> np.uint64(63))
+        index = np.zeros((self.rows, DIMENSIONS), np.int8)
+        sign = 1 - 2 * (draw >> np.uint64(63)).astype(np.int8)
+        np.add.at(index, (np.arange(self.rows)[:, None], draw % np.uint64(DIMENSIONS)), sign)
+        return index
 
 
 @dataclass
@@ -137,6 +140,27 @@ def own_words(docs: DataFrame, share: float = OWN_SHARE) -> Kinds:
     return Kinds(np.sort(own.column("word").to_numpy().view(np.uint64)))
 
 
+def add_contexts(
+    sums: np.ndarray, doc: np.ndarray, both: tuple[np.ndarray, np.ndarray], index: np.ndarray
+) -> None:
+    """Adds to both rows of every word the index vectors of the words near it in its text."""
+    for low in range(0, len(doc), WORDS_AT_ONCE):
+        high = min(low + WORDS_AT_ONCE, len(doc))
+        wide = slice(max(0, low - NEAR), high + NEAR)
+        of, own = doc[wide], index[both[0][wide]] + index[both[1][wide]]
+        near = np.zeros_like(own)
+        for step in range(1, NEAR + 1):
+            same = (of[step:] == of[:-step])[:, None]
+            near[:-step] += own[step:] * same
+            near[step:] += own[:-step] * same
+        near = near[low - wide.start :][: high - low]
+        for target in both:
+            order = np.argsort(target[low:high], kind="stable")
+            rows = target[low:high][order]
+            begins = np.flatnonzero(np.diff(rows, prepend=-1))
+            sums[rows[begins]] += np.add.reduceat(near[order], begins, axis=0, dtype=np.int32)
+
+
 def random_indexing(docs: DataFrame, share: float = OWN_SHARE) -> Vectors:
     """Context vectors of all own words and buckets, gathered from all documents.
 
@@ -144,29 +168,16 @@ def random_indexing(docs: DataFrame, share: float = OWN_SHARE) -> Vectors:
     a sent block at a time. A null or empty text adds nothing, repeated rows add again.
     """
     kinds = own_words(docs, share)
-    cells = kinds.rows * DIMENSIONS
-    sent = BLOCK_ROWS * DIMENSIONS
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, sign = kinds.index_vectors()
-        sums = np.zeros(-(-cells // sent) * sent)
+        index = kinds.index_vectors()
+        sums = np.zeros((-(-kinds.rows // BLOCK_ROWS) * BLOCK_ROWS, DIMENSIONS), "<i8")
         for batch in batches:
-            for rows in slices(batch, "text", GATHERED_BYTES):
+            for rows in slices(batch, "text"):
                 words = words_of(rows.column("text"), lower=False)
-                both = kinds.of(words)
-                for step in range(1, NEAR + 1):
-                    same = np.flatnonzero(words.doc[step:] == words.doc[:-step])
-                    for own, near in ((same, same + step), (same + step, same)):
-                        for target in both:
-                            row = target[own] * DIMENSIONS
-                            for context in both:
-                                bucket = context[near]
-                                for k in (0, 1):
-                                    sums += np.bincount(
-                                        row + place[bucket, k], sign[bucket, k], len(sums)
-                                    )
+                add_contexts(sums, words.doc, kinds.of(words), index)
         pack = zstandard.ZstdCompressor(level=1)
-        for number, block in enumerate(sums.astype("<i8").reshape(-1, sent)):
+        for number, block in enumerate(sums.reshape(-1, BLOCK_ROWS * DIMENSIONS)):
             if block.any():
                 # Bytes of equal worth together, most of which are equal.
                 planes = np.ascontiguousarray(block.view(np.uint8).reshape(-1, 8).T)
@@ -189,7 +200,7 @@ def random_indexing(docs: DataFrame, share: float = OWN_SHARE) -> Vectors:
 
     parted = whole_text(docs).select("text").mapInArrow(gather, "block int, sums binary")
     added = parted.repartition("block").mapInArrow(add, "block int, rows binary").toArrow()
-    table = np.zeros((-(-cells // sent) * BLOCK_ROWS, DIMENSIONS), np.float16)
+    table = np.zeros((-(-kinds.rows // BLOCK_ROWS) * BLOCK_ROWS, DIMENSIONS), np.float16)
     for number, rows in zip(added.column("block").to_pylist(), added.column("rows")):
         block = np.frombuffer(rows.as_py(), "<f2").reshape(-1, DIMENSIONS)
         table[number * BLOCK_ROWS : (number + 1) * BLOCK_ROWS] = block
