@@ -35,7 +35,7 @@ PASSES = 250
 THRESHOLD = 0.7
 SCALARS = 5
 # Words whose contexts are summed at once, and rows of the table that travel together.
-WORDS_AT_ONCE = 500_000
+WORDS_AT_ONCE = 200_000
 BLOCK_ROWS = 256
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -78,14 +78,11 @@ class Kinds:
             spelling = np.where(found, SPELLINGS + SHAPES + at, spelling)
         return spelling, SPELLINGS + _shapes_of(words)
 
-    def index_vectors(self) -> np.ndarray:
-        """The index vector of each row: two signs at places drawn by its bucket or word."""
+    def index_vectors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two places and signs of the index vector of each row, by its bucket or word."""
         seed = np.concatenate([np.arange(SPELLINGS + SHAPES, dtype=np.uint64), mix(self.own)])
         draw = mix((seed[:, None] * np.uint64(2) + np.arange(2, dtype=np.uint64)) * np.uint64(_GOLDEN))
-        index = np.zeros((self.rows, DIMENSIONS), np.int8)
-        sign = 1 - 2 * (draw >> np.uint64(63)).astype(np.int8)
-        np.add.at(index, (np.arange(self.rows)[:, None], draw % np.uint64(DIMENSIONS)), sign)
-        return index
+        return (draw % np.uint64(DIMENSIONS)).astype(np.int64), 1 - 2 * (draw >> np.uint64(63)).astype(np.int64)
 
 
 @dataclass
@@ -141,24 +138,29 @@ def own_words(docs: DataFrame, share: float = OWN_SHARE) -> Kinds:
 
 
 def add_contexts(
-    sums: np.ndarray, doc: np.ndarray, both: tuple[np.ndarray, np.ndarray], index: np.ndarray
+    sums: np.ndarray,
+    doc: np.ndarray,
+    both: tuple[np.ndarray, np.ndarray],
+    index: tuple[np.ndarray, np.ndarray],
 ) -> None:
-    """Adds to both rows of every word the index vectors of the words near it in its text."""
+    """Adds to both rows of every word the index vectors of the words near it in its text.
+
+    ``sums`` are the cells of the table, row after row.
+    """
     for low in range(0, len(doc), WORDS_AT_ONCE):
-        high = min(low + WORDS_AT_ONCE, len(doc))
-        wide = slice(max(0, low - NEAR), high + NEAR)
-        of, own = doc[wide], index[both[0][wide]] + index[both[1][wide]]
-        near = np.zeros_like(own)
+        # Each pair of near words is added with its first word's part.
+        part = slice(low, low + WORDS_AT_ONCE + NEAR)
+        of = doc[part]
+        rows = [kind[part] * DIMENSIONS for kind in both]
+        drawn = [(index[0][kind[part], k], index[1][kind[part], k]) for kind in both for k in (0, 1)]
         for step in range(1, NEAR + 1):
-            same = (of[step:] == of[:-step])[:, None]
-            near[:-step] += own[step:] * same
-            near[step:] += own[:-step] * same
-        near = near[low - wide.start :][: high - low]
-        for target in both:
-            order = np.argsort(target[low:high], kind="stable")
-            rows = target[low:high][order]
-            begins = np.flatnonzero(np.diff(rows, prepend=-1))
-            sums[rows[begins]] += np.add.reduceat(near[order], begins, axis=0, dtype=np.int32)
+            first = np.flatnonzero(of[step:][:WORDS_AT_ONCE] == of[:-step][:WORDS_AT_ONCE])
+            for own, near in ((first, first + step), (first + step, first)):
+                targets = [row[own] for row in rows]
+                for place, sign in drawn:
+                    place, sign = place[near], sign[near]
+                    for target in targets:
+                        np.add.at(sums, target + place, sign)
 
 
 def random_indexing(docs: DataFrame, share: float = OWN_SHARE) -> Vectors:
@@ -171,7 +173,7 @@ def random_indexing(docs: DataFrame, share: float = OWN_SHARE) -> Vectors:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = kinds.index_vectors()
-        sums = np.zeros((-(-kinds.rows // BLOCK_ROWS) * BLOCK_ROWS, DIMENSIONS), "<i8")
+        sums = np.zeros(-(-kinds.rows // BLOCK_ROWS) * BLOCK_ROWS * DIMENSIONS, "<i8")
         for batch in batches:
             for rows in slices(batch, "text"):
                 words = words_of(rows.column("text"), lower=False)
@@ -219,13 +221,14 @@ def pooled(words: Words, vectors: Vectors) -> np.ndarray:
     out = np.zeros((n, 3 * DIMENSIONS + SCALARS))
     if not len(words.doc):
         return out
-    some = np.flatnonzero(counts)
-    begins = (np.cumsum(counts) - counts)[some]
-    for at, kind in ((0, spelling), (DIMENSIONS, shape)):
-        own = vectors.table[kind]
-        out[some, at : at + DIMENSIONS] = np.add.reduceat(own, begins, axis=0)
-    own = vectors.table[shape]
-    out[some, 2 * DIMENSIONS : 3 * DIMENSIONS] = np.add.reduceat(own * own, begins, axis=0)
+    ends = np.cumsum(counts)
+    for i in np.flatnonzero(counts):
+        for low in range(ends[i] - counts[i], ends[i], WORDS_AT_ONCE):
+            part = slice(low, min(low + WORDS_AT_ONCE, ends[i]))
+            own = vectors.table[shape[part]]
+            out[i, :DIMENSIONS] += vectors.table[spelling[part]].sum(0)
+            out[i, DIMENSIONS : 2 * DIMENSIONS] += own.sum(0)
+            out[i, 2 * DIMENSIONS : 3 * DIMENSIONS] += np.einsum("ij,ij->j", own, own)
     out /= every
     mean = out[:, DIMENSIONS : 2 * DIMENSIONS]
     spread = out[:, 2 * DIMENSIONS : 3 * DIMENSIONS]
