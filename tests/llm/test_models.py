@@ -60,16 +60,16 @@ def words(text: str | None) -> list[str]:
 
 def language_model(spark, rows):
     docs = whole_text(frame(spark, rows)).withColumn("held_out", crc_column("doc_id", 7) == 2)
-    training = docs.where("NOT held_out")
-    counts = kept(hmm.token_counts(training), "counts")
-    vocab = hmm.vocabulary(counts, frequent=20)
-    model = hmm.train(training, vocab, states=3, sample_passes=2, full_passes=2)
-    return docs, counts, vocab, model
+    counts = kept(hmm.token_counts(docs.where("NOT held_out")), "counts")
+    vocab = hmm.vocabulary(counts, share=1 / 400)
+    blocks = hmm.token_blocks(docs, vocab)
+    model = hmm.train(blocks, vocab, states=3, parts=3)
+    return blocks, counts, vocab, model
 
 
 def test_language_model_counts_and_normalisation(spark):
-    docs, counts, vocab, model = language_model(spark, ROWS)
-    found = hmm.score(docs, counts, vocab, model).collect()
+    blocks, counts, vocab, model = language_model(spark, ROWS)
+    found = hmm.score(blocks, counts, vocab, model).collect()
     assert len(found) == len(ROWS)
     seen = Counter()
     for key, text, _ in ROWS:
@@ -96,8 +96,8 @@ def test_language_model_counts_and_normalisation(spark):
 
 
 def test_language_model_score_is_the_likelihood_of_the_chain(spark):
-    docs, counts, vocab, model = language_model(spark, ROWS)
-    found = {r.doc_id: r.score for r in hmm.score(docs, counts, vocab, model).collect()}
+    blocks, counts, vocab, model = language_model(spark, ROWS)
+    found = {r.doc_id: r.score for r in hmm.score(blocks, counts, vocab, model).collect()}
     counted = {int(r.word): r["count"] for r in counts.collect()}
     for key, text, _ in ROWS[:5]:
         own = words_of(pa.array([text]))
@@ -118,10 +118,49 @@ def test_language_model_without_training_rows(spark):
     docs = whole_text(frame(spark, ROWS[:3])).withColumn("held_out", F.lit(True))
     counts = kept(hmm.token_counts(docs.where("NOT held_out")), "counts")
     vocab = hmm.vocabulary(counts)
-    model = hmm.train(docs.where("NOT held_out"), vocab)
-    found = hmm.score(docs, counts, vocab, model).collect()
+    blocks = hmm.token_blocks(docs, vocab)
+    model = hmm.train(blocks, vocab)
+    found = hmm.score(blocks, counts, vocab, model).collect()
     assert [(r.n_known, r.train_tokens, r.base_score, r.score) for r in found] == [(0, 0, 0.0, 0.0)] * 3
-    assert hmm.score(docs.limit(0), counts, vocab, model).count() == 0
+    empty = hmm.token_blocks(docs.limit(0), vocab)
+    assert hmm.score(empty, counts, vocab, hmm.train(empty, vocab)).count() == 0
+
+
+def test_incremental_passes_sum_plain_expected_counts(spark):
+    """Expected counts of the parts are those of a plain recursion over their documents, each
+    training document lies in one part, and every step raises the likelihood in the end."""
+    blocks, counts, vocab, model = language_model(spark, ROWS)
+    training = hmm._training_parts(blocks, 3)
+    rows = [r for r in training.collect()]
+    lengths = sorted(n for r in rows for n in r.lengths)
+    assert lengths == sorted(len(words(t)) + 1 for k, t, _ in ROWS if crc_mod(k, 7) != 2)
+    found = sum(hmm.expected_counts(training.where(F.col("part") == p), model) for p in range(3))
+    expected = np.zeros_like(found)
+    for r in rows:
+        symbols, at = hmm._from_planes(bytes(r.symbols)), 0
+        for n in r.lengths:
+            own = symbols[at : at + n]
+            a, b = [model.start * model.classes[:, own[0]]], [np.ones(3)]
+            for s in own[1:]:
+                a.append((a[-1] / a[-1].sum() @ model.move) * model.classes[:, s])
+            for s in own[:0:-1]:
+                b.insert(0, model.move @ (model.classes[:, s] * b[0] / b[0].sum()))
+            for t, s in enumerate(own):
+                gamma = a[t] * b[t] / (a[t] * b[t]).sum()
+                expected[s] += gamma
+                if t == 0:
+                    expected[-1] += gamma
+                else:
+                    pair = np.outer(a[t - 1], model.classes[:, s] * b[t]) * model.move
+                    expected[vocab.classes : -1] += pair / pair.sum()
+            at += n
+    assert found == pytest.approx(expected, rel=1e-3, abs=1e-3)
+
+    def likelihood(passes):
+        own = hmm.train(blocks, vocab, states=3, parts=3, passes=passes)
+        return hmm.score(blocks, counts, vocab, own).where("NOT held_out").agg(F.sum("score")).head()[0]
+
+    assert likelihood(1) < likelihood(4)
 
 
 def test_languages_are_told_apart(spark):

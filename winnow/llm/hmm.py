@@ -1,13 +1,16 @@
 """Hidden Markov language model over whole texts.
 
-Words are counted over all training documents. The model's latent states emit classes: each of
-the most frequent words is a class of its own, other words fall into classes by their last
-bytes, and a class gives its words in proportion to their counts. Baum-Welch passes over the
-training documents sum expected counts on the cluster; the scaled forward recursion then gives
-the exact likelihood of every text.
-
-Counts of rare words are never broadcast: documents are kept in blocks of a few MB with the
-distinct words of each, and only those are joined with the counts.
+Words are counted over all training documents. The model's latent states emit classes: each word
+that makes up at least a given share of all tokens is a class of its own, rarer words fall into
+classes by their last bytes, and a class gives its words in proportion to their counts.
+
+Documents are kept in blocks of a few MB with the distinct words of each. Baum-Welch is
+incremental: training documents are dealt to parts, each step sums the expected counts of one
+part on the cluster, and the next model comes from the last counts of all parts. Every training
+document takes part equally often, at any size of the corpus. The scaled forward recursion then
+gives the exact likelihood of every text.
+
+Counts of rare words are never broadcast: only the distinct words of a block are joined with them.
 """
 
 from __future__ import annotations
@@ -22,20 +25,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.llm.chain import forward, posterior
-from winnow.llm.shared import kept, whole_text
+from winnow.llm.shared import kept, whole_text, work_path
 from winnow.llm.words import Words, mix, slices, tail, words_of
 
 STATES = 8
-FREQUENT = 4096
+# Words of at least this share of all tokens are classes of their own, 500,000 at most; one that
+# occurs less often than ``OWN_LEAST`` tells too little of its states at any size.
+OWN_SHARE = 1 / 500_000
+OWN_LEAST = 3
 TAIL_CLASSES = 2048
-# The first parameters come from so many training documents (by hash of the key); later passes
-# go over all of them.
-SAMPLE_DOCUMENTS = 3000
-SAMPLE_PASSES = 8
-FULL_PASSES = 2
+# Training documents are dealt to so many parts, and each part is passed so often.
+PARTS = 8
+PASSES = 2
+# Tokens with the usual mix of states that are added to each class.
+PRIOR = 2.0
 BLOCK_BYTES = 8_000_000
-# Tokens of a block that are scored at once; a longer document is scored alone.
-SCORED_AT_ONCE = 300_000
+# Tokens that a task takes through a recursion at once; a longer document goes alone.
+TOKENS_AT_ONCE = 300_000
 END = np.uint64(1)  # hash of the end token
 END_CLASS = 0
 
@@ -46,6 +52,16 @@ def _tail_class(words: Words) -> np.ndarray:
     return (mix(key) % np.uint64(TAIL_CLASSES)).astype(np.int32)
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2 ** 24 in three planes of bytes, which compress well."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    low, middle, high = np.frombuffer(data, np.uint8).reshape(3, -1).astype(np.int64)
+    return low | middle << 8 | high << 16
+
+
 def _with_ends(values: np.ndarray, counts: np.ndarray, end) -> np.ndarray:
     """Values of words with one for the end after each document's."""
     return np.insert(values, np.cumsum(counts), end)
@@ -119,8 +135,11 @@ class Vocabulary:
         return np.where(found, 1 + at, 1 + len(self.frequent) + _tail_class(words))
 
 
-def vocabulary(counts: DataFrame, frequent: int = FREQUENT) -> Vocabulary:
-    """Statistics of a kept table of counts; the driver gets ``frequent`` words and the classes."""
+def vocabulary(counts: DataFrame, share: float = OWN_SHARE, least: int = OWN_LEAST) -> Vocabulary:
+    """Statistics of a kept table of counts; the driver gets the own words and the classes.
+
+    At most ``1 / share`` words can make up this share of all tokens.
+    """
     end = int(END)
     totals = counts.agg(
         F.sum("count").alias("n"),
@@ -130,13 +149,8 @@ def vocabulary(counts: DataFrame, frequent: int = FREQUENT) -> Vocabulary:
         F.sum(F.when(F.col("word") == end, F.col("count"))).alias("ends"),
     ).head()
     words = counts.where(F.col("word") != end)
-    # Only words of the highest powers of two that hold enough go to the one task of the limit.
-    level = F.floor(F.log2("count"))
-    levels = words.groupBy(level.alias("level")).agg(F.count("*").alias("n")).toPandas()
-    levels = levels.sort_values("level", ascending=False)
-    enough = levels["level"][levels["n"].cumsum() >= frequent]
-    least = int(enough.iloc[0]) if len(enough) else 0
-    top = words.where(level >= least).orderBy(F.desc("count"), "word").limit(frequent).toPandas()
+    enough = max(share * (totals["n"] or 0), least)
+    top = words.where(F.col("count") >= F.lit(float(enough))).toPandas()
     top = top.assign(word=top["word"].to_numpy(np.int64).view(np.uint64)).sort_values("word")
     by_tail = words.groupBy("tail").agg(F.sum("count").alias("n"), F.count("*").alias("v")).toPandas()
     tail_tokens, tail_types = np.zeros(TAIL_CLASSES), np.zeros(TAIL_CLASSES)
@@ -175,74 +189,143 @@ def first_model(vocab: Vocabulary, states: int = STATES) -> Model:
     return Model(np.full(states, 1 / states), move, share)
 
 
-def baum_welch(docs: DataFrame, vocab: Vocabulary, model: Model) -> Model:
-    """One pass: expected counts of each partition, summed by Spark, give the next model."""
+def _training_parts(blocks: DataFrame, parts: int) -> DataFrame:
+    """The training documents of kept blocks as classes of tokens, written by ``part``.
+
+    Documents are dealt in turn, so parts are alike and copies of a text lie in all of them.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealt = TaskContext.get().partitionId()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                held_out, sizes, places, classes = (column[i] for column in batch.columns)
+                sizes = sizes.values.to_numpy().astype(np.int64)
+                symbols = _from_planes(classes.as_py())[_from_planes(places.as_py())]
+                symbols = _with_ends(symbols, sizes, END_CLASS)
+                part = (dealt + np.arange(len(sizes))) % parts
+                part[held_out.values.to_numpy(zero_copy_only=False)] = -1
+                dealt += len(sizes)
+                of_token = np.repeat(part, sizes + 1)
+                rows = [k for k in range(parts) if (part == k).any()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([sizes[part == k] + 1 for k in rows], pa.list_(pa.int64())),
+                        pa.array([_planes(symbols[of_token == k]) for k in rows], pa.binary()),
+                        pa.array(rows, pa.int32()),
+                    ],
+                    names=["lengths", "symbols", "part"],
+                )
+
+    schema = "lengths array<long>, symbols binary, part int"
+    rows = blocks.select("held_out", "sizes", "places", "classes").mapInArrow(deal, schema)
+    path = work_path(blocks.sparkSession, "training")
+    rows.write.partitionBy("part").option("compression", "zstd").parquet(path)
+    return blocks.sparkSession.read.schema(schema).parquet(path)
+
+
+def _pieces(lengths: np.ndarray, most: int = TOKENS_AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Runs of sequences of about ``most`` tokens together, a longer one alone."""
+    ends = np.cumsum(lengths)
+    low = 0
+    while low < len(lengths):
+        begin = ends[low] - lengths[low]
+        high = max(low + 1, int(np.searchsorted(ends, begin + most, "right")))
+        yield low, high
+        low = high
+
+
+def expected_counts(training: DataFrame, model: Model) -> np.ndarray:
+    """Expected counts of the tokens of each class by state, then of moves, then of starts.
+
+    Tasks sum over their documents, Spark over tasks; the driver gets a row for each class.
+    """
     states, classes = model.classes.shape
+    start, move = model.start, model.move
+    by_class = np.ascontiguousarray(model.classes.T) + 1e-12
+    by_class = (by_class / by_class.max(1, keepdims=True)).astype(np.float32)
+    names = [f"state_{k}" for k in range(states)]
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begun, moved = np.zeros(states), np.zeros((states, states))
-        emitted = np.zeros((classes, states))
-        by_class = np.ascontiguousarray(model.classes.T) + 1e-12
+        total = np.zeros((classes + states + 1, states))
+
+        def add(lengths: np.ndarray, symbols: np.ndarray) -> None:
+            emit = by_class[symbols].astype(np.float64)
+            _, gamma, moves = posterior(emit, lengths, start, move)
+            for k in range(states):
+                total[:classes, k] += np.bincount(symbols, gamma[:, k], classes)
+            total[classes:-1] += moves
+            total[-1] += gamma[np.cumsum(lengths) - lengths].sum(0)
+
+        waiting, size = [], 0
         for batch in batches:
-            for rows in slices(batch, "text"):
-                words = words_of(rows.column("text"))
-                symbols = _with_ends(vocab.classes_of(words), words.counts, END_CLASS)
-                lengths = words.counts + 1
-                emit = by_class[symbols]
-                emit /= emit.max(1, keepdims=True)
-                _, gamma, moves = posterior(emit, lengths, model.start, model.move)
-                begun += gamma[np.cumsum(lengths) - lengths].sum(0)
-                moved += moves
-                for k in range(states):
-                    emitted[:, k] += np.bincount(symbols, gamma[:, k], classes)
-        # cell: starts, then moves, then emissions, by their place in the flat arrays.
-        flat = np.concatenate([begun, moved.ravel(), emitted.ravel()])
-        cell = np.flatnonzero(flat)
+            for lengths, symbols in zip(batch.column("lengths"), batch.column("symbols")):
+                lengths, symbols = lengths.values.to_numpy(), _from_planes(symbols.as_py())
+                begins = np.cumsum(lengths) - lengths
+                for low, high in _pieces(lengths):
+                    own = symbols[begins[low] : begins[low] + lengths[low:high].sum()]
+                    if size and size + len(own) > TOKENS_AT_ONCE:
+                        add(*(np.concatenate(c) for c in zip(*waiting)))
+                        waiting, size = [], 0
+                    waiting.append((lengths[low:high], own))
+                    size += len(own)
+        if waiting:
+            add(*(np.concatenate(c) for c in zip(*waiting)))
+        cell = np.flatnonzero(total.any(1))
+        columns = [pa.array(total[cell, k].astype(np.float32)) for k in range(states)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cell.astype(np.int32)), pa.array(flat[cell])], names=["cell", "value"]
+            [pa.array(cell.astype(np.int32)), *columns], names=["cell", *names]
         )
 
-    parted = whole_text(docs).select("text").mapInArrow(expect, "cell int, value double")
-    sums = parted.groupBy("cell").agg(F.sum("value").alias("value")).toPandas()
-    flat = np.zeros(states + states * states + classes * states)
-    flat[sums["cell"]] = sums["value"]
-    begun, moved = flat[:states], flat[states : states + states**2].reshape(states, states)
-    emitted = flat[states + states**2 :].reshape(classes, states).T
-    # A little of the overall class shares keeps every seen class possible in every state.
-    overall = vocab.class_tokens / max(vocab.class_tokens.sum(), 1)
-    emitted = emitted + 1e-3 * emitted.sum(1, keepdims=True) * overall + 1e-9 * overall
-    begun, moved = begun + 1e-3, moved + 1e-3
+    schema = "cell int, " + ", ".join(f"{name} float" for name in names)
+    parted = training.select("lengths", "symbols").mapInArrow(expect, schema)
+    sums = parted.groupBy("cell").agg(*(F.sum(name).alias(name) for name in names)).toPandas()
+    total = np.zeros((classes + states + 1, states))
+    total[sums["cell"]] = sums[names]
+    return total
+
+
+def model_of(vocab: Vocabulary, total: np.ndarray) -> Model:
+    """The model of expected counts.
+
+    Each class keeps its tokens of the whole corpus. They go to the states as its expected counts
+    do, with ``PRIOR`` tokens added that are mixed as all tokens are, so a rare class leans to the
+    usual mix and one that no part has shown yet has just that.
+    """
+    classes, states = vocab.classes, total.shape[1]
+    emitted, moved, begun = total[:classes], total[classes:-1] + 1e-3, total[-1] + 1e-3
+    usual = emitted.sum(0) + 1e-3
+    usual = usual / usual.sum()
+    mixed = (emitted + PRIOR * usual) / (emitted.sum(1, keepdims=True) + PRIOR)
+    shares = (vocab.class_tokens[:, None] * mixed).T
     return Model(
         begun / begun.sum(),
         moved / moved.sum(1, keepdims=True),
-        emitted / np.maximum(emitted.sum(1, keepdims=True), 1e-300),
+        shares / np.maximum(shares.sum(1, keepdims=True), 1e-300),
     )
 
 
 def train(
-    docs: DataFrame,
+    blocks: DataFrame,
     vocab: Vocabulary,
     states: int = STATES,
-    sample_documents: int = SAMPLE_DOCUMENTS,
-    sample_passes: int = SAMPLE_PASSES,
-    full_passes: int = FULL_PASSES,
+    parts: int = PARTS,
+    passes: int = PASSES,
 ) -> Model:
-    """Baum-Welch from a bounded sample, then over all training documents.
+    """Incremental Baum-Welch over all documents of kept ``blocks`` that are not held out.
 
-    The passes over all documents gather everything the model keeps; the sample only gives them
-    a start. A table without training documents gives the first model.
+    A step replaces the counts of one part, so one pass makes as many steps as there are parts.
+    Blocks without training documents give the first model.
     """
     model = first_model(vocab, states)
     if not vocab.tokens:
         return model
-    documents = max(1, int(vocab.class_tokens[END_CLASS]))
-    share = min(1.0, sample_documents / documents)
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1
-    sample = kept(docs.where(drawn).repartition(12, "doc_id"), "sample") if sample_passes else docs
-    for _ in range(sample_passes):
-        model = baum_welch(sample, vocab, model)
-    for _ in range(full_passes):
-        model = baum_welch(docs, vocab, model)
+    training = _training_parts(blocks, parts)
+    latest: dict[int, np.ndarray] = {}
+    for step in range(passes * parts):
+        part = step % parts
+        latest[part] = expected_counts(training.where(F.col("part") == part), model)
+        model = model_of(vocab, sum(latest.values()))
     return model
 
 
@@ -253,12 +336,13 @@ BLOCK_SCHEMA = (
 
 
 def token_blocks(docs: DataFrame, vocab: Vocabulary, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Documents in blocks of about ``block_bytes`` of text, a longer one alone.
+    """Documents in kept blocks of about ``block_bytes`` of text, a longer one alone.
+
+    ``docs`` have ``doc_id``, ``text`` without nulls and ``held_out``.
 
     The distinct words of a block are numbered, the frequent words of the vocabulary first and
     then by falling use, so that most numbers are small. ``places`` has the number of each token
-    in three planes of bytes, ``classes`` the class of each number in 16 bits, ``words`` the
-    hashes from number ``first_rare`` on, and ``sizes`` the words of each document. A ``block``
+    and ``classes`` the class of each number, both in planes of bytes, ``words`` the hashes from number ``first_rare`` on, and ``sizes`` the words of each document. A ``block``
     is a multiple of 2 ** 24, which leaves room for a number.
     """
 
@@ -278,7 +362,6 @@ def token_blocks(docs: DataFrame, vocab: Vocabulary, block_bytes: int = BLOCK_BY
                 rank = np.empty(len(order), np.uint32)
                 rank[order] = np.arange(len(order))
                 classes = np.where(frequent, 1 + near, tails)[order]
-                planes = rank[places].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T
                 first = int(np.count_nonzero(frequent))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -286,8 +369,8 @@ def token_blocks(docs: DataFrame, vocab: Vocabulary, block_bytes: int = BLOCK_BY
                         pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                         pa.array([rows.column("held_out").to_pylist()], pa.list_(pa.bool_())),
                         pa.array([words.counts.astype(np.int32)], pa.list_(pa.int32())),
-                        pa.array([planes.tobytes()], pa.binary()),
-                        pa.array([classes.astype("<u2").tobytes()], pa.binary()),
+                        pa.array([_planes(rank[places])], pa.binary()),
+                        pa.array([_planes(classes)], pa.binary()),
                         pa.array([first], pa.int32()),
                         pa.array([unique[order][first:].view(np.int64)], pa.list_(pa.int64())),
                     ],
@@ -295,7 +378,8 @@ def token_blocks(docs: DataFrame, vocab: Vocabulary, block_bytes: int = BLOCK_BY
                 )
                 number += 1
 
-    return docs.mapInArrow(blocks, BLOCK_SCHEMA)
+    options = {"parquet.block.size": "16777216", "compression": "zstd"}
+    return kept(docs.mapInArrow(blocks, BLOCK_SCHEMA), "blocks", **options)
 
 
 SCORE_SCHEMA = (
@@ -304,8 +388,8 @@ SCORE_SCHEMA = (
 )
 
 
-def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model) -> DataFrame:
-    """Base and model log10 probability of every text, ``docs`` having ``held_out`` too.
+def score(blocks: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model) -> DataFrame:
+    """Base and model log10 probability of every text of kept ``blocks``.
 
     Tokens are the words and one end. An unknown word counts as the one word outside the
     vocabulary; each class leaves it the absolute discount of its words, so the model's
@@ -324,7 +408,7 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model) -
     def score_block(_, block: pa.Table, rare: pa.Table) -> pa.Table:
         row = {name: block.column(name)[0] for name in block.column_names}
         # One emission row per distinct word and one for the end.
-        of_class = np.frombuffer(row["classes"].as_py(), "<u2").astype(np.int64)
+        of_class = _from_planes(row["classes"].as_py())
         words = len(of_class)
         of_class = np.append(of_class, END_CLASS)
         count = np.zeros(words + 1, np.int64)
@@ -341,21 +425,18 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model) -
         emission /= top[:, None]
         logs = np.log10(top)
         base = np.log10((count + 1) / whole)
-        planes = np.frombuffer(row["places"].as_py(), np.uint8).reshape(3, -1).astype(np.int64)
         sizes = row["sizes"].values.to_numpy().astype(np.int64)
-        tokens = _with_ends(planes[0] | planes[1] << 8 | planes[2] << 16, sizes, words)
+        tokens = _with_ends(_from_planes(row["places"].as_py()), sizes, words)
         lengths = sizes + 1
         ends = np.cumsum(lengths)
         score = np.zeros(len(lengths))
-        low = 0
-        while low < len(lengths):
-            begin = ends[low] - lengths[low]
-            high = max(low + 1, int(np.searchsorted(ends, begin + SCORED_AT_ONCE, "right")))
-            own = tokens[begin : ends[high - 1]]
+        for low, high in _pieces(lengths):
+            own = tokens[ends[low] - lengths[low] : ends[high - 1]]
             _, norms = forward(emission[own], lengths[low:high], model.start, model.move)
             of_doc = np.repeat(np.arange(high - low), lengths[low:high])
             score[low:high] = np.bincount(of_doc, norms / np.log(10) + logs[own], high - low)
-            low = high
+        if not vocab.tokens:
+            score[:] = 0
         of_doc = np.repeat(np.arange(len(lengths)), lengths)
         known = np.bincount(of_doc, count[tokens] > 0, len(lengths))
         return pa.table(
@@ -370,12 +451,14 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model) -
             }
         )
 
-    options = {"parquet.block.size": "16777216", "compression": "zstd"}
-    blocks = kept(token_blocks(docs, vocab), "blocks", **options)
     words = blocks.select("block", "first_rare", F.posexplode("words").alias("place", "word"))
     words = words.select((F.col("block") + F.col("first_rare") + F.col("place")).alias("at"), "word")
-    # The frequent words' counts are in the vocabulary, so no word joined here is a hot key.
+    # The own words' counts are in the vocabulary, so no word joined here is a hot key.
     wanted = words.join(counts.select("word", "count"), "word").select("at", "count")
-    of_block = wanted.groupBy(F.shiftright("at", 24).alias("of"))
-    grouped = blocks.drop("words", "first_rare").groupBy(F.shiftright("block", 24).alias("number"))
-    return grouped.cogroup(of_block).applyInArrow(score_block, SCORE_SCHEMA)
+    # Parts for a few blocks each, whatever their number.
+    usual = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(usual, 2 * blocks.count())
+    wanted = wanted.withColumn("of", F.shiftright("at", 24)).repartition(parts, "of")
+    whole_blocks = blocks.drop("words", "first_rare").withColumn("number", F.shiftright("block", 24))
+    grouped = whole_blocks.repartition(parts, "number").groupBy("number")
+    return grouped.cogroup(wanted.groupBy("of")).applyInArrow(score_block, SCORE_SCHEMA)

@@ -88,11 +88,11 @@ def op4_hidden_markov_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model scores of all documents; a seventh of the keys is held out."""
     documents = whole_text(table(spark, sf_dir, "documents"))
     documents = documents.withColumn("held_out", crc_mod("doc_id", 7) == 2)
-    training = documents.where("NOT held_out")
-    counts = kept(hmm.token_counts(training), "counts")
+    counts = kept(hmm.token_counts(documents.where("NOT held_out")), "counts")
     vocabulary = hmm.vocabulary(counts)
-    model = hmm.train(training, vocabulary)
-    return hmm.score(documents, counts, vocabulary, model)
+    blocks = hmm.token_blocks(documents, vocabulary)
+    model = hmm.train(blocks, vocabulary)
+    return hmm.score(blocks, counts, vocabulary, model)
 
 
 def op5_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
