@@ -11,7 +11,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-SEGMENT = 128
+# Carrying a message across a segment costs more than a step inside, so most texts have just one.
+SEGMENT = 512
 
 
 @dataclass
@@ -114,6 +115,7 @@ def posterior(emit: np.ndarray, lengths: np.ndarray, start: np.ndarray, move: np
         message = np.einsum("bkl,bl->bk", through[rows], back[rows]) @ move.T
         back[cut.follows[rows]] = message / message.sum(1, keepdims=True)
     gamma = np.empty_like(emit)
+    scale = np.exp(logs)
     moves = np.zeros((states, states))
     active = cut.active.tolist()
     for t in range(len(active) - 1, -1, -1):
@@ -125,10 +127,11 @@ def posterior(emit: np.ndarray, lengths: np.ndarray, start: np.ndarray, move: np
             lower = lower @ move.T
             back[:m] = lower / lower.sum(1, keepdims=True)
         own = alpha[at] * back[:n]
-        gamma[at] = own / own.sum(1, keepdims=True)
+        total = own.sum(1, keepdims=True)
+        gamma[at] = own / total
         came = slice(None) if t else cut.follows[:n] >= 0
-        prior = alpha[at[came] - 1]
         weight = emit[at[came]] * back[:n][came]
-        norm = ((prior @ move) * weight).sum(1, keepdims=True)
-        moves += prior.T @ (weight / norm)
+        # The step into a token weighs what its likelihood and its marginals add up to.
+        weight /= (scale[at][:, None] * total)[came]
+        moves += alpha[at[came] - 1].T @ weight
     return logs, gamma, moves * move
