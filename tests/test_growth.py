@@ -48,3 +48,46 @@ def test_line_items_move_to_their_orders_only(spark, tables):
     at = next(i for i, x in enumerate(lines) if "Join Inner" in x and "c_custkey" in x)
     below = [x for x, d in zip(lines[at + 1 :], depth[at + 1 :]) if d > depth[at]]
     assert below and not any("l_quantity" in x for x in below)
+
+
+def test_columns_of_the_date_do_not_move_with_the_rows(spark, tables):
+    class Seen:
+        rows = None
+
+        def __call__(self, df):
+            self.columns = df.columns
+            return df
+
+    seen = Seen()
+    cleaned = pipeline.clean(
+        fixture.weighings(spark, tables),
+        fixture.growers(spark, tables).distinct(),
+        fixture.cooperatives(spark, tables),
+        fixture.ORDER,
+        seen,
+    ).fact
+    assert set(seen.columns) == set(w.FACT_COLUMNS)
+    row = cleaned.filter("id_pesee = '10-0'").first()
+    assert (row["annee"], row["mois"], row["jour_semaine"]) == (1996, 9, "Friday")
+    assert cleaned.columns == list(pipeline.CLEAN_COLUMNS)
+
+
+def test_many_labels_are_resolved_by_one_scan(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(50).select(F.concat(F.lit(" L"), "id").alias("c")).mapInArrow(count, "c string")
+    officials = canonical.official_labels(spark.range(40).select(F.concat(F.lit("L"), "id").alias("c")), {"c": "c"})
+    resolved = canonical.resolved_once(df, ["c"], officials, local_rows=10)
+    assert resolved.filter("official IS NOT NULL").count() == 40
+    assert seen.value == 50
+
+
+def test_date_columns_are_part_of_correct_types(spark):
+    df = spark.createDataFrame([("2023-01-05",), (None,)], "date string")
+    whole = cleaning.correct_types(df)
+    assert whole.collect() == cleaning.date_columns(cleaning.correct_dates(df)).collect()

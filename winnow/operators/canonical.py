@@ -69,9 +69,9 @@ def resolved_once(
     df: DataFrame, columns: Sequence[str], officials: DataFrame, local_rows: int = LOCAL_ROWS
 ) -> DataFrame:
     """The resolved labels, computed by one scan and kept for every later reader."""
-    resolved = resolve_labels(df, columns, officials)
+    resolved = durable(resolve_labels(df, columns, officials))
     small = local_if_small(resolved, local_rows)
-    return durable(resolved) if small is None else small
+    return resolved if small is None else small
 
 
 def canonicalise(

@@ -61,9 +61,14 @@ def deduplicate(fact: DataFrame, order: Sequence[str]) -> DataFrame:
     return keep_first(fact, [w.KEY], order)
 
 
-def correct_types(fact: DataFrame, strict: bool = True) -> DataFrame:
-    """Date in its one imposed format, with year, month and weekday name."""
-    return fact.withColumn("date", parse_date(F.col("date"), strict=strict)).withColumns(
+def correct_dates(fact: DataFrame, strict: bool = True) -> DataFrame:
+    """Date in its one imposed format."""
+    return fact.withColumn("date", parse_date(F.col("date"), strict=strict))
+
+
+def date_columns(fact: DataFrame) -> DataFrame:
+    """Year, month and weekday name of the date."""
+    return fact.withColumns(
         {
             "annee": F.year("date"),
             "mois": F.month("date"),
@@ -72,6 +77,11 @@ def correct_types(fact: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
+def correct_types(fact: DataFrame, strict: bool = True) -> DataFrame:
+    """Date in its one imposed format, with year, month and weekday name."""
+    return date_columns(correct_dates(fact, strict))
+
+
 def season_columns(fact: DataFrame) -> DataFrame:
     """Season kind and the October-to-September season label."""
     return fact.withColumns(

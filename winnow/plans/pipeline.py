@@ -18,7 +18,8 @@ from winnow.plans.cleaning import (
     CleaningStatistics,
     canonicalise_labels,
     cleaning_statistics,
-    correct_types,
+    correct_dates,
+    date_columns,
     deduplicate,
     derive_measures,
     enrich,
@@ -65,12 +66,13 @@ def clean(
     The order is semantic: labels first or joins miss, duplicates out before any
     median, dates before seasons, imputation last. The deduplicated rows are read
     twice: ``stage`` writes and counts them once, otherwise the second reading
-    repeats the exchange with the four columns that the statistics need.
+    repeats the exchange with the four columns that the statistics need. What the date
+    alone tells is added after the references, so that it does not move with the rows.
     """
 
     def typed_rows(rows: DataFrame) -> DataFrame:
         unique = deduplicate(rows, order).select(*w.FACT_COLUMNS)
-        return correct_types(unique, strict_dates)
+        return correct_dates(unique, strict_dates)
 
     fact = nan_to_null(fact)
     labels = typed_labels(fact, cooperatives)
@@ -80,7 +82,7 @@ def clean(
     else:
         measured = typed_rows(fact)
     stats = cleaning_statistics(season_columns(measured))
-    filled = impute(enrich(typed, growers, cooperatives), stats)
+    filled = impute(date_columns(enrich(typed, growers, cooperatives)), stats)
     clean_fact = derive_measures(filled, stats.grade_price).select(*CLEAN_COLUMNS)
     return Cleaned(clean_fact, stats, labels, stage.rows if stage else None)
 
