@@ -72,6 +72,30 @@ def test_columns_of_the_date_do_not_move_with_the_rows(spark, tables):
     assert cleaned.columns == list(pipeline.CLEAN_COLUMNS)
 
 
+@pytest.mark.parametrize("part_rows", [1_000_000, 500])
+def test_groups_cut_by_parts_are_ranked_in_parts_of_bounded_size(spark, plan, monkeypatch, part_rows):
+    monkeypatch.setattr(quantiles, "PART_ROWS", part_rows)
+    value = F.when(F.col("id") % 5 == 0, 7.0).otherwise((F.col("id") * 37 % 4001).cast("double"))
+    key = F.when(F.col("id") < 4000, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 300))
+    df = spark.range(6000).select(key.alias("k"), value.alias("x"))
+    wanted = {"m": 0.5, "q": 0.9, "top": 1.0, "least": 0.0}
+    found = ranked_quantiles(quantiles.durable(value_counts(df, ["k"], "x")), ["k"], wanted)
+    frame = df.toPandas().groupby("k").x
+    for row in found.collect():
+        values = frame.get_group(row["k"])
+        for name, p in wanted.items():
+            assert row[name] == pytest.approx(np.quantile(values, p), abs=1e-9)
+    assert found.count() == 301
+    assert "REPARTITION_BY_NUM" in plan(found) and "collect_set" not in plan(found)
+
+
+def test_medians_by_key_of_missing_values(spark):
+    rows = [("a", 1.0, None), ("a", 4.0, None), (None, 9.0, 9), ("b", float("nan"), 5), ("b", 2.0, 8)]
+    df = spark.createDataFrame(rows, "k string, x double, y int")
+    found = {r["k"]: (r["mx"], r["my"]) for r in medians_by_key(df, "k", {"mx": "x", "my": "y"}).collect()}
+    assert found == {"a": (2.5, None), "b": (2.0, 6.5)}
+
+
 def test_many_labels_are_resolved_by_one_scan(spark):
     seen = spark.sparkContext.accumulator(0)
 

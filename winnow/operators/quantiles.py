@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,7 +84,7 @@ def ranked_quantiles(
     counts: DataFrame, keys: Sequence[str], quantiles: Mapping[str, float] = MEDIAN
 ) -> DataFrame:
     """The same result for a durable ``(keys..., value, n)`` table of any size."""
-    keys, names = list(keys), list(quantiles)
+    keys = list(keys)
     # Range boundaries come from a sample, so the split is made durable before it
     # is read more than once. A task sorts about PART_ROWS counted values.
     usual = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -92,46 +93,41 @@ def ranked_quantiles(
         counts.repartitionByRange(ranges, *keys, VALUE).withColumn("part", F.spark_partition_id())
     )
     whole = Window.partitionBy(*keys)
-    totals = (
+    # Only a group that is cut by a boundary lies in several parts: at most two rows per part.
+    cut = small_or_same(
         parts.groupBy(*keys, "part")
         .agg(F.sum(COUNT).alias("held"))
         .withColumn("start", F.sum("held").over(whole.orderBy("part")) - F.col("held"))
         .withColumn("size", F.sum("held").over(whole))
+        .filter("held < size")
+        .select(*keys, "part", "start", "size")
     )
-    # The wanted zero-based rank p * (size - 1) lies between two whole ranks.
-    want = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), (F.lit(p) * (F.col("size") - 1)).alias("rank"))
-            for name, p in quantiles.items()
-        ]
-    )
-    ranks = (
-        totals.select("*", F.inline(want))
-        .withColumn("at", F.explode(F.array(F.floor("rank"), F.ceil("rank"))))
-        .withColumn("offset", F.col("at") - F.col("start"))
-        .filter((F.col("offset") >= 0) & (F.col("offset") < F.col("held")))
-        .select(*keys, "part", "name", "rank", "at", "offset")
-    )
-    few = local_if_small(ranks)
-    places = F.collect_set(F.struct("name", "rank", "at", "offset")).alias("ranks")
-    by_part = (ranks if few is None else few.coalesce(1)).groupBy(*keys, "part").agg(places)
-    by_part = by_part if few is None else F.broadcast(by_part)
-    upto = F.sum(COUNT).over(Window.partitionBy(*keys, "part").orderBy(VALUE))
-    found = (
-        parts.join(by_part, [*keys, "part"])
-        .withColumn("upto", upto)
-        .select(*keys, VALUE, COUNT, "upto", F.inline("ranks"))
-        .filter((F.col("offset") < F.col("upto")) & (F.col("offset") >= F.col("upto") - F.col(COUNT)))
+    own = Window.partitionBy(*keys, "part")
+    upto = F.sum(COUNT).over(own.orderBy(VALUE).rowsBetween(Window.unboundedPreceding, 0))
+    placed = (
+        parts.dropna(subset=[*keys, VALUE])
+        .repartition(ranges, *keys, "part")
+        .select("*", upto.alias("upto"), F.sum(COUNT).over(own).alias("held"))
+        .join(cut, [*keys, "part"], "left")
     )
+    after = F.col("upto") + F.coalesce("start", F.lit(0))
 
-    def pick(name: str) -> Column:
-        here = F.col("name") == name
-        low = F.min(F.when(here, F.col(VALUE)))
-        high = F.max(F.when(here, F.col(VALUE)))
-        part = F.max(F.when(here, F.col("rank") - F.floor("rank")))
+    def holds(rank: Column) -> Column:
+        return (rank >= after - F.col(COUNT)) & (rank < after)
+
+    # The wanted zero-based rank p * (size - 1) lies between two whole ranks.
+    size = F.coalesce("size", "held")
+    ranks = {name: F.lit(p) * (size - 1) for name, p in quantiles.items()}
+    either = [holds(f(rank)) for rank in ranks.values() for f in (F.floor, F.ceil)]
+    found = placed.filter(reduce(lambda a, b: a | b, either))
+
+    def pick(name: str, rank: Column) -> Column:
+        low = F.min(F.when(holds(F.floor(rank)), F.col(VALUE)))
+        high = F.max(F.when(holds(F.ceil(rank)), F.col(VALUE)))
+        part = F.max(rank - F.floor(rank))
         return (low * (1 - part) + high * part).alias(name)
 
-    return found.groupBy(*keys).agg(*[pick(name) for name in names])
+    return found.groupBy(*keys).agg(*[pick(name, rank) for name, rank in ranks.items()])
 
 
 def group_quantiles(
@@ -179,11 +175,12 @@ def medians_by_key(df: DataFrame, key: str, names: Mapping[str, str]) -> DataFra
 
     All columns are counted by value in one scan; a hot key is spread over range partitions.
     """
-    measures = [Measure(name, column, (key,)) for name, column in names.items()]
+    places = {name: str(i) for i, name in enumerate(names)}
+    measures = [Measure(places[name], column, (key,)) for name, column in names.items()]
     counts = durable(measure_counts(df, measures).dropna(subset=[key, VALUE]))
     found = ranked_quantiles(counts, ["mesure", key])
     return found.groupBy(key).agg(
-        *[F.max(F.when(F.col("mesure") == name, F.col("median"))).alias(name) for name in names]
+        *[F.max(F.when(F.col("mesure") == i, F.col("median"))).alias(n) for n, i in places.items()]
     )
 
 
