@@ -96,6 +96,35 @@ def test_medians_by_key_of_missing_values(spark):
     assert found == {"a": (2.5, None), "b": (2.0, 6.5)}
 
 
+def test_rows_of_a_ticket_are_told_apart_by_digests(spark):
+    rows = [("t", "a", None, 0.0), ("t", None, "a", 0.0), ("t", "a", None, -0.0), ("t", "", "1:a", 0.0), ("t", "1:a", "", 0.0)]
+    df = spark.createDataFrame(rows, "key string, a string, b string, x double")
+    wanted = Wanted("key", df.columns)
+    assert measured._stacked(df, wanted).schema["whole"].dataType == BinaryType()
+    found = measure_table(df, wanted).first()
+    assert (found["lignes"], found["cles"], found["doublons_cle"], found["doublons_complets"]) == (5, 1, 4, 1)
+    nested = df.select("key", F.struct("a", "b").alias("pair"))
+    found = measure_table(nested, Wanted("key", nested.columns)).first()
+    assert (found["lignes"], found["doublons_complets"]) == (5, 1)
+
+
+def test_tickets_are_added_up_before_a_large_reference_is_joined(spark):
+    df = spark.range(2000).select(F.concat(F.lit("t"), "id").alias("key"), (F.col("id") % 7).cast("string").alias("g"))
+    known = spark.range(5).select(F.col("id").cast("string").alias("g"))
+    wanted = Wanted("key", df.columns, references={"g": (known, "g")})
+    seen = []
+
+    def folded(merged, own=measured._folded):
+        seen.append(own(merged))
+        return seen[-1]
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(measured, "_folded", folded)
+        found = measure_table(df, wanted, local_rows=1).first()
+    assert (found["lignes"], found["cles"], found["doublons_cle"], found["orphelins_g"]) == (2000, 2000, 0, 570)
+    assert seen[0].count() == 1 + 1 + 7
+
+
 def test_many_labels_are_resolved_by_one_scan(spark):
     seen = spark.sparkContext.accumulator(0)
 

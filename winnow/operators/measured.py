@@ -1,7 +1,7 @@
 """Every measurement of a raw table from one scan: three groupings over stacked rows.
 
 A row of the table becomes rows of (code, key): its faults as one text of 0 and 1, its ticket
-with the whole row, and the value of each measured column. The first grouping counts equal rows
+with a digest of the whole row, and the value of each measured column. The first grouping counts equal rows
 before its exchange. The second brings the spellings of one label, or the copies of one ticket,
 together. The third adds everything up to one row: volumes, duplicates, missing values, label
 variants, orphans, first and last date.
@@ -14,12 +14,25 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegralType,
+    StringType,
+    TimestampNTZType,
+)
 
 from winnow.functions.labels import canonical_key
 from winnow.functions.nulls import nan_to_null
 from winnow.operators.bounded import LOCAL_ROWS, local_if_small
 
 _FAULTS, _TICKET, _FIRST = 0, 1, 2
+_PLAIN = (
+    BooleanType, DateType, DecimalType, DoubleType, FloatType, IntegralType, StringType, TimestampNTZType,
+)
 
 
 @dataclass(frozen=True)
@@ -46,11 +59,26 @@ class Wanted:
         return {c: _FIRST + i for i, c in enumerate(dict.fromkeys(names))}
 
 
+def _digest(df: DataFrame, columns: Sequence[str]) -> Column | None:
+    """128 bits that tell the rows of one ticket apart, or None for columns without one plain text."""
+    texts = []
+    for c in columns:
+        kind = df.schema[c].dataType
+        if not isinstance(kind, _PLAIN):
+            return None
+        # Equal values have equal texts once the sign of a zero is dropped.
+        text = (F.col(c) + 0.0 if isinstance(kind, (DoubleType, FloatType)) else F.col(c)).cast("string")
+        sized = F.concat(F.octet_length(text).cast("string"), F.lit(":"), text)
+        texts.append(F.coalesce(sized, F.lit("-")))
+    return F.substring(F.unhex(F.sha2(F.concat(F.lit(""), *texts), 256)), 1, 16)
+
+
 def _stacked(df: DataFrame, wanted: Wanted) -> DataFrame:
     marks = [F.col(c).isNull() for c in wanted.columns]
     marks += [F.coalesce(F.expr(x), F.lit(False)) for x in wanted.conditions.values()]
     pattern = F.concat(F.lit(""), *[F.when(m, "1").otherwise("0") for m in marks])
-    whole = F.struct(*wanted.columns)
+    whole = _digest(df, wanted.columns)
+    whole = F.struct(*wanted.columns) if whole is None else whole
     none = F.when(F.lit(False), whole)
 
     def entry(code: int, key: Column, row: Column = none) -> Column:
@@ -71,6 +99,15 @@ def _known(df: DataFrame, wanted: Wanted) -> DataFrame | None:
     return None if known is None else known.distinct()
 
 
+def _folded(merged: DataFrame) -> DataFrame:
+    """The merged rows with those of all tickets added up, which no reference knows.
+
+    They are added up within each task, so that only labels, growers and dates move and are sorted.
+    """
+    key = F.when(F.col("code") != _TICKET, F.col("k2")).alias("k2")
+    return merged.groupBy("code", key).agg(*[F.sum(c).alias(c) for c in ("n", "same", "raw", "keys")])
+
+
 def measure_table(df: DataFrame, wanted: Wanted, local_rows: int = LOCAL_ROWS) -> DataFrame:
     """One row of figures.
 
@@ -88,11 +125,12 @@ def measure_table(df: DataFrame, wanted: Wanted, local_rows: int = LOCAL_ROWS) -
         counted.withColumn("k2", key.otherwise(F.col("k")))
         .groupBy("code", "k2")
         .agg(F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("same"), F.count("k").alias("raw"))
+        .withColumn("keys", F.lit(1).cast("long"))
     )
     known = _known(df, wanted)
     if known is not None:
         small = local_if_small(known, local_rows)
-        known = known if small is None else F.broadcast(small)
+        merged, known = (_folded(merged), known) if small is None else (merged, F.broadcast(small))
         merged = merged.join(known, F.expr("code = r_code AND k2 = r_k"), "left")
 
     def total(condition: str, value: str, name: str) -> Column:
@@ -104,8 +142,8 @@ def measure_table(df: DataFrame, wanted: Wanted, local_rows: int = LOCAL_ROWS) -
     ticket = f"code = {_TICKET}"
     figures = [
         total(ticket, "n", "lignes"),
-        total(ticket, "1L", "cles"),
-        total(ticket, "n - 1", "doublons_cle"),
+        total(ticket, "keys", "cles"),
+        total(ticket, "n - keys", "doublons_cle"),
         total(ticket, "same", "doublons_complets"),
         *[faults(i, f"missing_{i}") for i in range(1, len(wanted.columns) + 1)],
         *[faults(i, c) for i, c in enumerate(wanted.conditions, len(wanted.columns) + 1)],
@@ -113,7 +151,7 @@ def measure_table(df: DataFrame, wanted: Wanted, local_rows: int = LOCAL_ROWS) -
     for column, code in codes.items():
         if column in wanted.labels:
             figures.append(total(f"code = {code}", "raw", f"brutes_{column}"))
-            figures.append(total(f"code = {code}", "1L", f"normalisees_{column}"))
+            figures.append(total(f"code = {code}", "keys", f"normalisees_{column}"))
         if column in wanted.references:
             figures.append(total(f"code = {code} AND r_k IS NULL", "n", f"orphelins_{column}"))
     if wanted.date:
