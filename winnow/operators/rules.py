@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnow.functions.nulls import nan_to_null
-from winnow.operators.bounded import LOCAL_ROWS, local_if_small
+from winnow.operators.bounded import LOCAL_ROWS, durable, local_if_small
 
 # Levels and report texts (failed, passed) of the checks.
 OK, WARNING, ERROR = "OK", "AVERTISSEMENT", "ERREUR"
@@ -209,14 +209,14 @@ def _against_references(counts: DataFrame, references: DataFrame, local_rows: in
 
     References that are proven small are broadcast. Otherwise the ticket keys, which no
     reference knows, are first added up within each partition, so that only labels and
-    growers move again.
+    growers move again; these are kept, as the figures and the listing both read them.
     """
     small = local_if_small(references, local_rows)
     if small is None:
         own = F.col("kind").isin(_FAULTS, _KEY)
         key = F.when(~(F.col("kind") == _KEY), F.col("k")).alias("k")
         sums = [c for c in ("n", "extra", "w") if c in counts.columns]
-        counts = counts.groupBy("kind", key, "a").agg(*[F.sum(c).alias(c) for c in sums])
+        counts = durable(counts.groupBy("kind", key, "a").agg(*[F.sum(c).alias(c) for c in sums]))
         known, rest = references, counts.withColumn("j", F.when(~own, F.col("k")))
         joined = rest.join(known, F.expr("kind = r_kind AND j = r_k"), "left").drop("j")
     else:
